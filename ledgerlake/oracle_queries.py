@@ -218,3 +218,41 @@ sql("serving_null_policy", USAGE_MART + _NULL_POLICY)
 sql("serving_layout_sorted", USAGE_MART + _NULL_POLICY)
 
 __all__ = ["ORACLE", "R1", "R2", "R3", "S"]
+
+# ---------------------------------------------------------------- streaming
+# In-order feed with next-day re-deliveries: the stream must give back the
+# feed exactly once per id (rows without id kept as they are) = bronze.
+_EVENT_COLS = ("event_id, \"timestamp\", org_id, resource_id, service, region, metric, value, "
+               "unit, cost_usd_increment, schema_version, carbon_kg, genai_tokens")
+sql("stream_bronze_dedupe", with_(BRONZE) + f"SELECT {_EVENT_COLS} FROM bronze")
+
+sql("stream_rerun_idempotent", with_(BRONZE) + """
+SELECT COUNT(*) AS rows_after_rerun, COUNT(DISTINCT event_id) AS distinct_ids,
+       COUNT(*) AS rows_after_first, CAST(0 AS BIGINT) AS rerun_batches FROM bronze""")
+
+sql("stream_rebuild_equals_batch", with_(BRONZE) + f"""
+SELECT CAST("timestamp" AS DATE) AS usage_date,
+       COUNT(*) AS stream_rows, COUNT(DISTINCT event_id) AS stream_ids,
+       {msum('cost_usd_increment', 2)} AS stream_cost,
+       COUNT(*) AS batch_rows, COUNT(DISTINCT event_id) AS batch_ids,
+       {msum('cost_usd_increment', 2)} AS batch_cost
+FROM bronze GROUP BY 1""")
+
+sql("stream_serving_upsert", ORACLE["upsert_by_key"])
+
+# Files of 5 days, one per trigger, in LATE_FILE_ORDER.  The watermark of batch b is
+# the latest event time of batches before b minus 2 days; id-carrying rows
+# older than it are dropped (rows without id bypass the dedupe).
+sql("late_rows_report", with_(BRONZE) + f""",
+f AS (SELECT *, CAST(floor(datediff('day', DATE '{S.FEED_START}', CAST("timestamp" AS DATE))
+                     / {C.LATE_DAYS_PER_FILE}) AS INTEGER) AS file_no FROM bronze),
+b AS (SELECT f.*, CASE file_no {' '.join(f'WHEN {n} THEN {i}' for i, n in enumerate(C.LATE_FILE_ORDER))} END AS batch FROM f),
+mx AS (SELECT batch, MAX("timestamp") AS mx FROM b GROUP BY batch),
+wm AS (SELECT batch, MAX(mx) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
+                                   AND 1 PRECEDING) - INTERVAL 2 DAY AS wm FROM mx),
+t AS (SELECT b.file_no,
+             COALESCE(b.event_id IS NOT NULL AND b."timestamp" < wm.wm, FALSE) AS late
+      FROM b JOIN wm USING (batch))
+SELECT file_no, COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE NOT late) AS rows_kept,
+       COUNT(*) FILTER (WHERE late) AS rows_late
+FROM t GROUP BY file_no""")

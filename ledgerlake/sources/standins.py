@@ -45,6 +45,10 @@ NEGATIVE_COST_MOD = 83
 NULL_UNIT_MOD = 71
 TEXT_VALUE_MOD = 53
 UNMATCHED_ORG_MOD = 7
+# events whose id % 10 = 0 are delivered a second time, one day later
+REPLAY_MOD = 10
+# first day of the event feed; landing files are cut from here
+FEED_START = "2024-01-01"
 # ---------------------------------------------------------------------------
 
 
@@ -178,3 +182,12 @@ def customers_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = (c.filter(F.col("c_custkey") % 3 == 0)
               .withColumn("c_acctbal", F.col("c_acctbal") + F.lit(1.0)))
     return c.unionByName(copies)
+
+
+def replayed_feed(bronze: DataFrame) -> DataFrame:
+    """The usage feed as delivered: every event once, plus a second delivery
+    of every event with id % 10 = 0 one day later (``_deliver_at``)."""
+    first = bronze.withColumn("_deliver_at", F.col("timestamp"))
+    again = (bronze.filter(F.col("event_id") % REPLAY_MOD == 0)
+             .withColumn("_deliver_at", F.col("timestamp") + F.expr("INTERVAL 1 DAY")))
+    return first.unionByName(again)
