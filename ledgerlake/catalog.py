@@ -63,7 +63,7 @@ def scan_parquet_pruned(spark, sf_dir):
 def scan_csv_roundtrip(spark, sf_dir):
     """Org master written as CSV with header, read back with declared schema
     and header check (names must match the schema)."""
-    orgs = Lake(spark, sf_dir).orgs()
+    orgs = Lake(spark, sf_dir).orgs_with_region()
     path = writers.write_csv(orgs, run_dir(spark, "csv_orgs"))
     return readers.read_csv(spark, path, orgs.schema, check_header=True, mode="FAILFAST")
 

@@ -20,8 +20,15 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
+_checked: dict[tuple[int, int], bool] = {}
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """Bounded size check, remembered per plan (``semanticHash``) for the process."""
+    key = (dim.semanticHash(), max_rows)
+    if key not in _checked:
+        _checked[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return _checked[key]
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:

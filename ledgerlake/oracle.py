@@ -157,9 +157,9 @@ RATE_SQL = "CASE " + " ".join(f"WHEN o_orderstatus = '{s}' THEN CAST({r} AS DECI
 
 BILLING = f"""lines AS (
   SELECT l_orderkey,
-         SUM(CAST(l_extendedprice AS DECIMAL(18,8))) AS subtotal_d,
-         SUM(CAST(l_extendedprice AS DECIMAL(18,8)) * CAST(l_discount AS DECIMAL(4,2))) AS credits_d,
-         SUM(CAST(l_extendedprice AS DECIMAL(18,8)) * CAST(l_tax AS DECIMAL(4,2))) AS taxes_d
+         SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS subtotal_d,
+         SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(3,2))) AS credits_d,
+         SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(3,2))) AS taxes_d
   FROM lineitem GROUP BY l_orderkey),
 billing AS (
   SELECT o_orderkey AS invoice_id, o_custkey AS org_id,

@@ -3,10 +3,18 @@
 These wire sources → silver → gold for the registered queries and the bench.
 The stand-in usage feed plays the bronze layer (its ids are unique by
 construction, so bronze deduplication is exercised by its own queries).
+
+Built frames are remembered per (session, sf_dir, step, arguments): a
+DataFrame is an immutable logical plan, so reusing it costs nothing and saves
+re-building the same plan (every transformation is analysed eagerly through
+the JVM gateway) and re-running the eager spike-threshold passes.  Only the
+read-only benchmark inputs are memoised this way; layers the library writes
+are always read afresh.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,28 +32,51 @@ REFERENCE_SPIKE = (0.99, 3.0)
 ANOMALY_SPIKE = (0.90, 3.0)
 
 
+_PLANS: dict[tuple, DataFrame] = {}
+
+
+def _memo(fn):
+    @functools.wraps(fn)
+    def wrapper(self, *args, **kwargs):
+        key = (id(self.spark), self.sf_dir, fn.__name__, args, tuple(sorted(kwargs.items())))
+        if key not in _PLANS:
+            _PLANS[key] = fn(self, *args, **kwargs)
+        return _PLANS[key]
+    return wrapper
+
+
 @dataclass
 class Lake:
     spark: SparkSession
     sf_dir: str
 
     # ---------------------------------------------------------- sources
+    @_memo
     def orgs(self) -> DataFrame:
         return standins.orgs(self.spark, self.sf_dir)
 
+    @_memo
+    def orgs_with_region(self) -> DataFrame:
+        return standins.orgs_with_region(self.spark, self.sf_dir)
+
+    @_memo
     def bronze_events(self) -> DataFrame:
         return standins.usage_events(self.spark, self.sf_dir)
 
+    @_memo
     def resources(self) -> DataFrame:
         return standins.resources(self.spark, self.sf_dir)
 
+    @_memo
     def billing(self) -> DataFrame:
         return standins.billing_monthly(self.spark, self.sf_dir)
 
+    @_memo
     def tickets(self) -> DataFrame:
         return standins.support_tickets(self.spark, self.sf_dir)
 
     # ---------------------------------------------------------- silver
+    @_memo
     def labelled(self, spike=REFERENCE_SPIKE, fit_on: str = "all") -> DataFrame:
         q, m = spike if spike else (None, 3.0)
         return silver.labelled_events(self.bronze_events(), spike_q=q, spike_multiplier=m,
@@ -54,6 +85,7 @@ class Lake:
     def clean_and_quarantine(self, spike=REFERENCE_SPIKE) -> tuple[DataFrame, DataFrame]:
         return quality.split(self.labelled(spike))
 
+    @_memo
     def silver_usage(self, spike=REFERENCE_SPIKE, with_resources: bool = True,
                      keep_resource_flag: bool = False) -> DataFrame:
         clean, _ = self.clean_and_quarantine(spike)
@@ -61,34 +93,43 @@ class Lake:
                                    self.resources() if with_resources else None,
                                    keep_resource_flag=keep_resource_flag)
 
+    @_memo
     def silver_usage_v1(self) -> DataFrame:
         labelled = silver.labelled_events(self.bronze_events(), spike_q=None, defaults=False)
         clean, _ = quality.split(labelled)
         return silver.silver_usage_v1(clean, self.orgs())
 
+    @_memo
     def silver_tickets(self) -> DataFrame:
         return silver.ticket_features(self.tickets())
 
+    @_memo
     def silver_billing(self) -> DataFrame:
         return silver.revenue_usd(self.billing(), self.orgs())
 
     # ---------------------------------------------------------- gold
+    @_memo
     def gold_daily_usage(self) -> DataFrame:
         # neither the resource join nor the spike flag feeds this mart
         return gold.daily_usage(self.silver_usage(spike=None, with_resources=False))
 
+    @_memo
     def gold_daily_usage_v1(self) -> DataFrame:
         return gold.daily_usage_v1(self.silver_usage_v1())
 
+    @_memo
     def gold_revenue_month(self) -> DataFrame:
         return gold.revenue_month(self.silver_billing())
 
+    @_memo
     def gold_cost_anomaly(self, spike=ANOMALY_SPIKE) -> DataFrame:
         return gold.cost_anomaly(self.silver_usage(spike, with_resources=False), *spike)
 
+    @_memo
     def gold_tickets_day(self) -> DataFrame:
         return gold.tickets_day(self.silver_tickets())
 
+    @_memo
     def gold_tokens_day(self) -> DataFrame:
         return gold.tokens_day(self.silver_usage(spike=None, with_resources=False),
                                standins.GENAI_SERVICE)

@@ -17,7 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY, RATE
+from ..functions.columns import RATE
+
+CENTS = "decimal(12,2)"
+PCT = "decimal(3,2)"
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -64,31 +67,49 @@ def _case(c: Column, mapping: dict, default: Column | None = None) -> Column:
 
 
 def orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customers_orgs: customer ⋈ nation ⋈ region.
+    """customers_orgs (enrichment columns): one row per org from ``customer``.
 
     Customers with key % 7 = 0 are left out of the master so that some
     usage events reference an org the master does not know (left-join rows
-    with NULL attributes).  nation/region are fixed 25/5-row tables, so
-    broadcasting them is bounded by construction.
+    with NULL attributes).
     """
     c = table(spark, sf_dir, "customer")
-    n = table(spark, sf_dir, "nation")
-    r = table(spark, sf_dir, "region")
     return (c.filter(F.col("c_custkey") % UNMATCHED_ORG_MOD != 0)
-            .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left")
             .select(F.col("c_custkey").alias("org_id"),
                     F.col("c_name").alias("org_name"),
                     F.col("c_mktsegment").alias("plan_tier"),
-                    F.col("r_name").alias("hq_region"),
                     (F.col("c_acctbal") >= 5000).alias("is_enterprise")))
 
 
+def orgs_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customers_orgs with ``hq_region`` (customer ⋈ nation ⋈ region).
+
+    nation and region are fixed 25- and 5-row tables, so broadcasting them is
+    bounded by construction.
+    """
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    c = (table(spark, sf_dir, "customer")
+         .filter(F.col("c_custkey") % UNMATCHED_ORG_MOD != 0)
+         .select("c_custkey", "c_nationkey"))
+    return (orgs(spark, sf_dir)
+            .join(c, F.col("org_id") == F.col("c_custkey"), "left")
+            .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+            .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+            .select("org_id", "org_name", "plan_tier", F.col("r_name").alias("hq_region"),
+                    "is_enterprise"))
+
+
 def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """usage_events landing feed from ``events`` (dirty rows injected)."""
-    e = table(spark, sf_dir, "events")
+    # the JSON field is parsed once (json_tuple: one parse per row), in its
+    # own projection, and reused by the derived columns
+    e = (table(spark, sf_dir, "events")
+         .select("event_id", "ts", "user_id", "event_type", "value",
+                 F.json_tuple("props", "k").alias("k_text"))
+         .withColumn("k", F.col("k_text").cast("int")))
     rid = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     metric = _case(F.col("event_type"), METRIC_OF_EVENT_TYPE, F.col("event_type"))
     unit = _case(metric, UNIT_OF_METRIC, F.lit(DEFAULT_UNIT))
     return e.select(
@@ -137,11 +158,13 @@ def billing_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
-    price = F.col("l_extendedprice").cast(MONEY)
+    # line amounts are in cents and rates in hundredths: the products stay
+    # within 18 digits, so Spark keeps them long-backed (no BigDecimal per row)
+    price = F.col("l_extendedprice").cast(CENTS)
     lines = li.groupBy("l_orderkey").agg(
         F.sum(price).alias("subtotal_d"),
-        F.sum(price * F.col("l_discount").cast("decimal(4,2)")).alias("credits_d"),
-        F.sum(price * F.col("l_tax").cast("decimal(4,2)")).alias("taxes_d"))
+        F.sum(price * F.col("l_discount").cast(PCT)).alias("credits_d"),
+        F.sum(price * F.col("l_tax").cast(PCT)).alias("taxes_d"))
     status = F.col("o_orderstatus")
     currency = _case(status, {s: c for s, (c, _) in CURRENCY_OF_STATUS.items()})
     rate = _case(status, {s: r for s, (_, r) in CURRENCY_OF_STATUS.items()}).cast(RATE)
