@@ -45,9 +45,28 @@ def dedupe_stream(events: DataFrame, *, key: str = "event_id", event_time: str =
     return deduped.unionByName(src.filter(F.col(key).isNull()))
 
 
+def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a stateful query with ``state_partitions`` state-store partitions.
+
+    A new query fixes its state partitioning from ``spark.sql.shuffle.partitions``
+    at start (and keeps it in its checkpoint for good), so the setting is
+    applied only around ``start()``.  Default: the cluster's default
+    parallelism, one state partition per core.
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_bronze_stream(spark: SparkSession, landing: str, schema, output: str, checkpoint: str,
                       *, files_per_trigger: int = FILES_PER_TRIGGER, watermark: str = WATERMARK,
-                      bounded_state: bool = True, lineage: bool = True) -> StreamRun:
+                      bounded_state: bool = True, lineage: bool = True,
+                      state_partitions: int | None = None) -> StreamRun:
     """One ``availableNow`` run: process every file present, then stop.
 
     Re-running with the same checkpoint resumes after the last committed
@@ -57,12 +76,12 @@ def run_bronze_stream(spark: SparkSession, landing: str, schema, output: str, ch
     if lineage:
         src = readers.with_lineage(src)
     out = dedupe_stream(src, watermark=watermark, bounded_state=bounded_state)
-    q = (out.writeStream.format("parquet")
-         .option("path", output)
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
+    writer = (out.writeStream.format("parquet")
+              .option("path", output)
+              .option("checkpointLocation", checkpoint)
+              .outputMode("append")
+              .trigger(availableNow=True))
+    q = start_with_state_partitions(spark, writer, state_partitions)
     q.awaitTermination()
     progress = [p for p in q.recentProgress if p]
     written = sum(int(p.get("numInputRows", 0)) for p in progress)  # input rows seen
