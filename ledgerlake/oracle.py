@@ -157,16 +157,16 @@ RATE_SQL = "CASE " + " ".join(f"WHEN o_orderstatus = '{s}' THEN CAST({r} AS DECI
 
 BILLING = f"""lines AS (
   SELECT l_orderkey,
-         SUM(CAST(l_extendedprice AS DECIMAL(12,2))) AS subtotal_d,
-         SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(3,2))) AS credits_d,
-         SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_tax AS DECIMAL(3,2))) AS taxes_d
+         SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS subtotal_c,
+         SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT) * CAST(ROUND(l_discount * 100) AS BIGINT)) AS credits_u,
+         SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT) * CAST(ROUND(l_tax * 100) AS BIGINT)) AS taxes_u
   FROM lineitem GROUP BY l_orderkey),
 billing AS (
   SELECT o_orderkey AS invoice_id, o_custkey AS org_id,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-         CAST(subtotal_d AS DOUBLE) AS subtotal,
-         CASE WHEN credits_d = 0 THEN NULL ELSE CAST(credits_d AS DOUBLE) END AS credits,
-         CAST(taxes_d AS DOUBLE) AS taxes,
+         CAST(subtotal_c AS DOUBLE) / 100 AS subtotal,
+         CASE WHEN credits_u = 0 THEN NULL ELSE CAST(credits_u AS DOUBLE) / 10000 END AS credits,
+         CAST(taxes_u AS DOUBLE) / 10000 AS taxes,
          {_case('o_orderstatus', _CUR)} AS currency,
          CAST({RATE_SQL} AS DOUBLE) AS exchange_rate_to_usd
   FROM orders JOIN lines ON o_orderkey = l_orderkey),

@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import RATE
 
-CENTS = "decimal(12,2)"
-PCT = "decimal(3,2)"
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -158,13 +155,14 @@ def billing_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
-    # line amounts are in cents and rates in hundredths: the products stay
-    # within 18 digits, so Spark keeps them long-backed (no BigDecimal per row)
-    price = F.col("l_extendedprice").cast(CENTS)
+    # Line amounts are summed as exact integers: prices in cents, discount and
+    # tax rates in hundredths, so price × rate is in 1e-4 currency units.
+    # Long sums run in Spark's fixed-width hash-aggregation fast path.
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     lines = li.groupBy("l_orderkey").agg(
-        F.sum(price).alias("subtotal_d"),
-        F.sum(price * F.col("l_discount").cast(PCT)).alias("credits_d"),
-        F.sum(price * F.col("l_tax").cast(PCT)).alias("taxes_d"))
+        F.sum(cents).alias("subtotal_c"),
+        F.sum(cents * F.round(F.col("l_discount") * 100).cast("long")).alias("credits_u"),
+        F.sum(cents * F.round(F.col("l_tax") * 100).cast("long")).alias("taxes_u"))
     status = F.col("o_orderstatus")
     currency = _case(status, {s: c for s, (c, _) in CURRENCY_OF_STATUS.items()})
     rate = _case(status, {s: r for s, (_, r) in CURRENCY_OF_STATUS.items()}).cast(RATE)
@@ -172,10 +170,10 @@ def billing_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("o_orderkey").alias("invoice_id"),
                     F.col("o_custkey").alias("org_id"),
                     F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month"),
-                    F.col("subtotal_d").cast("double").alias("subtotal"),
-                    F.when(F.col("credits_d") == 0, F.lit(None).cast("double"))
-                     .otherwise(F.col("credits_d").cast("double")).alias("credits"),
-                    F.col("taxes_d").cast("double").alias("taxes"),
+                    (F.col("subtotal_c") / 100).alias("subtotal"),
+                    F.when(F.col("credits_u") == 0, F.lit(None).cast("double"))
+                     .otherwise(F.col("credits_u") / 10000).alias("credits"),
+                    (F.col("taxes_u") / 10000).alias("taxes"),
                     currency.alias("currency"),
                     rate.cast("double").alias("exchange_rate_to_usd")))
 
