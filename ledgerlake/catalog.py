@@ -488,3 +488,29 @@ def late_rows_report(spark, sf_dir):
             .select("file_no", "rows_in",
                     F.coalesce("rows_kept", F.lit(0).cast("long")).alias("rows_kept"))
             .withColumn("rows_late", F.col("rows_in") - F.col("rows_kept")))
+
+
+# ================================================================= materialised layers
+from .plans import jobs  # noqa: E402
+
+
+@query
+def bronze_csv_table(spark, sf_dir):
+    """Org master re-export landed as CSV; bronze reads it with the
+    header checked, adds lineage, keeps one row per org (highest balance) and
+    writes Parquet partitioned by plan tier."""
+    raw = standins.customers_with_copies(spark, sf_dir).select(
+        F.col("c_custkey").alias("org_id"), F.col("c_name").alias("org_name"),
+        F.col("c_mktsegment").alias("plan_tier"), F.col("c_acctbal").alias("acctbal"))
+    landing = writers.write_csv(raw, run_dir(spark, "landing_orgs_csv"))
+    bronze = jobs.bronze_csv_table(spark, landing, raw.schema, run_dir(spark, "bronze_orgs"),
+                                   ["org_id"], order=["acctbal"], partition_by="plan_tier")
+    return bronze.select("org_id", "org_name", "plan_tier", "acctbal")
+
+
+@query
+def lake_build_counts(spark, sf_dir):
+    """End to end: every layer written (bronze → silver + quarantine → gold →
+    serving) and read back; rows per layer."""
+    layers = jobs.build_layers(spark, Lake(spark, sf_dir), run_dir(spark, "lake"))
+    return jobs.layer_counts(spark, layers)

@@ -256,3 +256,37 @@ t AS (SELECT b.file_no,
 SELECT file_no, COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE NOT late) AS rows_kept,
        COUNT(*) FILTER (WHERE late) AS rows_late
 FROM t GROUP BY file_no""")
+
+# ---------------------------------------------------------------- materialised layers
+sql("bronze_csv_table", """
+WITH raw AS (
+  SELECT c_custkey AS org_id, c_name AS org_name, c_mktsegment AS plan_tier, c_acctbal AS acctbal
+  FROM customer
+  UNION ALL
+  SELECT c_custkey, c_name, c_mktsegment, c_acctbal + 1.0 FROM customer WHERE c_custkey % 3 = 0)
+SELECT org_id, org_name, plan_tier, acctbal FROM (
+  SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY acctbal DESC) AS rn FROM raw)
+WHERE rn = 1""")
+
+_LAYER_COUNTS = [
+    ("bronze/usage_events", "bronze", ""),
+    ("silver/quarantine", "labelled", "WHERE dq_rule IS NOT NULL"),
+    ("silver/usage_events_clean", "silver", ""),
+    ("silver/support_tickets_clean", "tickets_silver", ""),
+    ("silver/billing_monthly_clean", "billing_silver", ""),
+    ("gold/daily_usage", "gold_usage", ""),
+    ("gold/revenue_month", "gold_revenue", ""),
+    ("gold/cost_anomaly", "gold_anomaly", ""),
+    ("gold/tickets_day", "gold_tickets", ""),
+    ("gold/tokens_day", "gold_tokens", ""),
+    ("serving/daily_usage", "gold_usage", ""),
+    ("serving/revenue_month", "gold_revenue", ""),
+    ("serving/cost_anomaly", "gold_anomaly", ""),
+    ("serving/tickets_day", "gold_tickets", ""),
+    ("serving/tokens_day", "gold_tokens", ""),
+]
+sql("lake_build_counts", with_(silver(*C.REFERENCE_SPIKE), GOLD_USAGE,
+                               gold_anomaly(*C.REFERENCE_SPIKE), GOLD_TOKENS,
+                               GOLD_REVENUE.replace(ORGS + ",", ""), GOLD_TICKETS) +
+    "\nUNION ALL\n".join(f"SELECT '{name}' AS layer, COUNT(*) AS rows FROM {cte} {cond}"
+                         for name, cte, cond in _LAYER_COUNTS))
