@@ -457,10 +457,10 @@ def stream_serving_upsert(spark, sf_dir):
     first.write.mode("append").parquet(gold_dir)
     second.write.mode("append").parquet(gold_dir)
     table = run_dir(spark, "serving_usage")
+    spec = serving.SERVING["daily_usage"]
     sserving.run_serving_stream(spark, gold_dir, first.schema, table,
-                                run_dir(spark, "ckpt_serving"), run_dir(spark, "staging"),
-                                GOLD_KEYS["daily_usage"])
-    out = readers.read_parquet(spark, table, sserving.serving_schema(first.schema))
+                                run_dir(spark, "ckpt_serving"), run_dir(spark, "staging"), spec)
+    out = readers.read_parquet(spark, table, serving.serving_schema(first.schema, spec))
     return out.select(*first.columns)
 
 

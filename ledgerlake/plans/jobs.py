@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..operators import quality
 from ..operators.dedupe import dedupe_by_key
@@ -95,8 +95,7 @@ def build_layers(spark: SparkSession, lake: Lake, root: str,
         g = L.read(spark, f"gold/{name}")
         path = serving.write_serving(g, f"{root}/serving/{name}", spec, serving_buckets)
         L.paths[f"serving/{name}"] = path
-        L.schemas[f"serving/{name}"] = StructType(
-            list(g.schema.fields) + [StructField("key_bucket", IntegerType(), True)])
+        L.schemas[f"serving/{name}"] = serving.serving_schema(g.schema, spec)
     return L
 
 

@@ -1,15 +1,21 @@
 """Serving layer: key-addressed tables over Parquet and the user questions.
 
 A wide-column store addresses rows by a partition key plus ordered
-clustering columns.  The Parquet equivalent used here:
+clustering columns.  The Parquet equivalent used here is a two-level folder
+layout plus sorted files:
 
-* directory partitioning by ``key_bucket = pmod(xxhash64(org_id), buckets)``
-  (a partition per org would explode into millions of folders at scale);
+* ``period`` = the mart's date column truncated to a coarse grain (month for
+  daily marts, year for monthly or sparse ones), then
+  ``key_bucket = pmod(xxhash64(org_id), buckets)`` (a folder per org would
+  explode into millions of folders at scale);
 * rows sorted inside each file by the full primary key, so Parquet row-group
-  min/max statistics prune on ``org_id`` and the clustering columns;
-* a lookup adds the bucket predicate (partition pruning) to the key
-  predicate (row-group pruning), and range predicates on the date columns
-  are pushed to the scan.
+  min/max statistics prune on ``org_id`` and the clustering columns.
+
+A lookup adds the bucket predicate and, when the question has date bounds,
+the period range (both partition pruning) to the key and date predicates
+(row-group pruning).  An incremental load touches the recent periods only,
+so a key-merge rewrites those (period, bucket) folders and leaves the
+history alone (see ``streaming.serving``).
 
 The questions (V1–V7) are plain DataFrame queries over a gold or serving
 frame; filters sit directly on the scan so Catalyst pushes them down.
@@ -21,11 +27,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from ..functions.columns import money_sum
 from ..sources.writers import write_partitioned
 
 DEFAULT_BUCKETS = 64
+PERIOD = "period"
+BUCKET = "key_bucket"
 
 
 @dataclass(frozen=True)
@@ -35,28 +44,38 @@ class ServingSpec:
     clustering: tuple[str, ...]
     # measures mapped NULL → 0 at the serving edge (others keep NULL)
     zero_if_null: tuple[str, ...] = ()
+    # the mart's date column and the folder grain it is truncated to
+    time_col: str | None = None
+    period_grain: str = "month"
 
     @property
     def primary_key(self) -> tuple[str, ...]:
         return self.partition_key + self.clustering
 
+    @property
+    def layout(self) -> tuple[str, ...]:
+        """Partition folders, outermost first."""
+        return (PERIOD, BUCKET) if self.time_col else (BUCKET,)
+
 
 SERVING = {
     "daily_usage": ServingSpec("org_daily_usage_by_service", ("org_id", "usage_date"), ("service",),
                                ("total_cost_usd", "total_requests", "total_cpu_hours",
                                 "total_storage_gb_hours", "total_genai_tokens",
-                                "total_carbon_kg", "event_count")),
+                                "total_carbon_kg", "event_count"), "usage_date", "month"),
     "revenue_month": ServingSpec("revenue_by_org_month", ("org_id",), ("month",),
-                                 ("revenue_usd", "total_credits", "total_taxes")),
+                                 ("revenue_usd", "total_credits", "total_taxes"), "month", "year"),
     "cost_anomaly": ServingSpec("cost_anomaly_mart", ("org_id", "usage_date"), ("service",),
-                                ("spike_event_count", "max_cost_usd", "avg_cost_usd")),
+                                ("spike_event_count", "max_cost_usd", "avg_cost_usd"),
+                                "usage_date", "month"),
     "tickets_day": ServingSpec("tickets_by_org_date", ("org_id",), ("ticket_date", "severity"),
-                               ("ticket_count", "critical_count", "sla_breach_rate")),
+                               ("ticket_count", "critical_count", "sla_breach_rate"),
+                               "ticket_date", "year"),
     "tokens_day": ServingSpec("genai_tokens_by_org_date", ("org_id",), ("usage_date",),
-                              ("total_tokens", "estimated_cost_usd")),
+                              ("total_tokens", "estimated_cost_usd"), "usage_date", "month"),
     "daily_usage_v1": ServingSpec("examen_daily_usage", ("org_id", "usage_date"), ("service",),
                                   ("total_cost_usd", "total_requests", "total_genai_tokens",
-                                   "total_carbon_kg", "event_count")),
+                                   "total_carbon_kg", "event_count"), "usage_date", "month"),
 }
 
 
@@ -65,6 +84,25 @@ def key_bucket(org: Column | str, buckets: int = DEFAULT_BUCKETS) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
 
 
+def period_of(day: Column | str, grain: str) -> Column:
+    c = F.col(day) if isinstance(day, str) else day
+    return F.trunc(c.cast("date"), grain)
+
+
+def serving_schema(mart_schema: StructType, spec: ServingSpec) -> StructType:
+    """The mart's columns plus the layout columns, declared (empty table reads as 0 rows)."""
+    extra = [StructField(PERIOD, DateType(), True)] if spec.time_col else []
+    return StructType(list(mart_schema.fields) + extra
+                      + [StructField(BUCKET, IntegerType(), True)])
+
+
+def with_layout(df: DataFrame, spec: ServingSpec, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    cols = {BUCKET: key_bucket(spec.partition_key[0], buckets)}
+    if spec.time_col:
+        cols = {PERIOD: period_of(spec.time_col, spec.period_grain), **cols}
+    return df.withColumns(cols)
+
+
 def null_policy(df: DataFrame, spec: ServingSpec) -> DataFrame:
     """NULL measures → 0 for the listed columns, typed as before; others untouched."""
     types = dict(df.dtypes)
@@ -74,25 +112,35 @@ def null_policy(df: DataFrame, spec: ServingSpec) -> DataFrame:
 
 def write_serving(df: DataFrame, path: str, spec: ServingSpec,
                   buckets: int = DEFAULT_BUCKETS, *, dynamic: bool = False) -> str:
-    org = spec.partition_key[0]
-    out = null_policy(df, spec).withColumn("key_bucket", key_bucket(org, buckets))
-    return write_partitioned(out, path, "key_bucket", dynamic=dynamic,
+    out = with_layout(null_policy(df, spec), spec, buckets)
+    return write_partitioned(out, path, list(spec.layout), dynamic=dynamic,
                              sort_by=list(spec.primary_key))
 
 
 def lookup(serving: DataFrame, org_value, org_col: str = "org_id",
-           buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """Rows of one org; with a bucketed table the bucket predicate prunes folders."""
-    cond = F.col(org_col) == F.lit(org_value)
-    if buckets and "key_bucket" in serving.columns:
-        cond = (F.col("key_bucket") == key_bucket(F.lit(org_value), buckets)) & cond
+           buckets: int | None = DEFAULT_BUCKETS, *, date_from: str | None = None,
+           date_to: str | None = None, grain: str | None = None) -> DataFrame:
+    """Rows of one org; on a serving table the bucket predicate prunes folders,
+    and date bounds (with the table's period grain) prune period folders."""
+    # the literal takes the column's type: the bucket hash of an INT 11 differs
+    # from that of the BIGINT 11 the table was bucketed by
+    org = F.lit(org_value).cast(dict(serving.dtypes)[org_col])
+    cond = F.col(org_col) == org
+    if buckets and BUCKET in serving.columns:
+        cond = (F.col(BUCKET) == key_bucket(org, buckets)) & cond
+    if grain and PERIOD in serving.columns:
+        if date_from:
+            cond = cond & (F.col(PERIOD) >= period_of(F.lit(date_from), grain))
+        if date_to:
+            cond = cond & (F.col(PERIOD) <= period_of(F.lit(date_to), grain))
     return serving.filter(cond)
 
 
 # ------------------------------------------------------------- questions V1–V7
 def usage_range(usage: DataFrame, org, date_from: str, date_to: str) -> DataFrame:
     """V1: cost and requests per day and service for one org in [from, to]."""
-    return (lookup(usage, org)
+    return (lookup(usage, org, date_from=date_from, date_to=date_to,
+                   grain=SERVING["daily_usage"].period_grain)
             .filter(F.col("usage_date").between(F.lit(date_from).cast("date"),
                                                 F.lit(date_to).cast("date")))
             .select("usage_date", "service", "total_cost_usd", "total_requests", "event_count")
@@ -101,7 +149,8 @@ def usage_range(usage: DataFrame, org, date_from: str, date_to: str) -> DataFram
 
 def top_services(usage: DataFrame, org, date_from: str, date_to: str, n: int = 5) -> DataFrame:
     """V2: the n services with the highest cost for one org in [from, to]."""
-    return (lookup(usage, org)
+    return (lookup(usage, org, date_from=date_from, date_to=date_to,
+                   grain=SERVING["daily_usage"].period_grain)
             .filter(F.col("usage_date").between(F.lit(date_from).cast("date"),
                                                 F.lit(date_to).cast("date")))
             .groupBy("service")
@@ -113,7 +162,8 @@ def top_services(usage: DataFrame, org, date_from: str, date_to: str, n: int = 5
 def critical_tickets(tickets: DataFrame, org, date_from: str, date_to: str,
                      severities=("critical", "high")) -> DataFrame:
     """V3: critical/high ticket counts and SLA breach rate for one org in [from, to]."""
-    return (lookup(tickets, org)
+    return (lookup(tickets, org, date_from=date_from, date_to=date_to,
+                   grain=SERVING["tickets_day"].period_grain)
             .filter(F.col("severity").isin(*severities))
             .filter(F.col("ticket_date").between(F.lit(date_from).cast("date"),
                                                  F.lit(date_to).cast("date")))
@@ -130,7 +180,7 @@ def revenue_history(revenue: DataFrame, org) -> DataFrame:
 
 def tokens_by_day(tokens: DataFrame, org, date_from: str) -> DataFrame:
     """V5: GenAI tokens and cost per day for one org from a date on."""
-    return (lookup(tokens, org)
+    return (lookup(tokens, org, date_from=date_from, grain=SERVING["tokens_day"].period_grain)
             .filter(F.col("usage_date") >= F.lit(date_from).cast("date"))
             .select("usage_date", "total_tokens", "estimated_cost_usd")
             .orderBy("usage_date"))
@@ -138,7 +188,8 @@ def tokens_by_day(tokens: DataFrame, org, date_from: str) -> DataFrame:
 
 def key_lookup(usage_v1: DataFrame, org, day: str) -> DataFrame:
     """V6: every service of one org on one day (full partition key)."""
-    return (lookup(usage_v1, org)
+    return (lookup(usage_v1, org, date_from=day, date_to=day,
+                   grain=SERVING["daily_usage_v1"].period_grain)
             .filter(F.col("usage_date") == F.lit(day).cast("date"))
             .select("service", "total_cost_usd", "total_requests", "total_genai_tokens",
                     "event_count")
@@ -148,7 +199,8 @@ def key_lookup(usage_v1: DataFrame, org, day: str) -> DataFrame:
 def service_cost_trend(usage_v1: DataFrame, org, service: str, date_from: str,
                        date_to: str) -> DataFrame:
     """V7: daily cost of one service of one org in [from, to] (non-key predicate)."""
-    return (lookup(usage_v1, org)
+    return (lookup(usage_v1, org, date_from=date_from, date_to=date_to,
+                   grain=SERVING["daily_usage_v1"].period_grain)
             .filter(F.col("service") == F.lit(service))
             .filter(F.col("usage_date").between(F.lit(date_from).cast("date"),
                                                 F.lit(date_to).cast("date")))

@@ -3,13 +3,18 @@
 Each micro-batch is merged by primary key into the serving table without
 passing through the driver:
 
-1. the batch's rows, deduplicated by key (last write wins, by source file
-   modification time), tagged with the serving bucket;
-2. the table's rows in the touched buckets only (a semi-join on the
-   partition column, pruned at the scan);
-3. ``upsert`` of (2) by (1), written to a per-batch staging folder;
-4. the staging rows overwrite exactly the touched buckets of the table
-   (dynamic partition overwrite).
+1. the (period, bucket) folders the batch touches (a bounded list, see
+   ``touched_partitions``);
+2. the batch's rows, deduplicated by key (last write wins, by source file
+   modification time), tagged with period and bucket;
+3. the table's rows in the touched folders only (a static partition filter:
+   other folders are neither listed nor read);
+4. ``upsert`` of (3) by (2), written to a per-batch staging folder;
+5. the staging rows overwrite exactly the touched folders of the table
+   (dynamic partition overwrite), rebalanced and sorted by primary key.
+
+An incremental load touches the latest periods, so the history is never
+rewritten; within a period only the buckets of the orgs in the batch are.
 
 A table is never read and overwritten by the same job (hence the staging
 folder).  ``foreachBatch`` is at-least-once: a replayed batch recomputes the
@@ -20,53 +25,80 @@ after step 4.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..operators.dedupe import dedupe_by_key
 from ..operators.merge import upsert
-from ..plans.serving import DEFAULT_BUCKETS, key_bucket
+from ..plans.serving import (BUCKET, DEFAULT_BUCKETS, PERIOD, ServingSpec, serving_schema,
+                             with_layout)
 from ..sources import readers
+from ..sources.writers import write_partitioned
 
 
-def serving_schema(mart_schema: StructType) -> StructType:
-    return StructType(list(mart_schema.fields) + [StructField("key_bucket", IntegerType(), True)])
-
-
-def create_table(spark: SparkSession, path: str, mart_schema: StructType) -> None:
+def create_table(spark: SparkSession, path: str, mart_schema: StructType,
+                 spec: ServingSpec) -> None:
     """An empty serving table (declared schema, no rows)."""
-    (spark.createDataFrame([], serving_schema(mart_schema))
-     .write.mode("overwrite").partitionBy("key_bucket").parquet(path))
+    (spark.createDataFrame([], serving_schema(mart_schema, spec))
+     .write.mode("overwrite").partitionBy(*spec.layout).parquet(path))
+
+
+def touched_partitions(batch: DataFrame, spec: ServingSpec,
+                       buckets: int = DEFAULT_BUCKETS) -> list[tuple]:
+    """The (period, bucket) folders a batch writes to.
+
+    Bounded by the layout, not by the data: at most periods × buckets values
+    (a few thousand for years of monthly periods and 64 buckets), computed
+    from the key and date columns only.
+    """
+    folders = with_layout(batch, spec, buckets).select(*spec.layout).distinct()
+    return [tuple(r) for r in folders.collect()]
+
+
+def folder_filter(folders: list[tuple], spec: ServingSpec) -> Column:
+    """Predicate on the partition columns selecting exactly ``folders``
+    (static partition pruning: only those folders are listed and read)."""
+    if not folders:
+        return F.lit(False)
+    if spec.layout == (BUCKET,):
+        return F.col(BUCKET).isin(sorted({f[0] for f in folders}))
+    by_period: dict = defaultdict(set)
+    for period, bucket in folders:
+        by_period[period].add(bucket)
+    cond = None
+    for period, bs in sorted(by_period.items()):
+        c = (F.col(PERIOD) == F.lit(period)) & F.col(BUCKET).isin(sorted(bs))
+        cond = c if cond is None else cond | c
+    return cond
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
-                staging_root: str, key: Sequence[str], mart_schema: StructType,
-                buckets: int = DEFAULT_BUCKETS, org_col: str = "org_id") -> None:
+                staging_root: str, spec: ServingSpec, mart_schema: StructType,
+                buckets: int = DEFAULT_BUCKETS) -> None:
+    key = list(spec.primary_key)
     cols = [f.name for f in mart_schema.fields]
-    updates = dedupe_by_key(batch, list(key), order=["_written_at"]).select(*cols)
-    updates = updates.withColumn("key_bucket", key_bucket(org_col, buckets))
-    current = readers.read_parquet(spark, table, serving_schema(mart_schema))
-    touched = updates.select("key_bucket").distinct()
-    existing = current.join(touched, "key_bucket", "left_semi")
-    merged = upsert(existing, updates, [*key])
+    schema = serving_schema(mart_schema, spec)
+    folders = touched_partitions(batch, spec, buckets)
+    if not folders:
+        return
+    updates = with_layout(dedupe_by_key(batch, key, order=["_written_at"]).select(*cols),
+                          spec, buckets)
+    existing = readers.read_parquet(spark, table, schema).filter(folder_filter(folders, spec))
+    merged = upsert(existing, updates, key)
     staging = f"{staging_root}/batch={batch_id}"
     merged.write.mode("overwrite").parquet(staging)
-    (readers.read_parquet(spark, staging, serving_schema(mart_schema))
-     .sortWithinPartitions("key_bucket", *key)
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("key_bucket")
-     .parquet(table))
+    write_partitioned(readers.read_parquet(spark, staging, schema), table, list(spec.layout),
+                      dynamic=True, sort_by=key)
 
 
 def run_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructType,
-                       table: str, checkpoint: str, staging_root: str, key: Sequence[str],
+                       table: str, checkpoint: str, staging_root: str, spec: ServingSpec,
                        *, files_per_trigger: int = 1, buckets: int = DEFAULT_BUCKETS) -> int:
     """Stream every gold file present into the serving table; returns batches run."""
-    create_table(spark, table, mart_schema)
+    create_table(spark, table, mart_schema, spec)
     src = (readers.stream_parquet(spark, gold_dir, mart_schema,
                                   max_files_per_trigger=files_per_trigger)
            .withColumn("_written_at", F.col("_metadata.file_modification_time")))
@@ -74,7 +106,7 @@ def run_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructTy
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         seen.append(batch_id)
-        merge_batch(spark, batch, batch_id, table, staging_root, key, mart_schema, buckets)
+        merge_batch(spark, batch, batch_id, table, staging_root, spec, mart_schema, buckets)
 
     q = (src.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint)

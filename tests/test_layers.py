@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ledgerlake.plans import gold
+from ledgerlake.plans import gold, serving
 from ledgerlake.plans.assemble import Lake
 from ledgerlake.session import run_dir
 from ledgerlake.sources import readers, standins, writers
@@ -49,12 +49,54 @@ def test_serving_merge_replay_is_idempotent(spark):
     lake = Lake(spark, SF_SMALL)
     mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
     table, staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
-    sserving.create_table(spark, table, mart.schema)
+    spec = serving.SERVING["daily_usage"]
+    sserving.create_table(spark, table, mart.schema, spec)
     batch = mart.withColumn("_written_at", F.current_timestamp())
-    key = ["org_id", "usage_date", "service"]
-    sserving.merge_batch(spark, batch, 0, table, staging, key, mart.schema)
+    sserving.merge_batch(spark, batch, 0, table, staging, spec, mart.schema)
     first = sorted(tuple(r) for r in readers.read_parquet(spark, table).select(*mart.columns).collect())
-    sserving.merge_batch(spark, batch, 0, table, staging + "-replay", key, mart.schema)
+    sserving.merge_batch(spark, batch, 0, table, staging + "-replay", spec, mart.schema)
     again = sorted(tuple(r) for r in readers.read_parquet(spark, table).select(*mart.columns).collect())
     assert first == again
     assert len(first) == mart.count()
+
+
+
+def _files(root):
+    import os
+    return {os.path.relpath(os.path.join(d, f), root): os.stat(os.path.join(d, f)).st_mtime_ns
+            for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
+
+
+def test_serving_merge_rewrites_only_touched_folders(spark):
+    lake = Lake(spark, SF_SMALL)
+    mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
+    spec = serving.SERVING["daily_usage"]
+    table, staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
+    sserving.create_table(spark, table, mart.schema, spec)
+    jan = mart.withColumn("_written_at", F.lit(1).cast("timestamp"))
+    feb = (mart.withColumn("usage_date", F.date_add("usage_date", 31))
+           .withColumn("_written_at", F.lit(2).cast("timestamp")))
+    sserving.merge_batch(spark, jan.unionByName(feb), 0, table, staging, spec, mart.schema)
+    before = _files(table)
+    org = mart.agg(F.min("org_id")).first()[0]
+    # a late correction for one org in January
+    fix = (jan.filter(F.col("org_id") == org)
+           .withColumn("total_cost_usd", F.lit(-1.0))
+           .withColumn("_written_at", F.lit(3).cast("timestamp")))
+    sserving.merge_batch(spark, fix, 1, table, staging, spec, mart.schema)
+    after = _files(table)
+
+    bucket = spark.range(1).select(serving.key_bucket(F.lit(org).cast("long"))).first()[0]
+    folder = f"period=2024-01-01/key_bucket={bucket}/"
+    assert any(k.startswith(folder) for k in before)
+    for k, mtime in before.items():
+        if k.startswith(folder):
+            assert k not in after                 # the touched folder was rewritten
+        else:
+            assert after.get(k) == mtime          # every other file is untouched
+    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
+    assert got.count() == 2 * mart.count()
+    fixed = got.filter((F.col("org_id") == org)
+                       & (F.col("period") == F.lit("2024-01-01").cast("date")))
+    assert fixed.count() == fix.count()
+    assert fixed.filter(F.col("total_cost_usd") != -1.0).count() == 0

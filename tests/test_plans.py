@@ -41,3 +41,24 @@ def test_serving_lookup_prunes_buckets(spark):
     p = plan(serving.lookup(table, 11))
     assert "PartitionFilters: [isnotnull(key_bucket" in p
     assert "EqualTo(org_id,11)" in p
+    # a question with date bounds also prunes period folders
+    p = plan(serving.usage_range(table, 11, "2024-01-01", "2024-01-15"))
+    part = next(line for line in p.splitlines() if "PartitionFilters" in line)
+    assert "period" in part and "key_bucket" in part
+
+
+def test_serving_questions_on_serving_table_equal_mart(spark):
+    """The questions answer the same over the bucketed serving table (with
+    bucket and period pruning) as over the mart."""
+    lake = Lake(spark, SF_SMALL)
+    mart = lake.gold_daily_usage()
+    org = mart.groupBy("org_id").count().orderBy("count", "org_id").first()[0]
+    path = serving.write_serving(mart, run_dir(spark, "t_serving"), serving.SERVING["daily_usage"])
+    table = readers.read_parquet(spark, path)
+    for q in (lambda df: serving.usage_range(df, org, "2024-01-01", "2024-01-15"),
+              lambda df: serving.top_services(df, org, "2024-01-05", "2024-01-18"),
+              lambda df: serving.lookup(df, org).select(*mart.columns)):
+        want = sorted(tuple(r) for r in
+                      q(serving.null_policy(mart, serving.SERVING["daily_usage"])).collect())
+        assert want
+        assert sorted(tuple(r) for r in q(table).collect()) == want
