@@ -227,9 +227,9 @@ def ticket_features(spark, sf_dir):
 def upsert_by_key(spark, sf_dir):
     """Second load replaces the first by primary key; untouched keys stay."""
     lake = Lake(spark, sf_dir)
-    ev = lake.silver_usage(spike=None, with_resources=False)
-    first = gold.daily_usage(ev.filter(F.col("timestamp") < F.lit(LOAD1_END).cast("timestamp")))
-    second = gold.daily_usage(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp")))
+    ev = lake.usage_features(None)
+    first = lake.daily_usage_mart(ev.filter(F.col("timestamp") < F.lit(LOAD1_END).cast("timestamp")))
+    second = lake.daily_usage_mart(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp")))
     return upsert(first, second, GOLD_KEYS["daily_usage"])
 
 
@@ -450,9 +450,9 @@ def stream_rebuild_equals_batch(spark, sf_dir):
 def stream_serving_upsert(spark, sf_dir):
     """Gold files streamed into the serving table by foreachBatch key-merge."""
     lake = Lake(spark, sf_dir)
-    ev = lake.silver_usage(spike=None, with_resources=False)
-    first = gold.daily_usage(ev.filter(F.col("timestamp") < F.lit(LOAD1_END).cast("timestamp")))
-    second = gold.daily_usage(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp")))
+    ev = lake.usage_features(None)
+    first = lake.daily_usage_mart(ev.filter(F.col("timestamp") < F.lit(LOAD1_END).cast("timestamp")))
+    second = lake.daily_usage_mart(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp")))
     gold_dir = run_dir(spark, "gold_loads")
     first.write.mode("append").parquet(gold_dir)
     second.write.mode("append").parquet(gold_dir)

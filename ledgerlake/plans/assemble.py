@@ -108,22 +108,39 @@ class Lake:
         return silver.revenue_usd(self.billing(), self.orgs())
 
     # ---------------------------------------------------------- gold
+    # Marts are aggregated by key over events that have not been joined to
+    # the org master; the attributes are joined onto the (far smaller)
+    # aggregate.  The result equals grouping the enriched silver by key +
+    # attributes, because the attributes depend on org_id alone.
+    @_memo
+    def usage_features(self, spike=None) -> DataFrame:
+        """Clean events with the metric pivot, not yet enriched."""
+        clean, _ = self.clean_and_quarantine(spike)
+        return silver.metric_features(clean)
+
+    def daily_usage_mart(self, features: DataFrame) -> DataFrame:
+        return gold.with_org_attrs(gold.daily_usage(features, attrs=()), self.orgs())
+
     @_memo
     def gold_daily_usage(self) -> DataFrame:
         # neither the resource join nor the spike flag feeds this mart
-        return gold.daily_usage(self.silver_usage(spike=None, with_resources=False))
+        return self.daily_usage_mart(self.usage_features(None))
 
     @_memo
     def gold_daily_usage_v1(self) -> DataFrame:
-        return gold.daily_usage_v1(self.silver_usage_v1())
+        labelled = silver.labelled_events(self.bronze_events(), spike_q=None, defaults=False)
+        clean, _ = quality.split(labelled)
+        return gold.with_org_attrs(gold.daily_usage_v1(clean, attrs=()), self.orgs())
 
     @_memo
     def gold_revenue_month(self) -> DataFrame:
-        return gold.revenue_month(self.silver_billing())
+        amounts = silver.revenue_amounts(self.billing())
+        return gold.with_org_attrs(gold.revenue_month(amounts, attrs=()), self.orgs())
 
     @_memo
     def gold_cost_anomaly(self, spike=ANOMALY_SPIKE) -> DataFrame:
-        return gold.cost_anomaly(self.silver_usage(spike, with_resources=False), *spike)
+        mart = gold.cost_anomaly(self.usage_features(spike), *spike, attrs=())
+        return gold.with_org_attrs(mart, self.orgs(), ("org_name",))
 
     @_memo
     def gold_tickets_day(self) -> DataFrame:
@@ -131,8 +148,8 @@ class Lake:
 
     @_memo
     def gold_tokens_day(self) -> DataFrame:
-        return gold.tokens_day(self.silver_usage(spike=None, with_resources=False),
-                               standins.GENAI_SERVICE)
+        mart = gold.tokens_day(self.usage_features(None), standins.GENAI_SERVICE, attrs=())
+        return gold.with_org_attrs(mart, self.orgs(), ("org_name",))
 
 
 def to_ntz(df: DataFrame, cols=("timestamp",)) -> DataFrame:

@@ -98,7 +98,7 @@ def ticket_features(tickets: DataFrame) -> DataFrame:
     })
 
 
-def revenue_usd(billing: DataFrame, orgs: DataFrame) -> DataFrame:
+def revenue_amounts(billing: DataFrame) -> DataFrame:
     """(subtotal − credits + taxes) × rate, exact; plus credits/taxes in USD.
 
     Credits and taxes stay in invoice currency (as the reference keeps them);
@@ -108,9 +108,13 @@ def revenue_usd(billing: DataFrame, orgs: DataFrame) -> DataFrame:
     cred = F.coalesce(F.col("credits").cast(MONEY), F.lit(0).cast(MONEY))
     tax = F.coalesce(F.col("taxes").cast(MONEY), F.lit(0).cast(MONEY))
     rate = F.col("exchange_rate_to_usd").cast(RATE)
-    out = billing.withColumns({
+    return billing.withColumns({
         "revenue_usd_d": (sub - cred + tax) * rate,
         "credits_usd_d": cred * rate,
         "taxes_usd_d": tax * rate,
     })
-    return left_enrich(out, orgs, ["org_id"], ["org_name", "plan_tier"])
+
+
+def revenue_usd(billing: DataFrame, orgs: DataFrame) -> DataFrame:
+    """Silver billing: revenue amounts ⟕ orgs (name, plan)."""
+    return left_enrich(revenue_amounts(billing), orgs, ["org_id"], ["org_name", "plan_tier"])
