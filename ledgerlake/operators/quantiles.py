@@ -27,7 +27,7 @@ from ..functions.columns import as_flag
 
 
 def exact_quantile(df: DataFrame, col: str, q: float, *, bins: int = 1024,
-                   max_passes: int = 64) -> float | None:
+                   max_passes: int = 256) -> float | None:
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
@@ -39,8 +39,19 @@ def exact_quantile(df: DataFrame, col: str, q: float, *, bins: int = 1024,
     for _ in range(max_passes):
         if lo == hi:
             return lo
+        # width_bucket computes bins × (x − lo) before dividing by the width:
+        # values are scaled by a power of two just small enough to keep that
+        # product finite (scaling is exact and monotone; small ranges keep
+        # scale 1 and full precision).  The bucket of a value is monotone in
+        # the value, so buckets are contiguous runs of the sorted values; the
+        # next range is the chosen bucket's own [min, max], at most 1/bins of
+        # the current width, so the search always reaches a single value.
+        scale = 1.0
+        while not math.isfinite((hi * scale - lo * scale) * bins):
+            scale /= 2.0
         hist = (x.filter(F.col("x").between(lo, hi))
-                .groupBy(F.width_bucket(F.col("x"), F.lit(lo), F.lit(hi), F.lit(bins)).alias("b"))
+                .groupBy(F.width_bucket(F.col("x") * scale, F.lit(lo * scale), F.lit(hi * scale),
+                                        F.lit(bins)).alias("b"))
                 .agg(F.count("*").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
                 .orderBy("b")
                 .collect())
@@ -50,18 +61,23 @@ def exact_quantile(df: DataFrame, col: str, q: float, *, bins: int = 1024,
                 lo, hi, below = row["lo"], row["hi"], cum
                 break
             cum += row["c"]
-    # Pathological spreads (values over hundreds of binary orders of
-    # magnitude): finish on the remaining distinct values, ordered.
-    rest = (x.filter(F.col("x").between(lo, hi)).groupBy("x").count().orderBy("x")
-            .toLocalIterator())
+    # Not reached for finite doubles (each pass cuts the width by ``bins``);
+    # kept as a bounded last step.
+    rest = x.filter(F.col("x").between(lo, hi)).groupBy("x").count()
+    if rest.limit(FALLBACK_MAX_VALUES + 1).count() > FALLBACK_MAX_VALUES:
+        raise RuntimeError(f"quantile search did not converge in [{lo}, {hi}]")
     cum = below
-    for row in rest:
+    for row in rest.orderBy("x").collect():
         cum += row["count"]
         if cum >= target:
             return row["x"]
     return hi
 
 
+# distinct values the last step may bring to the driver
+FALLBACK_MAX_VALUES = 100_000
+
+
 def approx_quantile_frame(df: DataFrame, col: str, q: float, accuracy: int = 10000,
                           alias: str = "q_value") -> DataFrame:
     """One-row frame with ``percentile_approx(col, q, accuracy)``."""

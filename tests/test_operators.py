@@ -35,6 +35,16 @@ def test_exact_quantile_edges(spark):
     assert exact_quantile(same, "x", 0.3) == 2.0
 
 
+def test_exact_quantile_full_double_range(spark):
+    """Values spanning the whole double range (no overflow of hi - lo, no
+    stall on subnormals) still give the exact order statistic."""
+    vals = ([-1.7e308, 1.7e308, 5e-324, -5e-324, 1e-300, 2e-300, 0.0, -0.0] * 3
+            + [1.0 + i * 2.0 ** -52 for i in range(20)] + [1e200] * 5)
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for q in (0.0, 0.3, 0.5, 0.8, 1.0):
+        assert exact_quantile(df, "x", q) == disc(vals, q), q
+
+
 def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
