@@ -240,6 +240,15 @@ FROM bronze GROUP BY 1""")
 
 sql("stream_serving_upsert", ORACLE["upsert_by_key"])
 
+sql("stream_serving_all_marts", with_(silver(*C.REFERENCE_SPIKE), GOLD_USAGE,
+                                      gold_anomaly(*C.REFERENCE_SPIKE), GOLD_TOKENS,
+                                      GOLD_REVENUE.replace(ORGS + ",", ""), GOLD_TICKETS) + f"""
+SELECT 'daily_usage' AS mart, COUNT(*) AS rows, {msum('total_cost_usd', 2)} AS total FROM gold_usage
+UNION ALL SELECT 'revenue_month', COUNT(*), {msum('revenue_usd', 2)} FROM gold_revenue
+UNION ALL SELECT 'cost_anomaly', COUNT(*), {msum('max_cost_usd', 2)} FROM gold_anomaly
+UNION ALL SELECT 'tickets_day', COUNT(*), {msum('ticket_count', 2)} FROM gold_tickets
+UNION ALL SELECT 'tokens_day', COUNT(*), {msum('estimated_cost_usd', 2)} FROM gold_tokens""")
+
 # Files of 5 days, one per trigger, in LATE_FILE_ORDER.  The watermark of batch b is
 # the latest event time of batches before b minus 2 days; id-carrying rows
 # older than it are dropped (rows without id bypass the dedupe).

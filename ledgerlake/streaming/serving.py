@@ -94,10 +94,16 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
                       dynamic=True, sort_by=key)
 
 
-def run_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructType,
-                       table: str, checkpoint: str, staging_root: str, spec: ServingSpec,
-                       *, files_per_trigger: int = 1, buckets: int = DEFAULT_BUCKETS) -> int:
-    """Stream every gold file present into the serving table; returns batches run."""
+def start_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructType,
+                         table: str, checkpoint: str, staging_root: str, spec: ServingSpec,
+                         *, files_per_trigger: int | None = 1,
+                         buckets: int = DEFAULT_BUCKETS):
+    """Start streaming every gold file present into the serving table.
+
+    Returns ``(query, batch_ids)``; the query stops by itself once the files
+    present at start are merged (``availableNow``).  Several targets may run
+    at once in one session, each with its own checkpoint.
+    """
     create_table(spark, table, mart_schema, spec)
     src = (readers.stream_parquet(spark, gold_dir, mart_schema,
                                   max_files_per_trigger=files_per_trigger)
@@ -112,5 +118,16 @@ def run_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructTy
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
+    return q, seen
+
+
+def run_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructType,
+                       table: str, checkpoint: str, staging_root: str, spec: ServingSpec,
+                       *, files_per_trigger: int | None = 1,
+                       buckets: int = DEFAULT_BUCKETS) -> int:
+    """Stream every gold file present into the serving table; returns batches run."""
+    q, seen = start_serving_stream(spark, gold_dir, mart_schema, table, checkpoint,
+                                   staging_root, spec, files_per_trigger=files_per_trigger,
+                                   buckets=buckets)
     q.awaitTermination()
     return len(seen)
