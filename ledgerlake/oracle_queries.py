@@ -238,7 +238,9 @@ SELECT CAST("timestamp" AS DATE) AS usage_date,
        {msum('cost_usd_increment', 2)} AS batch_cost
 FROM bronze GROUP BY 1""")
 
-sql("stream_serving_upsert", ORACLE["upsert_by_key"])
+# the serving load applies the serving null policy to what it merges
+sql("stream_serving_upsert",
+    _NULL_POLICY.replace("FROM gold_usage", f"FROM ({ORACLE['upsert_by_key']}) AS upserted"))
 
 sql("stream_serving_all_marts", with_(silver(*C.REFERENCE_SPIKE), GOLD_USAGE,
                                       gold_anomaly(*C.REFERENCE_SPIKE), GOLD_TOKENS,

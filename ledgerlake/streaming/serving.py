@@ -6,12 +6,16 @@ passing through the driver:
 1. the (period, bucket) folders the batch touches (a bounded list, see
    ``touched_partitions``);
 2. the batch's rows, deduplicated by key (last write wins, by source file
-   modification time), tagged with period and bucket;
+   modification time), NULL measures mapped to 0 (the serving null policy,
+   as the batch serving write), tagged with period and bucket;
 3. the table's rows in the touched folders only (a static partition filter:
    other folders are neither listed nor read);
 4. ``upsert`` of (3) by (2), written to a per-batch staging folder;
 5. the staging rows overwrite exactly the touched folders of the table
    (dynamic partition overwrite), rebalanced and sorted by primary key.
+   When none of the touched folders holds a file yet (the file listing of the
+   pruned read, ``inputFiles``), steps 3–4 are skipped and the rows are
+   written straight in.
 
 An incremental load touches the latest periods, so the history is never
 rewritten; within a period only the buckets of the orgs in the batch are.
@@ -33,8 +37,8 @@ from pyspark.sql.types import StructType
 
 from ..operators.dedupe import dedupe_by_key
 from ..operators.merge import upsert
-from ..plans.serving import (BUCKET, DEFAULT_BUCKETS, PERIOD, ServingSpec, serving_schema,
-                             with_layout)
+from ..plans.serving import (BUCKET, DEFAULT_BUCKETS, PERIOD, ServingSpec, null_policy,
+                             serving_schema, with_layout)
 from ..sources import readers
 from ..sources.writers import write_partitioned
 
@@ -84,9 +88,15 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
     folders = touched_partitions(batch, spec, buckets)
     if not folders:
         return
-    updates = with_layout(dedupe_by_key(batch, key, order=["_written_at"]).select(*cols),
-                          spec, buckets)
+    updates = with_layout(
+        null_policy(dedupe_by_key(batch, key, order=["_written_at"]).select(*cols), spec),
+        spec, buckets)
     existing = readers.read_parquet(spark, table, schema).filter(folder_filter(folders, spec))
+    if not existing.inputFiles():
+        # only new folders (a new period, new buckets): nothing to merge with,
+        # so the rows go straight in, without the staging round trip
+        write_partitioned(updates, table, list(spec.layout), dynamic=True, sort_by=key)
+        return
     merged = upsert(existing, updates, key)
     staging = f"{staging_root}/batch={batch_id}"
     merged.write.mode("overwrite").parquet(staging)

@@ -58,6 +58,10 @@ def test_serving_merge_replay_is_idempotent(spark):
     again = sorted(tuple(r) for r in readers.read_parquet(spark, table).select(*mart.columns).collect())
     assert first == again
     assert len(first) == mart.count()
+    # the serving null policy holds on the merged table
+    table_df = readers.read_parquet(spark, table)
+    for c in spec.zero_if_null:
+        assert table_df.filter(F.col(c).isNull()).count() == 0, c
 
 
 
