@@ -13,9 +13,9 @@ passing through the driver:
 4. ``upsert`` of (3) by (2), written to a per-batch staging folder;
 5. the staging rows overwrite exactly the touched folders of the table
    (dynamic partition overwrite), rebalanced and sorted by primary key.
-   When none of the touched folders holds a file yet (the file listing of the
-   pruned read, ``inputFiles``), steps 3–4 are skipped and the rows are
-   written straight in.
+   When the touched folders hold no row yet (``isEmpty`` on the pruned read:
+   one ``limit(1)`` job that lists only those folders), steps 3–4 are
+   skipped and the rows are written straight in.
 
 An incremental load touches the latest periods, so the history is never
 rewritten; within a period only the buckets of the orgs in the batch are.
@@ -92,7 +92,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str
         null_policy(dedupe_by_key(batch, key, order=["_written_at"]).select(*cols), spec),
         spec, buckets)
     existing = readers.read_parquet(spark, table, schema).filter(folder_filter(folders, spec))
-    if not existing.inputFiles():
+    if existing.isEmpty():
         # only new folders (a new period, new buckets): nothing to merge with,
         # so the rows go straight in, without the staging round trip
         write_partitioned(updates, table, list(spec.layout), dynamic=True, sort_by=key)
