@@ -18,7 +18,7 @@ from .operators import quality
 from .operators.dedupe import dedupe_by_key
 from .operators.enrich import left_enrich, left_flag
 from .operators.merge import upsert
-from .operators.quantiles import exact_quantile
+from .operators.quantiles import exact_quantiles
 from .plans import gold, serving, silver
 from .plans.assemble import ANOMALY_SPIKE, REFERENCE_SPIKE, Lake, to_ntz
 from .session import run_dir
@@ -177,7 +177,8 @@ def quarantine_preview(spark, sf_dir):
 def cost_quantiles(spark, sf_dir):
     """Exact p50/p90/p99 of cost over every event, with count/min/max."""
     typed = silver.typed_events(Lake(spark, sf_dir).bronze_events())
-    qs = {f"p{round(q * 100)}": exact_quantile(typed, "cost_usd_increment", q) for q in QUANTILES}
+    values = exact_quantiles(typed, "cost_usd_increment", QUANTILES)
+    qs = {f"p{round(q * 100)}": v for q, v in zip(QUANTILES, values)}
     return typed.agg(F.count("cost_usd_increment").alias("n"),
                      F.min("cost_usd_increment").alias("min_cost"),
                      F.max("cost_usd_increment").alias("max_cost")).select(

@@ -28,50 +28,82 @@ from ..functions.columns import as_flag
 
 def exact_quantile(df: DataFrame, col: str, q: float, *, bins: int = 1024,
                    max_passes: int = 256) -> float | None:
-    if not 0.0 <= q <= 1.0:
-        raise ValueError("q must be in [0, 1]")
+    return exact_quantiles(df, col, [q], bins=bins, max_passes=max_passes)[0]
+
+
+def _bucket(x: Column, lo: float, hi: float, bins: int) -> Column:
+    # width_bucket computes bins × (x − lo) before dividing by the width:
+    # values are scaled by a power of two just small enough to keep that
+    # product finite (scaling is exact and monotone; small ranges keep scale
+    # 1 and full precision).  The bucket of a value is monotone in the value,
+    # so buckets are contiguous runs of the sorted values.
+    scale = 1.0
+    while not math.isfinite((hi * scale - lo * scale) * bins):
+        scale /= 2.0
+    return F.width_bucket(x * scale, F.lit(lo * scale), F.lit(hi * scale), F.lit(bins))
+
+
+def exact_quantiles(df: DataFrame, col: str, qs, *, bins: int = 1024,
+                    max_passes: int = 256) -> list[float | None]:
+    """``percentile_disc`` of each q in ``qs``, found together.
+
+    Every pass is ONE aggregate over the input: each open search range gets
+    its own histogram (a row belongs to every range that contains it, so an
+    explode of at most ``len(qs)`` copies, and only while ranges overlap), and
+    the passes needed are those of the slowest quantile, not their sum.
+    The next range of a quantile is its chosen bucket's own [min, max], at
+    most 1/bins of the current width, so each search reaches a single value.
+    """
+    for q in qs:
+        if not 0.0 <= q <= 1.0:
+            raise ValueError("q must be in [0, 1]")
     x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
     n, lo, hi = x.agg(F.count("*"), F.min("x"), F.max("x")).first()
     if not n:
-        return None
-    target = max(1, math.ceil(q * n))   # 1-based rank of the answer
-    below = 0                            # rows strictly below ``lo``
+        return [None] * len(qs)
+    # per quantile: [1-based target rank, lo, hi, rows strictly below lo]
+    state = {i: [max(1, math.ceil(q * n)), lo, hi, 0] for i, q in enumerate(qs)}
+    out: dict[int, float] = {}
     for _ in range(max_passes):
-        if lo == hi:
-            return lo
-        # width_bucket computes bins × (x − lo) before dividing by the width:
-        # values are scaled by a power of two just small enough to keep that
-        # product finite (scaling is exact and monotone; small ranges keep
-        # scale 1 and full precision).  The bucket of a value is monotone in
-        # the value, so buckets are contiguous runs of the sorted values; the
-        # next range is the chosen bucket's own [min, max], at most 1/bins of
-        # the current width, so the search always reaches a single value.
-        scale = 1.0
-        while not math.isfinite((hi * scale - lo * scale) * bins):
-            scale /= 2.0
-        hist = (x.filter(F.col("x").between(lo, hi))
-                .groupBy(F.width_bucket(F.col("x") * scale, F.lit(lo * scale), F.lit(hi * scale),
-                                        F.lit(bins)).alias("b"))
+        for i in [i for i, st in state.items() if st[1] == st[2]]:
+            out[i] = state.pop(i)[1]
+        if not state:
+            return [out[i] for i in range(len(qs))]
+        ranges = sorted({(st[1], st[2]) for st in state.values()})
+        xc = F.col("x")
+        member = F.array(*[F.when(xc.between(a, b), F.lit(r)) for r, (a, b) in enumerate(ranges)])
+        rows = x.select("x", F.explode(F.filter(member, lambda e: e.isNotNull())).alias("r"))
+        bucket = None
+        for r, (a, b) in enumerate(ranges):
+            cond, val = F.col("r") == r, _bucket(xc, a, b, bins)
+            bucket = F.when(cond, val) if bucket is None else bucket.when(cond, val)
+        hist = (rows.groupBy("r", bucket.alias("b"))
                 .agg(F.count("*").alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-                .orderBy("b")
+                .orderBy("r", "b")
                 .collect())
-        cum = below
+        by_range: dict[int, list] = {}
         for row in hist:
-            if cum + row["c"] >= target:
-                lo, hi, below = row["lo"], row["hi"], cum
-                break
-            cum += row["c"]
-    # Not reached for finite doubles (each pass cuts the width by ``bins``);
+            by_range.setdefault(row["r"], []).append(row)
+        for st in state.values():
+            cum = st[3]
+            for row in by_range.get(ranges.index((st[1], st[2])), []):
+                if cum + row["c"] >= st[0]:
+                    st[1], st[2], st[3] = row["lo"], row["hi"], cum
+                    break
+                cum += row["c"]
+    # Not reached for finite doubles (each pass cuts a width by ``bins``);
     # kept as a bounded last step.
-    rest = x.filter(F.col("x").between(lo, hi)).groupBy("x").count()
-    if rest.limit(FALLBACK_MAX_VALUES + 1).count() > FALLBACK_MAX_VALUES:
-        raise RuntimeError(f"quantile search did not converge in [{lo}, {hi}]")
-    cum = below
-    for row in rest.orderBy("x").collect():
-        cum += row["count"]
-        if cum >= target:
-            return row["x"]
-    return hi
+    for i, (target, lo, hi, below) in state.items():
+        rest = x.filter(F.col("x").between(lo, hi)).groupBy("x").count()
+        if rest.limit(FALLBACK_MAX_VALUES + 1).count() > FALLBACK_MAX_VALUES:
+            raise RuntimeError(f"quantile search did not converge in [{lo}, {hi}]")
+        cum, out[i] = below, hi
+        for row in rest.orderBy("x").collect():
+            cum += row["count"]
+            if cum >= target:
+                out[i] = row["x"]
+                break
+    return [out[i] for i in range(len(qs))]
 
 
 # distinct values the last step may bring to the driver

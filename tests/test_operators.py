@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.dedupe import dedupe_by_key
 from ledgerlake.operators.merge import upsert
-from ledgerlake.operators.quantiles import exact_quantile
+from ledgerlake.operators.quantiles import exact_quantile, exact_quantiles
 
 
 def disc(values, q):
@@ -28,6 +28,16 @@ def test_exact_quantile_matches_sorted(spark, seed):
         assert exact_quantile(df, "x", q) == disc(vals, q), q
 
 
+def test_exact_quantiles_together_match_sorted(spark):
+    rnd = random.Random(7)
+    vals = ([round(rnd.uniform(-50, 500), 2) for _ in range(2000)] + [3.0] * 500
+            + [rnd.lognormvariate(0, 5) for _ in range(300)] + [None] * 10)
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    qs = [0.0, 0.01, 0.25, 0.5, 0.5, 0.9, 0.99, 1.0]
+    assert exact_quantiles(df, "x", qs) == [disc(vals, q) for q in qs]
+    assert exact_quantiles(df.filter("x IS NULL"), "x", [0.5, 0.9]) == [None, None]
+
+
 def test_exact_quantile_edges(spark):
     assert exact_quantile(spark.createDataFrame([(None,)], "x double"), "x", 0.5) is None
     assert exact_quantile(spark.createDataFrame([(3.5,)], "x double"), "x", 0.99) == 3.5
