@@ -62,3 +62,14 @@ def test_serving_questions_on_serving_table_equal_mart(spark):
                       q(serving.null_policy(mart, serving.SERVING["daily_usage"])).collect())
         assert want
         assert sorted(tuple(r) for r in q(table).collect()) == want
+
+
+def test_upsert_anti_join_reuses_mart_partitioning(spark):
+    """The marts leave their aggregate hash-partitioned on the key and the
+    org attributes are joined by broadcast after it, so the key-merge's
+    anti-join needs no exchange of its own: the only hash exchanges are the
+    aggregates' (the update side's is planned twice, once per use)."""
+    p = plan(REGISTRY["upsert_by_key"](spark, SF_SMALL))
+    assert "LeftAnti" in p
+    assert p.count("Exchange hashpartitioning") <= 3
+    assert "SortAggregate" not in p
