@@ -20,12 +20,18 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
 
 
-_checked: dict[tuple[int, int], bool] = {}
+_checked: dict[tuple, bool] = {}
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check, remembered per plan (``semanticHash``) for the process."""
-    key = (dim.semanticHash(), max_rows)
+    """Bounded size check, remembered per plan and per set of input files.
+
+    The plan's ``semanticHash`` does not change when files are added under
+    the same path, so the dimension's file listing is part of the key: a
+    long-lived process re-checks a dimension that has grown instead of
+    broadcasting it on a stale answer.
+    """
+    key = (dim.semanticHash(), frozenset(dim.inputFiles()), max_rows)
     if key not in _checked:
         _checked[key] = dim.limit(max_rows + 1).count() <= max_rows
     return _checked[key]

@@ -87,3 +87,13 @@ def test_upsert_last_write_wins_and_idempotent(spark):
     two = spark.createDataFrame([(2, "x", 1.0, 1), (2, "y", 2.0, 2)], "k int, s string, v double, seq int")
     merged2 = upsert(old.withColumn("seq", F.lit(0)), two, ["k"], order=["seq"])
     assert (2, "y", 2.0, 2) in _rows(merged2)
+
+
+def test_broadcast_check_sees_new_files(spark):
+    from ledgerlake.operators import enrich
+    from ledgerlake.session import run_dir
+    path = run_dir(spark, "t_dim")
+    spark.range(5).write.parquet(path)
+    assert enrich.fits_broadcast(spark.read.parquet(path), max_rows=8)
+    spark.range(5, 10).write.mode("append").parquet(path)   # the dimension grows
+    assert not enrich.fits_broadcast(spark.read.parquet(path), max_rows=8)
