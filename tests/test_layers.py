@@ -104,3 +104,16 @@ def test_serving_merge_rewrites_only_touched_folders(spark):
                        & (F.col("period") == F.lit("2024-01-01").cast("date")))
     assert fixed.count() == fix.count()
     assert fixed.filter(F.col("total_cost_usd") != -1.0).count() == 0
+
+    # a batch that only touches folders holding no row yet is written straight
+    # in: no staging copy, and nothing else is rewritten
+    import os
+    later = (mart.withColumn("usage_date", F.date_add("usage_date", 400))
+             .withColumn("_written_at", F.lit(4).cast("timestamp")))
+    sserving.merge_batch(spark, later, 2, table, staging, spec, mart.schema)
+    assert not os.path.exists(f"{staging}/batch=2")
+    assert os.path.exists(f"{staging}/batch=1")
+    final = _files(table)
+    assert all(final.get(k) == v for k, v in after.items())
+    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
+    assert got.count() == 3 * mart.count()
