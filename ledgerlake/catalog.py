@@ -459,8 +459,10 @@ def stream_serving_upsert(spark, sf_dir):
     second.write.mode("append").parquet(gold_dir)
     table = run_dir(spark, "serving_usage")
     spec = serving.SERVING["daily_usage"]
+    buckets = serving.buckets_for(readers.read_parquet(spark, gold_dir, first.schema).count())
     sserving.run_serving_stream(spark, gold_dir, first.schema, table,
-                                run_dir(spark, "ckpt_serving"), run_dir(spark, "staging"), spec)
+                                run_dir(spark, "ckpt_serving"), run_dir(spark, "staging"), spec,
+                                buckets=buckets)
     out = readers.read_parquet(spark, table, serving.serving_schema(first.schema, spec))
     return out.select(*first.columns)
 
@@ -494,10 +496,12 @@ def stream_serving_all_marts(spark, sf_dir):
     running = []
     for name, mart in marts.items():
         gold_dir = writers.write_partitioned(mart, f"{root}/gold/{name}", GOLD_PARTITION[name])
+        # new serving tables: bucket count sized from the gold rows (Parquet row count)
+        buckets = serving.buckets_for(readers.read_parquet(spark, gold_dir, mart.schema).count())
         q, _ = sserving.start_serving_stream(
             spark, gold_dir, mart.schema, f"{root}/serving/{name}", f"{root}/ckpt/{name}",
             f"{root}/staging/{name}", serving.SERVING[name],
-            files_per_trigger=SERVING_FILES_PER_TRIGGER)
+            files_per_trigger=SERVING_FILES_PER_TRIGGER, buckets=buckets)
         running.append(q)
     for q in running:
         q.awaitTermination()

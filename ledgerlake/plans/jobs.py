@@ -57,7 +57,7 @@ class Layers:
 
 
 def build_layers(spark: SparkSession, lake: Lake, root: str,
-                 spike=REFERENCE_SPIKE, serving_buckets: int = serving.DEFAULT_BUCKETS) -> Layers:
+                 spike=REFERENCE_SPIKE, serving_buckets: int | None = None) -> Layers:
     """Full batch rebuild of every layer into ``root`` (a fresh run folder)."""
     L = Layers(root)
     # bronze: usage feed deduplicated by id (rows without id kept)
@@ -89,10 +89,11 @@ def build_layers(spark: SparkSession, lake: Lake, root: str,
     for name, (df, part) in marts.items():
         L.write(f"gold/{name}", df, part)
 
-    # serving: bucketed by org, sorted by primary key
+    # serving: period and org-bucket folders, sorted by primary key
     for name in marts:
         spec = serving.SERVING[name]
         g = L.read(spark, f"gold/{name}")
+        # bucket count sized from the written mart (a Parquet row count)
         path = serving.write_serving(g, f"{root}/serving/{name}", spec, serving_buckets)
         L.paths[f"serving/{name}"] = path
         L.schemas[f"serving/{name}"] = serving.serving_schema(g.schema, spec)

@@ -5,9 +5,14 @@ clustering columns.  The Parquet equivalent used here is a two-level folder
 layout plus sorted files:
 
 * ``period`` = the mart's date column truncated to a coarse grain (month for
-  daily marts, year for monthly or sparse ones), then
-  ``key_bucket = pmod(xxhash64(org_id), buckets)`` (a folder per org would
-  explode into millions of folders at scale);
+  daily marts, year for monthly or sparse ones), then ``bucket_count`` (the
+  table's number of org buckets, sized from its rows when it is first
+  written, at most 64) and
+  ``key_bucket = pmod(xxhash64(org_id), bucket_count)`` (a folder per org
+  would explode into millions of folders at scale).  Because the count is a
+  folder value, a lookup computes its bucket from the table itself:
+  ``key_bucket = pmod(xxhash64(org), bucket_count)`` is a predicate on
+  partition columns only, evaluated per folder;
 * rows sorted inside each file by the full primary key, so Parquet row-group
   min/max statistics prune on ``org_id`` and the clustering columns.
 
@@ -33,7 +38,11 @@ from ..functions.columns import money_sum
 from ..sources.writers import write_partitioned
 
 DEFAULT_BUCKETS = 64
+# a table gets one bucket per this many rows, rounded up to a power of two,
+# at most DEFAULT_BUCKETS
+ROWS_PER_BUCKET = 1_000_000
 PERIOD = "period"
+BUCKET_COUNT = "bucket_count"
 BUCKET = "key_bucket"
 
 
@@ -55,7 +64,7 @@ class ServingSpec:
     @property
     def layout(self) -> tuple[str, ...]:
         """Partition folders, outermost first."""
-        return (PERIOD, BUCKET) if self.time_col else (BUCKET,)
+        return ((PERIOD,) if self.time_col else ()) + (BUCKET_COUNT, BUCKET)
 
 
 SERVING = {
@@ -93,16 +102,26 @@ def serving_schema(mart_schema: StructType, spec: ServingSpec) -> StructType:
     """The mart's columns plus the layout columns, declared (empty table reads as 0 rows)."""
     extra = [StructField(PERIOD, DateType(), True)] if spec.time_col else []
     return StructType(list(mart_schema.fields) + extra
-                      + [StructField(BUCKET, IntegerType(), True)])
+                      + [StructField(BUCKET_COUNT, IntegerType(), True),
+                         StructField(BUCKET, IntegerType(), True)])
 
 
 def with_layout(df: DataFrame, spec: ServingSpec, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    cols = {BUCKET: key_bucket(spec.partition_key[0], buckets)}
+    cols = {BUCKET_COUNT: F.lit(buckets).cast("int"),
+            BUCKET: key_bucket(spec.partition_key[0], buckets)}
     if spec.time_col:
         cols = {PERIOD: period_of(spec.time_col, spec.period_grain), **cols}
     return df.withColumns(cols)
 
 
+def buckets_for(rows: int) -> int:
+    """Org buckets for a table of ``rows`` rows: a power of two, 1 to 64."""
+    b = 1
+    while b < DEFAULT_BUCKETS and b * ROWS_PER_BUCKET < rows:
+        b *= 2
+    return b
+
+
 def null_policy(df: DataFrame, spec: ServingSpec) -> DataFrame:
     """NULL measures → 0 for the listed columns, typed as before; others untouched."""
     types = dict(df.dtypes)
@@ -111,23 +130,28 @@ def null_policy(df: DataFrame, spec: ServingSpec) -> DataFrame:
 
 
 def write_serving(df: DataFrame, path: str, spec: ServingSpec,
-                  buckets: int = DEFAULT_BUCKETS, *, dynamic: bool = False) -> str:
+                  buckets: int | None = None, *, dynamic: bool = False) -> str:
+    """Write a serving table; ``buckets`` defaults to ``buckets_for`` its row
+    count (one counting job; pass it when the size is known)."""
+    if buckets is None:
+        buckets = buckets_for(df.count())
     out = with_layout(null_policy(df, spec), spec, buckets)
     return write_partitioned(out, path, list(spec.layout), dynamic=dynamic,
                              sort_by=list(spec.primary_key))
 
 
-def lookup(serving: DataFrame, org_value, org_col: str = "org_id",
-           buckets: int | None = DEFAULT_BUCKETS, *, date_from: str | None = None,
-           date_to: str | None = None, grain: str | None = None) -> DataFrame:
+def lookup(serving: DataFrame, org_value, org_col: str = "org_id", *,
+           date_from: str | None = None, date_to: str | None = None,
+           grain: str | None = None) -> DataFrame:
     """Rows of one org; on a serving table the bucket predicate prunes folders,
     and date bounds (with the table's period grain) prune period folders."""
     # the literal takes the column's type: the bucket hash of an INT 11 differs
     # from that of the BIGINT 11 the table was bucketed by
     org = F.lit(org_value).cast(dict(serving.dtypes)[org_col])
     cond = F.col(org_col) == org
-    if buckets and BUCKET in serving.columns:
-        cond = (F.col(BUCKET) == key_bucket(org, buckets)) & cond
+    if BUCKET in serving.columns and BUCKET_COUNT in serving.columns:
+        bucket = F.pmod(F.xxhash64(org), F.col(BUCKET_COUNT)).cast("int")
+        cond = (F.col(BUCKET) == bucket) & cond
     if grain and PERIOD in serving.columns:
         if date_from:
             cond = cond & (F.col(PERIOD) >= period_of(F.lit(date_from), grain))

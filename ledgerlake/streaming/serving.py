@@ -31,13 +31,14 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dedupe import dedupe_by_key
 from ..operators.merge import upsert
-from ..plans.serving import (BUCKET, DEFAULT_BUCKETS, PERIOD, ServingSpec, null_policy,
+from ..plans.serving import (BUCKET, BUCKET_COUNT, DEFAULT_BUCKETS, ServingSpec, null_policy,
                              serving_schema, with_layout)
 from ..sources import readers
 from ..sources.writers import write_partitioned
@@ -50,6 +51,21 @@ def create_table(spark: SparkSession, path: str, mart_schema: StructType,
      .write.mode("overwrite").partitionBy(*spec.layout).parquet(path))
 
 
+def open_table(spark: SparkSession, path: str, mart_schema: StructType, spec: ServingSpec,
+               buckets: int) -> int:
+    """Create the table if it does not exist (a restarted stream keeps its
+    table and checkpoint) and return the bucket count to merge with: the
+    table's own once it holds rows, else ``buckets``."""
+    schema = serving_schema(mart_schema, spec)
+    try:
+        table = readers.read_parquet(spark, path, schema)
+    except AnalysisException:           # no such path yet
+        create_table(spark, path, mart_schema, spec)
+        return buckets
+    first = table.select(BUCKET_COUNT).limit(1).collect()
+    return first[0][0] if first else buckets
+
+
 def touched_partitions(batch: DataFrame, spec: ServingSpec,
                        buckets: int = DEFAULT_BUCKETS) -> list[tuple]:
     """The (period, bucket) folders a batch writes to.
@@ -67,14 +83,15 @@ def folder_filter(folders: list[tuple], spec: ServingSpec) -> Column:
     (static partition pruning: only those folders are listed and read)."""
     if not folders:
         return F.lit(False)
-    if spec.layout == (BUCKET,):
-        return F.col(BUCKET).isin(sorted({f[0] for f in folders}))
-    by_period: dict = defaultdict(set)
-    for period, bucket in folders:
-        by_period[period].add(bucket)
+    outer = spec.layout[:-1]            # every level above key_bucket
+    by_prefix: dict = defaultdict(set)
+    for f in folders:
+        by_prefix[tuple(f[:-1])].add(f[-1])
     cond = None
-    for period, bs in sorted(by_period.items()):
-        c = (F.col(PERIOD) == F.lit(period)) & F.col(BUCKET).isin(sorted(bs))
+    for prefix, bs in sorted(by_prefix.items()):
+        c = F.col(BUCKET).isin(sorted(bs))
+        for name, value in zip(outer, prefix):
+            c = (F.col(name) == F.lit(value)) & c
         cond = c if cond is None else cond | c
     return cond
 
@@ -114,7 +131,7 @@ def start_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: Struct
     present at start are merged (``availableNow``).  Several targets may run
     at once in one session, each with its own checkpoint.
     """
-    create_table(spark, table, mart_schema, spec)
+    buckets = open_table(spark, table, mart_schema, spec, buckets)
     src = (readers.stream_parquet(spark, gold_dir, mart_schema,
                                   max_files_per_trigger=files_per_trigger)
            .withColumn("_written_at", F.col("_metadata.file_modification_time")))

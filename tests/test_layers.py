@@ -91,7 +91,7 @@ def test_serving_merge_rewrites_only_touched_folders(spark):
     after = _files(table)
 
     bucket = spark.range(1).select(serving.key_bucket(F.lit(org).cast("long"))).first()[0]
-    folder = f"period=2024-01-01/key_bucket={bucket}/"
+    folder = f"period=2024-01-01/bucket_count=64/key_bucket={bucket}/"
     assert any(k.startswith(folder) for k in before)
     for k, mtime in before.items():
         if k.startswith(folder):
@@ -117,3 +117,20 @@ def test_serving_merge_rewrites_only_touched_folders(spark):
     assert all(final.get(k) == v for k, v in after.items())
     got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
     assert got.count() == 3 * mart.count()
+
+
+def test_reopened_serving_table_keeps_rows_and_bucket_count(spark):
+    """A restarted serving stream must not wipe its table, and keeps merging
+    with the table's own bucket count (else one key could live in two
+    bucket layouts)."""
+    lake = Lake(spark, SF_SMALL)
+    mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
+    spec = serving.SERVING["daily_usage"]
+    table, staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
+    assert sserving.open_table(spark, table, mart.schema, spec, 4) == 4      # created
+    batch = mart.withColumn("_written_at", F.lit(1).cast("timestamp"))
+    sserving.merge_batch(spark, batch, 0, table, staging, spec, mart.schema, 4)
+    assert sserving.open_table(spark, table, mart.schema, spec, 64) == 4     # reopened
+    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
+    assert got.count() == mart.count()
+    assert {r[0] for r in got.select("bucket_count").distinct().collect()} == {4}

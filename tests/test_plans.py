@@ -39,7 +39,8 @@ def test_serving_lookup_prunes_buckets(spark):
     path = serving.write_serving(mart, run_dir(spark, "t_serving"), serving.SERVING["daily_usage"])
     table = readers.read_parquet(spark, path)
     p = plan(serving.lookup(table, 11))
-    assert "PartitionFilters: [isnotnull(key_bucket" in p
+    part = next(line for line in p.splitlines() if "PartitionFilters" in line)
+    assert "key_bucket" in part and "bucket_count" in part
     assert "EqualTo(org_id,11)" in p
     # a question with date bounds also prunes period folders
     p = plan(serving.usage_range(table, 11, "2024-01-01", "2024-01-15"))
