@@ -134,3 +134,21 @@ def test_reopened_serving_table_keeps_rows_and_bucket_count(spark):
     got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
     assert got.count() == mart.count()
     assert {r[0] for r in got.select("bucket_count").distinct().collect()} == {4}
+
+
+def test_serving_stream_restart_keeps_table(spark):
+    """Second availableNow run on the same checkpoint: no batch, table intact."""
+    lake = Lake(spark, SF_SMALL)
+    mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
+    spec = serving.SERVING["daily_usage"]
+    gold_dir = run_dir(spark, "t_gold")
+    mart.write.parquet(gold_dir)
+    table, ckpt, staging = (run_dir(spark, "t_serving"), run_dir(spark, "t_ckpt"),
+                            run_dir(spark, "t_staging"))
+    first = sserving.run_serving_stream(spark, gold_dir, mart.schema, table, ckpt, staging, spec,
+                                        files_per_trigger=None, buckets=2)
+    again = sserving.run_serving_stream(spark, gold_dir, mart.schema, table, ckpt, staging, spec,
+                                        files_per_trigger=None, buckets=2)
+    assert first >= 1 and again == 0
+    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
+    assert got.count() == mart.count()
