@@ -3,6 +3,8 @@ intermediate tables and connected components."""
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 import numpy as np
@@ -36,6 +38,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker (models, tokenizers)."""
+    name = "_ledgerlake_worker_cache"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
+
+
 # -- sequence hashes (numpy, inside tasks) -----------------------------------
 
 #: Odd, so it has an inverse modulo 2**64.

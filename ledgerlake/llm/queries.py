@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, mixing, quality, secrets
+from ledgerlake.llm import chat, mixing, quality, secrets, substring_dedup
 from ledgerlake.llm.common import table
 
 
+def op1_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("spans").cast("long").alias("n_spans"))
+
+
 def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -36,4 +42,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_perspective_rotation, op7_source_mixing, op8_secret_scan, op10_quality_rules)}
+    op1_rlz_substring_dedup, op3_perspective_rotation, op7_source_mixing, op8_secret_scan, op10_quality_rules)}
