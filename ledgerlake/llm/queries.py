@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import chat, mixing, quality, secrets, substring_dedup
+from ledgerlake.llm import (
+    chat,
+    langid,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    substring_dedup,
+    toxicity,
+)
 from ledgerlake.llm.common import table
 
 
@@ -19,6 +29,33 @@ def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = packing.pieces(table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return packing.pack(items).select("doc_id", "piece", "start", "length", "ids_crc32",
+                                      "sequence_id", "offset")
+
+
+def _fold(of: str, n: int) -> Column:
+    """crc32 of the id as text, modulo n: the folds of labelled rows."""
+    return F.pmod(F.crc32(F.col(of).cast("string")), F.lit(n))
+
+
+def op6_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs, _fold("id", 5) != 0)
+    df = langid.predict(docs, model, ["doc_id"])
+    return df.select("doc_id", (_fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op9_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), _fold("id", 3) != 1)
+    df = toxicity.score(docs, model, ["doc_id"])
+    return df.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score",
+                     (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def weights_521(sources: list) -> list:
     return [(5, 2, 1)[i % 3] for i in range(len(sources))]
 
@@ -42,4 +79,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_rlz_substring_dedup, op3_perspective_rotation, op7_source_mixing, op8_secret_scan, op10_quality_rules)}
+    op1_rlz_substring_dedup, op3_perspective_rotation, op5_best_fit_packing,
+    op6_crf_language_id, op7_source_mixing, op8_secret_scan, op9_fm_toxicity, op10_quality_rules)}
