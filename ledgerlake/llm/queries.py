@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     chat,
+    jaccard,
     langid,
     mixing,
     packing,
@@ -29,6 +30,10 @@ def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = packing.pieces(table(spark, sf_dir, "documents"),
                            public_tokenizers.path("byte_bpe_50k.tiktoken"))
@@ -79,5 +84,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_rlz_substring_dedup, op3_perspective_rotation, op5_best_fit_packing,
+    op1_rlz_substring_dedup, op3_perspective_rotation,
+    op4_ngram_jaccard_join, op5_best_fit_packing,
     op6_crf_language_id, op7_source_mixing, op8_secret_scan, op9_fm_toxicity, op10_quality_rules)}
