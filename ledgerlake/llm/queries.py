@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     chat,
+    embedding_dedup,
     jaccard,
     langid,
     mixing,
@@ -26,6 +27,10 @@ def op1_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"))
 
 
+def op2_cap_filter_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op3_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
 
@@ -84,6 +89,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_rlz_substring_dedup, op3_perspective_rotation,
+    op1_rlz_substring_dedup, op2_cap_filter_dedup, op3_perspective_rotation,
     op4_ngram_jaccard_join, op5_best_fit_packing,
     op6_crf_language_id, op7_source_mixing, op8_secret_scan, op9_fm_toxicity, op10_quality_rules)}

@@ -93,3 +93,29 @@ def quality(text):
     hit = {i + k for i in range(len(w) - 2) if grams[tuple(w[i:i + 3])] > 1 for k in range(3)}
     return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t),
             len(lines) - len(set(lines)), len(hit))
+
+
+def embeddings(rows, least=0.98):
+    """{vec_id: (n_links, component_id)} of (vec_id, vector, label) rows."""
+    import numpy as np
+
+    good, out = [], {}
+    for i, v, label in rows:
+        out[i] = (0, i)
+        if v is None or label is None or i is None or len(v) == 0 or any(c is None for c in v):
+            continue
+        x = np.array(v, np.float64)
+        if np.isfinite(x).all() and x.any():
+            good.append((i, x / np.linalg.norm(x), label))
+    links, count = [], Counter()
+    for label in {g[2] for g in good}:
+        for dim in {len(g[1]) for g in good if g[2] == label}:
+            own = [g for g in good if g[2] == label and len(g[1]) == dim]
+            x = np.stack([g[1] for g in own])
+            for a in range(len(own)):
+                for b in np.flatnonzero(x[a] @ x.T >= least):
+                    if b != a:
+                        count[own[a][0]] += 1
+                        links.append((own[a][0], own[b][0]))
+    c = classes([i for i in out if i is not None], links)
+    return {i: (count[i], c.get(i)) for i in out}
