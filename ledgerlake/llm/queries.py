@@ -46,23 +46,23 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       "sequence_id", "offset")
 
 
-def _fold(of: str, n: int) -> Column:
+def fold(of: str, n: int) -> Column:
     """crc32 of the id as text, modulo n: the folds of labelled rows."""
     return F.pmod(F.crc32(F.col(of).cast("string")), F.lit(n))
 
 
 def op6_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = langid.train(docs, _fold("id", 5) != 0)
+    model = langid.train(docs, fold("id", 5) != 0)
     df = langid.predict(docs, model, ["doc_id"])
-    return df.select("doc_id", (_fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+    return df.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
 def op9_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"), _fold("id", 3) != 1)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("id", 3) != 1)
     df = toxicity.score(docs, model, ["doc_id"])
-    return df.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score",
+    return df.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

@@ -79,8 +79,10 @@ def _find(df: DataFrame, pattern: str, kind: int, keep: str, out: str) -> DataFr
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, t, assign, access, hex): arrays of spans of each kind."""
-    df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    """(doc_id, t, row, assign, access, hex): arrays of spans of each kind;
+    ``row`` is the input row as a struct."""
+    df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
+                     F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     value = "length(regexp_extract({m}, r'" + ASSIGN.replace("'", r"\x27") + "', 2))"
     df = _find(df, ASSIGN, 0, f"{value} >= {ASSIGN_CHARS}", "assign")
     # runs are maximal, so asking for the length in the pattern drops the same matches
@@ -133,7 +135,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def scan(docs: DataFrame, model: list[float] | None = None, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """(doc_id, t, assign, access, hex, random): spans of each kind."""
+    """(doc_id, t, row, assign, access, hex, random): spans of each kind."""
     model = train(docs, id_col, text_col) if model is None else model
     df = base_spans(docs, id_col, text_col)
     df = _find(df, f"{TOKEN}{{{TOKEN_CHARS},}}", 3, "true", "tokens")
@@ -162,13 +164,13 @@ def listed(*kinds: str) -> Column:
 
 
 def redact(scanned: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """(doc_id, text) with every span replaced by ``mark``; overlapping spans merge."""
-    merged = F.expr("""aggregate(array_sort(concat(assign, access, hex, random)),
+    """``scanned`` with ``n_spans`` and ``redacted``: the text with every span
+    replaced by ``mark`` (overlapping spans merge), NULL where nothing was found."""
+    merged = F.expr(f"""aggregate(array_sort(concat(assign, access, hex, random)),
         struct('' AS out, 0L AS pos),
         (a, x) -> CASE WHEN x.start >= a.pos THEN struct(
-            concat(a.out, substring(t, int(a.pos + 1), int(x.start - a.pos)), '%s') AS out,
-            x.end AS pos) ELSE struct(a.out AS out, greatest(a.pos, x.end) AS pos) END)""" % mark)
+            concat(a.out, substring(t, int(a.pos + 1), int(x.start - a.pos)), '{mark}') AS out,
+            x.end AS pos) ELSE struct(a.out AS out, greatest(a.pos, x.end) AS pos) END,
+        a -> concat(a.out, substring(t, int(a.pos + 1))))""")
     df = scanned.withColumn("n_spans", F.expr("size(assign) + size(access) + size(hex) + size(random)"))
-    df = df.withColumn("m", F.when(F.col("n_spans") > 0, merged))
-    return df.select("doc_id", "n_spans", F.when(F.col("n_spans") > 0, F.expr(
-        "concat(m.out, substring(t, int(m.pos + 1)))")).otherwise(F.col("t")).alias("text"))
+    return df.withColumn("redacted", F.when(F.col("n_spans") > 0, merged))

@@ -157,3 +157,17 @@ def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text"
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*keep, F.col(text_col).alias("scored_text")).mapInArrow(
         lambda it: _score(it, shared), schema + ", score double")
+
+
+def _clean(batches: Iterator[pa.RecordBatch], model, at: int, least: float) -> Iterator[pa.RecordBatch]:
+    m = model.value
+    for batch in batches:
+        texts = batch.column(at).cast(pa.binary()).to_pylist()
+        yield batch.filter(pa.array([m.score(terms(t or b"", m.bits)) < least for t in texts], pa.bool_()))
+
+
+def clean(docs: DataFrame, model: Model, least: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score under ``least``, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+    return docs.mapInArrow(lambda it: _clean(it, shared, at, least), docs.schema)
