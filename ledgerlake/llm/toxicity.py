@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 #: Documents of each label in the training sample, about; at most.
 PER_CLASS = 4000
-#: Terms of fewer sample documents carry no weight.
-LEAST_DOCS = 3
+#: Terms carry weight if they are in this many sample documents and their share
+#: of the two labels differs by this many standard errors.
+LEAST_DOCS, LEAST_Z = 3, 4.5
 
 #: ASCII other than letters and digits separates terms.
 _TABLE = bytes(c if c >= 128 or chr(c) in string.ascii_letters + string.digits else 32
@@ -60,8 +61,8 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(docs: list[np.ndarray], y: np.ndarray, bits: int, factors: int = 8, epochs: int = 12,
-        batch: int = 128, rate: float = 0.02, decay: float = 1e-4, seed: int = 11) -> Model:
+def fit(docs: list[np.ndarray], y: np.ndarray, bits: int, factors: int = 8, epochs: int = 25,
+        batch: int = 128, rate: float = 0.02, decay: float = 1e-4, least_z: float = LEAST_Z, seed: int = 11) -> Model:
     """Logistic loss by Adam over mini-batches; labels weigh alike."""
     size = 1 << bits
     model = Model(bits, 0.0, np.zeros(size), np.zeros((size, factors)))
@@ -72,7 +73,12 @@ def fit(docs: list[np.ndarray], y: np.ndarray, bits: int, factors: int = 8, epoc
         model.w0 = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
         return model
     df = np.bincount(np.concatenate([*docs, np.zeros(0, np.int64)]), minlength=size)
-    vocabulary = np.flatnonzero(df >= LEAST_DOCS)
+    toxic = np.bincount(np.concatenate([*(d for d, t in zip(docs, y) if t), np.zeros(0, np.int64)]),
+                        minlength=size)
+    rest = (df - toxic) / (len(y) - y.sum())
+    z = np.abs(toxic / y.sum() - rest) / np.sqrt(
+        np.maximum(df, 1) / len(y) * (1 - df / (len(y) + 1)) * (1 / y.sum() + 1 / (len(y) - y.sum())))
+    vocabulary = np.flatnonzero((df >= LEAST_DOCS) & (z >= least_z))
     at = np.full(size, -1)
     at[vocabulary] = np.arange(len(vocabulary))
     docs = [(a := at[d])[a >= 0] for d in docs]
