@@ -42,11 +42,25 @@ TOKEN = "[A-Za-z0-9+/_=-]"
 #: Tokens shorter than this are never scored.
 TOKEN_CHARS = 16
 #: A token is random when its ratio per bigram (nats) is at least this.
-RATIO = 1.0
+RATIO = 1.5
+#: Counts' worth of the single-character distribution in each context.
+SMOOTHING = 4.0
 #: Documents in the training sample, at most about this many.
 SAMPLE_DOCS = 4000
 #: Seeded random strings in the training sample.
 SAMPLE_STRINGS = 2000
+#: Labelled ordinary identifiers, for forms that prose lacks; each counts this often.
+ORDINARY_TIMES = 25
+ORDINARY = [
+    "get_user_account_by_id", "MAX_RETRY_COUNT", "camelCaseIdentifierName", "some-kebab-case-name",
+    "src/main/java/com/example", "usr/local/share/doc", "home/user/projects/data", "path/to/file",
+    "DEFAULT_BUFFER_SIZE", "handleRequestTimeout", "HttpServletResponse", "isValidEmailAddress",
+    "test_parse_empty_input", "content-type", "application/json", "text/html", "and/or",
+    "2024-01-15", "1999-12-31", "10000000000", "1234567890", "0000000000", "20240115120000",
+    "--------------------", "====================", "____________________", "++++++++++++++++++++",
+    "////////////////////", "AbstractFactoryBuilder", "read_csv_file", "num_partitions", "x1_y2_z3",
+    "version_1_2_3", "image_001", "chapter-12", "TOTAL_AMOUNT_USD", "createdAt", "updatedBy",
+]
 
 
 def _starts(pieces: str, matches: str) -> str:
@@ -118,19 +132,30 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     seeded = spark.range(SAMPLE_STRINGS).select(
         F.lit(True).alias("random"), F.base64(F.unhex(F.sha2(F.col("id").cast("string"), 256))).alias("token"))
     samples = (found.select(F.lit(True).alias("random"), F.explode(secrets).alias("token"))
-               .union(found.select(F.lit(False), F.explode(plain))).union(seeded))
+               .union(found.select(F.lit(False), F.explode(plain))).union(seeded)
+               .union(spark.range(ORDINARY_TIMES).select(F.lit(False), F.explode(F.lit(ORDINARY)))))
+    return ratios([(r.random, r.g, r["count"]) for r in _bigrams(samples)])
+
+
+def ratios(bigrams: list) -> list[float]:
+    """log P_random(b | a) - log P_ordinary(b | a) from (class, bigram, count).
+
+    Counts are smoothed towards the class's distribution of single characters
+    (``SMOOTHING`` counts), and that towards the uniform one.
+    """
     k = len(ALPHABET)
     at = {c: i for i, c in enumerate(ALPHABET)}
-    counts = {True: [[0.5] * k for _ in ALPHABET], False: [[0.5] * k for _ in ALPHABET]}
-    for r in _bigrams(samples):
-        if r.g[0] in at and r.g[1] in at:
-            counts[r.random][at[r.g[0]]][at[r.g[1]]] += r["count"]
-    out = []
-    for a in range(k):
-        rand, plain_row = counts[True][a], counts[False][a]
-        sr, sp = sum(rand), sum(plain_row)
-        out += [math.log(rand[b] / sr) - math.log(plain_row[b] / sp) for b in range(k)]
-    return out
+    logs = {}
+    for random in (True, False):
+        n = [[0.0] * k for _ in range(k)]
+        for of, g, count in bigrams:
+            if of == random and g[0] in at and g[1] in at:
+                n[at[g[0]]][at[g[1]]] += count
+        single = [0.5 + sum(row[b] for row in n) for b in range(k)]
+        total = sum(single)
+        logs[random] = [math.log((row[b] + SMOOTHING * single[b] / total) / (sum(row) + SMOOTHING))
+                        for row in n for b in range(k)]
+    return [x - y for x, y in zip(logs[True], logs[False])]
 
 
 def scan(docs: DataFrame, model: list[float] | None = None, id_col: str = "doc_id",
