@@ -13,17 +13,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.columns import try_double
+from .functions.columns import money_sum, try_double
 from .operators import quality
 from .operators.dedupe import dedupe_by_key
 from .operators.enrich import left_enrich, left_flag
 from .operators.merge import upsert
-from .operators.quantiles import exact_quantiles
-from .plans import gold, serving, silver
-from .plans.assemble import ANOMALY_SPIKE, REFERENCE_SPIKE, Lake, to_ntz
+from .operators.quantiles import exact_quantiles, quantile_name
+from .plans import gold, jobs, serving, silver
+from .plans.assemble import ANOMALY_SPIKE, EMPTY_SPIKE, REFERENCE_SPIKE, Lake, to_ntz
 from .session import run_dir
 from .sources import readers, standins, writers
-from .specs import GOLD_KEYS
+from .sources.files import bytes_of
+from .specs import CORRUPT, GOLD_KEYS, USAGE_EVENTS
+from .streaming import bronze as sbronze
+from .streaming import serving as sserving
+from .streaming.landing import file_number, land_files
 
 # ---- fixed query parameters ----------------------------------------------
 ORG = 11
@@ -104,23 +108,29 @@ def lineage_columns(spark, sf_dir):
 
 @query
 def layer_size_report(spark, sf_dir):
-    """Files and MB per layer, from the file listing (no content read)."""
+    """Bytes and MB per layer, from the file listing (no content read).
+    The layers are written as uncompressed text, so the bytes are known."""
     lake = Lake(spark, sf_dir)
-    clean, quarantine = quality.split(lake.labelled(spike=None))
+    _, quarantine = quality.split(lake.labelled(spike=None))
     layers = {
-        "bronze": writers.write_parquet(to_ntz(lake.bronze_events()), run_dir(spark, "bronze")),
-        "quarantine": writers.write_parquet(quarantine, run_dir(spark, "quarantine")),
-        "gold": writers.write_partitioned(lake.gold_daily_usage(), run_dir(spark, "gold"),
-                                          "usage_date"),
+        "bronze": F.concat_ws("|", "event_id", "org_id", "service", "metric", "value", "unit")
+                   .alias("line"),
+        "quarantine": F.concat_ws("|", "dq_rule", "event_id", "org_id", "value").alias("line"),
+        "gold": F.concat_ws("|", "org_id", "usage_date", "service", "event_count").alias("line"),
     }
-    return writers.layer_sizes(spark, layers)
+    frames = {"bronze": lake.bronze_events(), "quarantine": quarantine,
+              "gold": lake.gold_daily_usage()}
+    return writers.layer_sizes(spark, {
+        name: writers.write_text(frames[name].select(line), run_dir(spark, name))
+        for name, line in layers.items()})
 
 
 @query
 def empty_mart_safe(spark, sf_dir):
-    """The p99 × 3 anomaly mart is empty on this feed; writing and
-    reading it back with its declared schema gives zero rows, not an error."""
-    mart = Lake(spark, sf_dir).gold_cost_anomaly(REFERENCE_SPIKE)
+    """No cost passes three times the greatest, so this anomaly mart is
+    empty; writing and reading it back with its declared schema gives zero rows,
+    not an error."""
+    mart = Lake(spark, sf_dir).gold_cost_anomaly(EMPTY_SPIKE)
     path = writers.write_partitioned(mart, run_dir(spark, "gold_anomaly"), "usage_date")
     return readers.read_parquet(spark, path, mart.schema)
 
@@ -167,19 +177,20 @@ def dq_split_total(spark, sf_dir):
 def quarantine_preview(spark, sf_dir):
     """T4: first rows of the quarantine under a total order."""
     _, quarantine = quality.split(Lake(spark, sf_dir).labelled(spike=None))
-    return to_ntz(quarantine.orderBy("dq_rule", "timestamp", "org_id", "resource_id")
-                  .limit(PREVIEW_ROWS)
-                  .select("dq_rule", "event_id", "timestamp", "org_id", "cost_usd_increment",
-                          "value", "unit"))
+    cols = ["dq_rule", "timestamp", "org_id", "resource_id", "event_id", "value", "unit",
+            "cost_usd_increment"]
+    return to_ntz(quarantine.select(*cols).orderBy(*[F.col(c).asc_nulls_first() for c in cols])
+                  .limit(PREVIEW_ROWS))
 
 
 @query
 def cost_quantiles(spark, sf_dir):
-    """Exact p50/p90/p99 of cost over every event, with count/min/max."""
+    """Exact p50/p90/p99 of the finite costs of every event, with count/min/max."""
     typed = silver.typed_events(Lake(spark, sf_dir).bronze_events())
     values = exact_quantiles(typed, "cost_usd_increment", QUANTILES)
-    qs = {f"p{round(q * 100)}": v for q, v in zip(QUANTILES, values)}
-    return typed.agg(F.count("cost_usd_increment").alias("n"),
+    qs = {quantile_name(q): v for q, v in zip(QUANTILES, values)}
+    finite = typed.filter(F.abs("cost_usd_increment") < F.lit(float("inf")))
+    return finite.agg(F.count("cost_usd_increment").alias("n"),
                      F.min("cost_usd_increment").alias("min_cost"),
                      F.max("cost_usd_increment").alias("max_cost")).select(
         "n", "min_cost", "max_cost",
@@ -192,6 +203,28 @@ def cost_spike_flag(spark, sf_dir):
     return lab.select("event_id", "cost_usd_increment", "dq_rule", "cost_spike_flag")
 
 
+@query
+def cost_spike_flag_clean_fit(spark, sf_dir):
+    """Q3: the threshold fitted on rows that pass the rules only."""
+    lab = Lake(spark, sf_dir).labelled(spike=ANOMALY_SPIKE, fit_on="clean")
+    return lab.select("event_id", "dq_rule", "cost_spike_flag")
+
+
+@query
+def corrupt_rows_quarantine(spark, sf_dir):
+    """Landing lines cut short or with a time that is no time reach the
+    quarantine with their text; rows and characters per label."""
+    lake = Lake(spark, sf_dir)
+    schema = lake.bronze_events().schema
+    landing = writers.write_text(
+        standins.landing_lines(lake.bronze_events(), writers.JSON_TIMESTAMP_FORMAT),
+        run_dir(spark, "landing_lines"))
+    bronze = jobs.bronze_lines(spark, landing, schema, run_dir(spark, "bronze_lines"))
+    lab = silver.labelled_events(bronze, spike_q=None)
+    return lab.groupBy("dq_rule").agg(F.count("*").alias("rows"),
+                                      F.sum(F.length(CORRUPT)).alias("corrupt_chars"))
+
+
 # ================================================================= joins
 @query
 def enrich_left_join(spark, sf_dir):
@@ -214,7 +247,7 @@ def silver_revenue_usd(spark, sf_dir):
     b = Lake(spark, sf_dir).silver_billing()
     return b.select("invoice_id", "org_id", "month", "org_name", "plan_tier", "currency",
                     "subtotal", "credits", "taxes", "exchange_rate_to_usd",
-                    F.round("revenue_usd_d", 6).cast("double").alias("revenue_usd"))
+                    F.round("revenue_usd_d", 8).cast("double").alias("revenue_usd"))
 
 
 @query
@@ -224,14 +257,20 @@ def ticket_features(spark, sf_dir):
                            "is_critical", "sla_breached", "csat"), ("created_at",))
 
 
+def _two_loads(lake: Lake) -> tuple[DataFrame, DataFrame]:
+    """The daily usage mart of the first and of the (overlapping) second load."""
+    ev = lake.usage_features(None)
+    return (lake.daily_usage_mart(ev.filter(F.col("timestamp") < F.lit(LOAD1_END).cast("timestamp"))),
+            lake.daily_usage_mart(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp"))))
+
+
 @query
 def upsert_by_key(spark, sf_dir):
     """Second load replaces the first by primary key; untouched keys stay."""
-    lake = Lake(spark, sf_dir)
-    ev = lake.usage_features(None)
-    first = lake.daily_usage_mart(ev.filter(F.col("timestamp") < F.lit(LOAD1_END).cast("timestamp")))
-    second = lake.daily_usage_mart(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp")))
-    return upsert(first, second, GOLD_KEYS["daily_usage"])
+    first, second = _two_loads(Lake(spark, sf_dir))
+    # the update is used twice (its rows and its keys), so it is written once
+    path = writers.write_parquet(second, run_dir(spark, "load2"))
+    return upsert(first, readers.read_parquet(spark, path, second.schema), GOLD_KEYS["daily_usage"])
 
 
 # ================================================================= dedupe
@@ -281,70 +320,122 @@ def mart_tokens_by_day(spark, sf_dir):
 # ================================================================= checks
 @query
 def layer_counts(spark, sf_dir):
-    """Rows and distinct ids per layer, one small frame."""
+    """Rows and distinct ids per layer: one conditional aggregate over
+    the labelled feed, and one over the mart."""
     lake = Lake(spark, sf_dir)
-    bronze = lake.bronze_events()
-    clean, quarantine = quality.split(lake.labelled(spike=None))
-    sil = silver.silver_usage(clean, lake.orgs())
-    layers = {"bronze": (bronze, "event_id"), "quarantine": (quarantine, "event_id"),
-              "silver": (sil, "event_id"), "gold_usage": (lake.gold_daily_usage(), None)}
-    parts = []
-    for name, (df, idc) in layers.items():
-        distinct = F.count_distinct(idc) if idc else F.lit(None).cast("long")
-        parts.append(df.agg(F.count("*").alias("rows"), distinct.alias("distinct_ids"))
-                     .select(F.lit(name).alias("layer"), "rows", "distinct_ids"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    good = F.col("dq_rule").isNull()
+    layer = F.explode(F.when(good, F.array(F.lit("bronze"), F.lit("silver")))
+                      .otherwise(F.array(F.lit("bronze"), F.lit("quarantine"))))
+    feed = (lake.labelled(spike=None).select(layer.alias("layer"), "event_id").groupBy("layer")
+            .agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("distinct_ids")))
+    mart = lake.gold_daily_usage().agg(F.count("*").alias("rows")).select(
+        F.lit("gold_usage").alias("layer"), "rows", F.lit(None).cast("long").alias("distinct_ids"))
+    return feed.unionByName(mart)
+
+
+def _usage_marts(spark, lake: Lake) -> dict[str, DataFrame]:
+    """The three usage marts (no flag) of one labelled pass: clean events are
+    written once and read by each."""
+    clean, _ = quality.split(silver.labelled_events(lake.bronze_events(), spike_q=None,
+                                                    defaults=False))
+    cols = ["org_id", "usage_date", "service", "metric", "value_num", "cost_usd_increment",
+            "carbon_kg", "genai_tokens"]
+    path = writers.write_parquet(clean.select(*cols), run_dir(spark, "usage_clean"))
+    v1 = readers.read_parquet(spark, path, clean.select(*cols).schema)
+    v2 = silver.metric_features(v1.withColumns(
+        {"carbon_kg": F.coalesce("carbon_kg", F.lit(silver.DEFAULT_CARBON_KG)),
+         "genai_tokens": F.coalesce("genai_tokens", F.lit(silver.DEFAULT_GENAI_TOKENS).cast("long"))}))
+    return {"daily_usage": lake.mart(v2, gold.DAILY_USAGE),
+            "daily_usage_v1": lake.mart(v1, gold.DAILY_USAGE_V1),
+            "tokens_day": lake.mart(v2, gold.tokens_day(standins.GENAI_SERVICE))}
+
+
+# the measure each mart is reconciled on
+CONTROL_MEASURE = {m.name: m.control for m in (
+    gold.DAILY_USAGE, gold.DAILY_USAGE_V1, gold.REVENUE_MONTH, gold.TICKETS_DAY,
+    gold.cost_anomaly(*REFERENCE_SPIKE), gold.tokens_day(standins.GENAI_SERVICE))}
 
 
 @query
 def gold_control_totals(spark, sf_dir):
     lake = Lake(spark, sf_dir)
-    return gold.control_totals({
-        "daily_usage": (lake.gold_daily_usage(), "total_cost_usd"),
-        "daily_usage_v1": (lake.gold_daily_usage_v1(), "total_cost_usd"),
-        "revenue_month": (lake.gold_revenue_month(), "revenue_usd"),
-        "tickets_day": (lake.gold_tickets_day(), "ticket_count"),
-        "tokens_day": (lake.gold_tokens_day(), "estimated_cost_usd"),
-    })
+    marts = {**_usage_marts(spark, lake), "revenue_month": lake.gold_revenue_month(),
+             "tickets_day": lake.gold_tickets_day()}
+    return gold.control_totals({n: (df, CONTROL_MEASURE[n]) for n, df in marts.items()})
+
+
+@query
+def gold_reproducibility(spark, sf_dir):
+    """Q9: gold built twice from one silver into two folders: rows and control
+    total of each build, and the rows in which they differ, per mart."""
+    layers = jobs.build_layers(spark, Lake(spark, sf_dir), run_dir(spark, "lake"))
+    marts = jobs.build_gold(spark, layers, prefix="gold_again")
+    out = None
+    for name, mart in marts.items():
+        a, b = (layers.read(spark, f"{p}/{name}") for p in ("gold", "gold_again"))
+
+        def totals(df, side):
+            return df.agg(F.count("*").alias("rows"),
+                          money_sum(mart.control, 2).alias("total")).withColumn("side", F.lit(side))
+        # grouped row by row and signed: what one build has and the other lacks
+        both = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
+        differ = (both.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+                  .agg(F.count("*").alias("rows")).withColumn("side", F.lit("differing")))
+        sides = (totals(a, "first").unionByName(totals(b, "second"))
+                 .unionByName(differ, allowMissingColumns=True))
+        one = sides.select(F.lit(name).alias("mart"), "side", "rows", "total")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # ================================================================= serving
+def serving_table(spark, mart: DataFrame, name: str) -> DataFrame:
+    """The mart written to gold, its serving table built from that and opened.
+    Questions read this table only."""
+    gold_path = writers.write_parquet(mart, run_dir(spark, f"gold_{name}"))
+    return serving.serve(gold_path, mart, run_dir(spark, f"serving_{name}"), serving.SERVING[name])
+
+
 @query
 def serve_usage_range(spark, sf_dir):
-    return serving.usage_range(Lake(spark, sf_dir).gold_daily_usage(), ORG, *V1_RANGE)
+    table = serving_table(spark, Lake(spark, sf_dir).gold_daily_usage(), "daily_usage")
+    return serving.usage_range(table, ORG, *V1_RANGE)
 
 
 @query
 def serve_top_services(spark, sf_dir):
-    return serving.top_services(Lake(spark, sf_dir).gold_daily_usage(), ORG, *V2_RANGE, n=TOP_N)
+    table = serving_table(spark, Lake(spark, sf_dir).gold_daily_usage(), "daily_usage")
+    return serving.top_services(table, ORG, *V2_RANGE, n=TOP_N)
 
 
 @query
 def serve_critical_tickets(spark, sf_dir):
-    return serving.critical_tickets(Lake(spark, sf_dir).gold_tickets_day(), ORG, *V3_RANGE)
+    table = serving_table(spark, Lake(spark, sf_dir).gold_tickets_day(), "tickets_day")
+    return serving.critical_tickets(table, ORG, *V3_RANGE)
 
 
 @query
 def serve_revenue_history(spark, sf_dir):
-    return serving.revenue_history(Lake(spark, sf_dir).gold_revenue_month(), ORG)
+    table = serving_table(spark, Lake(spark, sf_dir).gold_revenue_month(), "revenue_month")
+    return serving.revenue_history(table, ORG)
 
 
 @query
 def serve_tokens_by_day(spark, sf_dir):
-    return serving.tokens_by_day(Lake(spark, sf_dir).gold_tokens_day(), ORG, V5_FROM)
+    table = serving_table(spark, Lake(spark, sf_dir).gold_tokens_day(), "tokens_day")
+    return serving.tokens_by_day(table, ORG, V5_FROM)
 
 
 @query
 def serve_key_lookup(spark, sf_dir):
-    return serving.key_lookup(Lake(spark, sf_dir).gold_daily_usage_v1(), ORG, V6_DAY)
+    table = serving_table(spark, Lake(spark, sf_dir).gold_daily_usage_v1(), "daily_usage_v1")
+    return serving.key_lookup(table, ORG, V6_DAY)
 
 
 @query
 def serve_service_cost_trend(spark, sf_dir):
-    return serving.service_cost_trend(Lake(spark, sf_dir).gold_daily_usage_v1(), ORG, *V7)
+    table = serving_table(spark, Lake(spark, sf_dir).gold_daily_usage_v1(), "daily_usage_v1")
+    return serving.service_cost_trend(table, ORG, *V7)
 
 
 @query
@@ -357,28 +448,18 @@ def serving_null_policy(spark, sf_dir):
 @query
 def serving_layout_sorted(spark, sf_dir):
     """Gold written, then the serving table built from it (period and
-    org-bucket folders, sorted by primary key) and read back.  Serving is built
-    from the written gold, so sizing its buckets is a Parquet row count, not
-    a second computation of the mart."""
-    spec = serving.SERVING["daily_usage"]
+    org-bucket folders, sorted by primary key) and read back."""
     mart = Lake(spark, sf_dir).gold_daily_usage()
-    gold_path = writers.write_partitioned(mart, run_dir(spark, "gold_usage"), "usage_date")
-    g = readers.read_parquet(spark, gold_path, mart.schema)
-    path = serving.write_serving(g, run_dir(spark, "serving_usage"), spec)
-    table = readers.read_parquet(spark, path, serving.serving_schema(mart.schema, spec))
-    return table.select(*mart.columns)
+    return serving_table(spark, mart, "daily_usage").select(*mart.columns)
 
 
 # ================================================================= streaming
-from .specs import USAGE_EVENTS  # noqa: E402
-from .streaming import bronze as sbronze  # noqa: E402
-from .streaming import serving as sserving  # noqa: E402
-from .streaming.landing import file_number, land_files  # noqa: E402
-
 LATE_DAYS_PER_FILE = 5
-# landing order of the six 5-day files: the third one arrives last, after the
-# feed has moved ten days past it
-LATE_FILE_ORDER = (0, 1, 3, 4, 5, 2)
+# the group of days 11-15 arrives last, when the feed has moved past it
+LATE_GROUP = 2
+# state-store partitions of the stream queries' checkpoints, which hold a month
+# of the stand-in feed at most
+STATE_PARTITIONS = 8
 
 
 def _event_schema(lake: Lake):
@@ -386,7 +467,7 @@ def _event_schema(lake: Lake):
 
 
 def _land_replayed_feed(spark, lake: Lake) -> str:
-    """30 daily JSON-lines files (plus next-day re-deliveries), oldest first."""
+    """Daily JSON-lines files (plus next-day re-deliveries), oldest first."""
     landing = run_dir(spark, "landing_events")
     feed = standins.replayed_feed(lake.bronze_events())
     land_files(feed, landing, file_number("_deliver_at", standins.FEED_START, 1),
@@ -405,7 +486,8 @@ def _stream_to_bronze(spark, lake: Lake, landing: str, out: str | None = None,
                       ckpt: str | None = None, **kw) -> sbronze.StreamRun:
     out = out or run_dir(spark, "bronze_events")
     ckpt = ckpt or run_dir(spark, "ckpt_bronze")
-    return sbronze.run_bronze_stream(spark, landing, _event_schema(lake), out, ckpt, **kw)
+    return sbronze.run_bronze_stream(spark, landing, _event_schema(lake), out, ckpt,
+                                     state_partitions=STATE_PARTITIONS, **kw)
 
 
 @query
@@ -447,66 +529,63 @@ def stream_rebuild_equals_batch(spark, sf_dir):
         return (df.groupBy(F.to_date("timestamp").alias("usage_date"))
                 .agg(F.count("*").alias(f"{tag}_rows"),
                      F.count_distinct("event_id").alias(f"{tag}_ids"),
-                     F.round(F.sum(F.col("cost_usd_increment").cast("decimal(18,8)")), 2)
-                      .cast("double").alias(f"{tag}_cost")))
-    return per_day(stream, "stream").join(per_day(batch, "batch"), "usage_date", "full")
+                     money_sum(F.nanvl("cost_usd_increment", F.lit(None).cast("double")), 2)
+                      .alias(f"{tag}_cost"))
+                .withColumnRenamed("usage_date", f"{tag}_date"))
+    return (per_day(stream, "stream")
+            .join(per_day(batch, "batch"), F.col("stream_date").eqNullSafe(F.col("batch_date")), "full")
+            .withColumn("usage_date", F.coalesce("stream_date", "batch_date"))
+            .drop("stream_date", "batch_date"))
 
 
 @query
 def stream_serving_upsert(spark, sf_dir):
-    """Gold files streamed into the serving table by foreachBatch key-merge."""
-    lake = Lake(spark, sf_dir)
-    ev = lake.usage_features(None)
-    first = lake.daily_usage_mart(ev.filter(F.col("timestamp") < F.lit(LOAD1_END).cast("timestamp")))
-    second = lake.daily_usage_mart(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp")))
+    """The gold files of two overlapping loads streamed into the
+    serving table by foreachBatch key-merge; the later load's rows stay."""
     gold_dir = run_dir(spark, "gold_loads")
-    first.write.mode("append").parquet(gold_dir)
-    second.write.mode("append").parquet(gold_dir)
-    table = run_dir(spark, "serving_usage")
-    spec = serving.SERVING["daily_usage"]
-    buckets = serving.buckets_for(readers.read_parquet(spark, gold_dir, first.schema).count())
-    sserving.run_serving_stream(spark, gold_dir, first.schema, table,
-                                run_dir(spark, "ckpt_serving"), run_dir(spark, "staging"), spec,
-                                buckets=buckets)
-    out = readers.read_parquet(spark, table, serving.serving_schema(first.schema, spec))
-    return out.select(*first.columns)
-
-
-# gold partition column per mart (as the materialised build writes them) and
-# the measure each serving table is reconciled on
+    loads = _two_loads(Lake(spark, sf_dir))
+    for n, mart in enumerate(loads, start=1):
+        (mart.withColumn(serving.LOAD_SEQ, F.lit(n).cast("long")).coalesce(4)
+         .write.mode("append").parquet(gold_dir))
+    table, spec, schema = run_dir(spark, "serving_usage"), serving.SERVING["daily_usage"], loads[0].schema
+    sserving.run_serving_stream(spark, gold_dir, schema, table, run_dir(spark, "ckpt_serving"), spec,
+                                files_per_trigger=3,
+                                buckets=serving.buckets_for(bytes_of(spark, gold_dir)))
+    out = readers.read_parquet(spark, table, serving.serving_schema(schema, spec))
+    return out.select(*schema.fieldNames())
+
+
+# gold partition column per mart, as the materialised build writes them
 GOLD_PARTITION = {"daily_usage": "usage_date", "revenue_month": "month",
-                  "cost_anomaly": "usage_date", "tickets_day": "severity",
-                  "tokens_day": "usage_date"}
-CONTROL_MEASURE = {"daily_usage": "total_cost_usd", "revenue_month": "revenue_usd",
-                   "cost_anomaly": "max_cost_usd", "tickets_day": "ticket_count",
-                   "tokens_day": "estimated_cost_usd"}
+                  "cost_anomaly": "usage_date", "tokens_day": "usage_date"}
 SERVING_FILES_PER_TRIGGER = 100
 
 
 @query
 def stream_serving_all_marts(spark, sf_dir):
-    """The five gold marts, each written partitioned by its date
-    (or severity) and streamed into its own serving table by ``foreachBatch``
-    key-merge, one checkpoint per target, the five streams running at once.
-    The reference's p99 × 3 anomaly mart is empty: its stream merges nothing
-    and its serving table reads back as zero rows.  Rows and a control total
-    per serving table."""
+    """The five gold marts, written partitioned by date and each
+    streamed into its own serving table by ``foreachBatch`` key-merge, one
+    checkpoint per target, the five streams running at once.  The anomaly mart
+    is empty: its stream merges nothing and its table reads back as zero rows.
+    Rows and a control total per serving table."""
     lake = Lake(spark, sf_dir)
     marts = {"daily_usage": lake.gold_daily_usage(),
              "revenue_month": lake.gold_revenue_month(),
-             "cost_anomaly": lake.gold_cost_anomaly(REFERENCE_SPIKE),
+             "cost_anomaly": lake.gold_cost_anomaly(EMPTY_SPIKE),
              "tickets_day": lake.gold_tickets_day(),
              "tokens_day": lake.gold_tokens_day()}
     root = run_dir(spark, "serving_all")
     running = []
     for name, mart in marts.items():
-        gold_dir = writers.write_partitioned(mart, f"{root}/gold/{name}", GOLD_PARTITION[name])
-        # new serving tables: bucket count sized from the gold rows (Parquet row count)
-        buckets = serving.buckets_for(readers.read_parquet(spark, gold_dir, mart.schema).count())
+        gold_dir, rows = f"{root}/gold/{name}", mart.withColumn(serving.LOAD_SEQ, F.lit(1).cast("long"))
+        if name in GOLD_PARTITION:
+            writers.write_partitioned(rows, gold_dir, GOLD_PARTITION[name])
+        else:
+            writers.write_parquet(rows, gold_dir)
         q, _ = sserving.start_serving_stream(
             spark, gold_dir, mart.schema, f"{root}/serving/{name}", f"{root}/ckpt/{name}",
-            f"{root}/staging/{name}", serving.SERVING[name],
-            files_per_trigger=SERVING_FILES_PER_TRIGGER, buckets=buckets)
+            serving.SERVING[name], files_per_trigger=SERVING_FILES_PER_TRIGGER,
+            buckets=serving.buckets_for(bytes_of(spark, gold_dir)))
         running.append(q)
     for q in running:
         q.awaitTermination()
@@ -517,36 +596,48 @@ def stream_serving_all_marts(spark, sf_dir):
         for name, mart in marts.items()})
 
 
+def _late_stream(spark, lake: Lake):
+    """5-day files, one a trigger, the third group delivered last; bronze of the
+    stream, its landing folder and the file number of a row."""
+    fno = file_number("timestamp", standins.FEED_START, LATE_DAYS_PER_FILE)
+    landing = run_dir(spark, "landing_late")
+    land_files(lake.bronze_events(), landing, fno, last=(LATE_GROUP,))
+    return _stream_to_bronze(spark, lake, landing, files_per_trigger=1), landing, fno
+
+
 @query
 def late_rows_report(spark, sf_dir):
-    """Six 5-day files, one a trigger, the third delivered last; rows
-    behind the 2-day watermark are dropped, and counted per file.
+    """Rows behind the 2-day watermark are dropped, and counted per file.
 
     The order keeps the answer independent of whether Spark filters late rows
     with the current or the previous batch's watermark: the only late file
     is older than both.
     """
     lake = Lake(spark, sf_dir)
-    feed = lake.bronze_events()
-    fno = file_number("timestamp", standins.FEED_START, LATE_DAYS_PER_FILE)
-    landing = run_dir(spark, "landing_late")
-    land_files(feed, landing, fno, order=LATE_FILE_ORDER)
-    run = _stream_to_bronze(spark, lake, landing, files_per_trigger=1)
-    kept = (readers.read_parquet(spark, run.output, _bronze_schema(lake))
-            .groupBy(fno.alias("file_no")).agg(F.count("*").alias("rows_kept")))
-    fed = feed.groupBy(fno.alias("file_no")).agg(F.count("*").alias("rows_in"))
-    # Late rows are counted by reconciling input and output per file; the
-    # progress counter (numRowsDroppedByWatermark) is only a lower bound.
-    return (fed.join(kept, "file_no", "left")
-            .select("file_no", "rows_in",
-                    F.coalesce("rows_kept", F.lit(0).cast("long")).alias("rows_kept"))
+    run, _, fno = _late_stream(spark, lake)
+    kept = readers.read_parquet(spark, run.output, _bronze_schema(lake)).select(
+        fno.alias("file_no"), F.lit(0).alias("rows_in"), F.lit(1).alias("rows_kept"))
+    fed = lake.bronze_events().select(fno.alias("file_no"), F.lit(1).alias("rows_in"),
+                                      F.lit(0).alias("rows_kept"))
+    # input and output reconciled per file, files without a number included
+    return (fed.unionByName(kept).groupBy("file_no")
+            .agg(F.sum("rows_in").alias("rows_in"), F.sum("rows_kept").alias("rows_kept"))
             .withColumn("rows_late", F.col("rows_in") - F.col("rows_kept")))
 
 
-# ================================================================= materialised layers
-from .plans import jobs  # noqa: E402
+@query
+def late_rows_backfill(spark, sf_dir):
+    """Late rows dropped by the stream and brought back from the landing
+    files: bronze then equals the batch dedupe, row for row."""
+    lake = Lake(spark, sf_dir)
+    run, landing, _ = _late_stream(spark, lake)
+    late = run_dir(spark, "bronze_events_late")
+    sbronze.backfill_late(spark, landing, _event_schema(lake), run.output, late)
+    bronze = sbronze.read_bronze(spark, run.output, late, _bronze_schema(lake))
+    return to_ntz(bronze.select(*USAGE_EVENTS.columns))
 
 
+# ================================================================= materialised layers
 @query
 def bronze_csv_table(spark, sf_dir):
     """Org master re-export landed as CSV; bronze reads it with the
@@ -561,6 +652,21 @@ def bronze_csv_table(spark, sf_dir):
     return bronze.select("org_id", "org_name", "plan_tier", "acctbal")
 
 
+@query
+def bronze_masters_counts(spark, sf_dir):
+    """The seven masters landed as CSV (with a re-export of a third of
+    their rows) and loaded to bronze: rows and distinct keys per table."""
+    paths = jobs.bronze_masters(spark, sf_dir, run_dir(spark, "masters"))
+    out = None
+    for name, (spec, _) in standins.masters(spark, sf_dir).items():
+        bronze = readers.read_parquet(spark, paths[name], readers.with_corrupt(spec))
+        one = bronze.agg(F.count("*").alias("rows"), F.count_distinct(*spec.key).alias("distinct_keys"),
+                         F.count(CORRUPT).alias("corrupt_rows")) \
+            .select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def lake_build_counts(spark, sf_dir):
     """End to end: every layer written (bronze → silver + quarantine → gold →

@@ -1,5 +0,0 @@
-from .columns import (MONEY, RATE, any_null, as_flag, money_sum, to_money,
-                      truncated_long_sum, try_double, zero_if_null)
-
-__all__ = ["MONEY", "RATE", "any_null", "as_flag", "money_sum", "to_money",
-           "truncated_long_sum", "try_double", "zero_if_null"]

@@ -1,4 +1,4 @@
-"""Column-level helpers: conversions, money arithmetic, null policy.
+"""Column-level helpers: conversions, exact sums and ratios, flags.
 
 All helpers return ``Column`` expressions built from ``pyspark.sql.functions``
 so they stay inside whole-stage codegen; none of them is a Python UDF.
@@ -14,12 +14,14 @@ from pyspark.sql.types import DecimalType
 
 # Money and measures are summed as DECIMAL and cast to DOUBLE at the very end.
 # A double sum depends on the order in which partitions are combined, so a
-# ``round(sum(double), 4)`` can land on either side of a rounding boundary
-# from one run to the next; a decimal sum is exact and order independent.
-# Precision 18 keeps the value compact (long-backed) inside Spark's buffers.
-MONEY = DecimalType(18, 8)
-# Exchange rates keep six decimals.
-RATE = DecimalType(12, 6)
+# rounded total can land on either side of a boundary from one run to the
+# next; a decimal sum is exact and order independent.  Twelve decimals hold
+# amounts far below a cent; 26 integer digits hold 1e11 rows of the largest
+# number a row may carry.
+MONEY = DecimalType(38, 12)
+# Numbers of this size or more, infinities and NaN are not measures: rows
+# that carry one are quarantined (``operators.quality``).
+NUMBER_BOUND = 1e15
 
 
 def col_(c: str | Column) -> Column:
@@ -27,7 +29,7 @@ def col_(c: str | Column) -> Column:
 
 
 def to_money(c: str | Column) -> Column:
-    """DOUBLE (or text) → exact DECIMAL used for summing."""
+    """DOUBLE → exact DECIMAL used for summing."""
     return col_(c).cast(MONEY)
 
 
@@ -40,11 +42,27 @@ def money_sum(c: str | Column, scale: int) -> Column:
     return F.round(F.sum(to_money(c)), scale).cast("double")
 
 
-def truncated_long_sum(c: str | Column) -> Column:
-    """``cast(sum(c) as bigint)``: exact sum, fraction truncated toward zero."""
+def money_mean(c: str | Column, scale: int) -> Column:
+    """Mean of the non-NULL values as exact sum / count, rounded."""
+    return F.round(F.sum(to_money(c)) / F.count(col_(c)), scale).cast("double")
+
+
+def share(predicate: Column, scale: int) -> Column:
+    """Rows for which the predicate is true over all rows (two exact counts)."""
+    return F.round(F.count_if(predicate) / F.count("*"), scale)
+
+
+def whole_sum(c: str | Column) -> Column:
+    """Exact sum as BIGINT, fraction truncated toward zero."""
     return F.sum(to_money(c)).cast("long")
 
 
+def out_of_range(c: str | Column) -> Column:
+    """True for NaN, infinities and numbers of ``NUMBER_BOUND`` or more."""
+    c = col_(c).cast("double")
+    return F.isnan(c) | (F.abs(c) >= F.lit(NUMBER_BOUND))
+
+
 def try_double(c: str | Column) -> Column:
     """Text → DOUBLE; unparsable text becomes NULL instead of failing the job.
 
@@ -64,7 +82,3 @@ def any_null(cols: Iterable[str | Column]) -> Column:
     for c in cols[1:]:
         out = out | c
     return out
-
-
-def zero_if_null(c: str | Column, zero=0) -> Column:
-    return F.coalesce(col_(c), F.lit(zero))

@@ -1,11 +1,11 @@
-"""Enrichment joins with a checked broadcast.
-
-A dimension is broadcast only after a bounded check proved it small:
-``dim.limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows, so
-the check itself never scans a large table.  Past the bound no hint is
-given and the join is left to the planner: sort-merge on the key, or a
-runtime broadcast if AQE measures the shuffled side small enough, with AQE
-splitting a skewed fact-side partition (a hot org) across tasks.
+"""Enrichment joins.
+
+A dimension is broadcast by hint only if its size is known: a written layer's
+bytes come from its file listing (``sources.files.bytes_of``), which costs no
+job.  Without a known size there is no hint: the planner broadcasts a scan
+whose statistics are small, AQE one whose shuffled side turns out small, and
+otherwise both sides are sorted and merged, with AQE splitting a skewed
+fact-side partition (a hot org) across tasks.
 """
 
 from __future__ import annotations
@@ -15,46 +15,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Broadcast bound for dimensions: 2M rows of a few narrow columns stays well
-# under a 256 MB broadcast.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# Parquet bytes of a dimension that may be broadcast; in memory it may take
+# several times as much, which executors of a few GB hold.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-_checked: dict[tuple, bool] = {}
+def sized_broadcast(dim: DataFrame, dim_bytes: int | None,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    return F.broadcast(dim) if dim_bytes is not None and dim_bytes <= max_bytes else dim
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> bool:
-    """Bounded size check, remembered per plan and per set of input files.
+def check_unique(dim: DataFrame, key: Sequence[str], name: str = "dimension") -> DataFrame:
+    """``dim`` itself, if no non-NULL key occurs twice; raises otherwise.
 
-    The plan's ``semanticHash`` does not change when files are added under
-    the same path, so the dimension's file listing is part of the key: a
-    long-lived process re-checks a dimension that has grown instead of
-    broadcasting it on a stale answer.
+    A left join to a dimension with repeated keys multiplies facts, so the
+    layers check theirs when they write them.
     """
-    key = (dim.semanticHash(), frozenset(dim.inputFiles()), max_rows)
-    if key not in _checked:
-        _checked[key] = dim.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
-
-
-def sized_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
+    key = list(key)
+    twice = dim.dropna(subset=key).groupBy(*key).count().filter("count > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"{name} has repeated keys, for example {twice.first().asDict()}")
+    return dim
 
 
 def left_enrich(fact: DataFrame, dim: DataFrame, on: Sequence[str], columns: Sequence[str],
-                *, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """fact ⟕ dim[on + columns]; dim must be unique on ``on`` (bronze-deduped)."""
+                *, dim_bytes: int | None = None) -> DataFrame:
+    """fact ⟕ dim[on + columns]; dim must be unique on ``on`` (see ``check_unique``)."""
     d = dim.select(*on, *columns)
-    return fact.join(sized_broadcast(d, max_rows), list(on), "left")
+    return fact.join(sized_broadcast(d, dim_bytes), list(on), "left")
 
 
 def left_flag(fact: DataFrame, dim: DataFrame, on: Sequence[str], flag: str,
-              *, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """fact ⟕ dim on a (composite) key, keeping only a match flag.
-
-    The reference's join to the resource registry contributes no column; here
-    it records whether the event's resource is registered.
-    """
+              *, dim_bytes: int | None = None) -> DataFrame:
+    """fact ⟕ dim on a (composite) key, keeping only a match flag: whether the
+    registry knows the fact's resource."""
     d = dim.select(*on).withColumn(flag, F.lit(True))
-    return (fact.join(sized_broadcast(d, max_rows), list(on), "left")
+    return (fact.join(sized_broadcast(d, dim_bytes), list(on), "left")
             .withColumn(flag, F.coalesce(F.col(flag), F.lit(False))))

@@ -1,17 +1,22 @@
 """Key merge (upsert) on plain Parquet frames.
 
 ``upsert(existing, updates, key)`` = updates ∪ (existing ▷ updates): every key
-in ``updates`` takes the new row, every other key keeps its row.  The anti
-join shuffles only key columns of ``updates``; when the update batch is
-small AQE turns it into a broadcast.  If ``updates`` may hold several rows
-per key, ``order`` picks the last write (greatest under the order).
+in ``updates`` takes the new row, every other key keeps its row.  Keys are
+compared null-safely: the key of a mart comes from a ``groupBy``, where NULL
+is one group, so a replayed row with a NULL key part replaces itself instead of
+doubling.  The anti join shuffles only key columns of ``updates``; when the
+update batch is small AQE turns it into a broadcast.  If ``updates`` may hold
+several rows per key, ``order`` picks the last write (greatest under the
+order).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .dedupe import dedupe_by_key
 
@@ -20,6 +25,7 @@ def upsert(existing: DataFrame, updates: DataFrame, key: Sequence[str],
            order: Sequence[str] | None = None) -> DataFrame:
     key = list(key)
     if order is not None:
-        updates = dedupe_by_key(updates, key, order)
-    kept = existing.join(updates.select(*key), key, "left_anti")
-    return updates.select(*existing.columns).unionByName(kept)
+        updates = dedupe_by_key(updates, key, order, null_is_value=True)
+    new = updates.select(*[F.col(k).alias(f"_new_{k}") for k in key])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in key])
+    return updates.select(*existing.columns).unionByName(existing.join(new, same, "left_anti"))

@@ -1,7 +1,7 @@
 """Cost quantiles and the spike flag.
 
 ``exact_quantile`` returns ``percentile_disc(q)``: the smallest value v with
-``count(x <= v) >= ceil(q * n)`` over the non-NULL values.  Spark's built-in
+``count(x <= v) >= ceil(q * n)`` over the finite values.  Spark's built-in
 ``percentile_disc`` keeps every distinct value of the group in one buffer and
 merges them in a single task, which does not hold at scale.  Here the answer
 is found by histogram narrowing instead: each pass is one distributed
@@ -11,9 +11,9 @@ rows reach the driver), picks the bucket that holds the target rank and
 narrows the range to that bucket's actual min and max.  A pass strictly
 shrinks the range, and two-decimal money resolves in three or four passes.
 Only the bucket histogram (bounded by ``bins``) ever leaves the executors.
-
-``approx_quantile`` is the bounded-memory one-pass alternative
-(``percentile_approx``), kept lazy as a one-row frame.
+Infinities and NaN have no place in a width, so they are left out (the quality
+rules quarantine the rows that carry them); over finite doubles the search
+always ends, because every pass leaves at most 1 / ``bins`` of a width.
 """
 
 from __future__ import annotations
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 from ..functions.columns import as_flag
 
 
-def exact_quantile(df: DataFrame, col: str, q: float, *, bins: int = 1024,
-                   max_passes: int = 256) -> float | None:
-    return exact_quantiles(df, col, [q], bins=bins, max_passes=max_passes)[0]
+def exact_quantile(df: DataFrame, col: str, q: float, *, bins: int = 1024) -> float | None:
+    return exact_quantiles(df, col, [q], bins=bins)[0]
 
 
 def _bucket(x: Column, lo: float, hi: float, bins: int) -> Column:
@@ -43,9 +42,8 @@ def _bucket(x: Column, lo: float, hi: float, bins: int) -> Column:
     return F.width_bucket(x * scale, F.lit(lo * scale), F.lit(hi * scale), F.lit(bins))
 
 
-def exact_quantiles(df: DataFrame, col: str, qs, *, bins: int = 1024,
-                    max_passes: int = 256) -> list[float | None]:
-    """``percentile_disc`` of each q in ``qs``, found together.
+def exact_quantiles(df: DataFrame, col: str, qs, *, bins: int = 1024) -> list[float | None]:
+    """``percentile_disc`` of each q in ``qs`` over the finite values, found together.
 
     Every pass is ONE aggregate over the input: each open search range gets
     its own histogram (a row belongs to every range that contains it, so an
@@ -57,14 +55,15 @@ def exact_quantiles(df: DataFrame, col: str, qs, *, bins: int = 1024,
     for q in qs:
         if not 0.0 <= q <= 1.0:
             raise ValueError("q must be in [0, 1]")
-    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    x = df.select(F.col(col).cast("double").alias("x"))
+    x = x.filter(F.abs("x") < F.lit(float("inf")))        # finite: neither NULL, NaN nor infinite
     n, lo, hi = x.agg(F.count("*"), F.min("x"), F.max("x")).first()
     if not n:
         return [None] * len(qs)
     # per quantile: [1-based target rank, lo, hi, rows strictly below lo]
     state = {i: [max(1, math.ceil(q * n)), lo, hi, 0] for i, q in enumerate(qs)}
     out: dict[int, float] = {}
-    for _ in range(max_passes):
+    while True:
         for i in [i for i, st in state.items() if st[1] == st[2]]:
             out[i] = state.pop(i)[1]
         if not state:
@@ -91,29 +90,6 @@ def exact_quantiles(df: DataFrame, col: str, qs, *, bins: int = 1024,
                     st[1], st[2], st[3] = row["lo"], row["hi"], cum
                     break
                 cum += row["c"]
-    # Not reached for finite doubles (each pass cuts a width by ``bins``);
-    # kept as a bounded last step.
-    for i, (target, lo, hi, below) in state.items():
-        rest = x.filter(F.col("x").between(lo, hi)).groupBy("x").count()
-        if rest.limit(FALLBACK_MAX_VALUES + 1).count() > FALLBACK_MAX_VALUES:
-            raise RuntimeError(f"quantile search did not converge in [{lo}, {hi}]")
-        cum, out[i] = below, hi
-        for row in rest.orderBy("x").collect():
-            cum += row["count"]
-            if cum >= target:
-                out[i] = row["x"]
-                break
-    return [out[i] for i in range(len(qs))]
-
-
-# distinct values the last step may bring to the driver
-FALLBACK_MAX_VALUES = 100_000
-
-
-def approx_quantile_frame(df: DataFrame, col: str, q: float, accuracy: int = 10000,
-                          alias: str = "q_value") -> DataFrame:
-    """One-row frame with ``percentile_approx(col, q, accuracy)``."""
-    return df.agg(F.percentile_approx(F.col(col), F.lit(q), F.lit(accuracy)).alias(alias))
 
 
 def spike_threshold(df: DataFrame, cost_col: str = "cost_usd_increment", q: float = 0.99,
@@ -130,7 +106,11 @@ def spike_flag(threshold: float | None, cost_col: str = "cost_usd_increment") ->
     return as_flag(F.col(cost_col) > F.lit(threshold))
 
 
+def quantile_name(q: float) -> str:
+    """'p99' for 0.99, 'p99.5' for 0.995: distinct for distinct q."""
+    return f"p{round(q * 100, 10):.12g}"
+
+
 def method_label(q: float, multiplier: float) -> str:
     """'p99_x3' for q = 0.99, ×3."""
-    m = int(multiplier) if float(multiplier).is_integer() else multiplier
-    return f"p{round(q * 100):d}_x{m}"
+    return f"{quantile_name(q)}_x{multiplier:.12g}"

@@ -11,6 +11,7 @@ from __future__ import annotations
 from .sources import standins as S
 
 R1, R2, R3 = "R1_event_id_nulo", "R2_costo_anomalo", "R3_unit_nulo_con_value"
+R0, R4, R5 = "R0_registro_corrupto", "R4_numero_fuera_de_rango", "R5_timestamp_nulo"
 
 
 def _case(expr: str, mapping: dict, default: str | None = None) -> str:
@@ -25,8 +26,7 @@ ORGS = f"""orgs AS (
          r.r_name AS hq_region, c.c_acctbal >= 5000 AS is_enterprise
   FROM customer c
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_custkey % {S.UNMATCHED_ORG_MOD} <> 0)"""
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
 
 BRONZE = f"""ev AS (
   SELECT e.*, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
@@ -34,17 +34,23 @@ BRONZE = f"""ev AS (
   FROM events e),
 bronze AS (
   SELECT CASE WHEN event_id % {S.NULL_EVENT_ID_MOD} = 0 THEN NULL ELSE event_id END AS event_id,
-         ts AS "timestamp",
-         user_id AS org_id,
+         CASE WHEN event_id % {S.NULL_TIME_MOD} = 0 THEN NULL ELSE ts END AS "timestamp",
+         CASE WHEN event_id % {S.UNKNOWN_ORG_MOD} = 0 THEN -user_id ELSE user_id END AS org_id,
          event_type AS resource_id,
-         's' || CAST(k % 4 AS VARCHAR) AS service,
+         CASE WHEN event_id % {S.NULL_SERVICE_MOD} = 0 THEN NULL
+              ELSE 's' || CAST(k % 4 AS VARCHAR) END AS service,
          'r' || CAST(k % 3 AS VARCHAR) AS region,
          metric0 AS metric,
-         CASE WHEN event_id % {S.TEXT_VALUE_MOD} = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS value,
+         CASE WHEN event_id % {S.TEXT_VALUE_MOD} = 0 THEN 'n/a'
+              WHEN event_id % {S.INFINITE_VALUE_MOD} = 0 THEN 'Infinity'
+              ELSE CAST(value AS VARCHAR) END AS value,
          CASE WHEN event_id % {S.NULL_UNIT_MOD} = 0 THEN NULL
               ELSE {_case("metric0", S.UNIT_OF_METRIC, repr(S.DEFAULT_UNIT))} END AS unit,
          CASE WHEN event_id % {S.NULL_COST_MOD} = 0 THEN NULL
               WHEN event_id % {S.NEGATIVE_COST_MOD} = 0 THEN -value
+              WHEN event_id % {S.NAN_COST_MOD} = 0 THEN CAST('NaN' AS DOUBLE)
+              WHEN event_id % {S.TINY_COST_MOD} = 0 THEN CAST({S.TINY_COST!r} AS DOUBLE)
+              WHEN event_id % {S.HUGE_COST_MOD} = 0 THEN CAST({S.HUGE_COST!r} AS DOUBLE)
               ELSE value END AS cost_usd_increment,
          CASE WHEN ts < TIMESTAMP '{S.SCHEMA_V2_FROM}' THEN NULL ELSE 2 END AS schema_version,
          CASE WHEN k % 5 = 0 THEN NULL ELSE k / 1000 END AS carbon_kg,
@@ -63,9 +69,16 @@ def typed(defaults: bool = True, name: str = "typed") -> str:
   FROM bronze)"""
 
 
+def _beyond(c: str) -> str:
+    return f"COALESCE(isnan(CAST({c} AS DOUBLE)) OR abs({c}) >= 1e15, FALSE)"
+
+
 LABEL = f"""CASE WHEN event_id IS NULL THEN '{R1}'
             WHEN COALESCE(cost_usd_increment < -0.01, FALSE) THEN '{R2}'
-            WHEN value_num IS NOT NULL AND unit IS NULL THEN '{R3}' END"""
+            WHEN value_num IS NOT NULL AND unit IS NULL THEN '{R3}'
+            WHEN {_beyond('value_num')} OR {_beyond('cost_usd_increment')} OR {_beyond('carbon_kg')}
+              THEN '{R4}'
+            WHEN "timestamp" IS NULL THEN '{R5}' END"""
 
 
 def labelled(q: float | None = 0.99, mult: float = 3.0, defaults: bool = True,
@@ -77,7 +90,7 @@ labelled AS (SELECT *, {LABEL} AS dq_rule FROM typed)"""
     return f"""{typed(defaults)},
 lab0 AS (SELECT *, {LABEL} AS dq_rule FROM typed),
 thr AS (SELECT percentile_disc({q}) WITHIN GROUP (ORDER BY cost_usd_increment) * {mult} AS t
-        FROM {fit} f WHERE cost_usd_increment IS NOT NULL),
+        FROM {fit} f WHERE isfinite(cost_usd_increment)),
 labelled AS (
   SELECT lab0.*, COALESCE(lab0.cost_usd_increment > thr.t, FALSE) AS cost_spike_flag
   FROM lab0 CROSS JOIN thr)"""
@@ -119,13 +132,14 @@ def silver_v1() -> str:
 
 
 def msum(expr: str, scale: int) -> str:
-    """Exact ``round(sum(x), scale)`` as DOUBLE (matches ``money_sum``)."""
-    return f"CAST(ROUND(SUM(CAST({expr} AS DECIMAL(18,8))), {scale}) AS DOUBLE)"
+    """``round(sum(x), scale)``: a compensated double sum, rounded.  The Spark
+    side sums decimals; both are good to far more digits than are kept."""
+    return f"ROUND(fsum({expr}), {scale})"
 
 
 def tsum(expr: str) -> str:
-    """Exact sum truncated toward zero to BIGINT (matches ``truncated_long_sum``)."""
-    return f"CAST(TRUNC(SUM(CAST({expr} AS DECIMAL(18,8)))) AS BIGINT)"
+    """Sum truncated toward zero: whole micro-units summed as integers."""
+    return f"CAST(SUM(CAST(ROUND({expr} * 1000000) AS HUGEINT)) // 1000000 AS BIGINT)"
 
 
 REQ = "CASE WHEN metric = 'requests' THEN value_num ELSE 0.0 END"
@@ -138,7 +152,7 @@ GOLD_USAGE = f"""gold_usage AS (
          {msum('storage_gb_hours', 4)} AS total_storage_gb_hours,
          CAST(SUM(genai_tokens) AS BIGINT) AS total_genai_tokens,
          {msum('carbon_kg', 6)} AS total_carbon_kg,
-         CAST(COUNT(*) AS INTEGER) AS event_count
+         COUNT(*) AS event_count
   FROM silver GROUP BY org_id, usage_date, service)"""
 
 GOLD_USAGE_V1 = f"""gold_v1 AS (
@@ -147,14 +161,16 @@ GOLD_USAGE_V1 = f"""gold_v1 AS (
          {tsum(REQ)} AS total_requests,
          CAST(SUM(COALESCE(genai_tokens, 0)) AS BIGINT) AS total_genai_tokens,
          {msum('COALESCE(carbon_kg, 0.0)', 6)} AS total_carbon_kg,
-         CAST(COUNT(*) AS INTEGER) AS event_count
+         COUNT(*) AS event_count
   FROM silver_v1 GROUP BY org_id, usage_date, service)"""
 
 _CUR = {s: c for s, (c, _) in S.CURRENCY_OF_STATUS.items()}
 _RATE = {s: r for s, (_, r) in S.CURRENCY_OF_STATUS.items()}
-RATE_SQL = "CASE " + " ".join(f"WHEN o_orderstatus = '{s}' THEN CAST({r} AS DECIMAL(12,6))"
+RATE_SQL = "CASE " + " ".join(f"WHEN o_orderstatus = '{s}' THEN CAST('{r}' AS DOUBLE)"
                               for s, r in _RATE.items()) + " END"
 
+# amounts in 1e-4 units, as whole numbers; an invoice's amount in USD is one
+# double product, and these are summed in whole 1e-8 units
 BILLING = f"""lines AS (
   SELECT l_orderkey,
          SUM(CAST(ROUND(l_extendedprice * 100) AS BIGINT)) AS subtotal_c,
@@ -164,31 +180,37 @@ BILLING = f"""lines AS (
 billing AS (
   SELECT o_orderkey AS invoice_id, o_custkey AS org_id,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-         CAST(subtotal_c AS DOUBLE) / 100 AS subtotal,
-         CASE WHEN credits_u = 0 THEN NULL ELSE CAST(credits_u AS DOUBLE) / 10000 END AS credits,
-         CAST(taxes_u AS DOUBLE) / 10000 AS taxes,
+         CAST(COALESCE(subtotal_c, 0) AS DOUBLE) / 100 AS subtotal,
+         CASE WHEN credits_u <> 0 THEN CAST(credits_u AS DOUBLE) / 10000 END AS credits,
+         CAST(COALESCE(taxes_u, 0) AS DOUBLE) / 10000 AS taxes,
          {_case('o_orderstatus', _CUR)} AS currency,
-         CAST({RATE_SQL} AS DOUBLE) AS exchange_rate_to_usd
-  FROM orders JOIN lines ON o_orderkey = l_orderkey),
+         {RATE_SQL} AS exchange_rate_to_usd,
+         COALESCE(subtotal_c, 0) * 100 - COALESCE(credits_u, 0) + COALESCE(taxes_u, 0) AS net_u,
+         COALESCE(credits_u, 0) AS cred_u, COALESCE(taxes_u, 0) AS tax_u
+  FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey),
 billing_silver AS (
   SELECT b.*, o.org_name, o.plan_tier,
-    (CAST(subtotal AS DECIMAL(18,8)) - COALESCE(CAST(credits AS DECIMAL(18,8)), 0)
-      + COALESCE(CAST(taxes AS DECIMAL(18,8)), 0)) * CAST(exchange_rate_to_usd AS DECIMAL(12,6)) AS revenue_usd_d,
-    CAST(COALESCE(CAST(credits AS DECIMAL(18,8)), 0) AS DECIMAL(24,8))
-      * CAST(exchange_rate_to_usd AS DECIMAL(12,6)) AS credits_usd_d,
-    CAST(COALESCE(CAST(taxes AS DECIMAL(18,8)), 0) AS DECIMAL(24,8))
-      * CAST(exchange_rate_to_usd AS DECIMAL(12,6)) AS taxes_usd_d
+    CAST(net_u AS DOUBLE) / 10000 * exchange_rate_to_usd AS revenue_usd_d,
+    CAST(cred_u AS DOUBLE) / 10000 * exchange_rate_to_usd AS credits_usd_d,
+    CAST(tax_u AS DOUBLE) / 10000 * exchange_rate_to_usd AS taxes_usd_d
   FROM billing b LEFT JOIN orgs o ON b.org_id = o.org_id)"""
 
+
+def usum(expr: str) -> str:
+    """Sum in whole 1e-8 units, rounded half away from zero to cents."""
+    total = f"SUM(CAST(ROUND({expr} * 100000000) AS HUGEINT))"
+    return (f"CAST(sign({total}) * ((abs({total}) + 500000) // 1000000) AS DOUBLE) / 100")
+
+
 GOLD_REVENUE = f"""{ORGS},
 {BILLING},
 gold_revenue AS (
   SELECT org_id, month, MAX(org_name) AS org_name, MAX(plan_tier) AS plan_tier,
-         CAST(ROUND(SUM(revenue_usd_d), 2) AS DOUBLE) AS revenue_usd,
-         {msum('COALESCE(credits, 0.0)', 2)} AS total_credits,
-         {msum('COALESCE(taxes, 0.0)', 2)} AS total_taxes,
-         CAST(ROUND(SUM(credits_usd_d), 2) AS DOUBLE) AS credits_usd,
-         CAST(ROUND(SUM(taxes_usd_d), 2) AS DOUBLE) AS taxes_usd,
+         {usum('revenue_usd_d')} AS revenue_usd,
+         {usum('COALESCE(credits, 0.0)')} AS total_credits,
+         {usum('COALESCE(taxes, 0.0)')} AS total_taxes,
+         {usum('credits_usd_d')} AS credits_usd,
+         {usum('taxes_usd_d')} AS taxes_usd,
          arg_min(currency, invoice_id) AS currency
   FROM billing_silver GROUP BY org_id, month)"""
 
@@ -207,10 +229,10 @@ tickets_silver AS (
 GOLD_TICKETS = f"""{TICKETS},
 gold_tickets AS (
   SELECT org_id, ticket_date, severity,
-         CAST(COUNT(*) AS INTEGER) AS ticket_count,
-         CAST(SUM(CASE WHEN is_critical THEN 1 ELSE 0 END) AS INTEGER) AS critical_count,
-         ROUND(AVG(CASE WHEN sla_breached THEN 1.0 ELSE 0.0 END), 4) AS sla_breach_rate,
-         ROUND(AVG(csat), 2) AS avg_csat
+         COUNT(*) AS ticket_count,
+         COUNT(*) FILTER (WHERE is_critical) AS critical_count,
+         ROUND(COUNT(*) FILTER (WHERE sla_breached) / COUNT(*), 4) AS sla_breach_rate,
+         ROUND(SUM(CAST(csat AS BIGINT)) / COUNT(csat), 2) AS avg_csat
   FROM tickets_silver GROUP BY org_id, ticket_date, severity)"""
 
 GOLD_TOKENS = f"""gold_tokens AS (
@@ -221,13 +243,12 @@ GOLD_TOKENS = f"""gold_tokens AS (
 
 
 def gold_anomaly(q: float, mult: float) -> str:
-    m = int(mult) if float(mult).is_integer() else mult
     return f"""gold_anomaly AS (
   SELECT org_id, usage_date, service, MAX(org_name) AS org_name,
-         CAST(COUNT(*) AS INTEGER) AS spike_event_count,
+         COUNT(*) AS spike_event_count,
          ROUND(MAX(cost_usd_increment), 4) AS max_cost_usd,
-         ROUND(AVG(cost_usd_increment), 4) AS avg_cost_usd,
-         'p{round(q * 100)}_x{m}' AS anomaly_method,
+         ROUND(fsum(cost_usd_increment) / COUNT(cost_usd_increment), 4) AS avg_cost_usd,
+         'p{q * 100:g}_x{mult:g}' AS anomaly_method,
          TRUE AS is_anomaly
   FROM silver WHERE cost_spike_flag GROUP BY org_id, usage_date, service)"""
 

@@ -1,14 +1,14 @@
 """DuckDB SQL for each registered query that SQL can express.
 
 Streaming queries are checked against the batch SQL of what the stream must
-produce; ``layer_size_report`` (byte sizes) has no SQL form.
+produce.
 """
 
 from __future__ import annotations
 
 from . import catalog as C
 from .oracle import (BRONZE, GOLD_REVENUE, GOLD_TICKETS, GOLD_TOKENS, GOLD_USAGE,
-                     GOLD_USAGE_V1, ORGS, R1, R2, R3, TICKETS, gold_anomaly, labelled,
+                     GOLD_USAGE_V1, ORGS, R0, TICKETS, gold_anomaly, labelled,
                      msum, silver, silver_v1, silver_v1_ctes, typed, with_)
 from .sources import standins as S
 
@@ -40,7 +40,20 @@ sql("sink_partitioned_overwrite", USAGE_MART + "SELECT * FROM gold_usage")
 sql("lineage_columns", """
 SELECT c_custkey, c_name, 'customer.parquet' AS source_name, TRUE AS has_ingest_ts FROM customer""")
 
-sql("empty_mart_safe", with_(silver(0.99, 3.0), gold_anomaly(0.99, 3.0)) +
+_line_bytes = "CAST(COALESCE(SUM(octet_length(encode(concat_ws('|', {cols}))) + 1), 0) AS BIGINT)"
+
+
+def _layer_bytes(layer: str, cols: str, frm: str) -> str:
+    b = _line_bytes.format(cols=cols)
+    return f"SELECT '{layer}' AS layer, {b} AS bytes, ROUND({b} / (1024 * 1024), 2) AS mb FROM {frm}"
+
+
+sql("layer_size_report", with_(silver(None), GOLD_USAGE) + "\nUNION ALL\n".join([
+    _layer_bytes("bronze", "event_id, org_id, service, metric, value, unit", "bronze"),
+    _layer_bytes("quarantine", "dq_rule, event_id, org_id, value", "labelled WHERE dq_rule IS NOT NULL"),
+    _layer_bytes("gold", "org_id, usage_date, service, event_count", "gold_usage")]))
+
+sql("empty_mart_safe", with_(silver(*C.EMPTY_SPIKE), gold_anomaly(*C.EMPTY_SPIKE)) +
     "SELECT * FROM gold_anomaly")
 
 # ---------------------------------------------------------------- projections / rules
@@ -67,21 +80,51 @@ UNION ALL
 SELECT 'input' AS side, NULL AS dq_rule, COUNT(*) AS rows FROM labelled""")
 
 sql("quarantine_preview", with_(BRONZE, labelled(None)) + f"""
-SELECT dq_rule, event_id, "timestamp", org_id, cost_usd_increment, value, unit
+SELECT dq_rule, "timestamp", org_id, resource_id, event_id, value, unit, cost_usd_increment
 FROM labelled WHERE dq_rule IS NOT NULL
-ORDER BY dq_rule, "timestamp", org_id, resource_id LIMIT {C.PREVIEW_ROWS}""")
+ORDER BY {', '.join(c + ' NULLS FIRST' for c in ('dq_rule', '"timestamp"', 'org_id', 'resource_id',
+          'event_id', 'value', 'unit', 'cost_usd_increment'))} LIMIT {C.PREVIEW_ROWS}""")
 
 _qcols = ", ".join(
     f"(SELECT percentile_disc({q}) WITHIN GROUP (ORDER BY cost_usd_increment) FROM typed "
-    f"WHERE cost_usd_increment IS NOT NULL) AS p{round(q * 100)}" for q in C.QUANTILES)
+    f"WHERE isfinite(cost_usd_increment)) AS p{q * 100:g}" for q in C.QUANTILES)
 sql("cost_quantiles", with_(BRONZE, typed(True)) + f"""
 SELECT COUNT(cost_usd_increment) AS n, MIN(cost_usd_increment) AS min_cost,
        MAX(cost_usd_increment) AS max_cost, {_qcols}
-FROM typed""")
+FROM typed WHERE isfinite(cost_usd_increment)""")
 
 sql("cost_spike_flag", with_(BRONZE, labelled(*C.ANOMALY_SPIKE)) +
     "SELECT event_id, cost_usd_increment, dq_rule, cost_spike_flag FROM labelled")
 
+sql("cost_spike_flag_clean_fit", with_(BRONZE, labelled(*C.ANOMALY_SPIKE, fit_on="clean")) +
+    "SELECT event_id, dq_rule, cost_spike_flag FROM labelled")
+
+# a cut line keeps its first 30 characters; a line whose time is no time keeps
+# all of it, {"event_id":N,"timestamp":"not a time", ...}
+_ts = """strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') || 'Z'"""
+sql("corrupt_rows_quarantine", with_(BRONZE, labelled(None)) + f""",
+lines AS (
+  SELECT *, CASE WHEN event_id % {S.CUT_LINE_MOD} = 0 THEN 'cut'
+                 WHEN event_id % {S.BAD_TIME_MOD} = 0 AND "timestamp" IS NOT NULL THEN 'time' END AS broken
+  FROM labelled)
+SELECT CASE WHEN broken IS NOT NULL THEN '{R0}' ELSE dq_rule END AS dq_rule, COUNT(*) AS rows,
+       SUM(CASE WHEN broken = 'cut' THEN 30
+                WHEN broken = 'time' THEN length(concat('{{', concat_ws(',',
+                  '"event_id":' || event_id, '"timestamp":"not a time"', '"org_id":' || org_id,
+                  '"resource_id":"' || resource_id || '"', '"service":"' || service || '"',
+                  '"region":"' || region || '"', '"metric":"' || metric || '"',
+                  '"value":"' || value || '"', '"unit":"' || unit || '"',
+                  '"cost_usd_increment":' || CASE WHEN isnan(cost_usd_increment) THEN '"NaN"'
+                    WHEN cost_usd_increment = {S.TINY_COST!r} THEN '4.0E-9'
+                    WHEN cost_usd_increment = {S.HUGE_COST!r} THEN '2.0E10'
+                    ELSE CAST(cost_usd_increment AS VARCHAR) END,
+                  '"schema_version":' || raw_version,
+                  '"carbon_kg":' || CAST(raw_carbon AS VARCHAR),
+                  '"genai_tokens":' || raw_tokens), '}}')) END) AS corrupt_chars
+FROM (SELECT l.*, b.schema_version AS raw_version, b.carbon_kg AS raw_carbon, b.genai_tokens AS raw_tokens
+      FROM lines l LEFT JOIN bronze b ON l.event_id = b.event_id)
+GROUP BY 1""")
+
 # ---------------------------------------------------------------- joins
 sql("enrich_left_join", with_(ORGS, BRONZE, labelled(None)) + """
 SELECT l.event_id, l."timestamp", l.org_id, o.org_name, o.plan_tier
@@ -96,7 +139,7 @@ FROM bronze b LEFT JOIN reg r ON b.resource_id = r.resource_id AND b.org_id = r.
 _BILLING_ONLY = GOLD_REVENUE[:GOLD_REVENUE.index(",\ngold_revenue AS")]
 sql("silver_revenue_usd", with_(_BILLING_ONLY) + """
 SELECT invoice_id, org_id, month, org_name, plan_tier, currency, subtotal, credits, taxes,
-       exchange_rate_to_usd, CAST(ROUND(revenue_usd_d, 6) AS DOUBLE) AS revenue_usd
+       exchange_rate_to_usd, ROUND(revenue_usd_d, 8) AS revenue_usd
 FROM billing_silver""")
 
 sql("ticket_features", with_(TICKETS) + """
@@ -113,7 +156,8 @@ sql("upsert_by_key", with_(
 SELECT * FROM second_load
 UNION ALL
 SELECT f.* FROM first_load f ANTI JOIN second_load s
-  ON f.org_id = s.org_id AND f.usage_date = s.usage_date AND f.service = s.service""")
+  ON f.org_id IS NOT DISTINCT FROM s.org_id AND f.usage_date IS NOT DISTINCT FROM s.usage_date
+     AND f.service IS NOT DISTINCT FROM s.service""")
 
 # ---------------------------------------------------------------- dedupe
 sql("dedupe_natural_key", f"""
@@ -174,7 +218,8 @@ UNION ALL SELECT 'tokens_day', COUNT(*), {msum('estimated_cost_usd', 2)} FROM go
 
 # ---------------------------------------------------------------- serving
 sql("serve_usage_range", USAGE_MART + f"""
-SELECT usage_date, service, total_cost_usd, total_requests, event_count FROM gold_usage
+SELECT usage_date, service, COALESCE(total_cost_usd, 0) AS total_cost_usd, total_requests,
+       event_count FROM gold_usage
 WHERE org_id = {C.ORG} AND usage_date BETWEEN {_d(C.V1_RANGE[0])} AND {_d(C.V1_RANGE[1])}
 ORDER BY usage_date, service""")
 
@@ -217,8 +262,6 @@ FROM gold_usage"""
 sql("serving_null_policy", USAGE_MART + _NULL_POLICY)
 sql("serving_layout_sorted", USAGE_MART + _NULL_POLICY)
 
-__all__ = ["ORACLE", "R1", "R2", "R3", "S"]
-
 # ---------------------------------------------------------------- streaming
 # In-order feed with next-day re-deliveries: the stream must give back the
 # feed exactly once per id (rows without id kept as they are) = bronze.
@@ -233,17 +276,17 @@ SELECT COUNT(*) AS rows_after_rerun, COUNT(DISTINCT event_id) AS distinct_ids,
 sql("stream_rebuild_equals_batch", with_(BRONZE) + f"""
 SELECT CAST("timestamp" AS DATE) AS usage_date,
        COUNT(*) AS stream_rows, COUNT(DISTINCT event_id) AS stream_ids,
-       {msum('cost_usd_increment', 2)} AS stream_cost,
+       {msum('CASE WHEN NOT isnan(cost_usd_increment) THEN cost_usd_increment END', 2)} AS stream_cost,
        COUNT(*) AS batch_rows, COUNT(DISTINCT event_id) AS batch_ids,
-       {msum('cost_usd_increment', 2)} AS batch_cost
+       {msum('CASE WHEN NOT isnan(cost_usd_increment) THEN cost_usd_increment END', 2)} AS batch_cost
 FROM bronze GROUP BY 1""")
 
 # the serving load applies the serving null policy to what it merges
 sql("stream_serving_upsert",
     _NULL_POLICY.replace("FROM gold_usage", f"FROM ({ORACLE['upsert_by_key']}) AS upserted"))
 
-sql("stream_serving_all_marts", with_(silver(*C.REFERENCE_SPIKE), GOLD_USAGE,
-                                      gold_anomaly(*C.REFERENCE_SPIKE), GOLD_TOKENS,
+sql("stream_serving_all_marts", with_(silver(*C.EMPTY_SPIKE), GOLD_USAGE,
+                                      gold_anomaly(*C.EMPTY_SPIKE), GOLD_TOKENS,
                                       GOLD_REVENUE.replace(ORGS + ",", ""), GOLD_TICKETS) + f"""
 SELECT 'daily_usage' AS mart, COUNT(*) AS rows, {msum('total_cost_usd', 2)} AS total FROM gold_usage
 UNION ALL SELECT 'revenue_month', COUNT(*), {msum('revenue_usd', 2)} FROM gold_revenue
@@ -251,23 +294,26 @@ UNION ALL SELECT 'cost_anomaly', COUNT(*), {msum('max_cost_usd', 2)} FROM gold_a
 UNION ALL SELECT 'tickets_day', COUNT(*), {msum('ticket_count', 2)} FROM gold_tickets
 UNION ALL SELECT 'tokens_day', COUNT(*), {msum('estimated_cost_usd', 2)} FROM gold_tokens""")
 
-# Files of 5 days, one per trigger, in LATE_FILE_ORDER.  The watermark of batch b is
-# the latest event time of batches before b minus 2 days; id-carrying rows
-# older than it are dropped (rows without id bypass the dedupe).
+# Groups of 5 days (NULL: rows without a time), one per trigger, in order but
+# for LATE_GROUP, which comes last.  The watermark of batch b is the latest
+# event time of batches before b minus 2 days; rows with id and time that are
+# older are dropped.
 sql("late_rows_report", with_(BRONZE) + f""",
 f AS (SELECT *, CAST(floor(datediff('day', DATE '{S.FEED_START}', CAST("timestamp" AS DATE))
                      / {C.LATE_DAYS_PER_FILE}) AS INTEGER) AS file_no FROM bronze),
-b AS (SELECT f.*, CASE file_no {' '.join(f'WHEN {n} THEN {i}' for i, n in enumerate(C.LATE_FILE_ORDER))} END AS batch FROM f),
-mx AS (SELECT batch, MAX("timestamp") AS mx FROM b GROUP BY batch),
-wm AS (SELECT batch, MAX(mx) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
-                                   AND 1 PRECEDING) - INTERVAL 2 DAY AS wm FROM mx),
-t AS (SELECT b.file_no,
-             COALESCE(b.event_id IS NOT NULL AND b."timestamp" < wm.wm, FALSE) AS late
-      FROM b JOIN wm USING (batch))
+mx AS (SELECT file_no, COALESCE(file_no = {C.LATE_GROUP}, FALSE) AS last, MAX("timestamp") AS mx
+       FROM f GROUP BY file_no),
+wm AS (SELECT file_no, MAX(mx) OVER (ORDER BY last, file_no NULLS FIRST
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                       - INTERVAL 2 DAY AS wm FROM mx),
+t AS (SELECT f.file_no, COALESCE(f.event_id IS NOT NULL AND f."timestamp" < wm.wm, FALSE) AS late
+      FROM f JOIN wm ON f.file_no IS NOT DISTINCT FROM wm.file_no)
 SELECT file_no, COUNT(*) AS rows_in, COUNT(*) FILTER (WHERE NOT late) AS rows_kept,
        COUNT(*) FILTER (WHERE late) AS rows_late
 FROM t GROUP BY file_no""")
 
+sql("late_rows_backfill", with_(BRONZE) + f"SELECT {_EVENT_COLS} FROM bronze")
+
 # ---------------------------------------------------------------- materialised layers
 sql("bronze_csv_table", """
 WITH raw AS (
@@ -279,25 +325,57 @@ SELECT org_id, org_name, plan_tier, acctbal FROM (
   SELECT *, row_number() OVER (PARTITION BY org_id ORDER BY acctbal DESC) AS rn FROM raw)
 WHERE rn = 1""")
 
+# events whose landing line is broken have no id or time in bronze; they are in
+# quarantine under R0
+_BROKEN = f"""(COALESCE(event_id % {S.CUT_LINE_MOD} = 0, FALSE) OR
+              COALESCE(event_id % {S.BAD_TIME_MOD} = 0 AND "timestamp" IS NOT NULL, FALSE))"""
+_MASTERS = {"customers_orgs": "customer", "users": "customer", "billing_monthly": "orders",
+            "resources": "(SELECT DISTINCT event_type, user_id FROM events WHERE value > 100)",
+            "support_tickets": "orders", "marketing_touches": "orders",
+            "nps_surveys": "(SELECT * FROM customer UNION ALL SELECT * FROM customer)"}
+sql("bronze_masters_counts", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS rows, COUNT(*) AS distinct_keys, "
+    f"CAST(0 AS BIGINT) AS corrupt_rows FROM {frm}" for name, frm in _MASTERS.items()))
+
+
+def _built_layers() -> str:
+    """CTEs of every layer of the build.  The threshold is fitted on the costs
+    that bronze holds: a cut line has none."""
+    q, m = C.REFERENCE_SPIKE
+    text = silver(q, m)
+    text = text.replace("labelled AS (\n", "labelled0 AS (\n")
+    text = text.replace("WHERE isfinite(cost_usd_increment)),",
+                        f"WHERE isfinite(cost_usd_increment) AND NOT COALESCE(event_id % {S.CUT_LINE_MOD} = 0, FALSE)),")
+    head, tail = text.split("silver AS (", 1)
+    return (head + f"""labelled AS (SELECT * REPLACE (CASE WHEN {_BROKEN} THEN '{R0}' ELSE dq_rule END AS dq_rule)
+             FROM labelled0),
+silver AS (""" + tail)
+
+
 _LAYER_COUNTS = [
+    *[(f"bronze/{name}", frm, "") for name, frm in _MASTERS.items()],
     ("bronze/usage_events", "bronze", ""),
     ("silver/quarantine", "labelled", "WHERE dq_rule IS NOT NULL"),
     ("silver/usage_events_clean", "silver", ""),
     ("silver/support_tickets_clean", "tickets_silver", ""),
     ("silver/billing_monthly_clean", "billing_silver", ""),
-    ("gold/daily_usage", "gold_usage", ""),
-    ("gold/revenue_month", "gold_revenue", ""),
-    ("gold/cost_anomaly", "gold_anomaly", ""),
-    ("gold/tickets_day", "gold_tickets", ""),
-    ("gold/tokens_day", "gold_tokens", ""),
-    ("serving/daily_usage", "gold_usage", ""),
-    ("serving/revenue_month", "gold_revenue", ""),
-    ("serving/cost_anomaly", "gold_anomaly", ""),
-    ("serving/tickets_day", "gold_tickets", ""),
-    ("serving/tokens_day", "gold_tokens", ""),
+    *[(f"{layer}/{name}", cte, "") for layer in ("gold", "serving") for name, cte in (
+        ("daily_usage", "gold_usage"), ("revenue_month", "gold_revenue"),
+        ("cost_anomaly", "gold_anomaly"), ("tickets_day", "gold_tickets"),
+        ("tokens_day", "gold_tokens"))],
 ]
-sql("lake_build_counts", with_(silver(*C.REFERENCE_SPIKE), GOLD_USAGE,
-                               gold_anomaly(*C.REFERENCE_SPIKE), GOLD_TOKENS,
-                               GOLD_REVENUE.replace(ORGS + ",", ""), GOLD_TICKETS) +
-    "\nUNION ALL\n".join(f"SELECT '{name}' AS layer, COUNT(*) AS rows FROM {cte} {cond}"
-                         for name, cte, cond in _LAYER_COUNTS))
+_BUILT = with_(_built_layers(), GOLD_USAGE, gold_anomaly(*C.REFERENCE_SPIKE), GOLD_TOKENS,
+               GOLD_REVENUE.replace(ORGS + ",", ""), GOLD_TICKETS)
+sql("lake_build_counts", _BUILT + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS layer, COUNT(*) AS rows FROM {cte} {cond}" for name, cte, cond in _LAYER_COUNTS))
+
+_TOTALS = [("daily_usage", "gold_usage", msum("total_cost_usd", 2)),
+           ("revenue_month", "gold_revenue", msum("revenue_usd", 2)),
+           ("cost_anomaly", "gold_anomaly", msum("max_cost_usd", 2)),
+           ("tickets_day", "gold_tickets", "CAST(SUM(ticket_count) AS DOUBLE)"),
+           ("tokens_day", "gold_tokens", msum("estimated_cost_usd", 2))]
+sql("gold_reproducibility", _BUILT + "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS mart, '{side}' AS side, COUNT(*) AS rows, {total} AS total FROM {cte}"
+    if side != "differing" else
+    f"SELECT '{name}' AS mart, '{side}' AS side, CAST(0 AS BIGINT) AS rows, CAST(NULL AS DOUBLE) AS total"
+    for name, cte, total in _TOTALS for side in ("first", "second", "differing")))

@@ -1,18 +1,17 @@
 """Serving layer: key-addressed tables over Parquet and the user questions.
 
 A wide-column store addresses rows by a partition key plus ordered
-clustering columns.  The Parquet equivalent used here is a two-level folder
-layout plus sorted files:
+clustering columns.  The Parquet equivalent used here is a folder layout plus
+sorted files:
 
 * ``period`` = the mart's date column truncated to a coarse grain (month for
-  daily marts, year for monthly or sparse ones), then ``bucket_count`` (the
-  table's number of org buckets, sized from its rows when it is first
-  written, at most 64) and
-  ``key_bucket = pmod(xxhash64(org_id), bucket_count)`` (a folder per org
-  would explode into millions of folders at scale).  Because the count is a
-  folder value, a lookup computes its bucket from the table itself:
-  ``key_bucket = pmod(xxhash64(org), bucket_count)`` is a predicate on
-  partition columns only, evaluated per folder;
+  daily marts, year for monthly or sparse ones), then ``bucket_count`` and
+  ``key_bucket = pmod(xxhash64(org_id), bucket_count)`` (a folder per org would
+  explode into millions of folders at scale).  The count comes from bytes, one
+  bucket per ``BUCKET_BYTES``, without a ceiling; it is a folder level of each
+  period, so a new period may take a new count while old ones keep theirs, and
+  a lookup needs no outside parameter: it compares each folder's bucket with
+  the org's bucket for that folder's count;
 * rows sorted inside each file by the full primary key, so Parquet row-group
   min/max statistics prune on ``org_id`` and the clustering columns.
 
@@ -22,8 +21,10 @@ the period range (both partition pruning) to the key and date predicates
 so a key-merge rewrites those (period, bucket) folders and leaves the
 history alone (see ``streaming.serving``).
 
-The questions (V1–V7) are plain DataFrame queries over a gold or serving
-frame; filters sit directly on the scan so Catalyst pushes them down.
+Every row carries ``load_seq``, the number of the load that brought it: of two
+rows with one key the later load's stays.
+
+The questions (V1–V7) are plain DataFrame queries over a serving table.
 """
 
 from __future__ import annotations
@@ -32,15 +33,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
 
 from ..functions.columns import money_sum
+from ..sources import readers
+from ..sources.files import bytes_of
 from ..sources.writers import write_partitioned
 
-DEFAULT_BUCKETS = 64
-# a table gets one bucket per this many rows, rounded up to a power of two,
-# at most DEFAULT_BUCKETS
-ROWS_PER_BUCKET = 1_000_000
+# Parquet bytes of one (period, bucket) folder, about
+BUCKET_BYTES = 256 * 1024 * 1024
+LOAD_SEQ = "load_seq"
 PERIOD = "period"
 BUCKET_COUNT = "bucket_count"
 BUCKET = "key_bucket"
@@ -67,6 +69,7 @@ class ServingSpec:
         return ((PERIOD,) if self.time_col else ()) + (BUCKET_COUNT, BUCKET)
 
 
+# ---- fixed values: names and keys of the serving tables
 SERVING = {
     "daily_usage": ServingSpec("org_daily_usage_by_service", ("org_id", "usage_date"), ("service",),
                                ("total_cost_usd", "total_requests", "total_cpu_hours",
@@ -88,9 +91,10 @@ SERVING = {
 }
 
 
-def key_bucket(org: Column | str, buckets: int = DEFAULT_BUCKETS) -> Column:
+def key_bucket(org: Column | str, buckets: int | Column) -> Column:
     c = F.col(org) if isinstance(org, str) else org
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+    n = buckets if isinstance(buckets, Column) else F.lit(buckets)
+    return F.pmod(F.xxhash64(c), n).cast("int")
 
 
 def period_of(day: Column | str, grain: str) -> Column:
@@ -99,25 +103,28 @@ def period_of(day: Column | str, grain: str) -> Column:
 
 
 def serving_schema(mart_schema: StructType, spec: ServingSpec) -> StructType:
-    """The mart's columns plus the layout columns, declared (empty table reads as 0 rows)."""
+    """The mart's columns, the load number and the layout columns, declared (an
+    empty table reads as 0 rows)."""
     extra = [StructField(PERIOD, DateType(), True)] if spec.time_col else []
-    return StructType(list(mart_schema.fields) + extra
+    fields = [f for f in mart_schema.fields if f.name != LOAD_SEQ]
+    return StructType(fields + [StructField(LOAD_SEQ, LongType(), True)] + extra
                       + [StructField(BUCKET_COUNT, IntegerType(), True),
                          StructField(BUCKET, IntegerType(), True)])
 
 
-def with_layout(df: DataFrame, spec: ServingSpec, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    cols = {BUCKET_COUNT: F.lit(buckets).cast("int"),
-            BUCKET: key_bucket(spec.partition_key[0], buckets)}
+def with_layout(df: DataFrame, spec: ServingSpec, buckets: int | Column) -> DataFrame:
+    """Layout columns; ``buckets`` may be an expression over ``period``."""
     if spec.time_col:
-        cols = {PERIOD: period_of(spec.time_col, spec.period_grain), **cols}
-    return df.withColumns(cols)
+        df = df.withColumn(PERIOD, period_of(spec.time_col, spec.period_grain))
+    n = buckets if isinstance(buckets, Column) else F.lit(buckets)
+    df = df.withColumn(BUCKET_COUNT, n.cast("int"))
+    return df.withColumn(BUCKET, key_bucket(spec.partition_key[0], F.col(BUCKET_COUNT)))
 
 
-def buckets_for(rows: int) -> int:
-    """Org buckets for a table of ``rows`` rows: a power of two, 1 to 64."""
+def buckets_for(size: int, periods: int = 1) -> int:
+    """Org buckets of a period for ``size`` Parquet bytes over ``periods``: a power of two."""
     b = 1
-    while b < DEFAULT_BUCKETS and b * ROWS_PER_BUCKET < rows:
+    while b * BUCKET_BYTES * max(1, periods) < size:
         b *= 2
     return b
 
@@ -129,17 +136,27 @@ def null_policy(df: DataFrame, spec: ServingSpec) -> DataFrame:
                            for c in spec.zero_if_null if c in types})
 
 
-def write_serving(df: DataFrame, path: str, spec: ServingSpec,
-                  buckets: int | None = None, *, dynamic: bool = False) -> str:
-    """Write a serving table; ``buckets`` defaults to ``buckets_for`` its row
-    count (one counting job; pass it when the size is known)."""
-    if buckets is None:
-        buckets = buckets_for(df.count())
-    out = with_layout(null_policy(df, spec), spec, buckets)
+def write_serving(df: DataFrame, path: str, spec: ServingSpec, buckets: int = 1, *,
+                  load_seq: int = 0, dynamic: bool = False) -> str:
+    """Write a serving table with ``buckets`` org buckets a period."""
+    out = with_layout(null_policy(df, spec).withColumn(LOAD_SEQ, F.lit(load_seq).cast("long")),
+                      spec, buckets)
     return write_partitioned(out, path, list(spec.layout), dynamic=dynamic,
                              sort_by=list(spec.primary_key))
 
 
+def serve(gold_path: str, mart: DataFrame, path: str, spec: ServingSpec) -> DataFrame:
+    """The serving table of a written gold mart, written to ``path`` and opened.
+
+    Buckets come from the bytes of the gold files, so sizing costs no job.
+    ``mart`` gives the schema only.
+    """
+    spark = mart.sparkSession
+    gold = readers.read_parquet(spark, gold_path, mart.schema)
+    write_serving(gold, path, spec, buckets_for(bytes_of(spark, gold_path)))
+    return readers.read_parquet(spark, path, serving_schema(mart.schema, spec))
+
+
 def lookup(serving: DataFrame, org_value, org_col: str = "org_id", *,
            date_from: str | None = None, date_to: str | None = None,
            grain: str | None = None) -> DataFrame:

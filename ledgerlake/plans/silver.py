@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import MONEY, RATE, try_double
+from ..functions.columns import MONEY, to_money, try_double
 from ..operators import quality
 from ..operators.enrich import left_enrich, left_flag
 from ..operators.quantiles import spike_flag, spike_threshold
-from ..specs import SILVER_USAGE_COLUMNS, SILVER_USAGE_V1_COLUMNS
+from ..specs import CORRUPT, SILVER_USAGE_COLUMNS
 
 # ---- fixed values: schema-evolution defaults for v1 events ----------------
 DEFAULT_SCHEMA_VERSION = 1
@@ -23,7 +23,6 @@ DEFAULT_GENAI_TOKENS = 0
 # metrics pivoted to their own measure columns
 CPU_METRIC = "cpu_hours"
 STORAGE_METRIC = "storage_gb_hours"
-REQUESTS_METRIC = "requests"
 # ticket severities counted as critical
 CRITICAL_SEVERITIES = ("critical", "high")
 # ---------------------------------------------------------------------------
@@ -54,7 +53,8 @@ def labelled_events(bronze: DataFrame, *, spike_q: float | None = 0.99,
     the rules.
     """
     typed = typed_events(bronze, defaults=defaults)
-    out = quality.label(typed, quality.usage_rules())
+    corrupt = CORRUPT if CORRUPT in bronze.columns else None
+    out = quality.label(typed, quality.usage_rules(corrupt_col=corrupt))
     if spike_q is not None:
         fit = out if fit_on == "all" else out.filter(F.col("dq_rule").isNull())
         thr = spike_threshold(fit, "cost_usd_increment", spike_q, spike_multiplier)
@@ -72,25 +72,21 @@ def metric_features(df: DataFrame) -> DataFrame:
 
 
 def silver_usage(clean: DataFrame, orgs: DataFrame, resources: DataFrame | None = None,
-                 *, keep_resource_flag: bool = False) -> DataFrame:
+                 *, keep_resource_flag: bool = False, orgs_bytes: int | None = None,
+                 resources_bytes: int | None = None) -> DataFrame:
     """Clean events ⟕ orgs (name, plan) [⟕ resources], metric pivot, fixed columns."""
-    out = left_enrich(clean, orgs, ["org_id"], ["org_name", "plan_tier"])
+    out = left_enrich(clean, orgs, ["org_id"], ["org_name", "plan_tier"], dim_bytes=orgs_bytes)
     # without a spike threshold (marts that do not use it) the flag is absent
     cols = [c for c in SILVER_USAGE_COLUMNS
             if c != "cost_spike_flag" or "cost_spike_flag" in clean.columns]
     if resources is not None:
-        out = left_flag(out, resources, ["resource_id", "org_id"], "resource_known")
+        out = left_flag(out, resources, ["resource_id", "org_id"], "resource_known",
+                        dim_bytes=resources_bytes)
         if keep_resource_flag:
             cols.append("resource_known")
     return metric_features(out).select(*cols)
 
 
-def silver_usage_v1(clean: DataFrame, orgs: DataFrame) -> DataFrame:
-    """Midterm silver: org enrichment only, no defaults, no pivot, no flag."""
-    out = left_enrich(clean, orgs, ["org_id"], ["org_name", "plan_tier"])
-    return out.select(*SILVER_USAGE_V1_COLUMNS)
-
-
 def ticket_features(tickets: DataFrame) -> DataFrame:
     return tickets.withColumns({
         "ticket_date": F.to_date("created_at"),
@@ -99,22 +95,29 @@ def ticket_features(tickets: DataFrame) -> DataFrame:
 
 
 def revenue_amounts(billing: DataFrame) -> DataFrame:
-    """(subtotal − credits + taxes) × rate, exact; plus credits/taxes in USD.
+    """(subtotal − credits + taxes) × rate, plus credits/taxes in USD.
 
-    Credits and taxes stay in invoice currency (as the reference keeps them);
-    ``credits_usd`` / ``taxes_usd`` are the converted amounts.
+    The difference is exact; the product with the whole rate is one double
+    multiplication per invoice, so its value does not depend on the order of
+    anything, and it is summed as DECIMAL.  Credits and taxes stay in invoice
+    currency; ``credits_usd_d`` / ``taxes_usd_d`` are the converted amounts.
     """
-    sub = F.col("subtotal").cast(MONEY)
-    cred = F.coalesce(F.col("credits").cast(MONEY), F.lit(0).cast(MONEY))
-    tax = F.coalesce(F.col("taxes").cast(MONEY), F.lit(0).cast(MONEY))
-    rate = F.col("exchange_rate_to_usd").cast(RATE)
+    zero = F.lit(0).cast(MONEY)
+    cred, tax = (F.coalesce(to_money(c), zero) for c in ("credits", "taxes"))
+    net = to_money("subtotal") - cred + tax
     return billing.withColumns({
-        "revenue_usd_d": (sub - cred + tax) * rate,
-        "credits_usd_d": cred * rate,
-        "taxes_usd_d": tax * rate,
-    })
+        name: (amount.cast("double") * F.col("exchange_rate_to_usd")).cast(MONEY)
+        for name, amount in (("revenue_usd_d", net), ("credits_usd_d", cred), ("taxes_usd_d", tax))})
+
+
+def labelled_billing(billing: DataFrame) -> DataFrame:
+    """Invoices with ``dq_rule`` for amounts or rates no sum can hold."""
+    return quality.label(billing, quality.amount_rules(
+        ["subtotal", "credits", "taxes", "exchange_rate_to_usd"]))
 
 
-def revenue_usd(billing: DataFrame, orgs: DataFrame) -> DataFrame:
-    """Silver billing: revenue amounts ⟕ orgs (name, plan)."""
-    return left_enrich(revenue_amounts(billing), orgs, ["org_id"], ["org_name", "plan_tier"])
+def revenue_usd(billing: DataFrame, orgs: DataFrame, *, orgs_bytes: int | None = None) -> DataFrame:
+    """Silver billing: clean invoices' revenue amounts ⟕ orgs (name, plan)."""
+    clean, _ = quality.split(labelled_billing(billing))
+    return left_enrich(revenue_amounts(clean.drop("dq_rule")), orgs, ["org_id"],
+                       ["org_name", "plan_tier"], dim_bytes=orgs_bytes)

@@ -55,8 +55,10 @@ def build_session(master: str | None = None, app: str = "ledgerlake",
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL settings that may change on a running session."""
+    """Apply the SQL settings that may change on a running session (the state
+    store too: streams started on a caller's session keep state in RocksDB)."""
     for k in ("spark.sql.session.timeZone",
+              "spark.sql.streaming.stateStore.providerClass",
               "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.coalescePartitions.enabled",
               "spark.sql.adaptive.skewJoin.enabled",
@@ -68,13 +70,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def lake_root(spark: SparkSession) -> str:
     """The shared folder all layers and checkpoints go to.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); set a
-    private scratch folder only when the session has none, as in tests.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).  A
+    session without one gets a private scratch folder in local mode, as in
+    tests; on a cluster other machines could not read it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder all machines of {master} share")
         root = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

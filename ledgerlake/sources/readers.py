@@ -4,25 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..specs import TableSpec
+from ..specs import CORRUPT, TableSpec
 
 
 def _schema_of(spec: TableSpec | StructType) -> StructType:
     return spec.schema if isinstance(spec, TableSpec) else spec
 
 
+def with_corrupt(spec: TableSpec | StructType) -> StructType:
+    """The schema plus the column that keeps the text of unparsable records."""
+    schema = _schema_of(spec)
+    if CORRUPT in schema.fieldNames():
+        return schema
+    return StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
+
+
 def read_csv(spark: SparkSession, path: str, spec: TableSpec | StructType, *,
              header: bool = True, check_header: bool = True,
-             mode: str = "PERMISSIVE") -> DataFrame:
+             mode: str = "PERMISSIVE", keep_corrupt: bool = False) -> DataFrame:
     """CSV with header and a declared schema.
 
     With ``check_header`` the header names must match the declared columns
     (``enforceSchema=false``); otherwise CSV binds columns by position and a
-    six-column schema over a seven-column file silently shifts values.
+    six-column schema over a seven-column file silently shifts values.  With
+    ``keep_corrupt`` a record that does not fit the schema keeps its text in
+    ``_corrupt_record`` instead of turning into NULLs unseen.
     """
-    return (spark.read.schema(_schema_of(spec))
+    return (spark.read.schema(with_corrupt(spec) if keep_corrupt else _schema_of(spec))
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("header", header)
             .option("enforceSchema", not check_header)
             .option("mode", mode)
@@ -32,8 +43,11 @@ def read_csv(spark: SparkSession, path: str, spec: TableSpec | StructType, *,
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def read_jsonl(spark: SparkSession, path: str, spec: TableSpec | StructType) -> DataFrame:
-    return (spark.read.schema(_schema_of(spec))
+def read_jsonl(spark: SparkSession, path: str, spec: TableSpec | StructType, *,
+               keep_corrupt: bool = False) -> DataFrame:
+    """JSON lines with a declared schema; ``keep_corrupt`` as in ``read_csv``."""
+    return (spark.read.schema(with_corrupt(spec) if keep_corrupt else _schema_of(spec))
+            .option("columnNameOfCorruptRecord", CORRUPT)
             .option("timestampFormat", JSON_TIMESTAMP_FORMAT).json(path))
 
 

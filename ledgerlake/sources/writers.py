@@ -47,23 +47,23 @@ def write_jsonl(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_text(df: DataFrame, path: str) -> str:
+    """One string column as uncompressed text, a line per row."""
+    df.write.mode("overwrite").option("compression", "none").text(path)
+    return path
+
+
 def layer_sizes(spark: SparkSession, layers: dict[str, str]) -> DataFrame:
-    """Bytes on disk per layer, in MB rounded to two digits.
+    """Bytes on disk per layer, and in MB rounded to two digits.
 
     Uses the ``binaryFile`` source for its file listing and ``length`` column;
     the ``content`` column is never selected, so no file body is read.
     """
-    parts = []
+    files = None
     for layer, path in layers.items():
-        files = (spark.read.format("binaryFile")
-                 .option("recursiveFileLookup", "true")
-                 .load(path)
-                 .select(F.lit(layer).alias("layer"), "length"))
-        parts.append(files)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return (out.groupBy("layer")
-            .agg(F.count("*").alias("files"),
-                 F.sum("length").alias("bytes"),
+        one = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+               .select(F.lit(layer).alias("layer"), "length"))
+        files = one if files is None else files.unionByName(one)
+    return (files.groupBy("layer")
+            .agg(F.sum("length").alias("bytes"),
                  F.round(F.sum("length") / (1024 * 1024), 2).alias("mb")))

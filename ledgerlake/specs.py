@@ -43,17 +43,21 @@ class TableSpec:
         return [f.name for f in self.schema.fields]
 
 
-def with_id_type(schema: StructType, id_type: DataType,
-                 id_cols: tuple[str, ...]) -> StructType:
-    """Same schema with the given identifier columns retyped."""
-    return StructType([StructField(f.name, id_type if f.name in id_cols else f.dataType, True)
-                       for f in schema.fields])
+def with_id_type(spec: TableSpec, id_type: DataType, id_cols: tuple[str, ...]) -> TableSpec:
+    """Same table with the given identifier columns retyped."""
+    schema = StructType([StructField(f.name, id_type if f.name in id_cols else f.dataType, True)
+                         for f in spec.schema.fields])
+    return TableSpec(spec.name, schema, spec.key, spec.partition_by)
 
 
 S, B, D, T, DBL, I, L = (StringType(), BooleanType(), DateType(), TimestampType(),
                          DoubleType(), IntegerType(), LongType())
 
-# ---------------------------------------------------------------- landing (§1.4)
+# Column that keeps the text of a record the reader could not parse.
+CORRUPT = "_corrupt_record"
+
+# ---------------------------------------------------------------- landing
+# ---- fixed values: names, types, keys and partition columns of the landing files
 CUSTOMERS_ORGS = TableSpec("customers_orgs", _schema(
     ("org_id", S), ("org_name", S), ("industry", S), ("hq_region", S), ("plan_tier", S),
     ("is_enterprise", B), ("signup_date", D), ("sales_rep", S), ("lifecycle_stage", S),
@@ -94,6 +98,7 @@ LANDING_TABLES = {t.name: t for t in (CUSTOMERS_ORGS, USERS, BILLING_MONTHLY, RE
                                       SUPPORT_TICKETS, MARKETING_TOUCHES, NPS_SURVEYS)}
 
 # ---------------------------------------------------------------- layers
+# ---- fixed values: the silver column list and the marts' keys
 SILVER_USAGE_COLUMNS = [
     "event_id", "timestamp", "usage_date", "org_id", "org_name", "plan_tier",
     "service", "region", "metric", "value_num", "unit",
@@ -101,17 +106,6 @@ SILVER_USAGE_COLUMNS = [
     "cpu_hours", "storage_gb_hours", "cost_spike_flag",
 ]
 
-# The midterm silver has no metric pivot and no spike flag.
-SILVER_USAGE_V1_COLUMNS = SILVER_USAGE_COLUMNS[:15]
-
-
-def gold_usage_schema(id_type: DataType = S) -> StructType:
-    return _schema(("org_id", id_type), ("org_name", S), ("plan_tier", S), ("usage_date", D),
-                   ("service", S), ("total_cost_usd", DBL), ("total_requests", L),
-                   ("total_cpu_hours", DBL), ("total_storage_gb_hours", DBL),
-                   ("total_genai_tokens", L), ("total_carbon_kg", DBL), ("event_count", I))
-
-
 GOLD_KEYS = {
     "daily_usage": ("org_id", "usage_date", "service"),
     "daily_usage_v1": ("org_id", "usage_date", "service"),

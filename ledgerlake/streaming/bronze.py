@@ -3,60 +3,106 @@
 ``dropDuplicatesWithinWatermark`` keeps a key's state only until the
 watermark passes its event time, so state stays bounded by the watermark
 delay; plain ``dropDuplicates`` on the id (event time not in the key) keeps
-every id forever, which is what the reference does and is selectable with
-``bounded_state=False``.  Rows without an id are not duplicates of each
-other: they bypass the dedupe and go to bronze as they are, where the
+every id forever and is selectable with ``bounded_state=False``.  Rows without
+an id are not duplicates of each other and rows without a time are behind no
+watermark: both bypass the dedupe and go to bronze as they are, where the
 quality rules quarantine them.
 
-Rows older than the watermark are dropped by the dedupe operator; the
-number is reported from the query progress (``numRowsDroppedByWatermark``)
-so late data is counted, never silently lost, and can be recovered by a
-batch backfill.
+Rows older than the watermark are dropped by the dedupe operator.  A run counts
+them from all its progress reports (a listener: the query object keeps only the
+last hundred), and :func:`backfill_late` brings them back from the landing
+files, so late data is neither lost nor uncounted.
 """
 
 from __future__ import annotations
 
+import json
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
-from ..sources import readers
+from ..operators.dedupe import dedupe_by_key
+from ..sources import files, readers
 
 WATERMARK = "2 days"
 FILES_PER_TRIGGER = 10
+# times the stream reads each file: once for either side of the union
+SCANS = 2
+# seconds to wait for the reports of a query that has ended
+REPORT_TIMEOUT = 60
 
 
 @dataclass
 class StreamRun:
     output: str
     checkpoint: str
-    batches: int
-    rows_written: int
+    batches: int              # that had rows
+    rows_read: int
     rows_dropped_late: int
 
 
+class _Totals(StreamingQueryListener):
+    """Adds up the progress of one query (by run id), however many batches."""
+
+    def __init__(self):
+        self.batches = self.rows = self.late = 0
+        self.run_id = None
+        self.ended = threading.Event()
+        self._early: list = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = json.loads(event.progress.json)
+        if self.run_id is None:
+            self._early.append(p)
+        else:
+            self._add(p)
+
+    def follow(self, run_id: str):
+        self.run_id = run_id
+        for p in self._early:
+            self._add(p)
+
+    def _add(self, p: dict):
+        if p["runId"] != self.run_id:
+            return
+        self.rows += p["numInputRows"]
+        self.batches += p["numInputRows"] > 0
+        self.late += sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"])
+
+    def onQueryTerminated(self, event):
+        if self.run_id in (None, str(event.runId)):
+            self.ended.set()
+
+
 def dedupe_stream(events: DataFrame, *, key: str = "event_id", event_time: str = "timestamp",
                   watermark: str = WATERMARK, bounded_state: bool = True) -> DataFrame:
     src = events.withWatermark(event_time, watermark)
-    keyed = src.filter(F.col(key).isNotNull())
+    whole = F.col(key).isNotNull() & F.col(event_time).isNotNull()
+    keyed = src.filter(whole)
     deduped = (keyed.dropDuplicatesWithinWatermark([key]) if bounded_state
                else keyed.dropDuplicates([key]))
-    return deduped.unionByName(src.filter(F.col(key).isNull()))
+    return deduped.unionByName(src.filter(~whole))
 
 
-def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int | None):
+def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int):
     """Start a stateful query with ``state_partitions`` state-store partitions.
 
-    A new query fixes its state partitioning from ``spark.sql.shuffle.partitions``
-    at start (and keeps it in its checkpoint for good), so the setting is
-    applied only around ``start()``.  Default: the cluster's default
-    parallelism, one state partition per core.
+    A new query takes its state partitioning from ``spark.sql.shuffle.partitions``
+    at start and keeps it in its checkpoint for good, so the caller states it:
+    it must suit the largest state the checkpoint will ever hold.
     """
-    n = state_partitions or spark.sparkContext.defaultParallelism
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
+    spark.conf.set(key, str(state_partitions))
     try:
         return writer.start()
     finally:
@@ -64,28 +110,56 @@ def start_with_state_partitions(spark: SparkSession, writer, state_partitions: i
 
 
 def run_bronze_stream(spark: SparkSession, landing: str, schema, output: str, checkpoint: str,
-                      *, files_per_trigger: int = FILES_PER_TRIGGER, watermark: str = WATERMARK,
-                      bounded_state: bool = True, lineage: bool = True,
-                      state_partitions: int | None = None) -> StreamRun:
+                      *, state_partitions: int, files_per_trigger: int = FILES_PER_TRIGGER,
+                      watermark: str = WATERMARK, bounded_state: bool = True,
+                      lineage: bool = True) -> StreamRun:
     """One ``availableNow`` run: process every file present, then stop.
 
     Re-running with the same checkpoint resumes after the last committed
-    batch; files already processed are not read again.
+    batch; files already processed are not read again.  The run has a session
+    of its own (same catalog and context), so its settings touch no other query.
     """
-    src = readers.stream_jsonl(spark, landing, schema, max_files_per_trigger=files_per_trigger)
+    own = spark.newSession()
+    for k in ("spark.sql.session.timeZone", "spark.sql.streaming.stateStore.providerClass"):
+        own.conf.set(k, spark.conf.get(k))
+    src = readers.stream_jsonl(own, landing, schema, max_files_per_trigger=files_per_trigger)
     if lineage:
         src = readers.with_lineage(src)
     out = dedupe_stream(src, watermark=watermark, bounded_state=bounded_state)
-    writer = (out.writeStream.format("parquet")
-              .option("path", output)
-              .option("checkpointLocation", checkpoint)
-              .outputMode("append")
-              .trigger(availableNow=True))
-    q = start_with_state_partitions(spark, writer, state_partitions)
-    q.awaitTermination()
-    progress = [p for p in q.recentProgress if p]
-    written = sum(int(p.get("numInputRows", 0)) for p in progress)  # input rows seen
-    dropped = sum(int(op.get("numRowsDroppedByWatermark", 0))
-                  for p in progress for op in p.get("stateOperators", []))
-    batches = sum(1 for p in progress if int(p.get("numInputRows", 0)) > 0)
-    return StreamRun(output, checkpoint, batches, written, dropped)
+    totals = _Totals()
+    own.streams.addListener(totals)
+    try:
+        q = start_with_state_partitions(
+            own, out.writeStream.format("parquet").option("path", output)
+            .option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True), state_partitions)
+        totals.follow(str(q.runId))
+        q.awaitTermination()
+        if not totals.ended.wait(REPORT_TIMEOUT):
+            raise RuntimeError("the stream ended, its reports did not arrive")
+    finally:
+        own.streams.removeListener(totals)
+    return StreamRun(output, checkpoint, totals.batches, totals.rows // SCANS, totals.late)
+
+
+def read_bronze(spark: SparkSession, bronze: str, late: str, schema) -> DataFrame:
+    """The stream's table and the backfill beside it.  (A folder that a stream
+    writes lists its files in a log of its own: files that others append to it
+    are not read.)"""
+    out = readers.read_parquet(spark, bronze, schema)
+    return out.unionByName(readers.read_parquet(spark, late, schema)) if files.exists(spark, late) else out
+
+
+def backfill_late(spark: SparkSession, landing: str, schema, bronze: str, late: str, *,
+                  key: str = "event_id", event_time: str = "timestamp") -> None:
+    """Appends to ``late`` the landed events whose id neither table has.
+
+    These are the rows the watermark dropped.  Rows without id or time never
+    pass the dedupe, so they are in bronze already.  Run again, it finds
+    nothing; a run that stops before its commit leaves nothing.
+    """
+    landed = readers.with_lineage(readers.read_jsonl(spark, landing, schema))
+    held = read_bronze(spark, bronze, late, landed.schema).select(key)
+    landed = landed.filter(F.col(key).isNotNull() & F.col(event_time).isNotNull())
+    missing = dedupe_by_key(landed.join(held, key, "left_anti"), [key])
+    missing.select(*landed.columns).write.mode("append").parquet(late)

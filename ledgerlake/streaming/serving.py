@@ -5,82 +5,95 @@ passing through the driver:
 
 1. the (period, bucket) folders the batch touches (a bounded list, see
    ``touched_partitions``);
-2. the batch's rows, deduplicated by key (last write wins, by source file
-   modification time), NULL measures mapped to 0 (the serving null policy,
-   as the batch serving write), tagged with period and bucket;
+2. the batch's rows, NULL measures mapped to 0 (the serving null policy, as the
+   batch serving write), tagged with period and bucket;
 3. the table's rows in the touched folders only (a static partition filter:
    other folders are neither listed nor read);
-4. ``upsert`` of (3) by (2), written to a per-batch staging folder;
+4. one row per key of (2) and (3), the one of the latest load, where NULL key
+   parts equal each other; written to a staging folder of the batch;
 5. the staging rows overwrite exactly the touched folders of the table
    (dynamic partition overwrite), rebalanced and sorted by primary key.
-   When the touched folders hold no row yet (``isEmpty`` on the pruned read:
-   one ``limit(1)`` job that lists only those folders), steps 3–4 are
-   skipped and the rows are written straight in.
+   When the touched folders hold no row yet, steps 3–4 are skipped and the
+   rows are written straight in.
 
 An incremental load touches the latest periods, so the history is never
 rewritten; within a period only the buckets of the orgs in the batch are.
 
-A table is never read and overwritten by the same job (hence the staging
-folder).  ``foreachBatch`` is at-least-once: a replayed batch recomputes the
-merge from the table as it is, and since a key-merge of the same rows is
-idempotent the result is the same whether the crash came before, during or
-after step 4.
+Crashes.  ``foreachBatch`` is at-least-once.  Before step 4 has completed the
+table is untouched, and a replay computes the merge again.  Step 5 may stop
+after a folder was removed and before its new files moved in; the rows are then
+in staging, whose ``_SUCCESS`` tells that it is complete, and the replay
+publishes from there without reading the damaged table.  Staging lies inside
+the stream's checkpoint, so another checkpoint never finds it.  Rows written
+straight in touch no history, and merging them again changes nothing.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.dedupe import dedupe_by_key
-from ..operators.merge import upsert
-from ..plans.serving import (BUCKET, BUCKET_COUNT, DEFAULT_BUCKETS, ServingSpec, null_policy,
-                             serving_schema, with_layout)
-from ..sources import readers
+from ..plans.serving import (BUCKET, BUCKET_COUNT, LOAD_SEQ, PERIOD, ServingSpec, null_policy,
+                             period_of, serving_schema, with_layout)
+from ..sources import files, readers
 from ..sources.writers import write_partitioned
 
 
+def with_load_seq(schema: StructType) -> StructType:
+    """The schema of gold files that carry the number of their load."""
+    if LOAD_SEQ in schema.fieldNames():
+        return schema
+    return StructType([*schema.fields, StructField(LOAD_SEQ, LongType(), True)])
+
+
 def create_table(spark: SparkSession, path: str, mart_schema: StructType,
                  spec: ServingSpec) -> None:
-    """An empty serving table (declared schema, no rows)."""
+    """An empty serving table (declared schema, no rows); fails if one is there."""
     (spark.createDataFrame([], serving_schema(mart_schema, spec))
-     .write.mode("overwrite").partitionBy(*spec.layout).parquet(path))
+     .write.mode("errorifexists").partitionBy(*spec.layout).parquet(path))
 
 
-def open_table(spark: SparkSession, path: str, mart_schema: StructType, spec: ServingSpec,
-               buckets: int) -> int:
-    """Create the table if it does not exist (a restarted stream keeps its
-    table and checkpoint) and return the bucket count to merge with: the
-    table's own once it holds rows, else ``buckets``."""
-    schema = serving_schema(mart_schema, spec)
-    try:
-        table = readers.read_parquet(spark, path, schema)
-    except AnalysisException:           # no such path yet
+def open_table(spark: SparkSession, path: str, mart_schema: StructType, spec: ServingSpec) -> None:
+    """Create the table unless its folder is there (a restarted stream keeps
+    its table and checkpoint)."""
+    if not files.exists(spark, path):
         create_table(spark, path, mart_schema, spec)
-        return buckets
-    first = table.select(BUCKET_COUNT).limit(1).collect()
-    return first[0][0] if first else buckets
 
 
-def touched_partitions(batch: DataFrame, spec: ServingSpec,
-                       buckets: int = DEFAULT_BUCKETS) -> list[tuple]:
+def bucket_counts(spark: SparkSession, batch: DataFrame, table: str, spec: ServingSpec,
+                  schema: StructType, buckets: int) -> Column:
+    """Bucket count of each of the batch's periods: the table's, or ``buckets``
+    for a period it does not have yet.  Periods are few (months or years)."""
+    held = readers.read_parquet(spark, table, schema)
+    if not spec.time_col:
+        first = held.select(BUCKET_COUNT).limit(1).collect()
+        return F.lit(first[0][0] if first else buckets)
+    periods = [r[0] for r in batch.select(period_of(spec.time_col, spec.period_grain)).distinct().collect()]
+    some = reduce(lambda a, b: a | b, [F.col(PERIOD).eqNullSafe(F.lit(p).cast("date")) for p in periods])
+    out = F.lit(buckets)
+    for p, n in held.filter(some).select(PERIOD, BUCKET_COUNT).distinct().collect():
+        out = F.when(F.col(PERIOD).eqNullSafe(F.lit(p).cast("date")), F.lit(n)).otherwise(out)
+    return out
+
+
+def touched_partitions(laid_out: DataFrame, spec: ServingSpec) -> list[tuple]:
     """The (period, bucket) folders a batch writes to.
 
-    Bounded by the layout, not by the data: at most periods × buckets values
-    (a few thousand for years of monthly periods and 64 buckets), computed
-    from the key and date columns only.
+    Bounded by the layout, not by the data: at most periods × buckets values,
+    a bucket standing for hundreds of MB.
     """
-    folders = with_layout(batch, spec, buckets).select(*spec.layout).distinct()
-    return [tuple(r) for r in folders.collect()]
+    return [tuple(r) for r in laid_out.select(*spec.layout).distinct().collect()]
 
 
 def folder_filter(folders: list[tuple], spec: ServingSpec) -> Column:
     """Predicate on the partition columns selecting exactly ``folders``
-    (static partition pruning: only those folders are listed and read)."""
+    (static partition pruning: only those folders are listed and read).  NULL
+    is a folder like any other."""
     if not folders:
         return F.lit(False)
     outer = spec.layout[:-1]            # every level above key_bucket
@@ -88,58 +101,68 @@ def folder_filter(folders: list[tuple], spec: ServingSpec) -> Column:
     for f in folders:
         by_prefix[tuple(f[:-1])].add(f[-1])
     cond = None
-    for prefix, bs in sorted(by_prefix.items()):
-        c = F.col(BUCKET).isin(sorted(bs))
+    for prefix, bs in by_prefix.items():
+        c = F.col(BUCKET).isin(sorted(b for b in bs if b is not None))
+        if None in bs:
+            c = c | F.col(BUCKET).isNull()
         for name, value in zip(outer, prefix):
-            c = (F.col(name) == F.lit(value)) & c
+            c = (F.col(name).isNull() if value is None else F.col(name) == F.lit(value)) & c
         cond = c if cond is None else cond | c
     return cond
 
 
+def publish(spark: SparkSession, staging: str, table: str, spec: ServingSpec,
+            schema: StructType) -> None:
+    """Staged rows replace their folders of the table."""
+    write_partitioned(readers.read_parquet(spark, staging, schema), table, list(spec.layout),
+                      dynamic=True, sort_by=list(spec.primary_key))
+
+
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
                 staging_root: str, spec: ServingSpec, mart_schema: StructType,
-                buckets: int = DEFAULT_BUCKETS) -> None:
-    key = list(spec.primary_key)
-    cols = [f.name for f in mart_schema.fields]
+                buckets: int = 1) -> None:
     schema = serving_schema(mart_schema, spec)
-    folders = touched_partitions(batch, spec, buckets)
-    if not folders:
+    staging = f"{staging_root}/batch={batch_id}"
+    if files.exists(spark, f"{staging}/_SUCCESS"):
+        publish(spark, staging, table, spec, schema)    # a replay: the merge is done
         return
-    updates = with_layout(
-        null_policy(dedupe_by_key(batch, key, order=["_written_at"]).select(*cols), spec),
-        spec, buckets)
-    existing = readers.read_parquet(spark, table, schema).filter(folder_filter(folders, spec))
-    if existing.isEmpty():
-        # only new folders (a new period, new buckets): nothing to merge with,
-        # so the rows go straight in, without the staging round trip
-        write_partitioned(updates, table, list(spec.layout), dynamic=True, sort_by=key)
+    if batch.isEmpty():
         return
-    merged = upsert(existing, updates, key)
-    staging = f"{staging_root}/batch={batch_id}"
+    key = list(spec.primary_key)
+    counts = bucket_counts(spark, batch, table, spec, schema, buckets)
+    updates = with_layout(null_policy(batch, spec), spec, counts).select(*schema.fieldNames())
+    folders = touched_partitions(updates, spec)
+    held = readers.read_parquet(spark, table, schema).filter(folder_filter(folders, spec))
+    if held.isEmpty():
+        # only new folders (a new period, new buckets): nothing to merge with
+        write_partitioned(dedupe_by_key(updates, key, [LOAD_SEQ], null_is_value=True), table,
+                          list(spec.layout), dynamic=True, sort_by=key)
+        return
+    merged = dedupe_by_key(held.unionByName(updates), key, [LOAD_SEQ], null_is_value=True)
     merged.write.mode("overwrite").parquet(staging)
-    write_partitioned(readers.read_parquet(spark, staging, schema), table, list(spec.layout),
-                      dynamic=True, sort_by=key)
+    publish(spark, staging, table, spec, schema)
 
 
 def start_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructType,
-                         table: str, checkpoint: str, staging_root: str, spec: ServingSpec,
-                         *, files_per_trigger: int | None = 1,
-                         buckets: int = DEFAULT_BUCKETS):
+                         table: str, checkpoint: str, spec: ServingSpec,
+                         *, files_per_trigger: int | None = 1, buckets: int = 1):
     """Start streaming every gold file present into the serving table.
 
-    Returns ``(query, batch_ids)``; the query stops by itself once the files
-    present at start are merged (``availableNow``).  Several targets may run
-    at once in one session, each with its own checkpoint.
+    The gold files carry ``load_seq`` next to the mart's columns.  ``buckets``
+    is the bucket count of periods the table does not have yet.  Returns
+    ``(query, batch_ids)``; the query stops by itself once the files present at
+    start are merged (``availableNow``).  Several targets may run at once in one
+    session, each with its own checkpoint.
     """
-    buckets = open_table(spark, table, mart_schema, spec, buckets)
-    src = (readers.stream_parquet(spark, gold_dir, mart_schema,
-                                  max_files_per_trigger=files_per_trigger)
-           .withColumn("_written_at", F.col("_metadata.file_modification_time")))
+    open_table(spark, table, mart_schema, spec)
+    src = readers.stream_parquet(spark, gold_dir, with_load_seq(mart_schema),
+                                 max_files_per_trigger=files_per_trigger)
     seen: list[int] = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         seen.append(batch_id)
-        merge_batch(spark, batch, batch_id, table, staging_root, spec, mart_schema, buckets)
+        merge_batch(spark, batch, batch_id, table, f"{checkpoint}/serving-staging", spec,
+                    mart_schema, buckets)
 
     q = (src.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint)
@@ -149,12 +172,10 @@ def start_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: Struct
 
 
 def run_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructType,
-                       table: str, checkpoint: str, staging_root: str, spec: ServingSpec,
-                       *, files_per_trigger: int | None = 1,
-                       buckets: int = DEFAULT_BUCKETS) -> int:
+                       table: str, checkpoint: str, spec: ServingSpec,
+                       *, files_per_trigger: int | None = 1, buckets: int = 1) -> int:
     """Stream every gold file present into the serving table; returns batches run."""
-    q, seen = start_serving_stream(spark, gold_dir, mart_schema, table, checkpoint,
-                                   staging_root, spec, files_per_trigger=files_per_trigger,
-                                   buckets=buckets)
+    q, seen = start_serving_stream(spark, gold_dir, mart_schema, table, checkpoint, spec,
+                                   files_per_trigger=files_per_trigger, buckets=buckets)
     q.awaitTermination()
     return len(seen)

@@ -1,21 +1,27 @@
-"""State bounds of the bronze stream, dynamic partition overwrite, serving merge replay."""
+"""Stream state and reports, late rows, dynamic overwrite, the lossless serving merge."""
 
+import os
+import shutil
+
+import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.plans import gold, serving
+from ledgerlake.plans import gold, jobs, serving
 from ledgerlake.plans.assemble import Lake
 from ledgerlake.session import run_dir
-from ledgerlake.sources import readers, standins, writers
+from ledgerlake.sources import files, readers, standins, writers
 from ledgerlake.streaming import bronze as sbronze
 from ledgerlake.streaming import serving as sserving
 from ledgerlake.streaming.landing import file_number, land_files
 
 from conftest import SF_SMALL
 
+SPEC = serving.SERVING["daily_usage"]
+
 
+# ------------------------------------------------------------------ bronze stream
 def _state_rows(spark, bounded):
-    lake = Lake(spark, SF_SMALL)
-    feed = lake.bronze_events()
+    feed = Lake(spark, SF_SMALL).bronze_events()
     landing = run_dir(spark, "t_landing")
     land_files(feed, landing, file_number("timestamp", standins.FEED_START, 3))
     src = readers.stream_jsonl(spark, landing, feed.schema, max_files_per_trigger=1)
@@ -25,7 +31,8 @@ def _state_rows(spark, bounded):
     q = sbronze.start_with_state_partitions(spark, writer, 4)
     q.awaitTermination()
     last = [p for p in q.recentProgress if p["stateOperators"]][-1]
-    return last["stateOperators"][0]["numRowsTotal"], feed.filter("event_id IS NOT NULL").count()
+    keyed = feed.filter("event_id IS NOT NULL AND timestamp IS NOT NULL").count()
+    return last["stateOperators"][0]["numRowsTotal"], keyed
 
 
 def test_watermark_bounds_dedupe_state(spark):
@@ -35,6 +42,52 @@ def test_watermark_bounds_dedupe_state(spark):
     assert bounded < ids / 3           # only ids within the watermark delay
 
 
+def test_every_row_lands_and_every_batch_is_counted(spark):
+    """More batches than the query object remembers; rows before the first day
+    and rows without a time; late rows counted and brought back."""
+    n = 115
+    rows = [(i, f"2024-03-{1 + i % 28:02d} 00:{i % 60:02d}:00") for i in range(n)]
+    rows += [(1000, "2023-12-01 00:00:00"), (1001, None)]
+    feed = (spark.createDataFrame(rows, "event_id long, timestamp string")
+            .withColumn("timestamp", F.col("timestamp").cast("timestamp")))
+    landing = run_dir(spark, "t_landing")
+    # a group per row, in the order of the ids: times jump back every 28 rows
+    groups = land_files(feed, landing, F.when(F.col("event_id") != 1001, F.col("event_id").cast("int")))
+    assert len(groups) == n + 2 and groups[0] is None
+    run = sbronze.run_bronze_stream(spark, landing, feed.schema, run_dir(spark, "t_bronze"),
+                                    run_dir(spark, "t_ckpt"), state_partitions=1,
+                                    files_per_trigger=1, lineage=True)
+    assert (run.batches, run.rows_read) == (n + 2, n + 2)
+    held = readers.read_parquet(spark, run.output, feed.schema).count()
+    assert run.rows_dropped_late == n + 2 - held > 50
+    late = run_dir(spark, "t_late")
+    for _ in range(2):                                    # the second run finds nothing
+        sbronze.backfill_late(spark, landing, feed.schema, run.output, late)
+        schema = readers.with_lineage(readers.read_jsonl(spark, landing, feed.schema)).schema
+        got = sbronze.read_bronze(spark, run.output, late, schema)
+        assert sorted((r.event_id for r in got.collect())) == sorted(r[0] for r in rows)
+
+
+def test_corrupt_records_keep_their_text(spark):
+    landing = run_dir(spark, "t_lines")
+    lines = ['{"event_id":1,"timestamp":"2024-01-01T00:00:00.000000Z"}', '{broken',
+             '{"event_id":2,"timestamp":"no time"}']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(landing)
+    schema = readers.with_corrupt(Lake(spark, SF_SMALL).bronze_events().schema)
+    df = jobs.bronze_lines(spark, landing, Lake(spark, SF_SMALL).bronze_events().schema,
+                           run_dir(spark, "t_bronze"))
+    assert set(schema.fieldNames()) <= set(df.columns)
+    assert sorted(r[0] for r in df.select("_corrupt_record").dropna().collect()) == sorted(lines[1:])
+
+
+def test_csv_corrupt_records_keep_their_text(spark):
+    path = run_dir(spark, "t_csv")
+    spark.createDataFrame([("k,v",), ("1,2",), ("x,3",)], "value string").coalesce(1).write.text(path)
+    df = readers.read_csv(spark, path, spark.createDataFrame([], "k int, v int").schema, keep_corrupt=True)
+    assert sorted(((r.k, r.v, r._corrupt_record) for r in df.collect()), key=repr) == [
+        (1, 2, None), (None, 3, "x,3")]
+
+
 def test_dynamic_overwrite_replaces_only_given_days(spark):
     df = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "d string, v int") \
         .withColumn("d", F.col("d").cast("date"))
@@ -45,110 +98,161 @@ def test_dynamic_overwrite_replaces_only_given_days(spark):
     assert got == [("2024-01-01", 1), ("2024-01-02", 20)]
 
 
-def test_serving_merge_replay_is_idempotent(spark):
-    lake = Lake(spark, SF_SMALL)
-    mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
-    table, staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
-    spec = serving.SERVING["daily_usage"]
-    sserving.create_table(spark, table, mart.schema, spec)
-    batch = mart.withColumn("_written_at", F.current_timestamp())
-    sserving.merge_batch(spark, batch, 0, table, staging, spec, mart.schema)
-    first = sorted(tuple(r) for r in readers.read_parquet(spark, table).select(*mart.columns).collect())
-    sserving.merge_batch(spark, batch, 0, table, staging + "-replay", spec, mart.schema)
-    again = sorted(tuple(r) for r in readers.read_parquet(spark, table).select(*mart.columns).collect())
-    assert first == again
-    assert len(first) == mart.count()
-    # the serving null policy holds on the merged table
-    table_df = readers.read_parquet(spark, table)
-    for c in spec.zero_if_null:
-        assert table_df.filter(F.col(c).isNull()).count() == 0, c
-
-
-
-def _files(root):
-    import os
-    return {os.path.relpath(os.path.join(d, f), root): os.stat(os.path.join(d, f)).st_mtime_ns
-            for d, _, fs in os.walk(root) for f in fs if f.endswith(".parquet")}
-
-
-def test_serving_merge_rewrites_only_touched_folders(spark):
-    lake = Lake(spark, SF_SMALL)
-    mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
-    spec = serving.SERVING["daily_usage"]
-    table, staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
-    sserving.create_table(spark, table, mart.schema, spec)
-    jan = mart.withColumn("_written_at", F.lit(1).cast("timestamp"))
-    feb = (mart.withColumn("usage_date", F.date_add("usage_date", 31))
-           .withColumn("_written_at", F.lit(2).cast("timestamp")))
-    sserving.merge_batch(spark, jan.unionByName(feb), 0, table, staging, spec, mart.schema)
-    before = _files(table)
+# ------------------------------------------------------------------ serving merge
+def _mart(spark):
+    return gold.build(Lake(spark, SF_SMALL).usage_features(None), gold.DAILY_USAGE)
+
+
+def _load(df, seq):
+    return df.withColumn(serving.LOAD_SEQ, F.lit(seq).cast("long"))
+
+
+class Table:
+    """A serving table with its staging folder."""
+
+    def __init__(self, spark, schema, spec=SPEC):
+        self.spark, self.schema, self.spec = spark, schema, spec
+        self.path, self.staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
+        sserving.open_table(spark, self.path, schema, spec)
+
+    def merge(self, df, batch_id, seq=1, buckets=1):
+        sserving.merge_batch(self.spark, _load(df, seq), batch_id, self.path, self.staging, self.spec,
+                             self.schema, buckets)
+
+    def frame(self):
+        return readers.read_parquet(self.spark, self.path, serving.serving_schema(self.schema, self.spec))
+
+    def rows(self):
+        return sorted((tuple(r) for r in self.frame().select(*self.schema.fieldNames()).collect()), key=repr)
+
+    def files(self):
+        return {os.path.relpath(os.path.join(d, f), self.path): os.stat(os.path.join(d, f)).st_mtime_ns
+                for d, _, fs in os.walk(self.path) for f in fs if f.endswith(".parquet")}
+
+
+def _rows_of(df, spec=SPEC):
+    return sorted((tuple(r) for r in serving.null_policy(df, spec).collect()), key=repr)
+
+
+def test_merge_replay_changes_nothing(spark):
+    mart = _mart(spark)
+    assert mart.filter("service IS NULL").count() > 0      # NULL is part of some keys
+    t = Table(spark, mart.schema)
+    t.merge(mart, 0)
+    assert t.rows() == _rows_of(mart)
+    for batch_id in (0, 1, 2):
+        t.merge(mart, batch_id)
+        assert t.rows() == _rows_of(mart)
+    for c in SPEC.zero_if_null:                            # the serving null policy holds
+        assert t.frame().filter(F.col(c).isNull()).count() == 0, c
+
+
+def test_merge_keeps_rows_of_a_null_period(spark):
+    mart = _mart(spark)
+    no_date = mart.limit(2).withColumn("usage_date", F.lit(None).cast("date"))
+    one, two = (no_date.withColumn("org_id", F.lit(k).cast("long")).dropDuplicates(["org_id"]) for k in (1, 2))
+    t = Table(spark, mart.schema)
+    t.merge(one, 0)
+    t.merge(two, 1, seq=2)
+    assert sorted(r[0] for r in t.frame().select("org_id").collect()) == [1, 2]
+    t.merge(two, 2, seq=3)
+    assert t.frame().count() == 2
+
+
+def test_later_load_stays_whatever_the_order(spark):
+    mart = _mart(spark)
+    t = Table(spark, mart.schema)
+    t.merge(mart.withColumn("total_cost_usd", F.lit(2.0)), 0, seq=2)
+    t.merge(mart.withColumn("total_cost_usd", F.lit(1.0)), 1, seq=1)
+    assert {r[0] for r in t.frame().select("total_cost_usd").collect()} == {2.0}
+    assert t.frame().count() == mart.count()
+
+
+def test_crash_while_publishing_loses_nothing(spark):
+    """The replaced folder is gone and its new files have not moved in: the
+    replay publishes the staged rows instead of merging with a damaged table."""
+    mart = _mart(spark)
+    t = Table(spark, mart.schema)
+    t.merge(mart, 0)
+    fix = (spark.createDataFrame(mart.limit(5).collect(), mart.schema)
+           .withColumn("total_cost_usd", F.lit(-1.0)))
+    t.merge(fix, 1, seq=2)
+    want = t.rows()
+    assert len(want) == mart.count()
+    for folder in os.listdir(t.path):
+        if folder.startswith("period="):
+            shutil.rmtree(os.path.join(t.path, folder))
+    t.merge(fix, 1, seq=2)                                 # the same batch again
+    assert t.rows() == want
+
+
+def test_staging_of_another_checkpoint_is_not_found(spark):
+    mart = _mart(spark)
+    gold_dir = run_dir(spark, "t_gold")
+    _load(mart, 1).write.parquet(gold_dir)
+    table = run_dir(spark, "t_serving")
+    for _ in range(2):                                     # two checkpoints, batch 0 in each
+        sserving.run_serving_stream(spark, gold_dir, mart.schema, table, run_dir(spark, "t_ckpt"), SPEC,
+                                    files_per_trigger=None)
+        got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, SPEC))
+        assert got.count() == mart.count()
+
+
+def test_stream_restart_keeps_table(spark):
+    """Second availableNow run on the same checkpoint: no batch, table intact."""
+    mart = _mart(spark)
+    gold_dir, table, ckpt = (run_dir(spark, f"t_{x}") for x in ("gold", "serving", "ckpt"))
+    _load(mart, 1).write.parquet(gold_dir)
+    first = sserving.run_serving_stream(spark, gold_dir, mart.schema, table, ckpt, SPEC,
+                                        files_per_trigger=None, buckets=2)
+    again = sserving.run_serving_stream(spark, gold_dir, mart.schema, table, ckpt, SPEC,
+                                        files_per_trigger=None, buckets=2)
+    assert first >= 1 and again == 0
+    assert readers.read_parquet(spark, table, serving.serving_schema(mart.schema, SPEC)).count() == mart.count()
+
+
+def test_table_is_created_only_where_none_is(spark):
+    mart = _mart(spark)
+    t = Table(spark, mart.schema)
+    t.merge(mart, 0)
+    sserving.open_table(spark, t.path, mart.schema, SPEC)
+    assert t.frame().count() == mart.count()
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+        sserving.create_table(spark, t.path, mart.schema, SPEC)
+    assert files.exists(spark, t.path) and not files.exists(spark, t.path + "-none")
+
+
+def test_merge_rewrites_only_touched_folders_and_counts_stay_per_period(spark):
+    mart = _mart(spark)
+    t = Table(spark, mart.schema)
+    feb = mart.withColumn("usage_date", F.date_add("usage_date", 31))
+    t.merge(mart.unionByName(feb), 0, buckets=4)
+    before = t.files()
     org = mart.agg(F.min("org_id")).first()[0]
-    # a late correction for one org in January
-    fix = (jan.filter(F.col("org_id") == org)
-           .withColumn("total_cost_usd", F.lit(-1.0))
-           .withColumn("_written_at", F.lit(3).cast("timestamp")))
-    sserving.merge_batch(spark, fix, 1, table, staging, spec, mart.schema)
-    after = _files(table)
-
-    bucket = spark.range(1).select(serving.key_bucket(F.lit(org).cast("long"))).first()[0]
-    folder = f"period=2024-01-01/bucket_count=64/key_bucket={bucket}/"
+    fix = mart.filter(F.col("org_id") == org).withColumn("total_cost_usd", F.lit(-1.0))
+    # January keeps its 4 buckets although the caller would now start with 16
+    t.merge(fix, 1, seq=2, buckets=16)
+    after = t.files()
+    bucket = spark.range(1).select(serving.key_bucket(F.lit(org).cast("long"), 4)).first()[0]
+    folder = f"period=2024-01-01/bucket_count=4/key_bucket={bucket}/"
     assert any(k.startswith(folder) for k in before)
     for k, mtime in before.items():
         if k.startswith(folder):
-            assert k not in after                 # the touched folder was rewritten
+            assert k not in after                          # the touched folder was rewritten
         else:
-            assert after.get(k) == mtime          # every other file is untouched
-    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
-    assert got.count() == 2 * mart.count()
-    fixed = got.filter((F.col("org_id") == org)
-                       & (F.col("period") == F.lit("2024-01-01").cast("date")))
-    assert fixed.count() == fix.count()
-    assert fixed.filter(F.col("total_cost_usd") != -1.0).count() == 0
-
-    # a batch that only touches folders holding no row yet is written straight
-    # in: no staging copy, and nothing else is rewritten
-    import os
-    later = (mart.withColumn("usage_date", F.date_add("usage_date", 400))
-             .withColumn("_written_at", F.lit(4).cast("timestamp")))
-    sserving.merge_batch(spark, later, 2, table, staging, spec, mart.schema)
-    assert not os.path.exists(f"{staging}/batch=2")
-    assert os.path.exists(f"{staging}/batch=1")
-    final = _files(table)
-    assert all(final.get(k) == v for k, v in after.items())
-    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
-    assert got.count() == 3 * mart.count()
-
-
-def test_reopened_serving_table_keeps_rows_and_bucket_count(spark):
-    """A restarted serving stream must not wipe its table, and keeps merging
-    with the table's own bucket count (else one key could live in two
-    bucket layouts)."""
-    lake = Lake(spark, SF_SMALL)
-    mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
-    spec = serving.SERVING["daily_usage"]
-    table, staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
-    assert sserving.open_table(spark, table, mart.schema, spec, 4) == 4      # created
-    batch = mart.withColumn("_written_at", F.lit(1).cast("timestamp"))
-    sserving.merge_batch(spark, batch, 0, table, staging, spec, mart.schema, 4)
-    assert sserving.open_table(spark, table, mart.schema, spec, 64) == 4     # reopened
-    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
-    assert got.count() == mart.count()
-    assert {r[0] for r in got.select("bucket_count").distinct().collect()} == {4}
-
-
-def test_serving_stream_restart_keeps_table(spark):
-    """Second availableNow run on the same checkpoint: no batch, table intact."""
-    lake = Lake(spark, SF_SMALL)
-    mart = gold.daily_usage(lake.silver_usage(spike=None, with_resources=False))
-    spec = serving.SERVING["daily_usage"]
-    gold_dir = run_dir(spark, "t_gold")
-    mart.write.parquet(gold_dir)
-    table, ckpt, staging = (run_dir(spark, "t_serving"), run_dir(spark, "t_ckpt"),
-                            run_dir(spark, "t_staging"))
-    first = sserving.run_serving_stream(spark, gold_dir, mart.schema, table, ckpt, staging, spec,
-                                        files_per_trigger=None, buckets=2)
-    again = sserving.run_serving_stream(spark, gold_dir, mart.schema, table, ckpt, staging, spec,
-                                        files_per_trigger=None, buckets=2)
-    assert first >= 1 and again == 0
-    got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, spec))
-    assert got.count() == mart.count()
+            assert after.get(k) == mtime                   # every other file is untouched
+    fixed = t.frame().filter((F.col("org_id") == org) & (F.col("period") == F.lit("2024-01-01").cast("date")))
+    assert fixed.count() == fix.count() and fixed.filter("total_cost_usd <> -1").count() == 0
+    # a new period takes the new count, without a staging copy; lookups find both
+    later = mart.withColumn("usage_date", F.date_add("usage_date", 400))
+    t.merge(later, 2, buckets=16)
+    assert not os.path.exists(f"{t.staging}/batch=2") and os.path.exists(f"{t.staging}/batch=1")
+    assert all(t.files().get(k) == v for k, v in after.items())
+    assert {r[0] for r in t.frame().select("bucket_count").distinct().collect()} == {4, 16}
+    assert serving.lookup(t.frame(), org).count() == 3 * fix.count()
+
+
+def test_buckets_have_no_ceiling():
+    one = serving.BUCKET_BYTES
+    assert [serving.buckets_for(x) for x in (0, one, one + 1, 1000 * one)] == [1, 1, 2, 1024]
+    assert serving.buckets_for(1000 * one, periods=10) == 128

@@ -6,9 +6,18 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from ledgerlake.functions.columns import money_sum, whole_sum
+from ledgerlake.operators import quality
 from ledgerlake.operators.dedupe import dedupe_by_key
+from ledgerlake.operators.enrich import check_unique
 from ledgerlake.operators.merge import upsert
-from ledgerlake.operators.quantiles import exact_quantile, exact_quantiles
+from ledgerlake.operators.quantiles import (exact_quantile, exact_quantiles, method_label,
+                                            quantile_name)
+from ledgerlake.plans import silver
+from ledgerlake.plans.assemble import ANOMALY_SPIKE, Lake
+from ledgerlake.session import lake_root, run_dir
+from ledgerlake.sources import standins
 
 
 def disc(values, q):
@@ -89,11 +98,85 @@ def test_upsert_last_write_wins_and_idempotent(spark):
     assert (2, "y", 2.0, 2) in _rows(merged2)
 
 
-def test_broadcast_check_sees_new_files(spark):
-    from ledgerlake.operators import enrich
-    from ledgerlake.session import run_dir
-    path = run_dir(spark, "t_dim")
-    spark.range(5).write.parquet(path)
-    assert enrich.fits_broadcast(spark.read.parquet(path), max_rows=8)
-    spark.range(5, 10).write.mode("append").parquet(path)   # the dimension grows
-    assert not enrich.fits_broadcast(spark.read.parquet(path), max_rows=8)
+def test_quantile_ends_on_non_finite_values(spark):
+    rows = [1.0, 2.0, 3.0, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(v,) for v in rows], "x double")
+    assert exact_quantiles(df, "x", [0.5, 1.0]) == [2.0, 3.0]
+    only = spark.createDataFrame([(float("nan"),), (float("inf"),)], "x double")
+    assert exact_quantile(only, "x", 0.5) is None
+
+
+def test_quantile_names_are_distinct():
+    assert [quantile_name(q) for q in (0.5, 0.99, 0.995, 0.999, 1.0)] == ["p50", "p99", "p99.5", "p99.9", "p100"]
+    assert method_label(0.995, 3.0) == "p99.5_x3" and method_label(0.9, 2.5) == "p90_x2.5"
+
+
+def test_thresholds_follow_files_under_the_same_path(spark):
+    path = run_dir(spark, "t_sf")
+    feed = standins.table(spark, SF_SMALL, "events")
+    feed.filter("event_id < 500").write.parquet(f"{path}/events.parquet")
+    first = Lake(spark, path).labelled(spike=ANOMALY_SPIKE).count()
+    feed.filter("event_id >= 500").write.mode("append").parquet(f"{path}/events.parquet")
+    both = Lake(spark, path).labelled(spike=ANOMALY_SPIKE)
+    want = Lake(spark, SF_SMALL).labelled(spike=ANOMALY_SPIKE)
+    assert first < both.count() == want.count()
+    assert both.filter("cost_spike_flag").count() == want.filter("cost_spike_flag").count()
+
+
+def test_upsert_and_dedupe_take_null_as_a_key(spark):
+    old = spark.createDataFrame([(None, "a", 1.0), (2, None, 2.0)], "k int, s string, v double")
+    new = spark.createDataFrame([(None, "a", 9.0), (2, None, 8.0), (3, None, 7.0)], "k int, s string, v double")
+    merged = upsert(old, new, ["k", "s"])
+    got = sorted((tuple(r) for r in merged.collect()), key=repr)
+    assert got == sorted((tuple(r) for r in new.collect()), key=repr)
+    again = sorted((tuple(r) for r in upsert(merged, new, ["k", "s"]).collect()), key=repr)
+    assert again == got
+    twice = dedupe_by_key(old.unionByName(new), ["k", "s"], ["v"], null_is_value=True)
+    assert sorted((tuple(r) for r in twice.collect()), key=repr) == got
+    assert dedupe_by_key(old.unionByName(new), ["k", "s"], ["v"]).count() == 5
+
+
+def test_money_sums_have_no_value_cap(spark):
+    def total(values, scale=3):
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
+        return df.agg(money_sum("x", scale).alias("s"), whole_sum("x").alias("w")).first()
+    assert total([4e-9] * 100_000, 6).s == 0.0004
+    assert total([2e10, 1e14, 0.001]).s == 100020000000000.001
+    assert total([1e14] * 3).w == 3 * 10 ** 14
+
+
+def test_rate_is_not_cut(spark):
+    b = spark.createDataFrame([(1e8, None, None, 0.0000392)],
+                              "subtotal double, credits double, taxes double, exchange_rate_to_usd double")
+    assert float(silver.revenue_amounts(b).first().revenue_usd_d) == 3920.0
+
+
+def test_amounts_out_of_range_are_quarantined(spark):
+    rows = [(1.0, None, 2.0, 1.0), (float("nan"), 0.0, 0.0, 1.0), (1.0, 1e16, 0.0, 1.0),
+            (1.0, 0.0, 0.0, float("inf"))]
+    lab = silver.labelled_billing(spark.createDataFrame(
+        rows, "subtotal double, credits double, taxes double, exchange_rate_to_usd double"))
+    clean, bad = quality.split(lab)
+    assert (clean.count(), bad.count()) == (1, 3)
+
+
+def test_check_unique(spark):
+    ok = spark.createDataFrame([(1, "a"), (2, "a"), (None, "a"), (None, "a")], "k int, s string")
+    assert check_unique(ok, ["k"]) is ok
+    with pytest.raises(ValueError, match="repeated keys"):
+        check_unique(ok, ["s"])
+
+
+def test_no_scratch_folder_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        lake_root(Session())

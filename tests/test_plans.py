@@ -1,6 +1,10 @@
 """Physical-plan properties: pushdown, pruning, hash aggregation, broadcast."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerlake.catalog import REGISTRY
+from ledgerlake.operators.enrich import left_enrich
 from ledgerlake.plans import serving
 from ledgerlake.plans.assemble import Lake
 from ledgerlake.session import run_dir
@@ -27,50 +31,66 @@ def test_marts_use_hash_aggregation_and_broadcast_dims(spark):
         assert "BroadcastHashJoin" in p
 
 
-def test_question_filter_reaches_scan(spark):
-    p = plan(REGISTRY["serve_top_services"](spark, SF_SMALL))
-    assert "EqualTo(user_id,11)" in p
-    assert "TakeOrderedAndProject" in p
+QUESTIONS = {
+    "serve_usage_range": True, "serve_top_services": True, "serve_critical_tickets": True,
+    "serve_revenue_history": False, "serve_tokens_by_day": True, "serve_key_lookup": True,
+    "serve_service_cost_trend": True}
 
 
-def test_serving_lookup_prunes_buckets(spark):
-    lake = Lake(spark, SF_SMALL)
-    mart = lake.gold_daily_usage()
-    path = serving.write_serving(mart, run_dir(spark, "t_serving"), serving.SERVING["daily_usage"])
-    table = readers.read_parquet(spark, path)
-    p = plan(serving.lookup(table, 11))
-    part = next(line for line in p.splitlines() if "PartitionFilters" in line)
+@pytest.mark.parametrize("name", QUESTIONS)
+def test_question_reads_pruned_serving_table_only(spark, name):
+    """The org prunes bucket folders, dates prune period folders, and neither
+    events, orders nor lineitem is read when the question is asked."""
+    p = plan(REGISTRY[name](spark, SF_SMALL))
+    scans = [line for line in p.splitlines() if "FileScan" in line]
+    assert len(scans) == 1 and "/serving_" in scans[0]
+    part = scans[0][scans[0].index("PartitionFilters"):scans[0].index("PushedFilters")]
     assert "key_bucket" in part and "bucket_count" in part
-    assert "EqualTo(org_id,11)" in p
-    # a question with date bounds also prunes period folders
-    p = plan(serving.usage_range(table, 11, "2024-01-01", "2024-01-15"))
-    part = next(line for line in p.splitlines() if "PartitionFilters" in line)
-    assert "period" in part and "key_bucket" in part
+    assert ("period" in part) == QUESTIONS[name]
+    assert "EqualTo(org_id,11)" in scans[0]
+
+
+def _serving(spark, mart):
+    path = serving.write_serving(mart, run_dir(spark, "t_serving"), serving.SERVING["daily_usage"], 4)
+    return readers.read_parquet(spark, path)
 
 
 def test_serving_questions_on_serving_table_equal_mart(spark):
     """The questions answer the same over the bucketed serving table (with
     bucket and period pruning) as over the mart."""
-    lake = Lake(spark, SF_SMALL)
-    mart = lake.gold_daily_usage()
-    org = mart.groupBy("org_id").count().orderBy("count", "org_id").first()[0]
-    path = serving.write_serving(mart, run_dir(spark, "t_serving"), serving.SERVING["daily_usage"])
-    table = readers.read_parquet(spark, path)
+    mart = Lake(spark, SF_SMALL).gold_daily_usage()
+    org = mart.groupBy("org_id").count().orderBy(F.desc("count"), "org_id").first()[0]
+    table = _serving(spark, mart)
     for q in (lambda df: serving.usage_range(df, org, "2024-01-01", "2024-01-15"),
               lambda df: serving.top_services(df, org, "2024-01-05", "2024-01-18"),
               lambda df: serving.lookup(df, org).select(*mart.columns)):
-        want = sorted(tuple(r) for r in
-                      q(serving.null_policy(mart, serving.SERVING["daily_usage"])).collect())
+        want = sorted((tuple(r) for r in
+                       q(serving.null_policy(mart, serving.SERVING["daily_usage"])).collect()), key=repr)
         assert want
-        assert sorted(tuple(r) for r in q(table).collect()) == want
+        assert sorted((tuple(r) for r in q(table).collect()), key=repr) == want
 
 
-def test_upsert_anti_join_reuses_mart_partitioning(spark):
-    """The marts leave their aggregate hash-partitioned on the key and the
-    org attributes are joined by broadcast after it, so the key-merge's
-    anti-join needs no exchange of its own: the only hash exchanges are the
-    aggregates' (the update side's is planned twice, once per use)."""
+def test_upsert_side_is_computed_once(spark):
     p = plan(REGISTRY["upsert_by_key"](spark, SF_SMALL))
-    assert "LeftAnti" in p
-    assert p.count("Exchange hashpartitioning") <= 3
-    assert "SortAggregate" not in p
+    assert "LeftAnti" in p and "SortAggregate" not in p
+    assert sum("FileScan" in line and "events.parquet" in line for line in p.splitlines()) == 1
+
+
+def test_dedupe_reads_its_input_once_and_limits_before_the_shuffle(spark):
+    p = plan(REGISTRY["dedupe_composite_key"](spark, SF_SMALL))
+    assert p.count("FileScan") == 1
+    assert "WindowGroupLimit" in p and p.count("Exchange hashpartitioning") == 1
+
+
+def test_control_totals_parse_the_feed_once(spark):
+    p = plan(REGISTRY["gold_control_totals"](spark, SF_SMALL))
+    assert not any("FileScan" in line and "events.parquet" in line for line in p.splitlines())
+
+
+def test_dimension_is_broadcast_by_known_bytes_only(spark):
+    fact, dim = spark.range(10).withColumnRenamed("id", "k"), spark.range(5).selectExpr("id AS k", "id AS v")
+    with_size = left_enrich(fact, dim, ["k"], ["v"], dim_bytes=1000)
+    assert "ResolvedHint" in with_size._jdf.queryExecution().analyzed().toString()
+    for size in (None, 10 ** 12):
+        out = left_enrich(fact, dim, ["k"], ["v"], dim_bytes=size)
+        assert "ResolvedHint" not in out._jdf.queryExecution().analyzed().toString()

@@ -64,6 +64,22 @@ def test_full_truth_table_and_total_split(spark):
     assert sum(v for (side, _), v in report.items() if side != "input") == len(rows)
 
 
+def test_numbers_and_times_that_no_mart_can_hold(spark):
+    """Clean + quarantine = input, each such row under its label."""
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", 1.0, "2", "h"), ("b", inf, "2", "h"), ("c", nan, "2", "h"), ("d", 2e10, "2", "h"),
+            ("e", 4e-9, "2e10", "h"), ("f", 1.0, "Infinity", "h"), ("g", 1.0, "NaN", "h"),
+            ("h", 1e15, "2", "h"), ("i", -inf, "2", "h"), (None, nan, "2", "h")]
+    lab = quality.label(frame(spark, rows).withColumn(
+        "timestamp", F.when(F.col("event_id") != "a", F.col("timestamp"))), quality.usage_rules())
+    got = {r.event_id: r.dq_rule for r in lab.collect()}
+    assert got == {"a": quality.TIME_LABEL, "b": quality.RANGE_LABEL, "c": quality.RANGE_LABEL,
+                   "d": None, "e": None, "f": quality.RANGE_LABEL, "g": quality.RANGE_LABEL,
+                   "h": quality.RANGE_LABEL, "i": quality.R2_LABEL, None: quality.R1_LABEL}
+    clean, bad = quality.split(lab)
+    assert clean.count() + bad.count() == len(rows)
+
+
 def test_null_keys_are_not_duplicates(spark):
     rows = [(None, 1.0, "2", "h"), (None, 1.0, "2", "h"), ("a", 1.0, "2", "h"), ("a", 2.0, "2", "h")]
     df = frame(spark, rows).select("event_id", "cost_usd_increment")

@@ -39,14 +39,14 @@ def test_hot_org_daily_usage_matches_brute_force(spark):
         k = (r.org_id, r.usage_date, r.service)
         n[k] += 1
         if r.cost_usd_increment is not None:
-            cost[k] += _money(r.cost_usd_increment, 8)
+            cost[k] += _money(r.cost_usd_increment, 12)
     names = {r.org_id: r.org_name for r in lake.orgs().collect()}
-    want = sorted((k[0], names.get(k[0]), k[1], k[2], n[k],
+    want = sorted(((k[0], names.get(k[0]), k[1], k[2], n[k],
                    float(cost[k].quantize(Decimal("0.0001"), ROUND_HALF_UP)) if k in cost else None)
-                  for k in n)
+                  for k in n), key=repr)
     mart = lake.daily_usage_mart(skewed)
-    got = sorted((r.org_id, r.org_name, r.usage_date, r.service, r.event_count, r.total_cost_usd)
-                 for r in mart.collect())
+    got = sorted(((r.org_id, r.org_name, r.usage_date, r.service, r.event_count, r.total_cost_usd)
+                  for r in mart.collect()), key=repr)
     assert got == want
 
 
