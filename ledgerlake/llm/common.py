@@ -24,7 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Array of the words of a text (NULL: no words)."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACES), lambda w: w != "")
+    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D]", " ")
+    return F.array_remove(F.split(spaced, " "), "")     # one plain character: no regex split
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -120,21 +121,21 @@ def components(edges: DataFrame, name: str) -> DataFrame:
                                                F.least("a", "b").alias("b")).distinct(), name)
     seen = state(cur)
     while seen[0]:
+        # the minima are written, so the joins below are of plain tables and a
+        # vertex with very many neighbours can be split over tasks
         # large star: neighbours above a vertex link to the least of its neighbourhood
         sym = both(cur)
-        m = least(sym).select("a", F.least("a", "m").alias("m"))
-        large = (sym.join(m, "a").where("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        m = written(least(sym).select("a", F.least("a", "m").alias("m")), name + "-least")
+        large = written(sym.where("b > a").join(m, "a")
+                        .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name + "-large")
         # small star: a vertex and its smaller neighbours link to the least of them
-        m = large.groupBy("a").agg(F.min("b").alias("m"))
+        m = written(least(large), name + "-least")
         small = (large.join(m, "a").where("b <> m")
                  .select(F.col("b").alias("a"), F.col("m").alias("b")))
-        nxt = written(small.union(m.select("a", F.col("m").alias("b"))).distinct(), name)
-        now = state(nxt)
-        cur = nxt
-        if now == seen:
+        cur = written(small.union(m.select("a", F.col("m").alias("b"))).distinct(), name)
+        before, seen = seen, state(cur)
+        if seen == before:
             break
-        seen = now
     m = cur.groupBy("a").agg(F.min("b").alias("m"))
     roots = cur.select(F.col("b").alias("id")).distinct()
     return (m.select(F.col("a").alias("id"), F.col("m").alias("component_id"))
