@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import written
+
 #: Fixed values of the chat template.
 OPEN, CLOSE, END = "<|im_start|>", "\n", "<|im_end|>\n"
 
@@ -37,8 +39,11 @@ def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", speaker:
     t = turns.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
                      F.coalesce(F.col(speaker), F.lit("unknown")).alias("speaker"),
                      F.coalesce(F.col(text), F.lit("")).alias("text"))
-    people = (t.where(F.col("speaker") != system)
-              .select(F.col("conv_id").alias("of"), F.col("speaker").alias("perspective")).distinct())
+    # written, so the join is of plain tables and a dialogue with very many turns
+    # can be split over tasks
+    people = written(t.where(F.col("speaker") != system)
+                     .select(F.col("conv_id").alias("of"), F.col("speaker").alias("perspective"))
+                     .distinct(), "chat-people")
     own = F.col("speaker") == F.col("perspective")
     role = F.when(F.col("speaker") == system, "system").when(own, "assistant").otherwise("user")
     head = F.concat(F.lit(OPEN), F.col("role"),

@@ -63,19 +63,18 @@ ORDINARY = [
 ]
 
 
-def _starts(pieces: str, matches: str) -> str:
-    """SQL: array of the code point where each match starts.
+def _before(lengths: str) -> str:
+    """SQL: sum of the ``lengths`` (array) before each element.
 
-    ``pieces`` has one element more than ``matches``.  Lengths are summed per
-    block of 256 first, so a start adds one block total and one part block.
+    The sums before each block of 256 come first, so an element adds one of
+    them and part of its own block.  ``aggregate`` over a one-element array
+    names a value, so that it is computed once.
     """
-    step = f"transform({matches}, (m, i) -> length({pieces}[i]) + length(m))"
-    return f"""transform(sequence(0, size({matches}) - 1), i -> cast(
-        aggregate(slice(transform(sequence(0, (size({matches}) - 1) div 256),
-              b -> aggregate(slice({step}, b * 256 + 1, 256), 0, (a, x) -> a + x)),
-            1, i div 256), 0, (a, x) -> a + x)
-        + aggregate(slice({step}, (i div 256) * 256 + 1, i % 256), 0, (a, x) -> a + x)
-        + length({pieces}[i]) AS long))"""
+    none, add = "cast(array() AS array<bigint>)", "(a, x) -> a + x"
+    return f"""aggregate(array({lengths}), {none}, (none, l) -> aggregate(
+        array(transform(sequence(0, (size(l) - 1) div 256), b -> aggregate(slice(l, 1, b * 256), 0L, {add}))),
+        {none}, (none, s) -> transform(l, (y, i) ->
+            s[i div 256] + aggregate(slice(l, (i div 256) * 256 + 1, i % 256), 0L, {add}))))"""
 
 
 def _find(df: DataFrame, pattern: str, kind: int, keep: str, out: str) -> DataFrame:
@@ -85,10 +84,11 @@ def _find(df: DataFrame, pattern: str, kind: int, keep: str, out: str) -> DataFr
     hit = f"rlike(t, {lit})"
     df = (df.withColumn(f"{out}_m", F.expr(f"IF({hit}, regexp_extract_all(t, {lit}, 0), cast(array() AS array<string>))"))
           .withColumn(f"{out}_p", F.expr(f"IF(size({out}_m) > 0, split(t, {lit}, -1), cast(array() AS array<string>))")))
+    lengths = f"transform({out}_m, (m, i) -> cast(length({out}_p[i]) + length(m) AS bigint))"
     df = df.withColumn(f"{out}_s", F.expr(f"""IF(size({out}_m) = 0, cast(array() AS array<bigint>),
-                       {_starts(out + '_p', out + '_m')})"""))
-    return df.withColumn(out, F.expr(f"""filter(transform({out}_m, (m, i) -> struct(
-        {out}_s[i] AS start, {kind} AS kind, {out}_s[i] + length(m) AS end, m AS value)),
+        zip_with({_before(lengths)}, slice({out}_p, 1, size({out}_m)), (s, p) -> s + length(p)))"""))
+    return df.withColumn(out, F.expr(f"""filter(zip_with({out}_m, {out}_s, (m, s) -> struct(
+        s AS start, {kind} AS kind, s + length(m) AS end, m AS value)),
         x -> {keep.replace('{m}', 'x.value')})""")).drop(f"{out}_m", f"{out}_p", f"{out}_s")
 
 

@@ -392,7 +392,7 @@ def test_secrets(spark, none):
         [(i, " ".join(_RNG.choice("intercontinental characteristic responsibility_of the understanding "
                                   "administrative-note international documentation configuration".split())
                       for _ in range(60)), 0, 0) for i in range(100, 160)], df.schema)
-    model = secrets.train(df.union(words))
+    model = secrets.train(df.where("doc_id <> 7").union(words))
     found = secrets.scan(df, model)
     got = {r.doc_id: r for r in found.select(
         "doc_id", F.size("assign").alias("x"), F.size("access").alias("y"), F.size("hex").alias("z"),
