@@ -656,10 +656,9 @@ def bronze_csv_table(spark, sf_dir):
 def bronze_masters_counts(spark, sf_dir):
     """The seven masters landed as CSV (with a re-export of a third of
     their rows) and loaded to bronze: rows and distinct keys per table."""
-    paths = jobs.bronze_masters(spark, sf_dir, run_dir(spark, "masters"))
     out = None
-    for name, (spec, _) in standins.masters(spark, sf_dir).items():
-        bronze = readers.read_parquet(spark, paths[name], readers.with_corrupt(spec))
+    for name, (spec, path) in jobs.bronze_masters(spark, sf_dir, run_dir(spark, "masters")).items():
+        bronze = readers.read_parquet(spark, path, readers.with_corrupt(spec))
         one = bronze.agg(F.count("*").alias("rows"), F.count_distinct(*spec.key).alias("distinct_keys"),
                          F.count(CORRUPT).alias("corrupt_rows")) \
             .select(F.lit(name).alias("table_name"), "*")

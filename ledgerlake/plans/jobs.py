@@ -41,14 +41,14 @@ def bronze_csv_table(spark: SparkSession, csv_path: str, spec: TableSpec | Struc
     return check_unique(readers.read_parquet(spark, out_path, bronze.schema), key, out_path)
 
 
-def bronze_masters(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """The seven masters from landing CSV to bronze; name → path."""
+def bronze_masters(spark: SparkSession, sf_dir: str, root: str) -> dict[str, tuple[TableSpec, str]]:
+    """The seven masters from landing CSV to bronze; name → (table, path)."""
     out = {}
     for name, (spec, rows) in standins.masters(spark, sf_dir).items():
-        landing = writers.write_csv(rows, f"{root}/landing/{name}")
-        out[name] = f"{root}/bronze/{name}"
-        bronze_csv_table(spark, landing, spec, out[name], list(spec.key),
+        landing, path = writers.write_csv(rows, f"{root}/landing/{name}"), f"{root}/bronze/{name}"
+        bronze_csv_table(spark, landing, spec, path, list(spec.key),
                          partition_by=spec.partition_by[0] if spec.partition_by else None)
+        out[name] = spec, path
     return out
 
 
@@ -104,8 +104,7 @@ def build_layers(spark: SparkSession, lake: Lake, root: str, spike=REFERENCE_SPI
     """Full batch rebuild of every layer into ``root`` (a fresh run folder)."""
     L = Layers(root)
     # bronze: the seven masters and the feed; everything below reads these
-    for name, path in bronze_masters(spark, lake.sf_dir, root).items():
-        spec, _ = standins.masters(spark, lake.sf_dir)[name]
+    for name, (spec, path) in bronze_masters(spark, lake.sf_dir, root).items():
         L.add(f"bronze/{name}", path, readers.with_corrupt(spec))
     landing = writers.write_text(
         standins.landing_lines(lake.bronze_events(), writers.JSON_TIMESTAMP_FORMAT),

@@ -72,7 +72,7 @@ def metric_features(df: DataFrame) -> DataFrame:
 
 
 def silver_usage(clean: DataFrame, orgs: DataFrame, resources: DataFrame | None = None,
-                 *, keep_resource_flag: bool = False, orgs_bytes: int | None = None,
+                 *, orgs_bytes: int | None = None,
                  resources_bytes: int | None = None) -> DataFrame:
     """Clean events ⟕ orgs (name, plan) [⟕ resources], metric pivot, fixed columns."""
     out = left_enrich(clean, orgs, ["org_id"], ["org_name", "plan_tier"], dim_bytes=orgs_bytes)
@@ -82,8 +82,6 @@ def silver_usage(clean: DataFrame, orgs: DataFrame, resources: DataFrame | None
     if resources is not None:
         out = left_flag(out, resources, ["resource_id", "org_id"], "resource_known",
                         dim_bytes=resources_bytes)
-        if keep_resource_flag:
-            cols.append("resource_known")
     return metric_features(out).select(*cols)
 
 
