@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 from ledgerlake.llm.common import words, written
 
 #: Documents per hash range of the seeded order.
-RANGE_ROWS = 4096
+RANGE_ROWS = 1024
 
 #: Cost of the first, second, ... copy of a document.
 COPY_COSTS = (0, 1, 4, 9, 16, 25, 36, 49)
