@@ -204,6 +204,9 @@ def ranked(items: DataFrame, name: str = "packing") -> tuple[DataFrame, dict[int
     """``items`` with ``rank`` within equal ``length``, and the pieces per length."""
     spark = items.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # the pieces are written before they are sorted: a range sort reads its input
+    # twice, for the bounds and for the rows, and tokenising is the larger part
+    items = written(items, name + "-pieces")
     # written: the ranges must be the same when they are counted and when they are ranked
     srt = written(items.withColumn("tie", F.xxhash64("doc_id", "piece", "ids_crc32"))
                   .repartitionByRange(parts, F.desc("length"), "tie")
