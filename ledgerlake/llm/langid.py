@@ -25,10 +25,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,16 +39,19 @@ SAMPLE_DOCS, SAMPLE_WORDS = 4000, 120
 #: Words in a chain; words in a block that is labelled at once; words a worker remembers.
 CHAIN, BLOCK, CACHE_WORDS = 256, 200_000, 400_000
 BITS = 17
+MASK = (1 << BITS) - 1
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def features(word: str) -> list[int]:
-    """Buckets of a lower-cased word: lexicon entry, affixes, n-grams."""
-    w = f"<{word}>"
-    own = [f"w{word}", *(f"p{word[:k]}" for k in (1, 2, 3)), *(f"s{word[-k:]}" for k in (1, 2, 3, 4))]
-    own += [f"g{w[i:i + 2]}" for i in range(len(w) - 1)] + [f"g{w[i:i + 3]}" for i in range(len(w) - 2)]
-    return [xxhash.xxh32_intdigest(x) >> (32 - BITS) for x in own]
+    """Buckets of a lower-cased word's UTF-8 bytes: lexicon entry, affixes,
+    n-grams.  Each kind has its own seed."""
+    w = word.encode()
+    own = [crc32(w, 1), *[crc32(w[:k], 2) for k in (1, 2, 3, 4)], *[crc32(w[-k:], 3) for k in (1, 2, 3, 4, 5)]]
+    w = b"<" + w + b">"
+    own += [crc32(w[i:i + 3], 4) for i in range(len(w) - 2)]
+    return [x & MASK for x in own]
 
 
 @dataclass
@@ -56,9 +60,13 @@ class Model:
     w: np.ndarray = field(default=None)     # (buckets, langs)
     t: np.ndarray = field(default=None)     # (langs, langs) transitions
 
-    def emission(self, word: str) -> np.ndarray:
-        ids = features(word)
-        return self.w[ids].sum(axis=0) / len(ids) ** 0.5
+    def emissions(self, words: list[str]) -> np.ndarray:
+        """Emission scores, (words, langs)."""
+        ids = [features(w) for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, sizes.sum())
+        starts = np.cumsum(sizes) - sizes
+        return np.add.reduceat(self.w[flat], starts, axis=0) / np.sqrt(sizes)[:, None]
 
 
 def forward_backward(e: np.ndarray, mask: np.ndarray, t: np.ndarray):
@@ -167,18 +175,27 @@ def train(docs: DataFrame, where: Column, id_col: str = "doc_id", text_col: str
 
 
 class _Emissions(dict):
-    """Row of each word in a growing table of emission scores."""
+    """Row of each word in a table of emission scores; new words get theirs
+    together, once a block."""
 
     def __init__(self, model: Model):
-        self.model, self.table = model, np.empty((1024, len(model.langs)))
+        self.model, self.table, self.new = model, np.empty((0, len(model.langs))), []
 
     def __missing__(self, word: str) -> int:
-        if len(self) == len(self.table):
-            self.table = np.concatenate([self.table, np.empty_like(self.table)])
         out = self[word] = len(self)
-        self.table[out] = self.model.emission(word)
+        self.new.append(word)
         return out
 
+    def scores(self) -> np.ndarray:
+        if self.new:
+            self.table = np.concatenate([self.table, self.model.emissions(self.new)])
+            self.new = []
+        return self.table
+
+    def forget(self):
+        self.__init__(self.model)
+        self.clear()
+
 
 def label(texts: list[str | None], emissions: _Emissions) -> np.ndarray:
     """Mean label probabilities of each text, (texts, langs); 0 without words."""
@@ -188,10 +205,10 @@ def label(texts: list[str | None], emissions: _Emissions) -> np.ndarray:
 
     def flush():
         """Labels the chains gathered."""
-        width = max(map(len, ids))
+        width, table = max(map(len, ids)), emissions.scores()
         e, mask = np.zeros((len(ids), width, k)), np.zeros((len(ids), width), bool)
         for i, s in enumerate(ids):
-            e[i, :len(s)], mask[i, :len(s)] = emissions.table[s], True
+            e[i, :len(s)], mask[i, :len(s)] = table[s], True
         m, _ = forward_backward(e, mask, emissions.model.t)
         np.add.at(out, of, (m * mask[:, :, None]).sum(axis=1))
         ids.clear()
@@ -199,8 +216,9 @@ def label(texts: list[str | None], emissions: _Emissions) -> np.ndarray:
 
     for i, text in enumerate(texts):
         if len(emissions) > CACHE_WORDS:
-            flush() if ids else None
-            emissions.clear()
+            if ids:
+                flush()
+            emissions.forget()
             rest = 0
         words = np.fromiter(map(emissions.__getitem__, _WORD.findall((text or "").lower())), np.int64)
         for s in range(0, len(words), CHAIN):
