@@ -18,10 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SPACES, words
-
-#: Symbols counted by ``n_symbols``.
-SYMBOLS = "#*$%&|<>"
+from ledgerlake.llm.common import words
 
 #: Frequent function words of the corpus languages (en, de, fr, es).
 STOP_WORDS = [
@@ -49,22 +46,29 @@ RULES = (
     Rule("duplicate_lines", "n_dup_lines / n_lines", None, 0.3),
     Rule("bullet_lines", "n_bullet_lines / n_lines", None, 0.9),
     Rule("ellipsis_lines", "n_ellipsis_lines / n_lines", None, 0.3),
-    Rule("letters", "n_letter_words / n_words", 0.7, None),
+    Rule("letters", "n_letters / word_chars", 0.7, None),
 )
 
 
-def _repeat_words(w: str, n: int = 3) -> Column:
-    """Words inside n-word windows that occur twice or more in the text.
+def _repeat_words(w: str, g: str) -> str:
+    """SQL: words of ``w`` inside 3-word windows (hashes ``g``) found twice or more.
 
-    Window hashes are sorted with their positions, so equal windows are
-    neighbours; the positions found are then counted as a union of intervals:
-    in order, each window adds the words its predecessor does not cover.
+    Most texts have no such window, which counting distinct hashes tells.
+    Otherwise each hash gets its position in place of its low bits, and the
+    sorted numbers put equal windows side by side (whole hashes decide); the
+    positions found are counted as a union of intervals: in order, each window
+    adds the words that its predecessor does not cover.
     """
-    parts = ", ".join(f"{w}[i + {k}]" for k in range(n))
-    grams = F.expr(f"""CASE WHEN size({w}) < {n + 1} THEN array() ELSE
-        array_sort(transform(sequence(0, size({w}) - {n}),
-                             i -> struct(xxhash64({parts}) AS h, i AS p))) END""")
-    return grams
+    mask = f"(shiftleft(1L, greatest(16, int(ceil(log2(size({w}) + 1))))) - 1)"
+    at = f"int(s[{{j}}] & {mask})"
+    here, prev, nxt = (f"{g}[{at.format(j=j)}]" for j in ("j", "j - 1", "j + 1"))
+    return f"""CASE WHEN size(array_distinct({g})) = size({g}) THEN 0L ELSE
+        aggregate(array(sort_array(transform({g}, (x, i) -> (x & ~{mask}) | i))), 0L, (none, s) ->
+            aggregate(sort_array(transform(filter(sequence(0, size(s) - 1),
+                    j -> (j > 0 AND {here} = {prev}) OR (j < size(s) - 1 AND {here} = {nxt})),
+                    j -> {at.format(j='j')})),
+                struct(0L AS n, -3 AS last),
+                (a, p) -> struct(a.n + least(3, p - a.last) AS n, p AS last), a -> a.n)) END"""
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,28 +77,22 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     df = docs.select(F.col(id_col).alias("doc_id"), text.alias("t"))
     df = df.withColumn("w", words(F.col("t")))
     df = df.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    df = df.withColumn("g", _repeat_words("w"))
-    df = df.withColumn("p", F.expr("""CASE WHEN size(g) < 2 THEN array() ELSE array_sort(transform(
-        filter(sequence(0, size(g) - 1), j -> (j > 0 AND g[j - 1].h = g[j].h)
-               OR (j < size(g) - 1 AND g[j + 1].h = g[j].h)), j -> g[j].p)) END"""))
-    stop = F.array(*[F.lit(x) for x in STOP_WORDS])
+    df = df.withColumn("g", F.expr("""IF(size(w) < 4, cast(array() AS array<bigint>),
+        transform(sequence(0, size(w) - 3), i -> xxhash64(w[i], w[i + 1], w[i + 2])))"""))
     return df.select(
         "doc_id",
         F.size("w").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("t", SPACES, "")).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("t", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.expr("""CASE WHEN size(p) = 0 THEN 0L ELSE cast(aggregate(sequence(0, size(p) - 1), 0,
-            (acc, j) -> acc + CASE WHEN j = 0 THEN 3 ELSE least(3, p[j] - p[j - 1]) END)
-            AS long) END""").alias("n_repeat_words"),
+        F.expr(_repeat_words("w", "g")).alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(r"^\s*([-*•])\s"))).cast("long")
         .alias("n_bullet_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(r"(\.\.\.|…)\s*$"))).cast("long")
         .alias("n_ellipsis_lines"),
-        F.size(F.filter("w", lambda x: F.array_contains(stop, F.lower(x)))).cast("long")
-        .alias("n_stop_words"),
-        F.size(F.filter("w", lambda x: x.rlike(r"\p{L}"))).cast("long").alias("n_letter_words"))
+        F.size(F.filter("w", lambda x: x.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
+        F.length(F.regexp_replace("t", r"[^\p{L}]+", "")).cast("long").alias("n_letters"))
 
 
 def passes(rule: Rule) -> Column:
