@@ -28,11 +28,14 @@ empty result; other columns are not read.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 import zlib
 from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -48,14 +51,32 @@ CACHE_CHUNKS = 500_000
 
 # -- tokens -------------------------------------------------------------------
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Added tokens (text: id) of the tokenizer file beside the ranks in ``path``.
+
+    They are matched in text before anything else; only plain ones are known
+    here, whose match takes no white space and asks for no word boundary.
+    """
+    own = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(own):
+        return {}
+    with open(own, encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t[k] for t in added for k in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError(f"{own}: added tokens with options")
+    return {t["content"]: t["id"] for t in added}
+
+
 def load_tokenizer(path: str):
-    """Ids of a string by the vocabulary in ``path`` (ranks of a byte-level BPE)."""
+    """Ids of a string by the vocabulary in ``path`` (ranks of a byte-level BPE)
+    and the added tokens that belong to it."""
     import public_tokenizers
     import tiktoken
 
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                             special_tokens={}).encode_ordinary
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                            special_tokens=added_tokens(path))
+    return partial(own.encode, allowed_special="all")
 
 
 class _Chunks(dict):

@@ -258,6 +258,17 @@ def test_chunked_tokens_equal_whole_text():
         assert packing.encode(rows[i][1], chunks) == np.array(ids[:-1], "<u4").tobytes(), rows[i]
 
 
+def test_added_tokens_equal_whole_text():
+    chunks = packing._Chunks(packing.load_tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    rng = random.Random(5)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endoftext", "|>", "a", " ", "  ", "\n", "'s", "12", "é", "x y", " 's"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(12)))) for i in range(3000)]
+    rows.append((3000, "x<|endoftext|>y"))
+    for i, ids in _tokenized(rows).items():
+        assert packing.encode(rows[i][1], chunks) == np.array(ids[:-1], "<u4").tobytes(), rows[i]
+    assert ids == [87, 50256, 88, 2]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_pack_classes_hold_every_piece(seed):
     rng = np.random.default_rng(seed)
