@@ -3,7 +3,8 @@
 Native: DataFrame and SQL functions only.  Three fixed patterns give the base
 spans.  The method adds ``random`` spans: every other long token is scored by
 the log-likelihood ratio of two character bigram models, one of random strings
-and one of ordinary identifiers, and is a secret when the ratio is high.
+and one of ordinary identifiers, and is a secret when the ratio is high.  Base
+spans cut tokens: what is left of a token beside them is a token of its own.
 
 The models are trained on labelled samples of the corpus: values inside base
 spans are the random class (with seeded base64 strings, so that every
@@ -77,13 +78,13 @@ def _before(lengths: str) -> str:
             s[i div 256] + aggregate(slice(l, (i div 256) * 256 + 1, i % 256), 0L, {add}))))"""
 
 
-def _find(df: DataFrame, pattern: str, kind: int, keep: str, out: str) -> DataFrame:
-    """Adds ``out``: array of (start, kind, end, value) of the matches that
-    pass ``keep`` (SQL over the match ``m``)."""
+def _find(df: DataFrame, pattern: str, kind: int, keep: str, out: str, t: str = "t") -> DataFrame:
+    """Adds ``out``: array of (start, kind, end, value) of the matches in column
+    ``t`` that pass ``keep`` (SQL over the match ``m``)."""
     lit = "r'" + pattern.replace("'", r"\x27") + "'"
-    hit = f"rlike(t, {lit})"
-    df = (df.withColumn(f"{out}_m", F.expr(f"IF({hit}, regexp_extract_all(t, {lit}, 0), cast(array() AS array<string>))"))
-          .withColumn(f"{out}_p", F.expr(f"IF(size({out}_m) > 0, split(t, {lit}, -1), cast(array() AS array<string>))")))
+    hit = f"rlike({t}, {lit})"
+    df = (df.withColumn(f"{out}_m", F.expr(f"IF({hit}, regexp_extract_all({t}, {lit}, 0), cast(array() AS array<string>))"))
+          .withColumn(f"{out}_p", F.expr(f"IF(size({out}_m) > 0, split({t}, {lit}, -1), cast(array() AS array<string>))")))
     lengths = f"transform({out}_m, (m, i) -> cast(length({out}_p[i]) + length(m) AS bigint))"
     df = df.withColumn(f"{out}_s", F.expr(f"""IF(size({out}_m) = 0, cast(array() AS array<bigint>),
         zip_with({_before(lengths)}, slice({out}_p, 1, size({out}_m)), (s, p) -> s + length(p)))"""))
@@ -158,14 +159,26 @@ def ratios(bigrams: list) -> list[float]:
     return [x - y for x, y in zip(logs[True], logs[False])]
 
 
+def _outside(df: DataFrame) -> DataFrame:
+    """Adds ``outside``: the text with spaces in place of the base spans, so that
+    tokens are cut there and what is left keeps its positions."""
+    blank = F.expr("""aggregate(array_sort(concat(assign, access, hex)),
+        struct('' AS out, 0L AS pos),
+        (a, x) -> CASE WHEN x.end > a.pos THEN struct(
+            concat(a.out, substring(t, int(a.pos + 1), int(greatest(x.start - a.pos, 0L))),
+                   repeat(' ', int(x.end - greatest(x.start, a.pos)))) AS out,
+            x.end AS pos) ELSE a END,
+        a -> concat(a.out, substring(t, int(a.pos + 1))))""")
+    found = F.expr("size(assign) + size(access) + size(hex) > 0")
+    return df.withColumn("outside", F.when(found, blank).otherwise(F.col("t")))
+
+
 def scan(docs: DataFrame, model: list[float] | None = None, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """(doc_id, t, row, assign, access, hex, random): spans of each kind."""
     model = train(docs, id_col, text_col) if model is None else model
-    df = base_spans(docs, id_col, text_col)
-    df = _find(df, f"{TOKEN}{{{TOKEN_CHARS},}}", 3, "true", "tokens")
-    df = df.withColumn("tokens", F.expr("""filter(tokens, x -> NOT exists(
-        concat(assign, access, hex), b -> b.start < x.end AND x.start < b.end))"""))
+    df = _outside(base_spans(docs, id_col, text_col))
+    df = _find(df, f"{TOKEN}{{{TOKEN_CHARS},}}", 3, "true", "tokens", "outside").drop("outside")
     ratios = F.lit(model)
     k = len(ALPHABET)
 
