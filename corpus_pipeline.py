@@ -29,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least id stays."""
-    found = jaccard.join(docs)
+    found = jaccard.join(docs, count_links=False)            # only components decide
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(gone, docs.doc_id == gone.gone, "left_anti").select(*docs.columns)
 

@@ -20,7 +20,15 @@ first, few sets meet there.
   candidates as members), and the links found are contracted.  Of the pairs
   left, only those in different components are joined; all others are linked
   already.  A group of thousands of near copies thus costs thousands of
-  comparisons, not their square, and no link between components is lost.
+  candidates, not their square, and no link between components is lost.
+* Links.  All links lie inside components, so they are counted there: every two
+  classes of a component are compared once, on their whole sets, weighted by
+  their copies.  A component is dealt by hash into chunks of about ``CHUNK``
+  classes and ``CHUNK_GRAMS`` n-grams; each pair of chunks is one block, which
+  returns counts, never the links themselves.
+
+``n_links`` counts the other rows with an id whose sets are similar enough,
+copies included.
 
 Defined results: NULL or empty text has the empty set and links with nothing;
 fewer words than n make one n-gram of the whole sequence; rows that share an
@@ -45,6 +53,8 @@ TABLE_BITS, BLOCK_BITS = 20, 10
 BINS = 64
 #: Ids up to which the set of documents to verify is broadcast (16 bytes each).
 BROADCAST_IDS = 500_000
+#: Classes and n-grams of a chunk of a component, and n-grams multiplied at once.
+CHUNK, CHUNK_GRAMS, STEP = 512, 2_000_000, 4096
 
 
 def shingles(text: bytes, n: int) -> np.ndarray:
@@ -58,6 +68,11 @@ def shingles(text: bytes, n: int) -> np.ndarray:
     return np.unique(SequenceHash(h).windows(n))
 
 
+def _signature(g: np.ndarray) -> tuple[int, int]:
+    return (int(mix(g).sum(dtype=np.uint64).view(np.int64)),
+            int(mix(g ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)))
+
+
 def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """(doc_id, n, sig1, sig2) of each text, and the partition's counters in
     blocks (block, counts) at its end."""
@@ -70,8 +85,8 @@ def _signatures(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Record
             g = shingles(text, n)
             np.add.at(counts, (g >> np.uint64(64 - TABLE_BITS)).astype(np.int64), 1)
             size.append(len(g))
-            s1.append(int(mix(g).sum(dtype=np.uint64).view(np.int64)))
-            s2.append(int(mix(g ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64).view(np.int64)))
+            for out, own in zip((s1, s2), _signature(g)):
+                out.append(own)
         k = len(size)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(size, pa.int32()), pa.array(s1, pa.int64()),
@@ -183,9 +198,108 @@ def _links(pairs: DataFrame, docs: DataFrame, small: DataFrame, n: int, percent:
     return written(links.distinct(), name + "-links")
 
 
+def _overlaps(x: list, y: list) -> np.ndarray:
+    """(x, y) sizes of the intersections of two lists of sets."""
+    nx, ny = [len(g) for g in x], [len(g) for g in y]
+    gx, gy = np.concatenate(x), np.concatenate(y)
+    _, col, seen = np.unique(np.concatenate([gx, gy]), return_inverse=True, return_counts=True)
+    cx, cy = col[:len(gx)], col[len(gx):]
+    both = np.zeros(len(seen), bool)                       # n-grams that both sides hold
+    both[cx] = True
+    held = np.zeros(len(seen), bool)
+    held[cy] = True
+    both &= held
+    at = np.cumsum(both) - 1
+    parts = []
+    for c, sizes in ((cx, nx), (cy, ny)):
+        own = np.repeat(np.arange(len(sizes)), sizes)[both[c]]
+        c = at[c[both[c]]]
+        order = np.argsort(c, kind="stable")
+        parts.append((own[order], c[order]))
+    out = np.zeros((len(x), len(y)), np.int64)
+    for first in range(0, int(both.sum()), STEP):
+        dense = []
+        for (own, c), rows in zip(parts, (len(x), len(y))):
+            a, b = np.searchsorted(c, [first, first + STEP])
+            width = min(STEP, int(both.sum()) - first)
+            m = np.zeros((rows, width), np.float32)        # sums up to STEP are exact
+            m[own[a:b], c[a:b] - first] = 1
+            dense.append(m)
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    return out
+
+
+def _block_links(x: dict, y: dict, percent: int) -> list[tuple[int, int, int]]:
+    """(sig1, sig2, links) of the classes of one block, dicts of
+    {(sig1, sig2): (copies, set)}; ``y`` is empty where a chunk meets itself."""
+    if not x or (not y and len(x) < 2):
+        return []
+    same = not y
+    y = y or x
+    both = _overlaps([s for _, s in x.values()], [s for _, s in y.values()])
+    nx, ny = (np.array([len(s) for _, s in v.values()], np.int64) for v in (x, y))
+    link = 100 * both >= percent * (nx[:, None] + ny[None] - both)
+    if same:
+        np.fill_diagonal(link, False)
+    wx, wy = (np.array([c for c, _ in v.values()], np.int64) for v in (x, y))
+    out = [(*k, int(m)) for k, m in zip(x, link @ wy) if m]
+    return out if same else out + [(*k, int(m)) for k, m in zip(y, wx @ link) if m]
+
+
+def _count_links(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Counts block by block; rows (block, own, other, sig1, sig2, copies, text)
+    come sorted by block."""
+    key, x, y, pair = None, {}, {}, True
+
+    def done():
+        # a block of two chunks one of which is empty has no pairs
+        rows = _block_links(x, y, percent) if not pair or (x and y) else []
+        cols = list(zip(*rows)) if rows else [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
+                                          ["sig1", "sig2", "links"])
+
+    for batch in batches:
+        for k, own, other, s1, s2, copies, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if k != key:
+                if key is not None:
+                    yield done()
+                key, x, y, pair = k, {}, {}, own != other
+            g = shingles(text, n)
+            if _signature(g) == (s1, s2):                  # not another row of the same id
+                (x if own <= other else y)[s1, s2] = (copies, g)
+    if key is not None:
+        yield done()
+
+
+def _class_links(classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(sig1, sig2, links): for the ``classes`` (sig1, sig2, rep, n, copies,
+    component_id) that link, the rows of other classes that each links with."""
+    sizes = (classes.groupBy("component_id").agg(F.count("*").alias("c"), F.sum("n").alias("grams"))
+             .where("c > 1").selectExpr(
+                 "component_id",
+                 f"cast(ceil(greatest(c / {CHUNK}, grams / {CHUNK_GRAMS})) AS int) AS chunks"))
+    members = (classes.join(sizes, "component_id")
+               .withColumn("own", F.expr("cast(pmod(xxhash64(sig1, sig2), chunks) AS int)")))
+    members = written(members.select("component_id", "rep", "sig1", "sig2", "copies", "chunks", "own"),
+                      "jaccard-members")
+    if members.count() <= BROADCAST_IDS:
+        members = F.broadcast(members)
+    rows = (docs.join(members, F.col("doc_id") == F.col("rep"))
+            .withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+            .withColumn("block", F.concat_ws("/", "component_id", F.least("own", "other"),
+                                             F.greatest("own", "other"))))
+    counts = (rows.select("block", "own", "other", "sig1", "sig2", "copies", "text")
+              .repartition("block").sortWithinPartitions("block")
+              .mapInArrow(lambda it: _count_links(it, n, percent), "sig1 long, sig2 long, links long"))
+    return written(counts.groupBy("sig1", "sig2").agg(F.sum("links").alias("links")), "jaccard-counts")
+
+
 def join(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row per input row."""
+         text_col: str = "text", count_links: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id): one row per input row.
+
+    Without ``count_links`` there is no ``n_links``; the components are the same.
+    """
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(id_col).alias("doc_id"),
@@ -203,7 +317,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id",
 
     # one class per set; its least id stands for it
     reps = (rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig1", "sig2")
-            .agg(F.min("doc_id").alias("rep")))
+            .agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies")))
     reps = written(reps, "jaccard-reps")
     small = written(
         d.mapInArrow(lambda it: _prefixes(it, n, percent, shared),
@@ -239,11 +353,20 @@ def join(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id",
     found = components(links, "jaccard").withColumnRenamed("id", "of")
 
     class_of = reps.join(found, reps.rep == found.of, "left") \
-        .select("sig1", "sig2", F.coalesce("component_id", "rep").alias("component_id"))
+        .select("sig1", "sig2", "rep", "n", "copies", F.coalesce("component_id", "rep").alias("component_id"))
+    links = F.lit(None).cast("long")
+    if count_links:
+        class_of = written(class_of, "jaccard-classes")
+        class_of = class_of.join(_class_links(class_of, d, n, percent), ["sig1", "sig2"], "left")
+        links = F.expr("copies - 1 + coalesce(links, 0)")
+    class_of = class_of.select(F.col("sig1").alias("s1"), F.col("sig2").alias("s2"), "component_id",
+                               links.alias("links"))
     in_class = F.col("n") > 0
-    return (rows.join(class_of.withColumnsRenamed({"sig1": "s1", "sig2": "s2"}),
-                      F.expr("sig1 = s1 AND sig2 = s2 AND n > 0"), "left")
-            .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                    F.when(F.col("doc_id").isNull(), None)
-                    .when(in_class, F.col("component_id")).otherwise(F.col("doc_id"))
-                    .alias("component_id")))
+    out = (rows.join(class_of, F.expr("sig1 = s1 AND sig2 = s2 AND n > 0"), "left")
+           .select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                   F.when(in_class & F.col("doc_id").isNotNull(), F.col("links"))
+                   .otherwise(F.lit(0)).cast("long").alias("n_links"),
+                   F.when(F.col("doc_id").isNull(), None)
+                   .when(in_class, F.col("component_id")).otherwise(F.col("doc_id"))
+                   .alias("component_id")))
+    return out if count_links else out.drop("n_links")

@@ -70,6 +70,16 @@ def jaccard(rows):
     return [(i, len(s), c[i]) for i, s in sets.items()]
 
 
+def jaccard_links(rows):
+    """{doc_id: n_links} of (doc_id, text) rows, every two of them compared."""
+    sets, count = {i: shingles(t) for i, t in rows}, Counter()
+    for a, x in sets.items():
+        for b, y in sets.items():
+            k = len(x & y)
+            count[a] += a != b and k > 0 and 100 * k >= 75 * (len(x) + len(y) - k)
+    return {i: count[i] for i in sets}
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 
 

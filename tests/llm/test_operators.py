@@ -199,6 +199,44 @@ def test_jaccard_hot_groups(spark):
     assert [r[2] for r in _join(df) if r[0] is None] == [None]
 
 
+def _n_links(df, **kw):
+    return {r.doc_id: r.n_links for r in jaccard.join(df, **kw).collect()}
+
+
+def test_jaccard_links_table(spark):
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    want = brute.jaccard_links(texts(spark))
+    assert sum(want.values()) and _n_links(df) == want
+
+
+@pytest.mark.parametrize("chunk, grams", [(512, 2_000_000), (16, 2_000_000), (512, 1500)])
+def test_jaccard_links_in_hot_groups(spark, odd, none, monkeypatch, chunk, grams):
+    """Links inside one component, in one block and in many, with copies."""
+    monkeypatch.setattr(jaccard, "CHUNK", chunk)
+    monkeypatch.setattr(jaccard, "CHUNK_GRAMS", grams)
+    monkeypatch.setattr(jaccard, "STEP", 100)
+    rng = random.Random(8)
+    base, rows = [rng.choice(_VOCABULARY) for _ in range(80)], []
+    for k in range(60):
+        w = list(base)
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(len(w))] = f"z{rng.randrange(10 ** 6)}"
+        rows.append(" ".join(w))
+    rows += rows[:3] + [rows[0].upper()] * 2
+    w = list(base)
+    for k in range(30):                                    # a chain that drifts away
+        w[2 * k] = f"c{k}"
+        rows.append(" ".join(w))
+    want = brute.jaccard_links(list(enumerate(rows)))
+    assert sum(want.values()) > 4 * len(rows)              # far more than a spanning forest
+    df = spark.createDataFrame([*enumerate(rows), (None, rows[0])], "doc_id long, text string")
+    got = _n_links(df.repartition(4))
+    assert got.pop(None) == 0 and got == want
+    if chunk == 16:
+        assert _n_links(odd) == brute.jaccard_links([r[:2] for r in odd_rows()])
+        assert _n_links(none) == {}
+
+
 # -- 5 -------------------------------------------------------------------------
 
 def check_packing(rows, ids_of, capacity=1024):
