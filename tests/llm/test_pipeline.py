@@ -4,7 +4,7 @@ from collections import Counter
 
 import brute
 import pytest
-from test_operators import _tokenized, check_packing
+from test_llm_operators import _tokenized, check_packing
 
 import corpus_pipeline
 from ledgerlake.llm.common import written
