@@ -14,11 +14,12 @@ from ledgerlake.llm import (
     mixing,
     packing,
     quality,
+    repair,
     secrets,
     substring_dedup,
     toxicity,
 )
-from ledgerlake.llm.common import table
+from ledgerlake.llm.common import table, written
 
 
 def op1_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +90,38 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(quality.measure(table(spark, sf_dir, "documents")))
 
 
+def damaged(convs: DataFrame) -> DataFrame:
+    """Rows of ``conversations`` with faults, dealt by crc32 of ``conv_id:turn``."""
+    def read(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    deal = F.pmod(F.crc32(F.concat(read("conv_id"), F.lit(":"), read("turn"))), F.lit(20))
+    text = read("text")
+    return (convs.select("conv_id", "turn", deal.alias("deal"), read("role").alias("role"), text.alias("text"))
+            .where("deal <> 0")
+            .select("conv_id", "turn", F.when(F.col("deal") == 4, "user").otherwise(F.col("role")).alias("role"),
+                    F.when(F.col("deal") == 1, "").when(F.col("deal") == 2, F.regexp_replace("text", "[.!?]", ""))
+                    .otherwise(F.col("text")).alias("text"),
+                    F.explode(F.when(F.col("deal") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    convs = table(spark, sf_dir, "conversations")
+    rows = damaged(convs)
+    found = written(repair.repair(rows), "op13-repair")
+    sha = repair.digests(repair.repaired(rows, found))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (convs.select(F.col("conv_id").alias("id")).distinct()
+            .join(found, F.expr("id <=> conv_id"), "left")
+            .join(sha.select(F.col("conv_id").alias("of"), "sha256"), F.expr("id <=> of"), "left")
+            .select(F.col("id").alias("conv_id"),
+                    *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in numbers],
+                    F.coalesce("audit", F.lit("")).alias("audit"),
+                    F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_rlz_substring_dedup, op2_cap_filter_dedup, op3_perspective_rotation,
     op4_ngram_jaccard_join, op5_best_fit_packing,
-    op6_crf_language_id, op7_source_mixing, op8_secret_scan, op9_fm_toxicity, op10_quality_rules)}
+    op6_crf_language_id, op7_source_mixing, op8_secret_scan, op9_fm_toxicity, op10_quality_rules,
+    op13_conversation_repair)}
