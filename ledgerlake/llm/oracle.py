@@ -122,10 +122,30 @@ v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
              concat_ws(',', {', '.join(map(_failed, RULES))}) AS failed_rules FROM m)
 SELECT *, NOT base_failed AND failed_rules = '' AS kept FROM v"""
 
+_ITEM_WORDS = (r"list_filter(string_split_regex(translate(coalesce(text, ''), "
+               f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'), "
+               r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+OP11 = f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_ITEM_WORDS} AS w FROM benchmark),
+test AS (SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+         FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+long AS (SELECT DISTINCT k FROM test),
+g AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d JOIN long ON len(w) >= k)),
+met AS (SELECT doc_id, g.k, i, item FROM g JOIN test ON g.k = test.k AND g.g = test.g),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM met) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM met) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN found ON d.doc_id = found.doc_id"""
+
 ORACLE: dict[str, str] = {
     "op1_rlz_substring_dedup": OP1,
     "op2_cap_filter_dedup": OP2,
     "op3_perspective_rotation": OP3,
     "op4_ngram_jaccard_join": OP4,
     "op10_quality_rules": OP10,
+    "op11_wu_manber_decontamination": OP11,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     chat,
+    decontaminate,
     embedding_dedup,
     jaccard,
     langid,
@@ -90,6 +91,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(quality.measure(table(spark, sf_dir, "documents")))
 
 
+def op11_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return df.select("doc_id", "n_words", "n_hit", "n_items",
+                     F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                     (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def damaged(convs: DataFrame) -> DataFrame:
     """Rows of ``conversations`` with faults, dealt by crc32 of ``conv_id:turn``."""
     def read(c):
@@ -124,4 +132,4 @@ QUERIES = {f.__name__: f for f in (
     op1_rlz_substring_dedup, op2_cap_filter_dedup, op3_perspective_rotation,
     op4_ngram_jaccard_join, op5_best_fit_packing,
     op6_crf_language_id, op7_source_mixing, op8_secret_scan, op9_fm_toxicity, op10_quality_rules,
-    op13_conversation_repair)}
+    op11_wu_manber_decontamination, op13_conversation_repair)}

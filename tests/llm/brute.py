@@ -262,3 +262,33 @@ def repairs(rows, damaged=True):
         out[c] = (max(turns) - min(turns) + 1 - len(turns) if turns else 0, n["blank"], n["duplicate"],
                   n["truncated"], n["illegal"], cost, audit, hashlib.sha256(lines.encode()).hexdigest())
     return out
+
+
+# -- 11 ------------------------------------------------------------------------
+
+ITEM_WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def item_words(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return ITEM_WORD.findall(lower)
+
+
+def contaminated(docs, items, window=10):
+    """doc_id -> (n_words, n_hit, n_items, item ids) of (id, text) rows."""
+    tests = defaultdict(set)
+    for i, t in items:
+        w = item_words(t)
+        k = min(window, len(w))
+        for s in range(len(w) - k + 1 if w else 0):
+            tests[tuple(w[s:s + k])].add(None if i is None else str(i))
+    out = {}
+    for i, t in docs:
+        w, hit, found = item_words(t), set(), set()
+        for k in {len(x) for x in tests}:
+            for s in range(len(w) - k + 1):
+                if tuple(w[s:s + k]) in tests:
+                    hit.update(range(s, s + k))
+                    found |= tests[tuple(w[s:s + k])]
+        out[i] = len(w), len(hit), len(found), sorted(x for x in found if x is not None)
+    return out
