@@ -141,6 +141,42 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN found ON d.doc_id = found.doc_id"""
 
+
+def _crc_of_byte(b: int) -> int:
+    for _ in range(8):
+        b = b >> 1 ^ 0xEDB88320 * (b & 1)
+    return b
+
+
+#: crc32 of a string of ASCII and U+00C0 to U+00FF, byte by byte.
+_CRC = """xor(4294967295, list_reduce(
+  flatten(list_transform(string_split({s}, ''), lambda x:
+    CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, CAST(unicode(x) - 64 AS BIGINT)] END)),
+  lambda c, b: xor(c >> 8, {table}[CAST(xor(c, b) & 255 AS INT) + 1]), CAST(4294967295 AS BIGINT)))"""
+_CRC = _CRC.replace("{table}", f"CAST({[_crc_of_byte(b) for b in range(256)]} AS BIGINT[])")
+
+OP12 = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, r, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'),
+          '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS r FROM documents)
+  WHERE length(r) >= 7 GROUP BY doc_id, r),
+dealt AS (SELECT r, k, {_CRC.replace('{s}', "coalesce(CAST(doc_id AS VARCHAR), '') || ':' || r")} AS h FROM runs),
+typed AS (SELECT k, CASE WHEN h % 31 = 0 THEN substring(r, 1, CAST(h % length(r) AS INT))
+                    || substring(r, CAST(h % length(r) AS INT) + 2) ELSE r END AS word FROM dealt),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n, length(word) AS size FROM typed WHERE length(word) >= 7
+      GROUP BY word HAVING sum(k) >= 2),
+pairs AS (SELECT x.word, x.n, y.word AS near, y.n AS m
+          FROM v x JOIN (SELECT *, unnest([size - 1, size, size + 1]) AS met FROM v) y
+            ON x.size = y.met AND levenshtein(x.word, y.word) = 1),
+best AS (SELECT word, count(*) AS n_near, max(m) AS m, arg_min(near, (-m, near)) AS near FROM pairs GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN near END AS form,
+             CASE WHEN m >= 10 * v.n THEN m END AS form_n FROM v LEFT JOIN best ON v.word = best.word),
+path AS (SELECT word, word AS at, form AS next FROM f
+         UNION ALL SELECT path.word, f.word, f.form FROM path JOIN f ON path.next = f.word)
+SELECT f.word, form, at AS root, n, n_near, form_n FROM f JOIN path ON f.word = path.word AND path.next IS NULL"""
+
 ORACLE: dict[str, str] = {
     "op1_rlz_substring_dedup": OP1,
     "op2_cap_filter_dedup": OP2,
@@ -148,4 +184,5 @@ ORACLE: dict[str, str] = {
     "op4_ngram_jaccard_join": OP4,
     "op10_quality_rules": OP10,
     "op11_wu_manber_decontamination": OP11,
+    "op12_vgram_spelling_variants": OP12,
 }

@@ -19,6 +19,7 @@ from ledgerlake.llm import (
     secrets,
     substring_dedup,
     toxicity,
+    variants,
 )
 from ledgerlake.llm.common import table, written
 
@@ -98,6 +99,11 @@ def op11_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
                      (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op12_vgram_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.vocabulary(table(spark, sf_dir, "documents"), typo=31)
+    return variants.group(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def damaged(convs: DataFrame) -> DataFrame:
     """Rows of ``conversations`` with faults, dealt by crc32 of ``conv_id:turn``."""
     def read(c):
@@ -132,4 +138,4 @@ QUERIES = {f.__name__: f for f in (
     op1_rlz_substring_dedup, op2_cap_filter_dedup, op3_perspective_rotation,
     op4_ngram_jaccard_join, op5_best_fit_packing,
     op6_crf_language_id, op7_source_mixing, op8_secret_scan, op9_fm_toxicity, op10_quality_rules,
-    op11_wu_manber_decontamination, op13_conversation_repair)}
+    op11_wu_manber_decontamination, op12_vgram_spelling_variants, op13_conversation_repair)}

@@ -292,3 +292,47 @@ def contaminated(docs, items, window=10):
                     found |= tests[tuple(w[s:s + k])]
         out[i] = len(w), len(hit), len(found), sorted(x for x in found if x is not None)
     return out
+
+
+# -- 12 ------------------------------------------------------------------------
+
+def vocabulary(rows, typo=31, least=7):
+    out = Counter()
+    for i, t in rows:
+        lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")
+        for r in re.findall("[A-Za-zÀ-ÿ]+", lower):
+            h = zlib.crc32(f"{'' if i is None else i}:{r}".encode())
+            if h % typo == 0:
+                r = r[:h % len(r)] + r[h % len(r) + 1:]
+            if len(r) >= least:
+                out[r] += 1
+    return {w: n for w, n in out.items() if n >= 2}
+
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) > len(b):
+        a, b = b, a
+    return any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants(n, ratio=10):
+    """word -> (n, n_near, form, form_n, root), comparing all pairs."""
+    by_size, form, near = defaultdict(list), {}, {}
+    for w in n:
+        by_size[len(w)].append(w)
+    for w in n:
+        own = [x for k in (-1, 0, 1) for x in by_size[len(w) + k] if one_edit(w, x)]
+        best = min(own, key=lambda x: (-n[x], x), default=None)
+        near[w] = len(own)
+        form[w] = best if best is not None and n[best] >= ratio * n[w] else None
+    out = {}
+    for w in n:
+        r = w
+        while form[r]:
+            r = form[r]
+        out[w] = n[w], near[w], form[w], n.get(form[w]), r
+    return out
