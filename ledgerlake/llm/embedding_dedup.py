@@ -41,23 +41,40 @@ from ledgerlake.llm.common import components, worker_cache, written
 BLOCKS, CODEWORDS = 2, 256
 #: Threshold in standard deviations of a random inner product, 1 / sqrt(dim).
 CAP = 3.0
+#: Below this dimension the threshold is what a link's partner must still reach.
+LOW_DIM = 48
 #: Probes and listed vectors of a filter that are compared at once.
 CHUNK = 2048
 
 
 class Code:
-    """The filters of one dimension."""
-
-    def __init__(self, dim: int, seed: int = 5):
+    """The filters of one dimension.
+
+    In few dimensions caps of ``CAP`` deviations would be smaller than the
+    distance from a vector to its best filter.  If x has the product b with its
+    best filter f and cos(x, y) >= c, then <f, y> is c b plus sqrt(1 - c^2) times
+    the product of f with a unit vector orthogonal to x, which is sqrt(1 - b^2) at
+    most, and seldom over three deviations of that.  The threshold takes the b that
+    one random vector in a thousand falls short of.  There are fewer filters, too:
+    their number follows the dimension.
+    """
+
+    def __init__(self, dim: int, seed: int = 5, least: float = 0.98):
         rng = np.random.default_rng((seed, dim))
         blocks = min(BLOCKS, dim)
         self.rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.cuts = [dim * b // blocks for b in range(blocks + 1)]
         self.words = []
+        self.n = CODEWORDS if dim >= 32 else 4 * dim
         for a, b in zip(self.cuts, self.cuts[1:]):
-            c = rng.normal(size=(CODEWORDS, b - a))
+            c = rng.normal(size=(self.n, b - a))
             self.words.append(c / np.linalg.norm(c, axis=1, keepdims=True) / blocks ** 0.5)
         self.threshold = CAP / dim ** 0.5
+        if dim < LOW_DIM:
+            best = self.scores(_unit(rng.normal(size=(4000, dim)))).max(axis=2).sum(axis=1)
+            b = np.quantile(best, 0.001)
+            away = min(1.0, CAP / max(dim - 1, 1) ** 0.5) * ((1 - least ** 2) * max(1 - b * b, 0.0)) ** 0.5
+            self.threshold = min(self.threshold, least * b - away)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         """(vectors, blocks, codewords) of unit vectors."""
@@ -71,39 +88,39 @@ class Code:
         for b, s in enumerate(scores):
             total = total[:, None] + s[None]
             i, j = np.nonzero(total + most[b + 1] >= self.threshold)
-            f, total = f[i] * CODEWORDS + j, total[i, j]
+            f, total = f[i] * self.n + j, total[i, j]
         return f
 
     def best(self, scores: np.ndarray) -> np.ndarray:
         """Best filter of each vector."""
         f = np.zeros(len(scores), np.int64)
         for b in range(scores.shape[1]):
-            f = f * CODEWORDS + scores[:, b].argmax(axis=1)
+            f = f * self.n + scores[:, b].argmax(axis=1)
         return f
 
     def at(self, scores: np.ndarray, filters: np.ndarray) -> np.ndarray:
         """(vectors, filters) inner products."""
         out, rest = 0.0, filters
         for b in range(scores.shape[1] - 1, -1, -1):
-            out = out + scores[:, b][:, rest % CODEWORDS]
-            rest = rest // CODEWORDS
+            out = out + scores[:, b][:, rest % self.n]
+            rest = rest // self.n
         return out
 
 
-def code(dim: int) -> Code:
+def code(dim: int, least: float) -> Code:
     cache = worker_cache()
-    if ("code", dim) not in cache:
-        cache["code", dim] = Code(dim)
-    return cache["code", dim]
+    if ("code", dim, least) not in cache:
+        cache["code", dim, least] = Code(dim, least=least)
+    return cache["code", dim, least]
 
 
 def _unit(vectors: list) -> np.ndarray:
-    x = np.array(vectors, np.float64)
+    x = np.asarray(vectors, np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)         # no overflow in the squares
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _filters(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
     """(rep, filter, best): the filters each vector is listed in."""
     for batch in batches:
         vectors = batch.column(1).to_pylist()
@@ -111,7 +128,7 @@ def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, filters, best = [], [], []
         for dim in np.unique(dims):
             own = np.flatnonzero(dims == dim)
-            c = code(int(dim))
+            c = code(int(dim), least)
             scores = c.scores(_unit([vectors[i] for i in own]))
             for i, s, top in zip(own, scores, c.best(scores)):
                 f = c.decode(s)
@@ -136,7 +153,7 @@ def _compare(x: list, y: list, least: float) -> tuple[list, list, list]:
         return [], [], []
     rows, cols = np.flatnonzero(link.any(axis=1)), np.flatnonzero(link.any(axis=0))
     link, xi, yi = link[np.ix_(rows, cols)], xi[rows], yi[cols]
-    c = code(u.shape[1])
+    c = code(u.shape[1], least)
     xf, yf = np.array([x[i][2] for i in rows]), np.array([y[i][2] for i in cols])
     back = (c.at(c.scores(u[rows]), yf) >= c.threshold) | (xf[:, None] == yf[None])
     copies_x = np.array([x[i][1] for i in rows], np.int64)
@@ -201,7 +218,7 @@ def dedup(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id",
         .select("k1", "k2", F.monotonically_increasing_id().alias("id"), "rep", "copies", "label", "embedding"),
         "caps-classes")
 
-    listed = (classes.select("id", "embedding").mapInArrow(_filters, "rep long, filter long, best boolean")
+    listed = (classes.select("id", "embedding").mapInArrow(lambda it: _filters(it, least), "rep long, filter long, best boolean")
               .withColumnRenamed("rep", "id"))
     listed = listed.join(classes.select("id", "copies", F.col("label"), F.size("embedding").alias("dim")), "id")
     listed = written(listed, "caps-filters")
