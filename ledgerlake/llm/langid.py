@@ -6,15 +6,17 @@ language and a learned transition matrix give the label probabilities of every
 word by forward-backward, so the words of code-switched text are labelled one
 by one; a document's language is the one with the highest mean probability.
 
-Chains are cut every ``CHAIN`` words (all words are labelled; a cut only drops
-one transition), so all chains of a batch advance together in numpy.  Emission
-scores depend on the word alone and are kept per worker, up to a bound.
+Texts are cut into chains of ``CHAIN`` words, so that many advance together in
+numpy; each chain's transfer matrix carries the messages of a text's other
+chains over the cuts, so the labels are those of the whole text, however long.
+Emission scores depend on the word alone and are kept per worker, up to a bound.
 
 Trained on the driver on a bounded sample of labelled rows: about
 ``SAMPLE_DOCS`` documents spread over the languages by a seeded hash of the id,
-``SAMPLE_WORDS`` words of each.
+``SAMPLE_WORDS`` words of each, in seeded runs from all parts of the text.
 
-Defined results: a NULL text or one without a letter is ``und`` with score 0;
+Defined results: a NULL text or one without a letter (digits, fractions and
+Roman numerals are none) is ``und`` with score 0;
 ties go to the first language by name; repeated rows are labelled one by one;
 without labelled rows every text is ``und``; an empty table gives an empty
 result; other columns are not read.
@@ -35,13 +37,17 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import worker_cache
 
-SAMPLE_DOCS, SAMPLE_WORDS = 4000, 120
+#: Training documents; words of each, at most, in this many runs.
+SAMPLE_DOCS, SAMPLE_WORDS, RUNS = 4000, 120, 4
 #: Words in a chain; words in a block that is labelled at once; words a worker remembers.
-CHAIN, BLOCK, CACHE_WORDS = 256, 200_000, 400_000
+CHAIN, BLOCK, CACHE_WORDS = 1024, 200_000, 400_000
 BITS = 17
 MASK = (1 << BITS) - 1
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: Numerals that are no decimal digits (fractions, Roman numerals, circled digits).
+_NUMERALS = "".join(c for c in map(chr, range(0x110000))
+                    if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 
 
 def features(word: str) -> list[int]:
@@ -69,9 +75,12 @@ class Model:
         return np.add.reduceat(self.w[flat], starts, axis=0) / np.sqrt(sizes)[:, None]
 
 
-def forward_backward(e: np.ndarray, mask: np.ndarray, t: np.ndarray):
+def forward_backward(e: np.ndarray, mask: np.ndarray, t: np.ndarray, before: np.ndarray | None = None,
+                     after: np.ndarray | None = None, count: bool = True):
     """Marginals (chains, steps, langs) and expected transition counts of
     padded chains; ``e`` are emission scores, ``mask`` tells real words.
+    ``before`` and ``after`` are messages (chains, langs) from what stands before
+    and after each chain: the weight of its first and last labels.
 
     Scaled in probability space: each step normalises, so long chains neither
     over- nor underflow.
@@ -80,22 +89,22 @@ def forward_backward(e: np.ndarray, mask: np.ndarray, t: np.ndarray):
     x = np.exp(e - e.max(axis=2, keepdims=True))
     a = np.exp(t - t.max())
     alpha, beta = np.empty_like(x), np.empty_like(x)
-    cur = x[:, 0] / x[:, 0].sum(axis=1, keepdims=True)
+    cur = x[:, 0] if before is None else x[:, 0] * before
+    cur = cur / cur.sum(axis=1, keepdims=True)
     alpha[:, 0] = cur
     for s in range(1, steps):
         new = (cur @ a) * x[:, s]
         new /= new.sum(axis=1, keepdims=True)
         cur = np.where(mask[:, s, None], new, cur)
         alpha[:, s] = cur
-    cur = np.full((n, k), 1.0 / k)
+    cur = np.full((n, k), 1.0 / k) if after is None else after
     beta[:, -1] = cur
     pairs = np.zeros((k, k))
     for s in range(steps - 1, 0, -1):
         out = x[:, s] * cur
-        joint = alpha[:, s - 1, :, None] * a[None] * out[:, None, :]
         real = mask[:, s]
-        if real.any():
-            j = joint[real]
+        if count and real.any():
+            j = alpha[real, s - 1, :, None] * a[None] * out[real, None, :]
             pairs += (j / j.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         new = out @ a.T
         new /= new.sum(axis=1, keepdims=True)
@@ -105,6 +114,28 @@ def forward_backward(e: np.ndarray, mask: np.ndarray, t: np.ndarray):
     return m / m.sum(axis=2, keepdims=True), pairs
 
 
+def messages(chains: list[np.ndarray], t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(before, after) of the consecutive chains of one text, given their
+    emission scores: each chain's transfer matrix carries what the others say."""
+    a, k = np.exp(t - t.max()), len(t)
+    n, steps = len(chains), len(chains[0])                 # the last one may be shorter
+    through = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+    for s in range(steps):
+        on = n if s < len(chains[-1]) else n - 1
+        e = np.array([c[s] for c in chains[:on]])
+        x = np.exp(e - e.max(axis=1, keepdims=True))
+        step = through[:on] * x[:, None, :] if s == 0 else (through[:on] @ a) * x[:, None, :]
+        through[:on] = step / step.sum(axis=(1, 2), keepdims=True)
+    before, after = np.ones((n, k)), np.full((n, k), 1.0 / k)
+    for i in range(1, n):                                  # words of chain i - 1, then a transition
+        out = before[i - 1] @ through[i - 1] @ a
+        before[i] = out / out.sum()
+    for i in range(n - 2, -1, -1):
+        out = a @ (through[i + 1] @ after[i + 1])
+        after[i] = out / out.sum()
+    return before, after
+
+
 def fit(docs: list[tuple[list[str], str]], steps: int = 60, rate: float = 0.1,
         decay: float = 1e-5) -> Model:
     """Maximum likelihood by Adam; languages weigh alike."""
@@ -150,10 +181,28 @@ def fit(docs: list[tuple[list[str], str]], steps: int = 60, rate: float = 0.1,
     return model
 
 
+def runs(words: list[str]) -> list[list[str]]:
+    """The words, or seeded runs of them, one from each part of the text."""
+    if len(words) <= SAMPLE_WORDS:
+        return [words] if words else []
+    size, part = SAMPLE_WORDS // RUNS, len(words) / RUNS
+    seed = crc32(" ".join(words).encode())
+    out = []
+    for r in range(RUNS):
+        first, room = int(part * r), int(part * (r + 1)) - int(part * r) - size
+        at = first + crc32(f"{seed}:{r}".encode()) % (room + 1)
+        out.append(words[at:at + size])
+    return out
+
+
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [_WORD.findall((t or "").lower())[:SAMPLE_WORDS] for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))],
+        lang, found = [], []
+        for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = runs(_WORD.findall((t or "").lower()))
+            lang += [y] * len(own)
+            found += own
+        yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(found, pa.list_(pa.string()))],
                                          ["lang", "words"])
 
 
@@ -204,13 +253,26 @@ def label(texts: list[str | None], emissions: _Emissions) -> np.ndarray:
     ids, of, rest = [], [], 0
 
     def flush():
-        """Labels the chains gathered."""
-        width, table = max(map(len, ids)), emissions.scores()
-        e, mask = np.zeros((len(ids), width, k)), np.zeros((len(ids), width), bool)
-        for i, s in enumerate(ids):
-            e[i, :len(s)], mask[i, :len(s)] = table[s], True
-        m, _ = forward_backward(e, mask, emissions.model.t)
-        np.add.at(out, of, (m * mask[:, :, None]).sum(axis=1))
+        """Labels the texts gathered: chains of like length together."""
+        table = emissions.scores()
+        chains, text, before, after = [], [], [], []
+        for i, w in zip(of, ids):
+            own = [table[w[s:s + CHAIN]] for s in range(0, len(w), CHAIN)]
+            b, a = messages(own, emissions.model.t) if len(own) > 1 else (np.ones((1, k)), np.full((1, k), 1 / k))
+            chains += own
+            text += [i] * len(own)
+            before.append(b)
+            after.append(a)
+        before, after, text = np.concatenate(before), np.concatenate(after), np.array(text)
+        size = np.fromiter(map(len, chains), np.int64, len(chains))
+        for kind in np.unique(np.ceil(np.log2(size))):
+            own = np.flatnonzero(np.ceil(np.log2(size)) == kind)
+            e = np.zeros((len(own), size[own].max(), k))
+            mask = np.arange(e.shape[1])[None] < size[own, None]
+            for i, c in zip(range(len(own)), own.tolist()):
+                e[i, :size[c]] = chains[c]
+            m, _ = forward_backward(e, mask, emissions.model.t, before[own], after[own], count=False)
+            np.add.at(out, text[own], (m * mask[:, :, None]).sum(axis=1))
         ids.clear()
         of.clear()
 
@@ -221,8 +283,8 @@ def label(texts: list[str | None], emissions: _Emissions) -> np.ndarray:
             emissions.forget()
             rest = 0
         words = np.fromiter(map(emissions.__getitem__, _WORD.findall((text or "").lower())), np.int64)
-        for s in range(0, len(words), CHAIN):
-            ids.append(words[s:s + CHAIN])
+        if len(words):
+            ids.append(words)
             of.append(i)
         rest += len(words)
         if rest >= BLOCK:
