@@ -14,7 +14,8 @@ literal of the projection.
 
 Positions come from splitting: the pieces between matches and the matches
 alternate, so a match starts where the lengths before it add up.  The sums are
-taken in two levels, so many matches in one long text don't cost the square.
+taken in two levels, and the text beside the spans is read from blocks of it, so
+many matches in one long text don't cost the square.
 
 Defined results: NULL text is the empty text (no spans, hash of the empty
 string); repeated rows are scanned one by one; an empty table gives an empty
@@ -64,18 +65,23 @@ ORDINARY = [
 ]
 
 
-def _before(lengths: str) -> str:
-    """SQL: sum of the ``lengths`` (array) before each element.
+def _let(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` with ``name`` for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
-    The sums before each block of 256 come first, so an element adds one of
-    them and part of its own block.  ``aggregate`` over a one-element array
-    names a value, so that it is computed once.
+
+def _before(values: str, step: str = "a + x") -> str:
+    """SQL: the fold (``step`` of a and x, from 0) of the ``values`` (array)
+    before each element.
+
+    The folds before each block of 256 come first, so an element adds one of
+    them and part of its own block.
     """
-    none, add = "cast(array() AS array<bigint>)", "(a, x) -> a + x"
-    return f"""aggregate(array({lengths}), {none}, (none, l) -> aggregate(
-        array(transform(sequence(0, (size(l) - 1) div 256), b -> aggregate(slice(l, 1, b * 256), 0L, {add}))),
-        {none}, (none, s) -> transform(l, (y, i) ->
-            s[i div 256] + aggregate(slice(l, (i div 256) * 256 + 1, i % 256), 0L, {add}))))"""
+    return _let(values, "l", _let(
+        f"""aggregate(transform(sequence(0, (size(l) - 1) div 256),
+                b -> aggregate(slice(l, b * 256 + 1, 256), 0L, (a, x) -> {step})),
+            array(0L), (s, x) -> concat(s, array({_let("element_at(s, -1)", "a", step)})))""", "s",
+        f"transform(l, (y, i) -> aggregate(slice(l, (i div 256) * 256 + 1, i % 256), s[i div 256], (a, x) -> {step}))"))
 
 
 def _find(df: DataFrame, pattern: str, kind: int, keep: str, out: str, t: str = "t") -> DataFrame:
@@ -159,18 +165,45 @@ def ratios(bigrams: list) -> list[float]:
     return [x - y for x, y in zip(logs[True], logs[False])]
 
 
+#: Code points of a block of text.
+BLOCK = 4096
+
+
+def _pieces(df: DataFrame, spans: str) -> DataFrame:
+    """Adds ``cuts``, the merged ``spans`` as (start, end), and ``pieces``, the
+    text before, between and after them.
+
+    A span begins a cut where it starts at or after the ends of all before it.
+    The text is cut into blocks once and a piece put together from them, so the
+    work follows the text and the number of spans.
+    """
+    df = df.withColumn("x", F.expr(f"array_sort(concat({spans}))"))
+    df = df.withColumn("reach", F.expr(f"""IF(size(x) = 0, cast(array() AS array<bigint>),
+        {_before("transform(x, v -> v.end)", "greatest(a, x)")})"""))
+    df = df.withColumn("heads", F.expr(
+        "filter(transform(x, (v, i) -> IF(v.start >= reach[i], i, NULL)), i -> i IS NOT NULL)"))
+    df = df.withColumn("cuts", F.expr("""transform(heads, (i, j) -> struct(x[i].start AS start,
+        IF(j + 1 < size(heads), reach[heads[j + 1]], greatest(reach[size(x) - 1], x[size(x) - 1].end)) AS end))"""))
+    df = df.withColumn("blocks", F.expr(f"regexp_extract_all(t, '(?s).{{1,{BLOCK}}}', 0)"))
+    part = f"""IF(a >= b, '', IF(a div {BLOCK} = b div {BLOCK},
+        substring(blocks[int(a div {BLOCK})], int(a % {BLOCK}) + 1, int(b - a)),
+        concat(substring(blocks[int(a div {BLOCK})], int(a % {BLOCK}) + 1),
+               array_join(slice(blocks, int(a div {BLOCK}) + 2, int(b div {BLOCK} - a div {BLOCK}) - 1), ''),
+               IF(b % {BLOCK} = 0, '', substring(blocks[int(b div {BLOCK})], 1, int(b % {BLOCK}))))))"""
+    begin = "IF(j = 0, 0L, cuts[j - 1].end)"
+    end = "IF(j = size(cuts), cast(length(t) AS bigint), cuts[j].start)"
+    return df.withColumn("pieces", F.expr(
+        f"transform(sequence(0, size(cuts)), j -> {_let(begin, 'a', _let(end, 'b', part))})")) \
+        .drop("x", "reach", "heads", "blocks")
+
+
 def _outside(df: DataFrame) -> DataFrame:
     """Adds ``outside``: the text with spaces in place of the base spans, so that
     tokens are cut there and what is left keeps its positions."""
-    blank = F.expr("""aggregate(array_sort(concat(assign, access, hex)),
-        struct('' AS out, 0L AS pos),
-        (a, x) -> CASE WHEN x.end > a.pos THEN struct(
-            concat(a.out, substring(t, int(a.pos + 1), int(greatest(x.start - a.pos, 0L))),
-                   repeat(' ', int(x.end - greatest(x.start, a.pos)))) AS out,
-            x.end AS pos) ELSE a END,
-        a -> concat(a.out, substring(t, int(a.pos + 1))))""")
-    found = F.expr("size(assign) + size(access) + size(hex) > 0")
-    return df.withColumn("outside", F.when(found, blank).otherwise(F.col("t")))
+    blank = F.expr("""array_join(transform(pieces, (p, j) -> IF(j = size(cuts), p,
+        concat(p, repeat(' ', int(cuts[j].end - cuts[j].start))))), '')""")
+    df = _pieces(df, "assign, access, hex")
+    return df.withColumn("outside", F.when(F.size("cuts") > 0, blank).otherwise(F.col("t"))).drop("cuts", "pieces")
 
 
 def scan(docs: DataFrame, model: list[float] | None = None, id_col: str = "doc_id",
@@ -204,11 +237,6 @@ def listed(*kinds: str) -> Column:
 def redact(scanned: DataFrame, mark: str = "[secret]") -> DataFrame:
     """``scanned`` with ``n_spans`` and ``redacted``: the text with every span
     replaced by ``mark`` (overlapping spans merge), NULL where nothing was found."""
-    merged = F.expr(f"""aggregate(array_sort(concat(assign, access, hex, random)),
-        struct('' AS out, 0L AS pos),
-        (a, x) -> CASE WHEN x.start >= a.pos THEN struct(
-            concat(a.out, substring(t, int(a.pos + 1), int(x.start - a.pos)), '{mark}') AS out,
-            x.end AS pos) ELSE struct(a.out AS out, greatest(a.pos, x.end) AS pos) END,
-        a -> concat(a.out, substring(t, int(a.pos + 1))))""")
     df = scanned.withColumn("n_spans", F.expr("size(assign) + size(access) + size(hex) + size(random)"))
-    return df.withColumn("redacted", F.when(F.col("n_spans") > 0, merged))
+    df = _pieces(df, "assign, access, hex, random")
+    return df.withColumn("redacted", F.when(F.col("n_spans") > 0, F.array_join("pieces", mark))).drop("cuts", "pieces")
