@@ -83,9 +83,11 @@ g AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
 met AS (SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS k
          FROM g x JOIN g y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
 links AS (SELECT a, b FROM met WHERE 100 * k >= 75 * (na + nb - k)),
-{_COMPONENTS}
-SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
-FROM s LEFT JOIN part ON doc_id = part.id"""
+{_COMPONENTS},
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(n.n, 0) AS n_links,
+       coalesce(component_id, doc_id) AS component_id
+FROM s LEFT JOIN n ON doc_id = n.a LEFT JOIN part ON doc_id = part.id"""
 
 
 def _failed(rule) -> str:

@@ -50,7 +50,7 @@ def odd_rows():
     rows = [None, "", " \t\n", "one", "one two three four", "ONE two Three four", "öÄ é x ÖÄ",
             passage, passage, f"{_text(10)} {passage} {_text(10)}", f"{_text(50)}\n{passage}",
             f"{passage} {_text(40)} {passage}", " ".join(["same"] * 90), _text(30_000),
-            "a\n a\nb\n\n a\na", "#*$ %&| <> x" * 9]
+            "a\n a\nb\n\n a\na", "#*$ %&| <> x" * 9, "½ ² 12", "Ⅷ", "① ⑳ ৳৴"]
     for k in range(12):                                    # near copies, alike and less alike
         w = list(base)
         for _ in range(k):
@@ -143,6 +143,33 @@ def test_caps_odd_rows_and_hot_cluster(spark, monkeypatch):
     assert _caps(df.where("false")) == {}
 
 
+@pytest.mark.parametrize("dim", [1, 2, 3, 4, 8, 12, 16, 24, 40, 64])
+def test_caps_recall_by_dimension(dim):
+    """Pairs just above the least cosine, found from either side."""
+    rng = np.random.default_rng(dim)
+    x = embedding_dedup._unit(rng.normal(size=(5000, dim)))
+    if dim == 1:
+        y = x
+    else:
+        z = rng.normal(size=x.shape)
+        z = embedding_dedup._unit(z - (z * x).sum(axis=1, keepdims=True) * x)
+        y = 0.9805 * x + (1 - 0.9805 ** 2) ** 0.5 * z
+    c = embedding_dedup.Code(dim)
+    sx, sy = c.scores(x), c.scores(y)
+    fx, fy, i = c.best(sx), c.best(sy), np.arange(len(x))
+    found = [(c.at(sy[j:j + 1], fx[j:j + 1])[0, 0] >= c.threshold)
+             or (c.at(sx[j:j + 1], fy[j:j + 1])[0, 0] >= c.threshold) or fx[j] == fy[j] for j in i]
+    assert np.mean(found) >= 0.99
+
+
+@pytest.mark.parametrize("dim", [2, 5])
+def test_caps_low_dimension(spark, dim):
+    rng = np.random.default_rng(dim)
+    rows = [(i, [float(c) for c in x], i % 2) for i, x in enumerate(rng.normal(size=(150, dim)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert _caps(df.repartition(3)) == brute.embeddings(rows)
+
+
 # -- 3 -------------------------------------------------------------------------
 
 def test_rotation(spark):
@@ -348,6 +375,33 @@ def test_language_odd_rows(spark, odd, none):
     assert 0.3 < probs[0, 0] < 0.7                          # code-switched: words of both
 
 
+def test_language_of_long_texts_is_that_of_one_chain(monkeypatch):
+    """Messages cross the cuts; numerals are no letters; runs come from all parts."""
+    model = langid.fit([(["the", "of", "and"], "en"), (["der", "und", "das"], "de")] * 5)
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("the of and der und das xq".split()) for _ in range(n))
+             for n in (1, 6, 7, 8, 13, 14, 15, 100, 701)] + [None, "½ Ⅷ ①"]
+    whole = langid.label(texts, langid._Emissions(model))
+    monkeypatch.setattr(langid, "CHAIN", 7)
+    assert np.allclose(langid.label(texts, langid._Emissions(model)), whole) and not whole[-1].any()
+    found = langid.runs([str(i) for i in range(1000)])
+    assert [len(r) for r in found] == [30] * 4 and [int(r[0]) // 250 for r in found] == [0, 1, 2, 3]
+    assert langid.runs(["a"]) == [["a"]] and langid.runs([]) == []
+
+
+def test_language_trains_beyond_a_common_beginning(spark):
+    """A header in one language does not hide the language of the text."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        lang, vocabulary = (("en", "the of and to in that it".split()), ("de", "der und das ist ein nicht".split()))[i % 2]
+        rows.append((i, "header words stand here " * 40 + " ".join(rng.choice(vocabulary) for _ in range(600)), lang))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df, F.lit(True))
+    p = langid.label(["the of and", "der und das"], langid._Emissions(model))
+    assert [model.langs[i] for i in p.argmax(axis=1)] == ["en", "de"]
+
+
 def test_forward_backward_equals_enumeration():
     from itertools import product
 
@@ -482,6 +536,29 @@ def test_secrets_joined_to_base_spans(spark):
     assert got[1].redacted == "[secret]" and got[2].redacted is None
 
 
+def test_secrets_many_spans_in_one_text(spark):
+    """The work follows the number of spans, not its square; overlaps merge."""
+    import time
+
+    def text(n):
+        return "ä" + " ".join(f"{i:024x}" if i % 3 else f"token={i:025x}" for i in range(n))
+
+    model = [0.0] * len(secrets.ALPHABET) ** 2
+
+    def run(n):
+        df = spark.createDataFrame([(1, text(n))], "doc_id long, text string")
+        out = secrets.redact(secrets.scan(df, model)).select("n_spans", "redacted")
+        start = time.time()
+        r = out.collect()[0]
+        return r, time.time() - start
+
+    run(50)
+    (r, few), (s, many) = run(5000), run(50_000)
+    assert r.n_spans == 5000 + 1667 and s.n_spans == 50_000 + 16_667   # hex inside assign counts, too
+    assert r.redacted == "ä" + " ".join(["[secret]"] * 5000) and s.redacted == "ä" + " ".join(["[secret]"] * 50_000)
+    assert many <= 12 * max(few, 1.0)
+
+
 def test_secrets_table(spark):
     got = {r.doc_id: r for r in queries.op8_secret_scan(spark, "/root/testdata/sf0.01").collect()}
     for i, t in texts(spark, "/root/testdata/sf0.01"):

@@ -85,3 +85,23 @@ def test_everything_is_packed(stages):
 
 def test_run_is_the_stages(spark, stages):
     assert corpus_pipeline.run(spark, SF).count() == stages[-1].count()
+
+
+CLASH = ["mix_copies", "mix_copy", "copies", "id", "gone", "row", "t", "col", "size", "pattern", "score", "redacted", "of"]
+
+
+@pytest.mark.parametrize("kind", ["rows", "none"])
+def test_stages_take_odd_rows(spark, kind):
+    """NULLs, empty and repeated rows, empty tables and clashing names."""
+    from test_llm_operators import odd_rows
+
+    rows = [(*r, None if r[1] is None else len(r[1]), *[7] * len(CLASH)) for r in odd_rows()]
+    rows += [(None, "no id", None, None, 5, *[7] * len(CLASH)), rows[7], rows[0]]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in CLASH)
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    docs = docs if kind == "rows" else docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, docs, SF), f"odd-{name}")
+        assert name == "best_fit_packing" or out.columns == docs.columns
+        assert (out.count() > 0) == (kind == "rows")
+        docs = out
