@@ -7,7 +7,9 @@ All but the last return the columns of ``documents`` and pass other columns
 through.
 
 Rows that share an id stay or go together.  NULL texts are clean, unlike any
-other, have no secrets and size 0 (so the mix takes them 0 times).
+other, have no secrets and size 0 (so the mix takes them 0 times); empty texts
+alike.  Of equal ids or scores nothing depends on the order of rows.  Texts of
+any length are whole in every stage.  An empty table passes every stage empty.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Of each group of near copies the document with the least id stays."""
     found = jaccard.join(docs, count_links=False)            # only components decide
     gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs.doc_id == gone.gone, "left_anti").select(*docs.columns)
+    return docs.join(gone, docs.doc_id == gone["gone"], "left_anti").select([docs[c] for c in docs.columns])
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +50,11 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it (0, 1 or 2 times)."""
     taken = (mixing.mix(docs, weights_521).groupBy("id")
-             .agg(F.max("copies").alias("mix_copies")).where("mix_copies > 0"))
-    return (docs.join(taken, docs.doc_id.eqNullSafe(taken.id))
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-            .select([docs[c] for c in docs.columns]))
+             .agg(F.max("copies").alias("copies")).where("copies > 0"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")   # names that clash stay inside
+    return (docs.select(row).join(taken, F.col("row.doc_id").eqNullSafe(F.col("id")))
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select([F.col(f"row.`{c}`").alias(c) for c in docs.columns]))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
