@@ -225,16 +225,21 @@ def links(words: DataFrame, frequent: np.ndarray) -> DataFrame:
     """(x, nx, y, ny): every pair of words one edit apart, once."""
     shared = words.sparkSession.sparkContext.broadcast(frequent)
     w = words.select("word", F.xxhash64("word").alias("id"), "n")
-    posts = w.mapInArrow(lambda it: _post(it, shared.value),
-                         "key long, place int, gap boolean, word string, id long, n long")
-    a = posts.select("key", "place", "gap", F.col("word").alias("x"), F.col("id").alias("ix"), F.col("n").alias("nx"))
-    b = posts.where("NOT gap").select(F.col("key").alias("k"), F.col("place").alias("p"), F.col("word").alias("y"),
-                                      F.col("id").alias("iy"), F.col("n").alias("ny"))
-    met = a.join(b, F.expr("key = k AND place = p"))
-    found = met.where("x IS NOT NULL AND y IS NOT NULL").where(VERIFIED).select("x", "nx", "y", "ny")
-    # words too long to carry (or one just over the length and one not): strings are joined back
-    long = w.where(F.length("word") >= CARRIED).select("word", "id")
-    apart = met.where("(x IS NULL OR y IS NULL) AND (gap OR ix <> iy)").select("place", "gap", "ix", "nx", "iy", "ny")
+
+    def met(some: DataFrame) -> DataFrame:
+        posts = some.mapInArrow(lambda it: _post(it, shared.value),
+                                "key long, place int, gap boolean, word string, id long, n long")
+        a = posts.select("key", "place", "gap", F.col("word").alias("x"), F.col("id").alias("ix"),
+                         F.col("n").alias("nx"))
+        b = posts.where("NOT gap").select(F.col("key").alias("k"), F.col("place").alias("p"),
+                                          F.col("word").alias("y"), F.col("id").alias("iy"), F.col("n").alias("ny"))
+        return a.join(b, F.expr("key = k AND place = p"))
+
+    found = met(w.where(F.length("word") <= CARRIED)).where(VERIFIED).select("x", "nx", "y", "ny")
+    # words too long to carry (and those just not): strings are joined back
+    long = w.where(F.length("word") >= CARRIED)
+    apart = (met(long).where("(x IS NULL OR y IS NULL) AND (gap OR ix <> iy)")
+             .select("place", "gap", "ix", "nx", "iy", "ny"))
     back = (apart.join(long.select(F.col("word").alias("x"), F.col("id").alias("i")), F.expr("ix = i"))
             .join(long.select(F.col("word").alias("y"), F.col("id").alias("j")), F.expr("iy = j"))
             .where(VERIFIED).select("x", "nx", "y", "ny"))
