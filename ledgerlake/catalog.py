@@ -17,13 +17,13 @@ from .functions.columns import money_sum, try_double
 from .operators import quality
 from .operators.dedupe import dedupe_by_key
 from .operators.enrich import left_enrich, left_flag
-from .operators.merge import upsert
+from .operators.merge import KeyedTable
 from .operators.quantiles import exact_quantiles, quantile_name
-from .plans import gold, jobs, serving, silver
+from .plans import gold, jobs, partials, serving, silver
 from .plans.assemble import ANOMALY_SPIKE, EMPTY_SPIKE, REFERENCE_SPIKE, Lake, to_ntz
 from .session import run_dir
 from .sources import readers, standins, writers
-from .sources.files import bytes_of
+from .sources.snapshots import SnapshotTable
 from .specs import CORRUPT, GOLD_KEYS, USAGE_EVENTS
 from .streaming import bronze as sbronze
 from .streaming import serving as sserving
@@ -264,13 +264,17 @@ def _two_loads(lake: Lake) -> tuple[DataFrame, DataFrame]:
             lake.daily_usage_mart(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp"))))
 
 
+# buckets of the stand-in mart's keyed table (one per 256 MB of the mart at scale)
+KEYED_BUCKETS = 4
+
+
 @query
 def upsert_by_key(spark, sf_dir):
-    """Second load replaces the first by primary key; untouched keys stay."""
+    """Second load replaces the first by primary key; untouched keys stay.
+    The first lies bucketed by its key, so only the second is shuffled."""
     first, second = _two_loads(Lake(spark, sf_dir))
-    # the update is used twice (its rows and its keys), so it is written once
-    path = writers.write_parquet(second, run_dir(spark, "load2"))
-    return upsert(first, readers.read_parquet(spark, path, second.schema), GOLD_KEYS["daily_usage"])
+    held = KeyedTable.create(first, run_dir(spark, "keyed_usage"), GOLD_KEYS["daily_usage"], KEYED_BUCKETS)
+    return held.upserted(second)
 
 
 # ================================================================= dedupe
@@ -333,18 +337,27 @@ def layer_counts(spark, sf_dir):
     return feed.unionByName(mart)
 
 
+# the columns of clean events that the usage marts read
+USAGE_MART_COLUMNS = ["org_id", "usage_date", "service", "metric", "value_num", "cost_usd_increment",
+                      "carbon_kg", "genai_tokens"]
+
+
+def _with_defaults(v1: DataFrame) -> DataFrame:
+    """Clean events without defaults, as the final's marts read them."""
+    return silver.metric_features(v1.withColumns(
+        {"carbon_kg": F.coalesce("carbon_kg", F.lit(silver.DEFAULT_CARBON_KG)),
+         "genai_tokens": F.coalesce("genai_tokens", F.lit(silver.DEFAULT_GENAI_TOKENS).cast("long"))}))
+
+
 def _usage_marts(spark, lake: Lake) -> dict[str, DataFrame]:
     """The three usage marts (no flag) of one labelled pass: clean events are
     written once and read by each."""
     clean, _ = quality.split(silver.labelled_events(lake.bronze_events(), spike_q=None,
                                                     defaults=False))
-    cols = ["org_id", "usage_date", "service", "metric", "value_num", "cost_usd_increment",
-            "carbon_kg", "genai_tokens"]
+    cols = USAGE_MART_COLUMNS
     path = writers.write_parquet(clean.select(*cols), run_dir(spark, "usage_clean"))
     v1 = readers.read_parquet(spark, path, clean.select(*cols).schema)
-    v2 = silver.metric_features(v1.withColumns(
-        {"carbon_kg": F.coalesce("carbon_kg", F.lit(silver.DEFAULT_CARBON_KG)),
-         "genai_tokens": F.coalesce("genai_tokens", F.lit(silver.DEFAULT_GENAI_TOKENS).cast("long"))}))
+    v2 = _with_defaults(v1)
     return {"daily_usage": lake.mart(v2, gold.DAILY_USAGE),
             "daily_usage_v1": lake.mart(v1, gold.DAILY_USAGE_V1),
             "tokens_day": lake.mart(v2, gold.tokens_day(standins.GENAI_SERVICE))}
@@ -547,12 +560,12 @@ def stream_serving_upsert(spark, sf_dir):
     for n, mart in enumerate(loads, start=1):
         (mart.withColumn(serving.LOAD_SEQ, F.lit(n).cast("long")).coalesce(4)
          .write.mode("append").parquet(gold_dir))
-    table, spec, schema = run_dir(spark, "serving_usage"), serving.SERVING["daily_usage"], loads[0].schema
-    sserving.run_serving_stream(spark, gold_dir, schema, table, run_dir(spark, "ckpt_serving"), spec,
-                                files_per_trigger=3,
-                                buckets=serving.buckets_for(bytes_of(spark, gold_dir)))
-    out = readers.read_parquet(spark, table, serving.serving_schema(schema, spec))
-    return out.select(*schema.fieldNames())
+    path, spec, schema = run_dir(spark, "serving_usage"), serving.SERVING["daily_usage"], loads[0].schema
+    sserving.run_serving_stream(spark, gold_dir, schema, path, run_dir(spark, "ckpt_serving"), spec,
+                                files_per_trigger=3)
+    table = sserving.snapshot_table(spark, path, schema, spec)
+    sserving.compact(table, spec)                         # bucket counts that the periods' bytes ask for
+    return table.read().select(*schema.fieldNames())
 
 
 # gold partition column per mart, as the materialised build writes them
@@ -584,14 +597,12 @@ def stream_serving_all_marts(spark, sf_dir):
             writers.write_parquet(rows, gold_dir)
         q, _ = sserving.start_serving_stream(
             spark, gold_dir, mart.schema, f"{root}/serving/{name}", f"{root}/ckpt/{name}",
-            serving.SERVING[name], files_per_trigger=SERVING_FILES_PER_TRIGGER,
-            buckets=serving.buckets_for(bytes_of(spark, gold_dir)))
+            serving.SERVING[name], files_per_trigger=SERVING_FILES_PER_TRIGGER)
         running.append(q)
     for q in running:
         q.awaitTermination()
     return gold.control_totals({
-        name: (readers.read_parquet(spark, f"{root}/serving/{name}",
-                                    serving.serving_schema(mart.schema, serving.SERVING[name])),
+        name: (sserving.snapshot_table(spark, f"{root}/serving/{name}", mart.schema, serving.SERVING[name]).read(),
                CONTROL_MEASURE[name])
         for name, mart in marts.items()})
 
@@ -637,6 +648,85 @@ def late_rows_backfill(spark, sf_dir):
     return to_ntz(bronze.select(*USAGE_EVENTS.columns))
 
 
+class UsageMarts:
+    """The three usage marts as partial aggregates, and their serving tables."""
+
+    MARTS = (gold.DAILY_USAGE, gold.DAILY_USAGE_V1, gold.tokens_day(standins.GENAI_SERVICE))
+
+    def __init__(self, spark, lake: Lake, root: str):
+        self.spark, self.lake, self.root = spark, lake, root
+        self.stores = {m.name: partials.PartialStore(spark, f"{root}/partials/{m.name}", m, "usage_date")
+                       for m in self.MARTS}
+        self.silver = {n: self._silver(lake.bronze_events().limit(0))[n].schema for n in self.stores}
+
+    @staticmethod
+    def _silver(events: DataFrame) -> dict[str, DataFrame]:
+        clean, _ = quality.split(silver.labelled_events(events, spike_q=None, defaults=False))
+        v1 = clean.select(*USAGE_MART_COLUMNS)
+        v2 = _with_defaults(v1)
+        return {"daily_usage": v2, "daily_usage_v1": v1, "tokens_day": v2}
+
+    def mart(self, name: str, periods: list | None = None) -> DataFrame:
+        store = self.stores[name]
+        return gold.with_org_attrs(store.build(self.silver[name], periods), self.lake.orgs(), store.mart)
+
+    def table(self, name: str) -> SnapshotTable:
+        spec = serving.SERVING[name]
+        return sserving.snapshot_table(self.spark, f"{self.root}/serving/{name}", self.mart(name).schema, spec)
+
+    def load(self, events: DataFrame, load: str) -> dict[str, list]:
+        """Adds a load of new bronze rows to the marts and refreshes the serving
+        rows of the periods it touches; returns those.  A load may be repeated."""
+        path, touched = f"{self.root}/clean/{load}", {}
+        clean = self._silver(events)["daily_usage_v1"]
+        writers.write_parquet(clean, path)
+        v1 = readers.read_parquet(self.spark, path, clean.schema)
+        rows = {"daily_usage": _with_defaults(v1), "daily_usage_v1": v1, "tokens_day": _with_defaults(v1)}
+        for name, store in self.stores.items():
+            store.add(rows[name], load)
+            touched[name] = store.periods(load)
+            table, seq = self.table(name), store.loads().index(load)
+            head = table.head()
+            if not touched[name] and head.batches.get("loads", -1) < seq:
+                table.commit(head, None, F.lit(False), writer="loads", batch=seq)   # nothing new: noted
+            fresh = self.mart(name, touched[name]).withColumn(serving.LOAD_SEQ, F.lit(seq).cast("long"))
+            sserving.merge_batch(table, fresh, seq, "loads", serving.SERVING[name])
+        return touched
+
+    def absorb_late(self, late: str, schema) -> list[str]:
+        """Loads every backfill run that the marts do not have yet (the log of the
+        table that is refreshed last tells)."""
+        last = self.MARTS[-1].name
+        done = self.table(last).head().batches.get("loads", -1)
+        have = set(self.stores[last].loads()[:done + 1])
+        runs = [r for r in sbronze.late_runs(self.spark, late) if f"late-{r}" not in have]
+        for r in runs:
+            self.load(sbronze.read_late(self.spark, late, schema, [r]), f"late-{r}")
+        return runs
+
+
+@query
+def late_rows_to_marts(spark, sf_dir):
+    """The marts of the stream's bronze, then of the rows that the
+    watermark dropped: an aggregate over the late rows alone is merged in, and
+    the serving rows of their periods refreshed.  Rows of the serving tables."""
+    lake = Lake(spark, sf_dir)
+    run, landing, _ = _late_stream(spark, lake)
+    late, schema = run_dir(spark, "bronze_events_late"), _bronze_schema(lake)
+    marts = UsageMarts(spark, lake, run_dir(spark, "late_marts"))
+    marts.load(readers.read_parquet(spark, run.output, schema), "0-stream")
+    sbronze.backfill_late(spark, landing, _event_schema(lake), run.output, late)
+    marts.absorb_late(late, schema)
+
+    def rows(name, cost, quantity, service=F.lit(None).cast("string")):
+        return marts.table(name).read().select(
+            F.lit(name).alias("mart"), "org_id", "org_name", "usage_date", service.alias("service"),
+            F.col(cost).alias("cost"), F.col(quantity).alias("quantity"))
+    return (rows("daily_usage", "total_cost_usd", "total_requests", F.col("service"))
+            .unionByName(rows("daily_usage_v1", "total_carbon_kg", "event_count", F.col("service")))
+            .unionByName(rows("tokens_day", "estimated_cost_usd", "total_tokens")))
+
+
 # ================================================================= materialised layers
 @query
 def bronze_csv_table(spark, sf_dir):

@@ -22,6 +22,8 @@ MONEY = DecimalType(38, 12)
 # Numbers of this size or more, infinities and NaN are not measures: rows
 # that carry one are quarantined (``operators.quality``).
 NUMBER_BOUND = 1e15
+# the ends of BIGINT, where whole totals stop
+LONG_MIN, LONG_MAX = -(1 << 63), (1 << 63) - 1
 
 
 def col_(c: str | Column) -> Column:
@@ -52,9 +54,20 @@ def share(predicate: Column, scale: int) -> Column:
     return F.round(F.count_if(predicate) / F.count("*"), scale)
 
 
+def whole_of(total: Column) -> Column:
+    """DECIMAL total as BIGINT, fraction truncated toward zero.
+
+    ``NUMBER_BOUND`` lets a few thousand rows pass what BIGINT holds; such a
+    total stays at BIGINT's end, where it can be told, and ends no job.
+    """
+    low, high = (F.lit(n).cast(MONEY) for n in (LONG_MIN, LONG_MAX))
+    return (F.when(total >= high, F.lit(LONG_MAX)).when(total <= low, F.lit(LONG_MIN))
+            .otherwise(total.cast("long")))
+
+
 def whole_sum(c: str | Column) -> Column:
-    """Exact sum as BIGINT, fraction truncated toward zero."""
-    return F.sum(to_money(c)).cast("long")
+    """Exact sum as BIGINT (see ``whole_of``)."""
+    return whole_of(F.sum(to_money(c)))
 
 
 def out_of_range(c: str | Column) -> Column:

@@ -61,7 +61,7 @@ def usage_rules(id_col: str = "event_id", cost_col: str = "cost_usd_increment",
     ]
 
 
-def amount_rules(cols: Sequence[str]) -> list[Rule]:
+def amount_rules(cols: Sequence[str | Column]) -> list[Rule]:
     """Invoices whose amounts or rate no sum can hold."""
     return [Rule(AMOUNT_LABEL, reduce(lambda a, b: a | b, [as_flag(out_of_range(c)) for c in cols]))]
 

@@ -282,6 +282,17 @@ SELECT CAST("timestamp" AS DATE) AS usage_date,
 FROM bronze GROUP BY 1""")
 
 # the serving load applies the serving null policy to what it merges
+sql("late_rows_to_marts", f"""
+SELECT 'daily_usage' AS mart, org_id, org_name, usage_date, service,
+       COALESCE(total_cost_usd, 0) AS cost, COALESCE(total_requests, 0) AS quantity
+FROM ({ORACLE["mart_daily_usage"]})
+UNION ALL
+SELECT 'daily_usage_v1', org_id, org_name, usage_date, service, COALESCE(total_carbon_kg, 0), event_count
+FROM ({ORACLE["mart_daily_usage_v1"]})
+UNION ALL
+SELECT 'tokens_day', org_id, org_name, usage_date, NULL, COALESCE(estimated_cost_usd, 0), COALESCE(total_tokens, 0)
+FROM ({ORACLE["mart_tokens_by_day"]})""")
+
 sql("stream_serving_upsert",
     _NULL_POLICY.replace("FROM gold_usage", f"FROM ({ORACLE['upsert_by_key']}) AS upserted"))
 

@@ -136,24 +136,40 @@ def null_policy(df: DataFrame, spec: ServingSpec) -> DataFrame:
                            for c in spec.zero_if_null if c in types})
 
 
-def write_serving(df: DataFrame, path: str, spec: ServingSpec, buckets: int = 1, *,
+def write_serving(df: DataFrame, path: str, spec: ServingSpec, buckets: int | Column = 1, *,
                   load_seq: int = 0, dynamic: bool = False) -> str:
-    """Write a serving table with ``buckets`` org buckets a period."""
+    """Write a serving table with ``buckets`` org buckets a period (a number, or an
+    expression over ``period``)."""
     out = with_layout(null_policy(df, spec).withColumn(LOAD_SEQ, F.lit(load_seq).cast("long")),
                       spec, buckets)
     return write_partitioned(out, path, list(spec.layout), dynamic=dynamic,
                              sort_by=list(spec.primary_key))
 
 
+def period_buckets(gold: DataFrame, spec: ServingSpec, size: int) -> int | Column:
+    """Buckets of each period for ``size`` bytes of gold, dealt to the periods by
+    their rows (a count over the date column; no job where one bucket will do)."""
+    if not spec.time_col or size <= BUCKET_BYTES:
+        return buckets_for(size)
+    rows = gold.groupBy(period_of(spec.time_col, spec.period_grain).alias(PERIOD)).count().collect()
+    total = sum(r["count"] for r in rows) or 1
+    out = F.lit(1)
+    for r in rows:                                         # months or years: few
+        n = buckets_for(size * r["count"] // total)
+        if n > 1:
+            out = F.when(F.col(PERIOD).eqNullSafe(F.lit(r[PERIOD])), F.lit(n)).otherwise(out)
+    return out
+
+
 def serve(gold_path: str, mart: DataFrame, path: str, spec: ServingSpec) -> DataFrame:
     """The serving table of a written gold mart, written to ``path`` and opened.
 
-    Buckets come from the bytes of the gold files, so sizing costs no job.
+    Buckets come from the bytes of the gold files and the rows of each period.
     ``mart`` gives the schema only.
     """
     spark = mart.sparkSession
     gold = readers.read_parquet(spark, gold_path, mart.schema)
-    write_serving(gold, path, spec, buckets_for(bytes_of(spark, gold_path)))
+    write_serving(gold, path, spec, period_buckets(gold, spec, bytes_of(spark, gold_path)))
     return readers.read_parquet(spark, path, serving_schema(mart.schema, spec))
 
 

@@ -109,9 +109,11 @@ def revenue_amounts(billing: DataFrame) -> DataFrame:
 
 
 def labelled_billing(billing: DataFrame) -> DataFrame:
-    """Invoices with ``dq_rule`` for amounts or rates no sum can hold."""
+    """Invoices with ``dq_rule`` for amounts or rates no sum can hold, each alone
+    or an amount times the rate."""
+    amounts, rate = ["subtotal", "credits", "taxes"], "exchange_rate_to_usd"
     return quality.label(billing, quality.amount_rules(
-        ["subtotal", "credits", "taxes", "exchange_rate_to_usd"]))
+        [*amounts, rate, *[F.col(a).cast("double") * F.col(rate) for a in amounts]]))
 
 
 def revenue_usd(billing: DataFrame, orgs: DataFrame, *, orgs_bytes: int | None = None) -> DataFrame:

@@ -43,7 +43,7 @@ def read_csv(spark: SparkSession, path: str, spec: TableSpec | StructType, *,
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def read_jsonl(spark: SparkSession, path: str, spec: TableSpec | StructType, *,
+def read_jsonl(spark: SparkSession, path: str | list[str], spec: TableSpec | StructType, *,
                keep_corrupt: bool = False) -> DataFrame:
     """JSON lines with a declared schema; ``keep_corrupt`` as in ``read_csv``."""
     return (spark.read.schema(with_corrupt(spec) if keep_corrupt else _schema_of(spec))
@@ -64,6 +64,11 @@ def read_parquet(spark: SparkSession, path: str,
     return r.parquet(path)
 
 
+def read_parquet_files(spark: SparkSession, paths: list[str], schema: StructType) -> DataFrame:
+    """Some Parquet folders with one declared schema (no folder: no rows)."""
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
 def stream_jsonl(spark: SparkSession, path: str, spec: TableSpec | StructType, *,
                  max_files_per_trigger: int = 10) -> DataFrame:
     return (spark.readStream.schema(_schema_of(spec))

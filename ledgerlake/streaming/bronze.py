@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import threading
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -143,23 +144,58 @@ def run_bronze_stream(spark: SparkSession, landing: str, schema, output: str, ch
 
 
 def read_bronze(spark: SparkSession, bronze: str, late: str, schema) -> DataFrame:
-    """The stream's table and the backfill beside it.  (A folder that a stream
+    """The stream's table and the backfills beside it.  (A folder that a stream
     writes lists its files in a log of its own: files that others append to it
     are not read.)"""
     out = readers.read_parquet(spark, bronze, schema)
-    return out.unionByName(readers.read_parquet(spark, late, schema)) if files.exists(spark, late) else out
+    return out.unionByName(read_late(spark, late, schema))
+
+
+def late_runs(spark: SparkSession, late: str) -> list[str]:
+    """Names of the complete backfills, oldest first."""
+    found = [n[len("run="):] for n in files.names(spark, late) if n.startswith("run=")]
+    return sorted(n for n in found if files.exists(spark, f"{late}/run={n}/_SUCCESS"))
+
+
+def read_late(spark: SparkSession, late: str, schema, runs: list[str] | None = None) -> DataFrame:
+    paths = [f"{late}/run={n}" for n in (late_runs(spark, late) if runs is None else runs)]
+    return readers.read_parquet_files(spark, paths, schema)
+
+
+def unseen_files(spark: SparkSession, landing: str, ledger: str) -> list[str]:
+    """Landed files that no backfill has reconciled: the listing without the
+    ledger's; as many names as files came since."""
+    landed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing)
+              .select("path"))
+    if files.exists(spark, f"{ledger}/_SUCCESS"):
+        landed = landed.join(spark.read.schema("path string").parquet(ledger), "path", "left_anti")
+    return sorted(r.path for r in landed.collect())
 
 
 def backfill_late(spark: SparkSession, landing: str, schema, bronze: str, late: str, *,
-                  key: str = "event_id", event_time: str = "timestamp") -> None:
-    """Appends to ``late`` the landed events whose id neither table has.
+                  key: str = "event_id", event_time: str = "timestamp") -> str | None:
+    """Writes the landed events whose id neither table has, as one run of
+    ``late``; returns its name (None if no file came since the last run).
 
     These are the rows the watermark dropped.  Rows without id or time never
-    pass the dedupe, so they are in bronze already.  Run again, it finds
-    nothing; a run that stops before its commit leaves nothing.
+    pass the dedupe, so they are in bronze already.  Every file is read by one
+    run: a ledger keeps the names of those reconciled, and the run's events are
+    held against bronze in their own time range only (a re-delivered event keeps
+    its time).  It is for files that the stream has taken.  A run that stops
+    before its ledger entry is done again and finds what it wrote in ``late``.
     """
-    landed = readers.with_lineage(readers.read_jsonl(spark, landing, schema))
-    held = read_bronze(spark, bronze, late, landed.schema).select(key)
+    ledger = f"{late}-files"
+    names = unseen_files(spark, landing, ledger)
+    if not names:
+        return None
+    landed = readers.with_lineage(readers.read_jsonl(spark, names, schema))
     landed = landed.filter(F.col(key).isNotNull() & F.col(event_time).isNotNull())
+    first, last = landed.agg(F.min(event_time).cast("string"), F.max(event_time).cast("string")).first()
+    held = (read_bronze(spark, bronze, late, landed.schema)
+            .filter(F.col(event_time).between(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp")))
+            .select(key))
     missing = dedupe_by_key(landed.join(held, key, "left_anti"), [key])
-    missing.select(*landed.columns).write.mode("append").parquet(late)
+    run = f"{len(files.names(spark, late)):08d}-{uuid.uuid4().hex[:8]}"
+    missing.select(*landed.columns).write.parquet(f"{late}/run={run}")
+    spark.createDataFrame([(n,) for n in names], "path string").write.mode("append").parquet(ledger)
+    return run

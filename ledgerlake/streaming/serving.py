@@ -1,4 +1,4 @@
-"""Gold → serving as a stream: ``foreachBatch`` key-merge into a Parquet table.
+"""Gold → serving as a stream: ``foreachBatch`` key-merge into a snapshot table.
 
 Each micro-batch is merged by primary key into the serving table without
 passing through the driver:
@@ -7,41 +7,40 @@ passing through the driver:
    ``touched_partitions``);
 2. the batch's rows, NULL measures mapped to 0 (the serving null policy, as the
    batch serving write), tagged with period and bucket;
-3. the table's rows in the touched folders only (a static partition filter:
-   other folders are neither listed nor read);
+3. the table's rows in the touched folders only (the manifest names them: other
+   folders are neither listed nor read);
 4. one row per key of (2) and (3), the one of the latest load, where NULL key
-   parts equal each other; written to a staging folder of the batch;
-5. the staging rows overwrite exactly the touched folders of the table
-   (dynamic partition overwrite), rebalanced and sorted by primary key.
-   When the touched folders hold no row yet, steps 3–4 are skipped and the
-   rows are written straight in.
+   parts equal each other; written to new folders, rebalanced and sorted by
+   primary key;
+5. one commit replaces the touched folders by the new ones.
 
 An incremental load touches the latest periods, so the history is never
 rewritten; within a period only the buckets of the orgs in the batch are.
 
-Crashes.  ``foreachBatch`` is at-least-once.  Before step 4 has completed the
-table is untouched, and a replay computes the merge again.  Step 5 may stop
-after a folder was removed and before its new files moved in; the rows are then
-in staging, whose ``_SUCCESS`` tells that it is complete, and the replay
-publishes from there without reading the damaged table.  Staging lies inside
-the stream's checkpoint, so another checkpoint never finds it.  Rows written
-straight in touch no history, and merging them again changes nothing.
+Readers see the table before step 5 or after it, never between
+(``sources.snapshots``).  ``foreachBatch`` is at-least-once: a batch that stopped
+before step 5 left the table as it was and is merged again; one that is in the
+table's log is left out.  Two writers may share a table: the second to commit
+merges again on top of the first.
+
+``rebucket`` gives a period the bucket count its bytes ask for, as a commit like
+any other; ``compact`` does so for all periods that outgrew or never filled theirs.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.dedupe import dedupe_by_key
-from ..plans.serving import (BUCKET, BUCKET_COUNT, LOAD_SEQ, PERIOD, ServingSpec, null_policy,
-                             period_of, serving_schema, with_layout)
-from ..sources import files, readers
-from ..sources.writers import write_partitioned
+from ..plans import serving
+from ..plans.serving import (BUCKET, BUCKET_COUNT, LOAD_SEQ, PERIOD, ServingSpec, buckets_for, null_policy,
+                             serving_schema, with_layout)
+from ..sources import readers
+from ..sources.snapshots import SnapshotTable, Version, may_hold, retried
 
 
 def with_load_seq(schema: StructType) -> StructType:
@@ -51,33 +50,23 @@ def with_load_seq(schema: StructType) -> StructType:
     return StructType([*schema.fields, StructField(LOAD_SEQ, LongType(), True)])
 
 
-def create_table(spark: SparkSession, path: str, mart_schema: StructType,
-                 spec: ServingSpec) -> None:
-    """An empty serving table (declared schema, no rows); fails if one is there."""
-    (spark.createDataFrame([], serving_schema(mart_schema, spec))
-     .write.mode("errorifexists").partitionBy(*spec.layout).parquet(path))
-
-
-def open_table(spark: SparkSession, path: str, mart_schema: StructType, spec: ServingSpec) -> None:
-    """Create the table unless its folder is there (a restarted stream keeps
-    its table and checkpoint)."""
-    if not files.exists(spark, path):
-        create_table(spark, path, mart_schema, spec)
+def snapshot_table(spark: SparkSession, path: str, mart_schema: StructType, spec: ServingSpec) -> SnapshotTable:
+    """The serving table at ``path``; it has no version before its first commit."""
+    zones = tuple(c for c in dict.fromkeys((*spec.primary_key, "service")) if c in mart_schema.fieldNames())
+    return SnapshotTable(spark, path, serving_schema(mart_schema, spec), spec.layout, spec.primary_key, zones)
 
 
-def bucket_counts(spark: SparkSession, batch: DataFrame, table: str, spec: ServingSpec,
-                  schema: StructType, buckets: int) -> Column:
+def bucket_counts(table: SnapshotTable, version: Version, spec: ServingSpec, periods: list, buckets: int) -> Column:
     """Bucket count of each of the batch's periods: the table's, or ``buckets``
     for a period it does not have yet.  Periods are few (months or years)."""
-    held = readers.read_parquet(spark, table, schema)
+    held = table.manifest(version)
     if not spec.time_col:
         first = held.select(BUCKET_COUNT).limit(1).collect()
         return F.lit(first[0][0] if first else buckets)
-    periods = [r[0] for r in batch.select(period_of(spec.time_col, spec.period_grain)).distinct().collect()]
-    some = reduce(lambda a, b: a | b, [F.col(PERIOD).eqNullSafe(F.lit(p).cast("date")) for p in periods])
     out = F.lit(buckets)
-    for p, n in held.filter(some).select(PERIOD, BUCKET_COUNT).distinct().collect():
-        out = F.when(F.col(PERIOD).eqNullSafe(F.lit(p).cast("date")), F.lit(n)).otherwise(out)
+    for p, n in held.select(PERIOD, BUCKET_COUNT).distinct().collect():
+        if p in periods:
+            out = F.when(F.col(PERIOD).eqNullSafe(F.lit(p).cast("date")), F.lit(n)).otherwise(out)
     return out
 
 
@@ -111,36 +100,69 @@ def folder_filter(folders: list[tuple], spec: ServingSpec) -> Column:
     return cond
 
 
-def publish(spark: SparkSession, staging: str, table: str, spec: ServingSpec,
-            schema: StructType) -> None:
-    """Staged rows replace their folders of the table."""
-    write_partitioned(readers.read_parquet(spark, staging, schema), table, list(spec.layout),
-                      dynamic=True, sort_by=list(spec.primary_key))
-
-
-def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str,
-                staging_root: str, spec: ServingSpec, mart_schema: StructType,
-                buckets: int = 1) -> None:
-    schema = serving_schema(mart_schema, spec)
-    staging = f"{staging_root}/batch={batch_id}"
-    if files.exists(spark, f"{staging}/_SUCCESS"):
-        publish(spark, staging, table, spec, schema)    # a replay: the merge is done
-        return
-    if batch.isEmpty():
-        return
-    key = list(spec.primary_key)
-    counts = bucket_counts(spark, batch, table, spec, schema, buckets)
-    updates = with_layout(null_policy(batch, spec), spec, counts).select(*schema.fieldNames())
-    folders = touched_partitions(updates, spec)
-    held = readers.read_parquet(spark, table, schema).filter(folder_filter(folders, spec))
-    if held.isEmpty():
-        # only new folders (a new period, new buckets): nothing to merge with
-        write_partitioned(dedupe_by_key(updates, key, [LOAD_SEQ], null_is_value=True), table,
-                          list(spec.layout), dynamic=True, sort_by=key)
-        return
-    merged = dedupe_by_key(held.unionByName(updates), key, [LOAD_SEQ], null_is_value=True)
-    merged.write.mode("overwrite").parquet(staging)
-    publish(spark, staging, table, spec, schema)
+def merge_batch(table: SnapshotTable, batch: DataFrame, batch_id: int, writer: str, spec: ServingSpec,
+                buckets: int = 1) -> Version:
+    """Merges a batch by primary key and commits it; a batch that the table's log
+    already has from this writer changes nothing."""
+    schema = table.schema
+
+    def work() -> Version:
+        base = table.head()
+        if base.batches.get(writer, -1) >= batch_id:
+            return base
+        periods = [r[0] for r in batch.select(serving.period_of(spec.time_col, spec.period_grain)
+                                              if spec.time_col else F.lit(None)).distinct().collect()]
+        if not periods:                                    # an empty batch
+            return base
+        counts = bucket_counts(table, base, spec, periods, buckets)
+        updates = with_layout(null_policy(batch, spec), spec, counts).select(*schema.fieldNames())
+        touched = folder_filter(touched_partitions(updates, spec), spec)
+        held = table.read(base, touched)
+        merged = dedupe_by_key(held.unionByName(updates), list(spec.primary_key), [LOAD_SEQ], null_is_value=True)
+        return table.commit(base, table.write(merged), touched, writer=writer, batch=batch_id)
+
+    return retried(work)
+
+
+def rebucket(table: SnapshotTable, spec: ServingSpec, period, buckets: int) -> Version:
+    """One period's rows dealt into ``buckets`` org buckets, in one commit."""
+    def work() -> Version:
+        base = table.head()
+        own = F.col(PERIOD).eqNullSafe(F.lit(period).cast("date")) if spec.time_col else F.lit(True)
+        rows = table.read(base, own)
+        return table.commit(base, table.write(with_layout(rows.drop(PERIOD, BUCKET_COUNT, BUCKET), spec, buckets)), own)
+
+    return retried(work)
+
+
+def compact(table: SnapshotTable, spec: ServingSpec) -> list:
+    """Re-buckets the periods whose bucket count is not the one that their bytes
+    ask for, one commit each; returns them.  Sizes come from the manifest."""
+    groups = [PERIOD] if spec.time_col else []
+    sizes = (table.manifest(table.head()).groupBy(*groups)
+             .agg(F.sum("bytes").alias("size"), F.max(BUCKET_COUNT).alias("n")).collect())
+    wrong = [(r[PERIOD] if groups else None, buckets_for(r["size"])) for r in sizes
+             if r["n"] is not None and r["n"] != buckets_for(r["size"])]
+    for period, n in wrong:
+        rebucket(table, spec, period, n)
+    return [p for p, _ in wrong]
+
+
+def ask(table: SnapshotTable, spec: ServingSpec, org, *, date_from: str | None = None, date_to: str | None = None,
+        service: str | None = None, version: Version | None = None) -> DataFrame:
+    """The folders that may hold an org's rows, of one version, for a question.
+
+    The manifest is asked first: the org's bucket in each folder's count, the
+    period range, and the folder's ranges of org and service."""
+    org = F.lit(org).cast(table.schema["org_id"].dataType)
+    where = (F.col(BUCKET) == F.pmod(F.xxhash64(org), F.col(BUCKET_COUNT)).cast("int")) & may_hold("org_id", org)
+    if spec.time_col and date_from:
+        where = where & (F.col(PERIOD) >= serving.period_of(F.lit(date_from), spec.period_grain))
+    if spec.time_col and date_to:
+        where = where & (F.col(PERIOD) <= serving.period_of(F.lit(date_to), spec.period_grain))
+    if service is not None and "service" in table.zones:
+        where = where & may_hold("service", service)
+    return table.read(version, where)
 
 
 def start_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: StructType,
@@ -154,15 +176,14 @@ def start_serving_stream(spark: SparkSession, gold_dir: str, mart_schema: Struct
     start are merged (``availableNow``).  Several targets may run at once in one
     session, each with its own checkpoint.
     """
-    open_table(spark, table, mart_schema, spec)
     src = readers.stream_parquet(spark, gold_dir, with_load_seq(mart_schema),
                                  max_files_per_trigger=files_per_trigger)
+    target = snapshot_table(spark, table, mart_schema, spec)
     seen: list[int] = []
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         seen.append(batch_id)
-        merge_batch(spark, batch, batch_id, table, f"{checkpoint}/serving-staging", spec,
-                    mart_schema, buckets)
+        merge_batch(target, batch, batch_id, checkpoint, spec, buckets)
 
     q = (src.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint)

@@ -1,8 +1,5 @@
 """Stream state and reports, late rows, dynamic overwrite, the lossless serving merge."""
 
-import os
-import shutil
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +7,7 @@ from ledgerlake.plans import gold, jobs, serving
 from ledgerlake.plans.assemble import Lake
 from ledgerlake.session import run_dir
 from ledgerlake.sources import files, readers, standins, writers
+from ledgerlake.sources.snapshots import SnapshotTable
 from ledgerlake.streaming import bronze as sbronze
 from ledgerlake.streaming import serving as sserving
 from ledgerlake.streaming.landing import file_number, land_files
@@ -108,26 +106,24 @@ def _load(df, seq):
 
 
 class Table:
-    """A serving table with its staging folder."""
+    """A serving table with its writer."""
 
     def __init__(self, spark, schema, spec=SPEC):
         self.spark, self.schema, self.spec = spark, schema, spec
-        self.path, self.staging = run_dir(spark, "t_serving"), run_dir(spark, "t_staging")
-        sserving.open_table(spark, self.path, schema, spec)
+        self.table = sserving.snapshot_table(spark, run_dir(spark, "t_serving"), schema, spec)
 
-    def merge(self, df, batch_id, seq=1, buckets=1):
-        sserving.merge_batch(self.spark, _load(df, seq), batch_id, self.path, self.staging, self.spec,
-                             self.schema, buckets)
+    def merge(self, df, batch_id, seq=1, buckets=1, writer="t"):
+        return sserving.merge_batch(self.table, _load(df, seq), batch_id, writer, self.spec, buckets)
 
-    def frame(self):
-        return readers.read_parquet(self.spark, self.path, serving.serving_schema(self.schema, self.spec))
+    def frame(self, version=None):
+        return self.table.read(version)
 
-    def rows(self):
-        return sorted((tuple(r) for r in self.frame().select(*self.schema.fieldNames()).collect()), key=repr)
+    def rows(self, version=None):
+        return sorted((tuple(r) for r in self.frame(version).select(*self.schema.fieldNames()).collect()), key=repr)
 
-    def files(self):
-        return {os.path.relpath(os.path.join(d, f), self.path): os.stat(os.path.join(d, f)).st_mtime_ns
-                for d, _, fs in os.walk(self.path) for f in fs if f.endswith(".parquet")}
+    def folders(self):
+        m = self.table.manifest(self.table.head())
+        return {tuple(str(r[c]) for c in self.spec.layout): r for r in m.collect()}
 
 
 def _rows_of(df, spec=SPEC):
@@ -168,25 +164,76 @@ def test_later_load_stays_whatever_the_order(spark):
     assert t.frame().count() == mart.count()
 
 
-def test_crash_while_publishing_loses_nothing(spark):
-    """The replaced folder is gone and its new files have not moved in: the
-    replay publishes the staged rows instead of merging with a damaged table."""
+def test_crash_before_the_commit_changes_nothing(spark, monkeypatch):
+    """Rows are written, the commit does not come: readers see the old table, and
+    the replay merges once more."""
     mart = _mart(spark)
     t = Table(spark, mart.schema)
     t.merge(mart, 0)
     fix = (spark.createDataFrame(mart.limit(5).collect(), mart.schema)
            .withColumn("total_cost_usd", F.lit(-1.0)))
+    with monkeypatch.context() as m:
+        m.setattr(SnapshotTable, "commit", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            t.merge(fix, 1, seq=2)
+    assert t.table.head().number == 1 and t.rows() == _rows_of(mart)
     t.merge(fix, 1, seq=2)
-    want = t.rows()
-    assert len(want) == mart.count()
-    for folder in os.listdir(t.path):
-        if folder.startswith("period="):
-            shutil.rmtree(os.path.join(t.path, folder))
-    t.merge(fix, 1, seq=2)                                 # the same batch again
-    assert t.rows() == want
+    once = t.rows()
+    assert t.table.head().number == 2 and len(once) == mart.count() and once != _rows_of(mart)
+    assert t.merge(fix, 1, seq=2).number == 2              # the log has this batch
+
+
+def test_readers_see_the_old_table_or_the_new_one(spark, monkeypatch):
+    """A question asked at any point of a merge, and one that began before it."""
+    mart = _mart(spark)
+    t = Table(spark, mart.schema)
+    t.merge(mart, 0)
+    old, pinned, seen = t.rows(), t.table.head(), []
+    begun = t.frame(pinned)                                # planned now, run after the merge
+    fix = mart.withColumn("total_cost_usd", F.lit(-1.0))
+    write, commit = SnapshotTable.write, SnapshotTable.commit
+
+    def watched(step, before):
+        def run(self, *a, **k):
+            if before:
+                seen.append(t.rows())
+            out = step(self, *a, **k)
+            seen.append(t.rows())
+            return out
+        return run
+
+    monkeypatch.setattr(SnapshotTable, "write", watched(write, True))
+    monkeypatch.setattr(SnapshotTable, "commit", watched(commit, True))
+    t.merge(fix, 1, seq=2)
+    new = _rows_of(fix)
+    assert seen == [old, old, old, new]
+    assert t.rows(pinned) == old
+    assert sorted((tuple(r) for r in begun.select(*mart.columns).collect()), key=repr) == old
+
+
+def test_second_writer_merges_on_top_of_the_first(spark, monkeypatch):
+    """Two batches start from one version: the later commit starts over."""
+    mart = _mart(spark)
+    t = Table(spark, mart.schema)
+    t.merge(mart, 0)
+    org = mart.agg(F.min("org_id")).first()[0]
+    one = mart.where(F.col("org_id") == org).withColumn("total_cost_usd", F.lit(-1.0))
+    two = mart.where(F.col("org_id") != org).withColumn("total_cost_usd", F.lit(-2.0))
+    commit, raced = SnapshotTable.commit, []
+
+    def race(self, *a, **k):
+        if not raced:
+            raced.append(1)
+            t.merge(one, 7, seq=2, writer="first")
+        return commit(self, *a, **k)
 
+    monkeypatch.setattr(SnapshotTable, "commit", race)
+    assert t.merge(two, 1, seq=2).number == 3
+    assert t.rows() == _rows_of(one.unionByName(two))
+    assert t.table.head().batches == {"t": 1, "first": 7}
 
-def test_staging_of_another_checkpoint_is_not_found(spark):
+
+def test_two_checkpoints_merge_into_one_table(spark):
     mart = _mart(spark)
     gold_dir = run_dir(spark, "t_gold")
     _load(mart, 1).write.parquet(gold_dir)
@@ -194,8 +241,7 @@ def test_staging_of_another_checkpoint_is_not_found(spark):
     for _ in range(2):                                     # two checkpoints, batch 0 in each
         sserving.run_serving_stream(spark, gold_dir, mart.schema, table, run_dir(spark, "t_ckpt"), SPEC,
                                     files_per_trigger=None)
-        got = readers.read_parquet(spark, table, serving.serving_schema(mart.schema, SPEC))
-        assert got.count() == mart.count()
+        assert sserving.snapshot_table(spark, table, mart.schema, SPEC).read().count() == mart.count()
 
 
 def test_stream_restart_keeps_table(spark):
@@ -208,18 +254,17 @@ def test_stream_restart_keeps_table(spark):
     again = sserving.run_serving_stream(spark, gold_dir, mart.schema, table, ckpt, SPEC,
                                         files_per_trigger=None, buckets=2)
     assert first >= 1 and again == 0
-    assert readers.read_parquet(spark, table, serving.serving_schema(mart.schema, SPEC)).count() == mart.count()
+    assert sserving.snapshot_table(spark, table, mart.schema, SPEC).read().count() == mart.count()
 
 
-def test_table_is_created_only_where_none_is(spark):
+def test_a_table_without_a_commit_is_empty(spark):
     mart = _mart(spark)
     t = Table(spark, mart.schema)
-    t.merge(mart, 0)
-    sserving.open_table(spark, t.path, mart.schema, SPEC)
-    assert t.frame().count() == mart.count()
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
-        sserving.create_table(spark, t.path, mart.schema, SPEC)
-    assert files.exists(spark, t.path) and not files.exists(spark, t.path + "-none")
+    assert t.table.head().number == 0 and t.frame().count() == 0
+    t.merge(mart.limit(0), 0)                              # nothing to merge: no version
+    assert t.table.head().number == 0
+    assert files.create_once(spark, f"{t.table.path}/x", "a") and not files.create_once(spark, f"{t.table.path}/x", "b")
+    assert files.read_text(spark, f"{t.table.path}/x") == "a"
 
 
 def test_merge_rewrites_only_touched_folders_and_counts_stay_per_period(spark):
@@ -227,31 +272,79 @@ def test_merge_rewrites_only_touched_folders_and_counts_stay_per_period(spark):
     t = Table(spark, mart.schema)
     feb = mart.withColumn("usage_date", F.date_add("usage_date", 31))
     t.merge(mart.unionByName(feb), 0, buckets=4)
-    before = t.files()
+    before = t.folders()
     org = mart.agg(F.min("org_id")).first()[0]
     fix = mart.filter(F.col("org_id") == org).withColumn("total_cost_usd", F.lit(-1.0))
     # January keeps its 4 buckets although the caller would now start with 16
     t.merge(fix, 1, seq=2, buckets=16)
-    after = t.files()
+    after = t.folders()
     bucket = spark.range(1).select(serving.key_bucket(F.lit(org).cast("long"), 4)).first()[0]
-    folder = f"period=2024-01-01/bucket_count=4/key_bucket={bucket}/"
-    assert any(k.startswith(folder) for k in before)
-    for k, mtime in before.items():
-        if k.startswith(folder):
-            assert k not in after                          # the touched folder was rewritten
-        else:
-            assert after.get(k) == mtime                   # every other file is untouched
+    assert set(after) == set(before) and sum(r.rows for r in after.values()) == 2 * mart.count()
+    changed = {k for k in before if after[k].folder != before[k].folder}
+    assert changed == {("2024-01-01", "4", str(bucket))}   # every other folder is the same
     fixed = t.frame().filter((F.col("org_id") == org) & (F.col("period") == F.lit("2024-01-01").cast("date")))
     assert fixed.count() == fix.count() and fixed.filter("total_cost_usd <> -1").count() == 0
-    # a new period takes the new count, without a staging copy; lookups find both
+    # a new period takes the new count; lookups find both
     later = mart.withColumn("usage_date", F.date_add("usage_date", 400))
     t.merge(later, 2, buckets=16)
-    assert not os.path.exists(f"{t.staging}/batch=2") and os.path.exists(f"{t.staging}/batch=1")
-    assert all(t.files().get(k) == v for k, v in after.items())
+    assert all(t.folders()[k].folder == r.folder for k, r in after.items())
     assert {r[0] for r in t.frame().select("bucket_count").distinct().collect()} == {4, 16}
     assert serving.lookup(t.frame(), org).count() == 3 * fix.count()
 
 
+def test_questions_open_only_folders_that_may_answer(spark):
+    """Bucket, period and the manifest's ranges of org and service prune folders."""
+    mart = _mart(spark)
+    t = Table(spark, mart.schema)
+    far = mart.withColumn("usage_date", F.date_add("usage_date", 31)).withColumn("service", F.lit("zz"))
+    t.merge(mart.unionByName(far), 0, buckets=8)
+    org = mart.agg(F.min("org_id")).first()[0]
+    whole = t.frame()
+
+    def opened(df):
+        return len({f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+    some = sserving.ask(t.table, SPEC, org)
+    assert opened(some) <= 2 < opened(whole)
+    assert serving.lookup(some, org).count() == serving.lookup(whole, org).count() > 0
+    for service in ("zz", "s1"):
+        named = sserving.ask(t.table, SPEC, org, service=service)
+        assert opened(named) <= 1
+        assert (serving.lookup(named, org).where(F.col("service") == service).count()
+                == serving.lookup(whole, org).where(F.col("service") == service).count() > 0)
+    none = sserving.ask(t.table, SPEC, org, date_from="2031-01-01")
+    assert none.count() == 0 and opened(none) == 0
+
+
+def test_periods_take_buckets_by_their_own_bytes(spark, monkeypatch):
+    """One large period among small ones; re-bucketing keeps every answer."""
+    mart = _mart(spark)
+    small = [mart.limit(3).withColumn("usage_date", F.add_months(F.lit("2030-01-01").cast("date"), k)) for k in range(12)]
+    rows = mart
+    for s in small:
+        rows = rows.unionByName(s)
+    t = Table(spark, mart.schema)
+    t.merge(rows.dropDuplicates(list(SPEC.primary_key)), 0, buckets=4)
+    sizes = [r.bytes for r in t.folders().values()]
+    monkeypatch.setattr(serving, "BUCKET_BYTES", max(sizes) // 2)
+    want = t.rows()
+    first = t.table.head()
+    changed = sserving.compact(t.table, SPEC)
+    assert len(changed) == 13 and sserving.compact(t.table, SPEC) == []
+    assert t.rows() == want == t.rows(first)
+    by_period = {}
+    for (period, _, _), r in t.folders().items():
+        by_period.setdefault(period, []).append(r.bytes)
+    large = by_period.pop("2024-01-01")
+    assert len(large) > 4 and all(len(b) == 1 for b in by_period.values())
+    assert all(b >= serving.BUCKET_BYTES // 8 for b in large)
+    # the batch layout deals buckets by the periods' rows, too
+    gold_path = writers.write_parquet(rows, run_dir(spark, "t_gold"))
+    table = serving.serve(gold_path, rows, run_dir(spark, "t_serving"), SPEC)
+    counts = {str(r[0]): r[1] for r in table.select("period", "bucket_count").distinct().collect()}
+    assert counts.pop("2024-01-01") > 1 and set(counts.values()) == {1}
+
+
 def test_buckets_have_no_ceiling():
     one = serving.BUCKET_BYTES
     assert [serving.buckets_for(x) for x in (0, one, one + 1, 1000 * one)] == [1, 1, 2, 1024]

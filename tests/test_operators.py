@@ -14,7 +14,7 @@ from ledgerlake.operators.enrich import check_unique
 from ledgerlake.operators.merge import upsert
 from ledgerlake.operators.quantiles import (exact_quantile, exact_quantiles, method_label,
                                             quantile_name)
-from ledgerlake.plans import silver
+from ledgerlake.plans import gold, silver
 from ledgerlake.plans.assemble import ANOMALY_SPIKE, Lake
 from ledgerlake.session import lake_root, run_dir
 from ledgerlake.sources import standins
@@ -145,6 +145,35 @@ def test_money_sums_have_no_value_cap(spark):
     assert total([1e14] * 3).w == 3 * 10 ** 14
 
 
+def test_whole_sums_end_no_job(spark):
+    """Rows that pass the quarantine bound may add up to more than BIGINT holds."""
+    df = spark.range(10_000).select((F.col("id") % 2).alias("k"), F.lit(9.9e14).alias("x"))
+    df = df.unionByName(spark.createDataFrame([(2, None), (3, 1.5), (4, -9.9e14)], "k long, x double"))
+    df = df.unionByName(spark.range(10_000).select(F.lit(5).cast("long").alias("k"), F.lit(-9.9e14).alias("x")))
+    got = {r.k: r.w for r in df.groupBy("k").agg(whole_sum("x").alias("w")).collect()}
+    top = (1 << 63) - 1
+    assert got == {0: 4_950_000_000_000_000_000, 1: 4_950_000_000_000_000_000, 2: None, 3: 1,
+                   4: -990_000_000_000_000, 5: -top - 1}
+    assert df.where("k < 2").agg(whole_sum("x").alias("w")).first().w == top
+    usage = spark.createDataFrame([(1, "d", "s", "requests", 9.9e14)] * 10_000,
+                                  "org_id long, usage_date string, service string, metric string, value_num double")
+    usage = usage.withColumns({"usage_date": F.lit("2024-01-01").cast("date"), "cost_usd_increment": F.lit(1.0),
+                               "cpu_hours": F.lit(0.0), "storage_gb_hours": F.lit(0.0),
+                               "genai_tokens": F.lit(1).cast("long"), "carbon_kg": F.lit(0.0)})
+    assert gold.build(usage, gold.DAILY_USAGE).first().total_requests == top
+
+
+def test_invoice_products_out_of_range_are_quarantined(spark):
+    rows = [(1e14, None, None, 1e13), (1.0, 1e14, None, 1e13), (1.0, 0.0, 1e14, 1e13), (9e14, 9e14, 9e14, 1.0),
+            (1e5, None, None, 9e9)]
+    lab = silver.labelled_billing(spark.createDataFrame(
+        rows, "subtotal double, credits double, taxes double, exchange_rate_to_usd double"))
+    clean, bad = quality.split(lab)
+    assert bad.count() == 3
+    total = silver.revenue_amounts(clean).agg(F.sum("revenue_usd_d").alias("s")).first().s
+    assert float(total) == 9e14 + 9e14
+
+
 def test_rate_is_not_cut(spark):
     b = spark.createDataFrame([(1e8, None, None, 0.0000392)],
                               "subtotal double, credits double, taxes double, exchange_rate_to_usd double")

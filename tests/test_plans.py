@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.catalog import REGISTRY
 from ledgerlake.operators.enrich import left_enrich
+from ledgerlake.operators.merge import KeyedTable
 from ledgerlake.plans import serving
 from ledgerlake.plans.assemble import Lake
 from ledgerlake.session import run_dir
@@ -70,10 +71,45 @@ def test_serving_questions_on_serving_table_equal_mart(spark):
         assert sorted((tuple(r) for r in q(table).collect()), key=repr) == want
 
 
-def test_upsert_side_is_computed_once(spark):
+@pytest.fixture()
+def no_broadcast(spark):
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_upsert_shuffles_the_updates_only(spark, no_broadcast):
+    """The table's side is read in its buckets: no exchange above its scan, and
+    none before the merged rows are written."""
     p = plan(REGISTRY["upsert_by_key"](spark, SF_SMALL))
-    assert "LeftAnti" in p and "SortAggregate" not in p
     assert sum("FileScan" in line and "events.parquet" in line for line in p.splitlines()) == 1
+    held = next(line for line in p.splitlines() if "FileScan" in line and "keyed_" in line)
+    assert "Bucketed: true" in held
+    lines = p.splitlines()
+    join = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line and "FullOuter" in line)
+    table = lines.index(held)
+    assert not any("Exchange" in line for line in lines[join:table + 1]) and join < table
+    assert sum("Exchange hashpartitioning(_new_key" in line for line in lines) == 1
+
+
+def test_keyed_merge_writes_without_a_shuffle(spark, no_broadcast):
+    rows = [(k, None if k % 5 == 0 else f"a{k % 7}", float(k)) for k in range(200)]
+    table = KeyedTable.create(spark.createDataFrame(rows, "k long, s string, v double"),
+                              run_dir(spark, "t_keyed"), ["k", "s"], 4)
+    new = [(k, s, -v) for k, s, v in rows if k % 3 == 0] + [(1000, None, 1.0), (None, None, 2.0), (None, "", 3.0)]
+    updates = spark.createDataFrame(new, "k long, s string, v double")
+    merged = table.merge(updates, run_dir(spark, "t_keyed"))
+    again = merged.merge(updates, run_dir(spark, "t_keyed"))
+    want = {(k, s): v for k, s, v in rows} | {(k, s): v for k, s, v in new}
+    for t in (merged, again):
+        got = t.frame().collect()
+        assert len(got) == len(want) and {(r.k, r.s): r.v for r in got} == want
+    assert len(merged.frame().inputFiles()) == 4           # one file a bucket
+    last = [(5, None, 1.0, 1), (5, None, 2.0, 2)]
+    t2 = KeyedTable.create(spark.createDataFrame([(5, None, 0.0, 0)], "k long, s string, v double, o int"),
+                           run_dir(spark, "t_keyed"), ["k", "s"], 2)
+    assert [r.v for r in t2.upserted(spark.createDataFrame(last, "k long, s string, v double, o int"), ["o"]).collect()] == [2.0]
 
 
 def test_dedupe_reads_its_input_once_and_limits_before_the_shuffle(spark):
