@@ -14,11 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.columns import money_sum, try_double
-from .operators import quality
+from .operators import quality, sketches
 from .operators.dedupe import dedupe_by_key
 from .operators.enrich import left_enrich, left_flag
+from .operators.fingerprint import differing_rows
 from .operators.merge import KeyedTable
 from .operators.quantiles import exact_quantiles, quantile_name
+from .operators.skew import skew_join
 from .plans import gold, jobs, partials, serving, silver
 from .plans.assemble import ANOMALY_SPIKE, EMPTY_SPIKE, REFERENCE_SPIKE, Lake, to_ntz
 from .session import run_dir
@@ -197,6 +199,57 @@ def cost_quantiles(spark, sf_dir):
         *[F.lit(v).cast("double").alias(k) for k, v in qs.items()])
 
 
+# a range of days whose sketches are merged, next to all of them
+SKETCH_RANGE = ("2024-01-08", "2024-01-21")
+
+
+@query
+def cost_quantiles_sketch(spark, sf_dir):
+    """p50/p90/p99 of all days and of a range of days from one sketch a day,
+    written in one pass and merged; each value's true rank is counted and must lie
+    within the sketch's bound."""
+    typed = silver.typed_events(Lake(spark, sf_dir).bronze_events()).select("usage_date", "cost_usd_increment")
+    path = writers.write_parquet(sketches.sketches(typed, "usage_date", "cost_usd_increment"),
+                                 run_dir(spark, "cost_sketches"))
+    daily = readers.read_parquet(spark, path)
+    first, last = (F.lit(d).cast("date") for d in SKETCH_RANGE)
+    scopes = {"all": F.lit(True), "range": F.col("usage_date").between(first, last)}
+    x, out = sketches.finite("cost_usd_increment"), None
+    for scope, days in scopes.items():
+        got = sketches.quantiles(daily.where(days), QUANTILES).first()
+        ranks = typed.where(days).agg(
+            F.count(x).alias("n"),
+            *[F.count_if(x < F.lit(got[f"q{i}"])).alias(f"less{i}") for i in range(len(QUANTILES))],
+            *[F.count_if(x <= F.lit(got[f"q{i}"])).alias(f"upto{i}") for i in range(len(QUANTILES))])
+        err = sketches.RANK_ERROR
+        rows = F.explode(F.array(*[F.struct(
+            F.lit(quantile_name(q)).alias("quantile"),
+            ((F.col(f"less{i}") <= (q + err) * F.col("n")) & (F.col(f"upto{i}") >= (q - err) * F.col("n"))).alias("within_bound"))
+            for i, q in enumerate(QUANTILES)]))
+        one = ranks.select(F.lit(scope).alias("scope"), "n", rows.alias("r")).select(
+            "scope", "r.quantile", F.col("n"), F.lit(got["n"]).cast("long").alias("sketch_n"), "r.within_bound")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def distinct_ids_sketch(spark, sf_dir):
+    """K3/Q10: distinct event ids of all days and of a range of days from one
+    sketch a day, merged, against the exact count."""
+    typed = silver.typed_events(Lake(spark, sf_dir).bronze_events()).select("usage_date", "event_id")
+    path = writers.write_parquet(sketches.sketches(typed, "usage_date", ident="event_id"), run_dir(spark, "id_sketches"))
+    daily = readers.read_parquet(spark, path)
+    first, last = (F.lit(d).cast("date") for d in SKETCH_RANGE)
+    out = None
+    for scope, days in {"all": F.lit(True), "range": F.col("usage_date").between(first, last)}.items():
+        got = sketches.distinct(daily.where(days)).first().distinct_ids or 0
+        one = typed.where(days).agg(F.count_distinct("event_id").alias("distinct_ids")).select(
+            F.lit(scope).alias("scope"), "distinct_ids",
+            (F.abs(F.lit(got) - F.col("distinct_ids")) <= sketches.DISTINCT_ERROR * F.col("distinct_ids")).alias("within_bound"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def cost_spike_flag(spark, sf_dir):
     lab = Lake(spark, sf_dir).labelled(spike=ANOMALY_SPIKE)
@@ -234,6 +287,16 @@ def enrich_left_join(spark, sf_dir):
     return to_ntz(out.select("event_id", "timestamp", "org_id", "org_name", "plan_tier"))
 
 
+@query
+def enrich_skew_join(spark, sf_dir):
+    """J1 on a shuffled join: orgs that hold more than a set share of the events
+    are salted, whatever the size of the org master."""
+    lake = Lake(spark, sf_dir)
+    orgs = lake.orgs().select("org_id", "org_name", "plan_tier")
+    events = lake.bronze_events().select("event_id", "org_id", "service", "cost_usd_increment")
+    return skew_join(events, orgs, "org_id", "left", share=SKEW_SHARE)
+
+
 @query
 def enrich_composite_key(spark, sf_dir):
     lake = Lake(spark, sf_dir)
@@ -264,6 +327,8 @@ def _two_loads(lake: Lake) -> tuple[DataFrame, DataFrame]:
             lake.daily_usage_mart(ev.filter(F.col("timestamp") >= F.lit(LOAD2_START).cast("timestamp"))))
 
 
+# an org with more than this share of the events is salted
+SKEW_SHARE = 0.002
 # buckets of the stand-in mart's keyed table (one per 256 MB of the mart at scale)
 KEYED_BUCKETS = 4
 
@@ -324,14 +389,23 @@ def mart_tokens_by_day(spark, sf_dir):
 # ================================================================= checks
 @query
 def layer_counts(spark, sf_dir):
-    """Rows and distinct ids per layer: one conditional aggregate over
-    the labelled feed, and one over the mart."""
+    """Rows and distinct ids per layer: one aggregate by id over the
+    labelled feed (each id is shuffled once, with its rows on either side), and one
+    over the mart."""
     lake = Lake(spark, sf_dir)
     good = F.col("dq_rule").isNull()
-    layer = F.explode(F.when(good, F.array(F.lit("bronze"), F.lit("silver")))
-                      .otherwise(F.array(F.lit("bronze"), F.lit("quarantine"))))
-    feed = (lake.labelled(spike=None).select(layer.alias("layer"), "event_id").groupBy("layer")
-            .agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("distinct_ids")))
+    ids = lake.labelled(spike=None).groupBy("event_id").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+    known = F.col("event_id").isNotNull()
+    totals = ids.agg(F.sum("good").alias("g"), F.sum("bad").alias("b"), F.count("event_id").alias("ids"),
+                     F.count_if(known & (F.col("good") > 0)).alias("g_ids"),
+                     F.count_if(known & (F.col("bad") > 0)).alias("b_ids"))
+
+    def row(layer, rows, distinct):
+        return F.struct(F.lit(layer).alias("layer"), rows.alias("rows"), distinct.alias("distinct_ids"))
+    none = F.lit(0).cast("long")
+    g, b = F.coalesce("g", none), F.coalesce("b", none)
+    feed = totals.select(F.explode(F.array(row("bronze", g + b, F.col("ids")), row("silver", g, F.col("g_ids")),
+                                           row("quarantine", b, F.col("b_ids")))).alias("r")).select("r.*")
     mart = lake.gold_daily_usage().agg(F.count("*").alias("rows")).select(
         F.lit("gold_usage").alias("layer"), "rows", F.lit(None).cast("long").alias("distinct_ids"))
     return feed.unionByName(mart)
@@ -390,10 +464,9 @@ def gold_reproducibility(spark, sf_dir):
         def totals(df, side):
             return df.agg(F.count("*").alias("rows"),
                           money_sum(mart.control, 2).alias("total")).withColumn("side", F.lit(side))
-        # grouped row by row and signed: what one build has and the other lacks
-        both = a.withColumn("_n", F.lit(1)).unionByName(b.withColumn("_n", F.lit(-1)))
-        differ = (both.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).filter("_n <> 0")
-                  .agg(F.count("*").alias("rows")).withColumn("side", F.lit("differing")))
+        # fingerprints per partition; rows are compared only where those differ
+        differ = (differing_rows(a, b, GOLD_PARTITION.get(name)).agg(F.count("*").alias("rows"))
+                  .withColumn("side", F.lit("differing")))
         sides = (totals(a, "first").unionByName(totals(b, "second"))
                  .unionByName(differ, allowMissingColumns=True))
         one = sides.select(F.lit(name).alias("mart"), "side", "rows", "total")

@@ -93,6 +93,15 @@ SELECT COUNT(cost_usd_increment) AS n, MIN(cost_usd_increment) AS min_cost,
        MAX(cost_usd_increment) AS max_cost, {_qcols}
 FROM typed WHERE isfinite(cost_usd_increment)""")
 
+_SCOPES = {"all": "TRUE", "range": f"usage_date BETWEEN {_d(C.SKETCH_RANGE[0])} AND {_d(C.SKETCH_RANGE[1])}"}
+sql("cost_quantiles_sketch", with_(BRONZE, typed(True)) + "\nUNION ALL\n".join(
+    f"SELECT '{scope}' AS scope, '{C.quantile_name(q)}' AS quantile, COUNT(*) AS n, COUNT(*) AS sketch_n, "
+    f"TRUE AS within_bound FROM typed WHERE isfinite(cost_usd_increment) AND {days}"
+    for scope, days in _SCOPES.items() for q in C.QUANTILES))
+sql("distinct_ids_sketch", with_(BRONZE, typed(True)) + "\nUNION ALL\n".join(
+    f"SELECT '{scope}' AS scope, COUNT(DISTINCT event_id) AS distinct_ids, TRUE AS within_bound "
+    f"FROM typed WHERE {days}" for scope, days in _SCOPES.items()))
+
 sql("cost_spike_flag", with_(BRONZE, labelled(*C.ANOMALY_SPIKE)) +
     "SELECT event_id, cost_usd_increment, dq_rule, cost_spike_flag FROM labelled")
 
@@ -130,6 +139,10 @@ sql("enrich_left_join", with_(ORGS, BRONZE, labelled(None)) + """
 SELECT l.event_id, l."timestamp", l.org_id, o.org_name, o.plan_tier
 FROM labelled l LEFT JOIN orgs o ON l.org_id = o.org_id WHERE l.dq_rule IS NULL""")
 
+sql("enrich_skew_join", with_(ORGS, BRONZE) + """
+SELECT b.event_id, b.org_id, b.service, b.cost_usd_increment, o.org_name, o.plan_tier
+FROM bronze b LEFT JOIN orgs o ON b.org_id = o.org_id""")
+
 sql("enrich_composite_key", with_(BRONZE) + """, reg AS (
   SELECT event_type AS resource_id, user_id AS org_id FROM events WHERE value > 100
   GROUP BY event_type, user_id)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import quality
 from ..operators.dedupe import dedupe_by_key
 from ..operators.enrich import check_unique
 from ..sources import files, readers, standins, writers
@@ -100,6 +99,20 @@ def build_gold(spark: SparkSession, layers: Layers, spike=REFERENCE_SPIKE,
     return {mart.name: mart for mart, *_ in sources}
 
 
+def split_once(labelled: DataFrame, path: str, label_col: str = "dq_rule") -> list[tuple[str, DataFrame]]:
+    """(clean, quarantine) as (folder, rows): the labelled rows are written once,
+    a folder per side, and each side is read from its own."""
+    spark = labelled.sparkSession
+    side = F.when(F.col(label_col).isNull(), "clean").otherwise("quarantine")
+    labelled.withColumn("side", side).write.partitionBy("side").parquet(path)
+    out = []
+    for name in ("clean", "quarantine"):
+        folder = f"{path}/side={name}"
+        there = files.exists(spark, folder)
+        out.append((folder if there else path, readers.read_parquet_files(spark, [folder] if there else [], labelled.schema)))
+    return out
+
+
 def build_layers(spark: SparkSession, lake: Lake, root: str, spike=REFERENCE_SPIKE) -> Layers:
     """Full batch rebuild of every layer into ``root`` (a fresh run folder)."""
     L = Layers(root)
@@ -115,8 +128,9 @@ def build_layers(spark: SparkSession, lake: Lake, root: str, spike=REFERENCE_SPI
     # silver: rules (threshold fitted on the written bronze), split, enrichment
     orgs, resources = L.read(spark, "bronze/customers_orgs"), L.read(spark, "bronze/resources")
     labelled = silver.labelled_events(feed, spike_q=spike[0], spike_multiplier=spike[1])
-    clean, quarantine = quality.split(labelled)
-    L.write("silver/quarantine", quarantine)
+    clean, quarantine = split_once(labelled, f"{root}/silver/labelled")
+    L.add("silver/quarantine", quarantine[0], quarantine[1].schema)
+    clean = clean[1]
     L.write("silver/usage_events_clean",
             silver.silver_usage(clean, orgs, resources,
                                 orgs_bytes=L.bytes(spark, "bronze/customers_orgs"),
