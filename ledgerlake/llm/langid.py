@@ -40,14 +40,22 @@ from ledgerlake.llm.common import worker_cache
 #: Training documents; words of each, at most, in this many runs.
 SAMPLE_DOCS, SAMPLE_WORDS, RUNS = 4000, 120, 4
 #: Words in a chain; words in a block that is labelled at once; words a worker remembers.
-CHAIN, BLOCK, CACHE_WORDS = 1024, 200_000, 400_000
+CHAIN, BLOCK, CACHE_WORDS = 512, 200_000, 400_000
 BITS = 17
 MASK = (1 << BITS) - 1
 
 #: Numerals that are no decimal digits (fractions, Roman numerals, circled digits).
-_NUMERALS = "".join(c for c in map(chr, range(0x110000))
-                    if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+_NUMERALS = frozenset(c for c in map(chr, range(0x110000))
+                      if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(r"[^\W\d_]+")
+
+
+def letters(text: str | None) -> list[str]:
+    """Runs of letters, lower-cased."""
+    text = (text or "").lower()
+    if not text.isascii() and not _NUMERALS.isdisjoint(text):
+        text = "".join(" " if c in _NUMERALS else c for c in text)
+    return _WORD.findall(text)
 
 
 def features(word: str) -> list[int]:
@@ -114,25 +122,37 @@ def forward_backward(e: np.ndarray, mask: np.ndarray, t: np.ndarray, before: np.
     return m / m.sum(axis=2, keepdims=True), pairs
 
 
-def messages(chains: list[np.ndarray], t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(before, after) of the consecutive chains of one text, given their
-    emission scores: each chain's transfer matrix carries what the others say."""
+def padded(chains: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Emission scores of chains as one array, and which of its steps are words."""
+    size = np.fromiter(map(len, chains), np.int64, len(chains))
+    mask = np.arange(size.max())[None] < size[:, None]
+    e = np.zeros((*mask.shape, chains[0].shape[1]))
+    e[mask] = np.concatenate(chains)
+    return e, mask
+
+
+def messages(texts: list[list[np.ndarray]], t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(before, after) of the consecutive chains of texts, given their emission
+    scores: each chain's transfer matrix carries what its text's others say."""
     a, k = np.exp(t - t.max()), len(t)
-    n, steps = len(chains), len(chains[0])                 # the last one may be shorter
-    through = np.broadcast_to(np.eye(k), (n, k, k)).copy()
-    for s in range(steps):
-        on = n if s < len(chains[-1]) else n - 1
-        e = np.array([c[s] for c in chains[:on]])
-        x = np.exp(e - e.max(axis=1, keepdims=True))
-        step = through[:on] * x[:, None, :] if s == 0 else (through[:on] @ a) * x[:, None, :]
-        through[:on] = step / step.sum(axis=(1, 2), keepdims=True)
-    before, after = np.ones((n, k)), np.full((n, k), 1.0 / k)
-    for i in range(1, n):                                  # words of chain i - 1, then a transition
-        out = before[i - 1] @ through[i - 1] @ a
-        before[i] = out / out.sum()
-    for i in range(n - 2, -1, -1):
-        out = a @ (through[i + 1] @ after[i + 1])
-        after[i] = out / out.sum()
+    e, mask = padded([c for own in texts for c in own])
+    x = np.exp(e - e.max(axis=2, keepdims=True))
+    n = len(x)
+    through = np.eye(k)[None] * x[:, 0, None, :]
+    for s in range(1, x.shape[1]):
+        step = (through.reshape(-1, k) @ a).reshape(n, k, k) * x[:, s, None, :]
+        step /= step.sum(axis=(1, 2), keepdims=True)
+        through = np.where(mask[:, s, None, None], step, through)
+    before, after, at = np.ones((n, k)), np.full((n, k), 1.0 / k), 0
+    for own in texts:
+        end = at + len(own)
+        for i in range(at + 1, end):                       # words of chain i - 1, then a transition
+            out = before[i - 1] @ through[i - 1] @ a
+            before[i] = out / out.sum()
+        for i in range(end - 2, at - 1, -1):
+            out = a @ (through[i + 1] @ after[i + 1])
+            after[i] = out / out.sum()
+        at = end
     return before, after
 
 
@@ -199,7 +219,7 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang, found = [], []
         for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = runs(_WORD.findall((t or "").lower()))
+            own = runs(letters(t))
             lang += [y] * len(own)
             found += own
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(found, pa.list_(pa.string()))],
@@ -255,22 +275,17 @@ def label(texts: list[str | None], emissions: _Emissions) -> np.ndarray:
     def flush():
         """Labels the texts gathered: chains of like length together."""
         table = emissions.scores()
-        chains, text, before, after = [], [], [], []
-        for i, w in zip(of, ids):
-            own = [table[w[s:s + CHAIN]] for s in range(0, len(w), CHAIN)]
-            b, a = messages(own, emissions.model.t) if len(own) > 1 else (np.ones((1, k)), np.full((1, k), 1 / k))
-            chains += own
-            text += [i] * len(own)
-            before.append(b)
-            after.append(a)
-        before, after, text = np.concatenate(before), np.concatenate(after), np.array(text)
-        size = np.fromiter(map(len, chains), np.int64, len(chains))
-        for kind in np.unique(np.ceil(np.log2(size))):
-            own = np.flatnonzero(np.ceil(np.log2(size)) == kind)
-            e = np.zeros((len(own), size[own].max(), k))
-            mask = np.arange(e.shape[1])[None] < size[own, None]
-            for i, c in zip(range(len(own)), own.tolist()):
-                e[i, :size[c]] = chains[c]
+        cut = [[table[w[s:s + CHAIN]] for s in range(0, len(w), CHAIN)] for w in ids]
+        parts = np.fromiter(map(len, cut), np.int64, len(cut))
+        text, several = np.repeat(of, parts), np.repeat(parts > 1, parts)
+        chains = [c for own in cut for c in own]
+        before, after = np.ones((len(chains), k)), np.full((len(chains), k), 1.0 / k)
+        if several.any():
+            before[several], after[several] = messages([own for own in cut if len(own) > 1], emissions.model.t)
+        kind = np.ceil(np.log2(np.fromiter(map(len, chains), np.int64, len(chains))))
+        for x in np.unique(kind):
+            own = np.flatnonzero(kind == x)
+            e, mask = padded([chains[i] for i in own.tolist()])
             m, _ = forward_backward(e, mask, emissions.model.t, before[own], after[own], count=False)
             np.add.at(out, text[own], (m * mask[:, :, None]).sum(axis=1))
         ids.clear()
@@ -282,7 +297,7 @@ def label(texts: list[str | None], emissions: _Emissions) -> np.ndarray:
                 flush()
             emissions.forget()
             rest = 0
-        words = np.fromiter(map(emissions.__getitem__, _WORD.findall((text or "").lower())), np.int64)
+        words = np.fromiter(map(emissions.__getitem__, letters(text)), np.int64)
         if len(words):
             ids.append(words)
             of.append(i)
