@@ -5,8 +5,8 @@ watermark passes its event time, so state stays bounded by the watermark
 delay; plain ``dropDuplicates`` on the id (event time not in the key) keeps
 every id forever and is selectable with ``bounded_state=False``.  Rows without
 an id are not duplicates of each other and rows without a time are behind no
-watermark: both bypass the dedupe and go to bronze as they are, where the
-quality rules quarantine them.
+watermark: both pass the dedupe as they are, to where the quality rules
+quarantine them.
 
 Rows older than the watermark are dropped by the dedupe operator.  A run counts
 them from all its progress reports (a listener: the query object keeps only the
@@ -30,8 +30,6 @@ from ..sources import files, readers
 
 WATERMARK = "2 days"
 FILES_PER_TRIGGER = 10
-# times the stream reads each file: once for either side of the union
-SCANS = 2
 # seconds to wait for the reports of a query that has ended
 REPORT_TIMEOUT = 60
 
@@ -86,12 +84,22 @@ class _Totals(StreamingQueryListener):
 
 def dedupe_stream(events: DataFrame, *, key: str = "event_id", event_time: str = "timestamp",
                   watermark: str = WATERMARK, bounded_state: bool = True) -> DataFrame:
-    src = events.withWatermark(event_time, watermark)
+    """Events without the copies of an id that come within the watermark.
+
+    One branch, so every file is read once.  A row without id or time gets a key
+    of its own and no time for the watermark: it is a duplicate of nothing, late
+    for nothing and moves the watermark nowhere, and its state expires with the
+    next batch.  With unbounded state nothing expires, so there such rows pass
+    beside the dedupe, by a second read.
+    """
     whole = F.col(key).isNotNull() & F.col(event_time).isNotNull()
-    keyed = src.filter(whole)
-    deduped = (keyed.dropDuplicatesWithinWatermark([key]) if bounded_state
-               else keyed.dropDuplicates([key]))
-    return deduped.unionByName(src.filter(~whole))
+    if not bounded_state:
+        src = events.withWatermark(event_time, watermark)
+        return src.filter(whole).dropDuplicates([key]).unionByName(src.filter(~whole))
+    src = events.withColumns({
+        "_key": F.when(whole, F.concat(F.lit("k"), F.col(key).cast("string"))).otherwise(F.expr("uuid()")),
+        "_time": F.when(whole, F.col(event_time))}).withWatermark("_time", watermark)
+    return src.dropDuplicatesWithinWatermark(["_key"]).select(*events.columns)
 
 
 def start_with_state_partitions(spark: SparkSession, writer, state_partitions: int):
@@ -140,7 +148,7 @@ def run_bronze_stream(spark: SparkSession, landing: str, schema, output: str, ch
             raise RuntimeError("the stream ended, its reports did not arrive")
     finally:
         own.streams.removeListener(totals)
-    return StreamRun(output, checkpoint, totals.batches, totals.rows // SCANS, totals.late)
+    return StreamRun(output, checkpoint, totals.batches, totals.rows // (1 if bounded_state else 2), totals.late)
 
 
 def read_bronze(spark: SparkSession, bronze: str, late: str, schema) -> DataFrame:

@@ -40,6 +40,27 @@ def test_watermark_bounds_dedupe_state(spark):
     assert bounded < ids / 3           # only ids within the watermark delay
 
 
+def test_stream_reads_each_file_once(spark):
+    """One scan in the stream's plan; rows without id or time stay, copies too,
+    and leave no state behind."""
+    feed = Lake(spark, SF_SMALL).bronze_events().schema
+    landing, out, ckpt = run_dir(spark, "t_land"), run_dir(spark, "t_bronze"), run_dir(spark, "t_ckpt")
+    first = ['{"event_id":1,"timestamp":"2024-03-01T00:00:00.000000Z"}'] * 2 + \
+        ['{"timestamp":"2024-03-01T00:00:00.000000Z"}'] * 3 + ['{"event_id":2}'] * 2 + ["{}"]
+    late = ['{"timestamp":"2024-01-01T00:00:00.000000Z"}', '{"event_id":3,"timestamp":"2024-01-01T00:00:00.000000Z"}']
+    for lines in (first, ['{"event_id":4,"timestamp":"2024-03-09T00:00:00.000000Z"}'], late,
+                  ['{"event_id":5,"timestamp":"2024-03-10T00:00:00.000000Z"}']):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(landing)
+    run = sbronze.run_bronze_stream(spark, landing, feed, out, ckpt, state_partitions=2, files_per_trigger=1)
+    rows = readers.read_parquet(spark, out, feed).collect()
+    assert sorted((r.event_id is None, r.event_id or 0, r.timestamp is None) for r in rows) == [
+        (False, 1, False), (False, 2, True), (False, 2, True), (False, 4, False), (False, 5, False),
+        (True, 0, False), (True, 0, False), (True, 0, False), (True, 0, False), (True, 0, True)]
+    assert (run.rows_read, run.rows_dropped_late, run.batches) == (12, 1, 4)
+    left = spark.read.format("statestore").load(ckpt)
+    assert {r.key["_key"] for r in left.select("key").collect()} <= {"k4", "k5"}
+
+
 def test_every_row_lands_and_every_batch_is_counted(spark):
     """More batches than the query object remembers; rows before the first day
     and rows without a time; late rows counted and brought back."""
