@@ -12,9 +12,10 @@ for consumers that want one text.
 
 Defined results: NULL conv_id is a dialogue of its own; NULL role is the
 speaker ``unknown``; NULL text is the empty text; turns with equal or NULL
-``turn`` numbers are all kept, ordered by (turn, role, text) with NULL first;
-a dialogue with system turns only has no participant and no row; other columns
-are not read.
+``turn`` numbers are all kept, ordered by (turn, role, text) with NULL first, so
+ties and repeated rows are told by their text or alike; texts of any length are
+rendered whole; a dialogue with system turns only has no participant and no row;
+an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

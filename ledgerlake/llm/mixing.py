@@ -23,7 +23,7 @@ document.  So a source with a third of all rows is never in one task.
 Defined results: a NULL source is a source of its own (last in order); NULL
 text has size 0 and is taken 0 times; equal rows get equal shares of a tie by
 id; an empty table gives an empty mix; documents whose sizes are all 0 get
-target 0.
+target 0; texts of any length are sized whole; other columns are not read.
 """
 
 from __future__ import annotations

@@ -24,8 +24,10 @@ decide have 128 bits.
 
 Defined results: NULL or empty text and texts under ``length`` words lose
 nothing (the hash of no words is that of the empty string); repeated rows are
-duplicates of each other; rows with NULL ids are parsed as the others; an empty
-table gives an empty result; other columns are not read.
+duplicates of each other; rows with NULL ids are parsed as the others; texts of
+any length are parsed whole, by one task each; of equal passages none is spared,
+so there are no ties; an empty table gives an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations

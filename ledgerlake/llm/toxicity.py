@@ -16,7 +16,9 @@ Defined results: NULL and empty texts have no terms and get the score of the
 intercept; repeated rows are scored one by one; an id with several labels
 gives one training row each; NULL labels are not used; without labels of
 both kinds all weights are 0 and every score is the share of label 1 (0.5
-without any); other columns are not read.
+without any); texts of any length are scored whole; equal scores need no order,
+as nothing is ranked; an empty table gives an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations
