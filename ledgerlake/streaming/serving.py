@@ -136,13 +136,16 @@ def rebucket(table: SnapshotTable, spec: ServingSpec, period, buckets: int) -> V
 
 
 def compact(table: SnapshotTable, spec: ServingSpec) -> list:
-    """Re-buckets the periods whose bucket count is not the one that their bytes
-    ask for, one commit each; returns them.  Sizes come from the manifest."""
+    """Re-buckets the periods whose buckets are more than twice the set size, or so
+    small that twice their bytes would do with fewer, one commit each; returns them.
+
+    Sizes come from the manifest.  (Bytes change a little with the number of files:
+    the margin keeps a period from being dealt anew again and again.)"""
     groups = [PERIOD] if spec.time_col else []
     sizes = (table.manifest(table.head()).groupBy(*groups)
              .agg(F.sum("bytes").alias("size"), F.max(BUCKET_COUNT).alias("n")).collect())
-    wrong = [(r[PERIOD] if groups else None, buckets_for(r["size"])) for r in sizes
-             if r["n"] is not None and r["n"] != buckets_for(r["size"])]
+    wrong = [(r[PERIOD] if groups else None, buckets_for(r["size"])) for r in sizes if r["n"] is not None
+             and (buckets_for(r["size"]) > 2 * r["n"] or buckets_for(2 * r["size"]) < r["n"])]
     for period, n in wrong:
         rebucket(table, spec, period, n)
     return [p for p, _ in wrong]

@@ -12,7 +12,7 @@ from ledgerlake.streaming import bronze as sbronze
 from ledgerlake.streaming import serving as sserving
 from ledgerlake.streaming.landing import file_number, land_files
 
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 
 SPEC = serving.SERVING["daily_usage"]
 
@@ -339,7 +339,7 @@ def test_questions_open_only_folders_that_may_answer(spark):
 
 def test_periods_take_buckets_by_their_own_bytes(spark, monkeypatch):
     """One large period among small ones; re-bucketing keeps every answer."""
-    mart = _mart(spark)
+    mart = gold.build(Lake(spark, SF_MID).usage_features(None), gold.DAILY_USAGE)
     small = [mart.limit(3).withColumn("usage_date", F.add_months(F.lit("2030-01-01").cast("date"), k)) for k in range(12)]
     rows = mart
     for s in small:
@@ -347,7 +347,7 @@ def test_periods_take_buckets_by_their_own_bytes(spark, monkeypatch):
     t = Table(spark, mart.schema)
     t.merge(rows.dropDuplicates(list(SPEC.primary_key)), 0, buckets=4)
     sizes = [r.bytes for r in t.folders().values()]
-    monkeypatch.setattr(serving, "BUCKET_BYTES", max(sizes) // 2)
+    monkeypatch.setattr(serving, "BUCKET_BYTES", max(sizes) // 3)
     want = t.rows()
     first = t.table.head()
     changed = sserving.compact(t.table, SPEC)
