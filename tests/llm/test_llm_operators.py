@@ -103,6 +103,35 @@ def test_substring_dedup_repeated_ids_and_null_ids(spark):
     assert got == {(1, 50, 50): 3, (None, 51, 50): 1, (None, 0, 0): 1}
 
 
+def test_substring_dedup_factors_match_their_reference(spark):
+    p, q, tail = _text(80), _text(50), _text(40)
+    rows = [(1, p), (2, f"{_text(20)} {p} {_text(20)}"), (3, f"{q} {tail}"), (4, f"{p} {q} {_text(9)}"), (5, _text(60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    at = {r.k: r.doc_id for r in df.select("doc_id", F.xxhash64("doc_id", "text").alias("k")).collect()}
+    words = {i: t.split() for i, t in rows}
+    found = {r.doc_id: r.factors for r in substring_dedup.dedup(df).collect()}
+    for i, factors in found.items():
+        for f in factors:                                  # words at the address are those of the factor
+            k = max((k for k in at if k <= f.reference), default=None)
+            own, first = words[at[k]], f.reference - k
+            assert (at[k], first) != (i, f.start)
+            assert own[first:first + f.length] == words[i][f.start:f.start + f.length]
+    covered = {i: sorted(w for f in factors for w in range(f.start, f.start + f.length))
+               for i, factors in found.items()}             # each word once: factors don't overlap
+    assert covered == {1: list(range(80)), 2: list(range(20, 100)), 3: list(range(50)),
+                       4: list(range(130)), 5: []}
+    assert [(f.start, f.length) for f in found[3]] == [(0, 50)]
+
+
+def test_substring_dedup_heavy_anchors(spark):
+    """A phrase that a third of all rows hold in other surroundings, and copies."""
+    p = _text(40)
+    rows = [(i, f"{_text(30 + i % 7)} {p} {_text(30)}") for i in range(150)] + [(i, p) for i in range(150, 300)]
+    rows += [(i, _text(80)) for i in range(300, 450)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    assert _dedup(df) == sorted(brute.substring_dedup(rows))
+
+
 def test_substring_dedup_empty(none):
     assert _dedup(none) == []
 
