@@ -766,6 +766,11 @@ class UsageMarts:
             sserving.merge_batch(table, fresh, seq, "loads", serving.SERVING[name])
         return touched
 
+    def compact(self) -> None:
+        """Merges the loads of each mart's partial aggregates."""
+        for name, store in self.stores.items():
+            store.compact(self.silver[name])
+
     def absorb_late(self, late: str, schema) -> list[str]:
         """Loads every backfill run that the marts do not have yet (the log of the
         table that is refreshed last tells)."""
@@ -778,6 +783,23 @@ class UsageMarts:
         return runs
 
 
+@query
+def mart_partials_compacted(spark, sf_dir):
+    """The revenue mart from partial aggregates of four loads, the first
+    three merged by a compaction before the last one comes."""
+    lake = Lake(spark, sf_dir)
+    clean, _ = quality.split(silver.labelled_billing(lake.billing()))
+    path = run_dir(spark, "clean_billing")
+    writers.write_parquet(silver.revenue_amounts(clean), path)
+    rows = readers.read_parquet(spark, path, silver.revenue_amounts(clean).schema)
+    store = partials.PartialStore(spark, run_dir(spark, "revenue_partials"), gold.REVENUE_MONTH, "month")
+    for k in range(4):
+        store.add(rows.where(F.pmod(F.xxhash64("invoice_id"), F.lit(4)) == k), f"load-{k}")
+        if k == 2:
+            store.compact(rows.schema)
+    return gold.with_org_attrs(store.build(rows.schema), lake.orgs(), store.mart)
+
+
 @query
 def late_rows_to_marts(spark, sf_dir):
     """The marts of the stream's bronze, then of the rows that the

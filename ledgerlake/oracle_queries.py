@@ -201,6 +201,7 @@ SELECT * FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL""")
 sql("mart_daily_usage", USAGE_MART + "SELECT * FROM gold_usage")
 sql("mart_daily_usage_v1", with_(silver_v1(), GOLD_USAGE_V1) + "SELECT * FROM gold_v1")
 sql("mart_revenue_month", with_(GOLD_REVENUE) + "SELECT * FROM gold_revenue")
+sql("mart_partials_compacted", ORACLE["mart_revenue_month"])
 sql("mart_cost_anomaly", with_(silver(*C.ANOMALY_SPIKE), gold_anomaly(*C.ANOMALY_SPIKE)) +
     "SELECT * FROM gold_anomaly")
 sql("mart_tickets_day", with_(GOLD_TICKETS) + "SELECT * FROM gold_tickets")

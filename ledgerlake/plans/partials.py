@@ -8,12 +8,16 @@ aggregate over themselves, and only the periods they belong to are read again.
 
 ``<path>/load=<name>/period=<month>/*.parquet``; a load is complete when its
 ``_SUCCESS`` is there, is written once, and overwritten if it stopped before.
-Sums are exact decimals, so the order and number of loads do not matter: merged
+:meth:`PartialStore.compact` merges the loads there are into one folder, so a
+mart read stays one partial row per key however many backfills have run.  Sums
+are exact decimals, so the order and number of loads do not matter: merged
 partials equal a rebuild from all rows.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,6 +30,8 @@ from .gold import Mart, Measure
 from .serving import period_of
 
 PERIOD, LOAD = "period", "load"
+#: Folders of merged loads begin with this; no load's name may.
+MERGED = "merged-"
 
 
 def _fields(name: str, m: Measure) -> dict[str, tuple[Column, str]]:
@@ -102,17 +108,60 @@ class PartialStore:
     grain: str = "month"
 
     def loads(self) -> list[str]:
-        """Complete loads."""
-        return sorted(n.split("=", 1)[1] for n in files.names(self.spark, self.path) if n.startswith(f"{LOAD}=")
+        """Complete loads, whether merged since or not."""
+        return sorted(n.split("=", 1)[1] for n in files.names(self.spark, self.path)
+                      if n.startswith(f"{LOAD}=") and not n.startswith(f"{LOAD}={MERGED}")
                       and files.exists(self.spark, f"{self.path}/{n}/_SUCCESS"))
 
     def add(self, silver: DataFrame, load: str) -> None:
         """Aggregates a load and writes it; a load that is there is left as it is."""
+        if load.startswith(MERGED):
+            raise ValueError(f"a load's name may not begin with {MERGED!r}")
         if load in self.loads():
             return
-        parts = partials(silver, self.mart).withColumn(PERIOD, period_of(self.time_col, self.grain))
-        (parts.hint("rebalance", PERIOD).write.mode("overwrite").partitionBy(PERIOD)
-         .parquet(f"{self.path}/{LOAD}={load}"))
+        self._write(partials(silver, self.mart), load)
+
+    def _write(self, parts: DataFrame, folder: str) -> None:
+        (parts.withColumn(PERIOD, period_of(self.time_col, self.grain)).hint("rebalance", PERIOD)
+         .write.mode("overwrite").partitionBy(PERIOD).parquet(f"{self.path}/{LOAD}={folder}"))
+
+    def _last_merge(self) -> tuple[int, dict]:
+        """Number of the last compaction, its folder and the loads merged in it."""
+        done = [int(n) for n in files.names(self.spark, f"{self.path}/merges") if n.isdigit()]
+        if not done:
+            return 0, {"folder": None, "loads": []}
+        return max(done), json.loads(files.read_text(self.spark, f"{self.path}/merges/{max(done):08d}"))
+
+    def folders(self) -> list[str]:
+        """What holds every load once: the last merge and the loads since."""
+        _, last = self._last_merge()
+        since = sorted(set(self.loads()) - set(last["loads"]))
+        return [last["folder"], *since] if last["folder"] else since
+
+    def compact(self, silver_schema: StructType) -> str | None:
+        """Merges all loads into one folder; returns it (None if there is nothing
+        to merge, or another compaction was first).
+
+        The folder counts as soon as a file that names it and its loads is there,
+        created once and whole: a reader sees the loads apart or merged, never
+        both, and a compaction that stops leaves the loads as they were.  Loads
+        added meanwhile are not in it and stay beside it.  Old folders stay, so a
+        reader that listed them goes on.
+        """
+        number, last = self._last_merge()
+        loads = sorted({*self.loads(), *last["loads"]})
+        since = [n for n in loads if n not in set(last["loads"])]
+        folders = [last["folder"], *since] if last["folder"] else since
+        if len(folders) < 2:
+            return None
+        folder = f"{MERGED}{number + 1:08d}-{uuid.uuid4().hex[:8]}"
+        self._write(merged(self.read(self._schema(silver_schema), None, folders), self.mart), folder)
+        won = files.create_once(self.spark, f"{self.path}/merges/{number + 1:08d}",
+                                json.dumps({"folder": folder, "loads": loads}))
+        return folder if won else None
+
+    def _schema(self, silver_schema: StructType) -> StructType:
+        return partials(self.spark.createDataFrame([], silver_schema), self.mart).schema
 
     def periods(self, load: str) -> list:
         """Periods that a load touches: its folders."""
@@ -120,10 +169,10 @@ class PartialStore:
                  if n.startswith(f"{PERIOD}=")]
         return sorted((None if n == "__HIVE_DEFAULT_PARTITION__" else n for n in found), key=str)
 
-    def read(self, schema: StructType, periods: list | None = None) -> DataFrame:
+    def read(self, schema: StructType, periods: list | None = None, folders: list[str] | None = None) -> DataFrame:
         """Partial rows of all complete loads; those of some periods only."""
         fields = StructType([*schema.fields, StructField(LOAD, StringType()), StructField(PERIOD, DateType())])
-        paths = [f"{self.path}/{LOAD}={n}" for n in self.loads()]
+        paths = [f"{self.path}/{LOAD}={n}" for n in (self.folders() if folders is None else folders)]
         if not paths:
             return self.spark.createDataFrame([], fields)
         df = self.spark.read.schema(fields).option("basePath", self.path).parquet(*paths)
@@ -134,6 +183,4 @@ class PartialStore:
 
     def build(self, silver_schema: StructType, periods: list | None = None) -> DataFrame:
         """The mart of all loads, or its rows of some periods."""
-        empty = self.spark.createDataFrame([], silver_schema)
-        schema = partials(empty, self.mart).schema
-        return finished(merged(self.read(schema, periods), self.mart), self.mart)
+        return finished(merged(self.read(self._schema(silver_schema), periods), self.mart), self.mart)

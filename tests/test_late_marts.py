@@ -42,6 +42,75 @@ def test_merged_partials_equal_one_build(spark, mart):
     assert got.columns == want.columns and _rows(got) == _rows(want) and want.count() > 0
 
 
+@pytest.mark.parametrize("mart", [gold.DAILY_USAGE, gold.REVENUE_MONTH, gold.TICKETS_DAY, gold.cost_anomaly(0.5, 1.5)],
+                         ids=lambda m: m.name)
+def test_compacted_partials_equal_one_build(spark, mart):
+    """Loads merged, loads added afterwards, merged again: one row per key in
+    the folder read, the same mart at every step."""
+    rows, day = _silver_of(Lake(spark, SF_SMALL), mart)
+    store = partials.PartialStore(spark, run_dir(spark, "t_partials"), mart, day, "month")
+    assert store.compact(rows.schema) is None
+    part = F.pmod(F.hash(*[c for c, t in rows.dtypes if t in ("bigint", "string")]), F.lit(3))
+    store.add(rows.where(part == 0), "b")
+    assert store.compact(rows.schema) is None              # one folder is merged already
+    store.add(rows.where(part == 1), "c")
+    first = store.compact(rows.schema)
+    assert store.folders() == [first] and store.loads() == ["b", "c"]
+    store.add(rows.where(part == 1), "c")                  # merged, but still there
+    store.add(rows.where(part == 2), "a")
+    want = _rows(gold.build(rows, mart))
+    assert store.folders() == [first, "a"] and _rows(store.build(rows.schema)) == want
+    second = store.compact(rows.schema)
+    assert store.folders() == [second] and _rows(store.build(rows.schema)) == want and want
+    assert store.read(store._schema(rows.schema)).count() == len(want)
+    with pytest.raises(ValueError, match="may not begin"):
+        store.add(rows, first)
+
+
+def test_compaction_that_stops_or_comes_second_changes_nothing(spark, monkeypatch):
+    mart = gold.TICKETS_DAY
+    rows, day = _silver_of(Lake(spark, SF_SMALL), mart)
+    store = partials.PartialStore(spark, run_dir(spark, "t_partials"), mart, day, "month")
+    part = F.pmod(F.hash("ticket_date", "severity"), F.lit(2))
+    for k in (0, 1):
+        store.add(rows.where(part == k), f"l{k}")
+    want, listed = _rows(gold.build(rows, mart)), store.folders()
+    reader = store.build(rows.schema)                      # planned before
+    with monkeypatch.context() as m:
+        m.setattr(partials.files, "create_once", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            store.compact(rows.schema)
+    assert store.folders() == listed and store.loads() == ["l0", "l1"]
+    assert _rows(store.build(rows.schema)) == want
+    real = store._write
+
+    def beaten(parts, folder):                             # another compaction commits while this one writes
+        monkeypatch.setattr(store, "_write", real)
+        assert store.compact(rows.schema) is not None
+        real(parts, folder)
+    monkeypatch.setattr(store, "_write", beaten)
+    assert store.compact(rows.schema) is None
+    assert len(store.folders()) == 1 and _rows(store.build(rows.schema)) == want
+    assert _rows(reader) == want
+
+
+def test_compacted_marts_take_late_loads(spark):
+    """The serving tables go on from merged partials."""
+    lake = Lake(spark, SF_SMALL)
+    events = lake.bronze_events()
+    marts = UsageMarts(spark, lake, run_dir(spark, "t_marts"))
+    old = F.pmod(F.hash("event_id"), F.lit(3))
+    marts.load(events.where(old == 0), "0")
+    marts.load(events.where(old == 1), "1")
+    marts.compact()
+    marts.load(events.where((old == 2) | old.isNull()), "2")
+    for n, rows in UsageMarts._silver(events).items():
+        mart = marts.stores[n].mart
+        assert len(marts.stores[n].folders()) == 2
+        want = serving.null_policy(gold.with_org_attrs(gold.build(rows, mart), lake.orgs(), mart), serving.SERVING[n])
+        assert _rows(marts.table(n).read().select(*want.columns)) == _rows(want)
+
+
 def _event(i, day, cost, org=11, metric="requests", value="2"):
     return (i, f"2024-{day}T01:00:00.000000Z", org, "s1", metric, value, "u", cost)
 
