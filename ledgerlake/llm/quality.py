@@ -55,9 +55,11 @@ def _repeat_words(w: str, g: str) -> str:
 
     Most texts have no such window, which counting distinct hashes tells.
     Otherwise each hash gets its position in place of its low bits, and the
-    sorted numbers put equal windows side by side (whole hashes decide); the
-    positions found are counted as a union of intervals: in order, each window
-    adds the words that its predecessor does not cover.
+    sorted numbers put equal windows side by side; whole hashes are compared, so
+    no window counts that is not found again.  One would be missed only if another
+    window with the same upper bits (48, fewer beyond 65,535 words) stood between
+    two equal ones.  The positions found are counted as a union of intervals: in
+    order, each window adds the words that its predecessor does not cover.
     """
     mask = f"(shiftleft(1L, greatest(16, int(ceil(log2(size({w}) + 1))))) - 1)"
     at = f"int(s[{{j}}] & {mask})"
