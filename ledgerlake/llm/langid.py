@@ -167,31 +167,39 @@ def fit(docs: list[tuple[list[str], str]], steps: int = 60, rate: float = 0.1,
     vocabulary: dict[str, int] = {}
     seqs = [[vocabulary.setdefault(w, len(vocabulary)) for w in ws] for ws, _ in docs]
     y = np.array([langs.index(lang) for _, lang in docs])
-    width = max(map(len, seqs))
-    ids, mask = np.zeros((len(docs), width), np.int64), np.zeros((len(docs), width), bool)
-    for i, s in enumerate(seqs):
-        ids[i, :len(s)], mask[i, :len(s)] = s, True
+    size = np.fromiter(map(len, seqs), np.int64, len(seqs))
     feats = [features(w) for w in vocabulary]
     sizes = np.array([len(f) for f in feats])
     flat, scale = np.concatenate(feats), 1 / np.sqrt(sizes)
     of = np.repeat(np.arange(len(feats)), sizes)
     used, local = np.unique(flat, return_inverse=True)
     weigh = (len(docs) / k / np.bincount(y, minlength=k))[y]
-    weigh = weigh / (weigh[:, None] * mask).sum()
+    weigh = weigh / (weigh * size).sum()
     p, t = np.zeros((len(used), k)), np.zeros((k, k))
     state = [np.zeros_like(p), np.zeros_like(p), np.zeros_like(t), np.zeros_like(t)]
     target = np.eye(k)[y]
     seen = np.zeros((k, k))
-    np.add.at(seen, (y, y), np.maximum(mask.sum(axis=1) - 1, 0))
+    np.add.at(seen, (y, y), np.maximum(size - 1, 0))
+    groups, kind = [], np.ceil(np.log2(np.maximum(size, 1)))   # chains of like length are padded together
+    for x in np.unique(kind):
+        own = np.flatnonzero(kind == x)
+        mask = np.arange(max(1, size[own].max()))[None] < size[own][:, None]
+        ids = np.zeros(mask.shape, np.int64)
+        ids[mask] = np.concatenate([seqs[i] for i in own.tolist()])
+        groups.append((ids, mask, target[own][:, None], weigh[own][:, None] * mask))
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     for step in range(1, steps + 1):
         emission = np.add.reduceat(p[local], starts, axis=0) * scale[:, None]
-        m, pairs = forward_backward(emission[ids], mask, t)
-        d = (m - target[:, None]) * (weigh[:, None] * mask)[:, :, None]
-        per_word = np.stack([np.bincount(ids.ravel(), d[:, :, c].ravel(), len(feats)) for c in range(k)], 1)
+        per_word, pairs = np.zeros((len(feats), k)), np.zeros((k, k))
+        for ids, mask, goal, share in groups:
+            m, moves = forward_backward(emission[ids], mask, t)
+            pairs += moves
+            d = (m - goal) * share[:, :, None]
+            for c in range(k):
+                per_word[:, c] += np.bincount(ids.ravel(), d[:, :, c].ravel(), len(feats))
         per_word *= scale[:, None]
         gp = np.stack([np.bincount(local, per_word[of, c], len(used)) for c in range(k)], 1) + decay * p
-        gt = (pairs - seen) / mask.sum() + 1e-3 * t
+        gt = (pairs - seen) / size.sum() + 1e-3 * t
         for x, g, m1, m2 in ((p, gp, *state[:2]), (t, gt, *state[2:])):
             m1 += 0.1 * (g - m1)
             m2 += 0.01 * (g * g - m2)
