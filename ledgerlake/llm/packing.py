@@ -2,9 +2,9 @@
 
 1. Tokenise; documents over the capacity are cut into full pieces, the first
    piece takes what is left over.
-2. Range-sort the pieces by length (longest first) and rank them within their
-   length: a range partition's counts per length go to the driver, the ranks
-   start where the counts before them add up.
+2. Rank the pieces within their length in the order of a hash: lengths with many
+   pieces are cut into ranges of it, whose counts go to the driver; the ranks of
+   a range start where the counts before it add up.
 3. Pack in bulk-synchronous steps.  Pieces of one length are alike and so are
    open sequences with one content, so a step handles classes with a count:
    lengths fall in octaves (over half the capacity, over a quarter, ...); in
@@ -31,6 +31,7 @@ import base64
 import json
 import os
 import re
+import uuid
 import zlib
 from array import array
 from bisect import bisect_left
@@ -39,11 +40,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlake.llm.common import worker_cache, written
+from ledgerlake.llm.common import worker_cache
 
 #: Chunks of text whose ids a worker keeps.
 CACHE_CHUNKS = 500_000
@@ -219,30 +221,49 @@ def places(packed: list) -> list[tuple[int, int, int, int, int]]:
 # -- ranks ----------------------------------------------------------------------
 
 _ORDER = ("tie", "doc_id", "piece", "ids_crc32")
+#: Pieces of a final task, at least.
+TASK_PIECES = 100_000
 
 
-def ranked(items: DataFrame, name: str = "packing") -> tuple[DataFrame, dict[int, int]]:
-    """``items`` with ``rank`` within equal ``length``, and the pieces per length."""
+def _split(counts: dict[int, int], most: int) -> dict[int, int]:
+    """Length -> bits of the tie that cut its pieces into parts of about ``most``
+    rows, for the lengths that need any."""
+    return {s: min(62, (-(-n // most) - 1).bit_length()) for s, n in counts.items() if n > most}
+
+
+def ranked(items: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """``items`` with ``rank`` within equal ``length``, and the pieces per length.
+
+    A length's pieces are cut by the leading bits of their tie, a hash, so the
+    parts are in the order of the ranks, about equally large, and the same
+    whenever they are computed: ranks start where the parts before add up.
+    """
     spark = items.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the pieces are written before they are sorted: a range sort reads its input
-    # twice, for the bounds and for the rows, and tokenising is the larger part
-    items = written(items, name + "-pieces")
-    # written: the ranges must be the same when they are counted and when they are ranked
-    srt = written(items.withColumn("tie", F.xxhash64("doc_id", "piece", "ids_crc32"))
-                  .repartitionByRange(parts, F.desc("length"), "tie")
-                  .withColumn("part", F.spark_partition_id()), name)
-    counts = srt.groupBy("length", "part").count().collect()   # parts + lengths rows at most
-    total: dict[int, int] = {}
-    below = []
-    for r in sorted(counts, key=lambda r: (r.length, r.part)):
-        below.append((r.length, r.part, total.get(r.length, 0)))
-        total[r.length] = total.get(r.length, 0) + r["count"]
-    below = spark.createDataFrame(below, "length long, part int, below long")
+    # counted, counted by part and ranked: tokenised once, kept on the executors' disks
+    # (by a plan of its own: a later run reads its files as they are then)
+    items = (items.withColumns({"tie": F.xxhash64("doc_id", "piece", "ids_crc32"), "run": F.lit(uuid.uuid4().hex)})
+             .persist(StorageLevel.DISK_ONLY).drop("run"))
+    total = {r.length: r["count"] for r in items.groupBy("length").count().collect()}
+    bits = _split(total, max(1, sum(total.values()) // parts))
+    cut = F.lit(0).cast("long")
+    if bits:
+        shift = F.create_map(*[F.lit(v) for s, b in bits.items() for v in (s, 64 - b)])[F.col("length").cast("int")]
+        cut = F.coalesce(F.call_function("shiftright", F.col("tie"), shift), cut)
+    items = items.withColumn("part", cut)
+    below, at = [], {}
+    if bits:                              # parts + lengths rows, or twice that, at most
+        own = items.where(F.col("length").isin(list(bits))).groupBy("length", "part").count().collect()
+        for r in sorted(own, key=lambda r: (r.length, r.part)):
+            below.append((r.length, r.part, at.get(r.length, 0)))
+            at[r.length] = at.get(r.length, 0) + r["count"]
+    below = spark.createDataFrame(below, "length long, part long, below long")
     local = F.row_number().over(Window.partitionBy("length", "part").orderBy(*_ORDER))
-    return (srt.withColumn("local", local).join(below, ["length", "part"])
-            .withColumn("rank", F.col("below") + F.col("local") - 1)
-            .drop("part", "tie", "local", "below")), total
+    out = (items.withColumn("local", local).join(F.broadcast(below), ["length", "part"], "left")
+           .withColumn("rank", F.coalesce("below", F.lit(0)) + F.col("local") - 1)
+           .drop("part", "tie", "local", "below"))
+    tasks = max(spark.sparkContext.defaultParallelism, sum(total.values()) // TASK_PIECES)
+    return (out.coalesce(tasks) if tasks < parts else out), total
 
 
 def _place(batches: Iterator[pa.RecordBatch], at: dict) -> Iterator[pa.RecordBatch]:
