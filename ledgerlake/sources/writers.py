@@ -33,11 +33,20 @@ def write_partitioned(df: DataFrame, path: str, partition_by: str | list[str], *
     return path
 
 
-def write_csv(df: DataFrame, path: str, *, header: bool = True) -> str:
-    df.write.mode("overwrite").option("header", header).csv(path)
+#: Rows of a compressed text file: one task reads it whole.
+FILE_ROWS = 100_000
+
+
+def write_csv(df: DataFrame, path: str, *, header: bool = True, compression: str = "none") -> str:
+    _text_writer(df, compression).option("header", header).csv(path)
     return path
 
 
+def _text_writer(df: DataFrame, compression: str):
+    w = df.write.mode("overwrite").option("compression", compression)
+    return w if compression == "none" else w.option("maxRecordsPerFile", FILE_ROWS)
+
+
 # Full microsecond precision in JSON text (the default format keeps millis).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -47,9 +56,9 @@ def write_jsonl(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_text(df: DataFrame, path: str) -> str:
-    """One string column as uncompressed text, a line per row."""
-    df.write.mode("overwrite").option("compression", "none").text(path)
+def write_text(df: DataFrame, path: str, *, compression: str = "none") -> str:
+    """One string column as text, a line per row."""
+    _text_writer(df, compression).text(path)
     return path
 
 
