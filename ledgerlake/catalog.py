@@ -17,7 +17,7 @@ from .functions.columns import money_sum, try_double
 from .operators import quality, sketches
 from .operators.dedupe import dedupe_by_key
 from .operators.enrich import left_enrich, left_flag
-from .operators.fingerprint import differing_rows
+from .operators.fingerprint import compared, differing_rows
 from .operators.merge import KeyedTable
 from .operators.quantiles import exact_quantiles, quantile_name
 from .operators.skew import skew_join
@@ -461,14 +461,16 @@ def gold_reproducibility(spark, sf_dir):
     for name, mart in marts.items():
         a, b = (layers.read(spark, f"{p}/{name}") for p in ("gold", "gold_again"))
 
-        def totals(df, side):
-            return df.agg(F.count("*").alias("rows"),
-                          money_sum(mart.control, 2).alias("total")).withColumn("side", F.lit(side))
-        # fingerprints per partition; rows are compared only where those differ
-        differ = (differing_rows(a, b, GOLD_PARTITION.get(name)).agg(F.count("*").alias("rows"))
+        # fingerprints per partition, with the totals in the same pass; rows are
+        # compared only where fingerprints differ
+        by = GOLD_PARTITION.get(name)
+        both = compared(a, b, by, mart.control)
+        totals = spark.createDataFrame([("first", both["rows"], both["total"]), ("second", both["n"], both["total_b"])],
+                                       "side string, rows long, total decimal(38,12)") \
+            .withColumn("total", F.round("total", 2).cast("double"))
+        differ = (differing_rows(a, b, by, both["parts"]).agg(F.count("*").alias("rows"))
                   .withColumn("side", F.lit("differing")))
-        sides = (totals(a, "first").unionByName(totals(b, "second"))
-                 .unionByName(differ, allowMissingColumns=True))
+        sides = totals.unionByName(differ, allowMissingColumns=True)
         one = sides.select(F.lit(name).alias("mart"), "side", "rows", "total")
         out = one if out is None else out.unionByName(one)
     return out

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import MONEY, to_money
+
 
 def _hash(cols: list[str], seed: int) -> Column:
     """64 bits of a row; whether a column is NULL counts, as does its place."""
@@ -17,26 +19,40 @@ def _hash(cols: list[str], seed: int) -> Column:
     return F.xxhash64(F.lit(seed), *parts).cast("decimal(38,0)")
 
 
-def fingerprint(df: DataFrame, by: str | None = None) -> DataFrame:
-    """(part, rows, h1, h2) per value of ``by``; sums, so copies count."""
+def fingerprint(df: DataFrame, by: str | None = None, amount: str | None = None) -> DataFrame:
+    """(part, rows, h1, h2, amount) per value of ``by``; sums, so copies count.
+    ``amount`` is the exact sum of that column (NULL without one)."""
     cols = sorted(df.columns)
     part = F.col(by).cast("string") if by else F.lit(None).cast("string")
+    total = F.sum(to_money(amount)) if amount else F.lit(None).cast(MONEY)
     return (df.groupBy(part.alias("part"))
-            .agg(F.count("*").alias("rows"), F.sum(_hash(cols, 1)).alias("h1"), F.sum(_hash(cols, 2)).alias("h2")))
+            .agg(F.count("*").alias("rows"), F.sum(_hash(cols, 1)).alias("h1"), F.sum(_hash(cols, 2)).alias("h2"),
+                 total.alias("amount")))
+
+
+def compared(a: DataFrame, b: DataFrame, by: str | None = None, amount: str | None = None) -> dict:
+    """One pass over each table: ``parts``, the values of ``by`` (as text) whose
+    rows differ, as many as partitions at most, and of both sides the rows
+    (``rows``, ``n``) and exact totals of ``amount`` (``total``, ``total_b``)."""
+    x, y = fingerprint(a, by, amount), fingerprint(b, by, amount).toDF("p", "n", "g1", "g2", "amount_b")
+    same = F.col("rows").eqNullSafe(F.col("n")) & F.col("h1").eqNullSafe(F.col("g1")) & F.col("h2").eqNullSafe(F.col("g2"))
+    both = x.join(y, F.col("part").eqNullSafe(F.col("p")), "full_outer")
+    one = both.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "n")],
+                   F.sum("amount").alias("total"), F.sum("amount_b").alias("total_b"),
+                   F.collect_list(F.when(~same, F.struct(F.coalesce("part", "p").alias("part")))).alias("parts")).first()
+    return {**one.asDict(), "parts": [r.part for r in one.parts]}
 
 
 def differing_parts(a: DataFrame, b: DataFrame, by: str | None = None) -> list:
     """Values of ``by`` (as text) whose rows differ: as many as partitions at most."""
-    x, y = fingerprint(a, by), fingerprint(b, by).toDF("p", "n", "g1", "g2")
-    same = F.col("rows").eqNullSafe(F.col("n")) & F.col("h1").eqNullSafe(F.col("g1")) & F.col("h2").eqNullSafe(F.col("g2"))
-    return [r.part for r in x.join(y, F.col("part").eqNullSafe(F.col("p")), "full_outer").where(~same)
-            .select(F.coalesce("part", "p").alias("part")).collect()]
+    return compared(a, b, by)["parts"]
 
 
-def differing_rows(a: DataFrame, b: DataFrame, by: str | None = None) -> DataFrame:
+def differing_rows(a: DataFrame, b: DataFrame, by: str | None = None, parts: list | None = None) -> DataFrame:
     """Distinct rows that one side has more often than the other, with
-    ``surplus`` (positive: of ``a``), from differing partitions only."""
-    parts = differing_parts(a, b, by)
+    ``surplus`` (positive: of ``a``), from differing partitions only (``parts``,
+    if they are known)."""
+    parts = differing_parts(a, b, by) if parts is None else parts
     if by is None or not parts:
         keep = F.lit(bool(parts))
     else:
