@@ -648,6 +648,9 @@ GOLD_PARTITION = {"daily_usage": "usage_date", "revenue_month": "month",
                   "cost_anomaly": "usage_date", "tokens_day": "usage_date"}
 SERVING_FILES_PER_TRIGGER = 100
 
+# what the usage marts read of silver
+USAGE_FEATURES = ("org_id", "usage_date", "service", "metric", "value_num", "cost_usd_increment", "cpu_hours",
+                  "storage_gb_hours", "genai_tokens", "carbon_kg", "cost_spike_flag")
 
 @query
 def stream_serving_all_marts(spark, sf_dir):
@@ -657,12 +660,16 @@ def stream_serving_all_marts(spark, sf_dir):
     is empty: its stream merges nothing and its table reads back as zero rows.
     Rows and a control total per serving table."""
     lake = Lake(spark, sf_dir)
-    marts = {"daily_usage": lake.gold_daily_usage(),
+    root = run_dir(spark, "serving_all")
+    # the feed is read and labelled once for the three marts built from it
+    clean = lake.usage_features(EMPTY_SPIKE).select(*USAGE_FEATURES)
+    writers.write_parquet(clean, f"{root}/silver")
+    usage = readers.read_parquet(spark, f"{root}/silver", clean.schema)
+    marts = {"daily_usage": lake.daily_usage_mart(usage),
              "revenue_month": lake.gold_revenue_month(),
-             "cost_anomaly": lake.gold_cost_anomaly(EMPTY_SPIKE),
+             "cost_anomaly": lake.mart(usage, gold.cost_anomaly(*EMPTY_SPIKE)),
              "tickets_day": lake.gold_tickets_day(),
-             "tokens_day": lake.gold_tokens_day()}
-    root = run_dir(spark, "serving_all")
+             "tokens_day": lake.mart(usage, gold.tokens_day(standins.GENAI_SERVICE))}
     running = []
     for name, mart in marts.items():
         gold_dir, rows = f"{root}/gold/{name}", mart.withColumn(serving.LOAD_SEQ, F.lit(1).cast("long"))

@@ -60,8 +60,10 @@ def exact_quantiles(df: DataFrame, col: str, qs, *, bins: int = 1024) -> list[fl
     n, lo, hi = x.agg(F.count("*"), F.min("x"), F.max("x")).first()
     if not n:
         return [None] * len(qs)
-    # per quantile: [1-based target rank, lo, hi, rows strictly below lo]
-    state = {i: [max(1, math.ceil(q * n)), lo, hi, 0] for i, q in enumerate(qs)}
+    # per quantile: [1-based target rank, lo, hi, rows strictly below lo]; the first
+    # and the last rank are known: the least and the greatest value
+    ranks = [max(1, math.ceil(q * n)) for q in qs]
+    state = {i: [r, lo if r < n else hi, hi if r > 1 else lo, 0] for i, r in enumerate(ranks)}
     out: dict[int, float] = {}
     while True:
         for i in [i for i, st in state.items() if st[1] == st[2]]:

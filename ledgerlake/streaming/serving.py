@@ -56,16 +56,16 @@ def snapshot_table(spark: SparkSession, path: str, mart_schema: StructType, spec
     return SnapshotTable(spark, path, serving_schema(mart_schema, spec), spec.layout, spec.primary_key, zones)
 
 
-def bucket_counts(table: SnapshotTable, version: Version, spec: ServingSpec, periods: list, buckets: int) -> Column:
-    """Bucket count of each of the batch's periods: the table's, or ``buckets``
-    for a period it does not have yet.  Periods are few (months or years)."""
+def bucket_counts(table: SnapshotTable, version: Version, spec: ServingSpec, buckets: int) -> Column:
+    """Bucket count of each period: the table's, or ``buckets`` for a period it
+    does not have yet.  Periods are few (months or years)."""
     held = table.manifest(version)
     if not spec.time_col:
         first = held.select(BUCKET_COUNT).limit(1).collect()
         return F.lit(first[0][0] if first else buckets)
     out = F.lit(buckets)
     for p, n in held.select(PERIOD, BUCKET_COUNT).distinct().collect():
-        if p in periods:
+        if n != buckets:
             out = F.when(F.col(PERIOD).eqNullSafe(F.lit(p).cast("date")), F.lit(n)).otherwise(out)
     return out
 
@@ -110,13 +110,12 @@ def merge_batch(table: SnapshotTable, batch: DataFrame, batch_id: int, writer: s
         base = table.head()
         if base.batches.get(writer, -1) >= batch_id:
             return base
-        periods = [r[0] for r in batch.select(serving.period_of(spec.time_col, spec.period_grain)
-                                              if spec.time_col else F.lit(None)).distinct().collect()]
-        if not periods:                                    # an empty batch
-            return base
-        counts = bucket_counts(table, base, spec, periods, buckets)
+        counts = bucket_counts(table, base, spec, buckets)
         updates = with_layout(null_policy(batch, spec), spec, counts).select(*schema.fieldNames())
-        touched = folder_filter(touched_partitions(updates, spec), spec)
+        folders = touched_partitions(updates, spec)        # the one pass before the write
+        if not folders:                                    # an empty batch
+            return base
+        touched = folder_filter(folders, spec)
         held = table.read(base, touched)
         merged = dedupe_by_key(held.unionByName(updates), list(spec.primary_key), [LOAD_SEQ], null_is_value=True)
         return table.commit(base, table.write(merged), touched, writer=writer, batch=batch_id)
