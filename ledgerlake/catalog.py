@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -772,7 +773,11 @@ class UsageMarts:
             if not touched[name] and head.batches.get("loads", -1) < seq:
                 table.commit(head, None, F.lit(False), writer="loads", batch=seq)   # nothing new: noted
             fresh = self.mart(name, touched[name]).withColumn(serving.LOAD_SEQ, F.lit(seq).cast("long"))
-            sserving.merge_batch(table, fresh, seq, "loads", serving.SERVING[name])
+            fresh = fresh.persist(StorageLevel.DISK_ONLY)      # its folders are asked for, then it is written
+            try:
+                sserving.merge_batch(table, fresh, seq, "loads", serving.SERVING[name])
+            finally:
+                fresh.unpersist()
         return touched
 
     def compact(self) -> None:
