@@ -648,11 +648,11 @@ def stream_serving_upsert(spark, sf_dir):
 GOLD_PARTITION = {"daily_usage": "usage_date", "revenue_month": "month",
                   "cost_anomaly": "usage_date", "tokens_day": "usage_date"}
 SERVING_FILES_PER_TRIGGER = 100
-
 # what the usage marts read of silver
 USAGE_FEATURES = ("org_id", "usage_date", "service", "metric", "value_num", "cost_usd_increment", "cpu_hours",
                   "storage_gb_hours", "genai_tokens", "carbon_kg", "cost_spike_flag")
 
+
 @query
 def stream_serving_all_marts(spark, sf_dir):
     """The five gold marts, written partitioned by date and each
