@@ -18,6 +18,22 @@ from ledgerlake.session import lake_root
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+#: Texts are read, and go to Python workers, in batches of bounded size: by default
+#: a batch holds 4,096 rows of a file or 10,000 (up to 64 MB) on the way to Python,
+#: often a task's whole text, in the heap, beside it and in the worker.
+TEXT_CONF = {
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Sets TEXT_CONF on the session, for the plans that are run from now on."""
+    for k, v in TEXT_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

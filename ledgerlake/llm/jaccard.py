@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import SequenceHash, components, mix, word_hashes, written
+from ledgerlake.llm.common import SequenceHash, bounded_batches, components, mix, word_hashes, written
 
 #: Counters of the frequency table, and counters in one of its blocks.
 TABLE_BITS, BLOCK_BITS = 20, 10
@@ -301,6 +301,7 @@ def join(docs: DataFrame, n: int = 5, percent: int = 75, id_col: str = "doc_id",
     Without ``count_links`` there is no ``n_links``; the components are the same.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     d = docs.select(F.col(id_col).alias("doc_id"),
                     F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlake.llm.common import words, written
+from ledgerlake.llm.common import bounded_batches, words, written
 
 #: Documents per hash range of the seeded order.
 RANGE_ROWS = 1024
@@ -162,6 +162,7 @@ def mix(docs: DataFrame, weights, share: float = 1.5, most: int = 2, seed: int =
     ``sources`` is an array column (default: the one ``source`` column);
     ``weights`` maps the ordered list of sources to a list of weights.
     """
+    bounded_batches(docs.sparkSession)
     member = sources if sources is not None else F.array(F.col("source"))
     d = docs.select(F.col(id_col).alias("id"),
                     F.size(words(F.col(text_col))).cast("long").alias("size"),

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlake.llm.common import worker_cache
+from ledgerlake.llm.common import bounded_batches, worker_cache
 
 #: Chunks of text whose ids a worker keeps.
 CACHE_CHUNKS = 500_000
@@ -138,6 +138,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id:
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
             .mapInArrow(lambda it: _pieces(it, tokenizer, capacity, end_id),

@@ -29,6 +29,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import bounded_batches
+
 #: The base patterns, in the order in which kinds are listed.
 ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)"""
           r"""([A-Za-z0-9+/_.=-]+)""")
@@ -209,6 +211,7 @@ def _outside(df: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, model: list[float] | None = None, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
     """(doc_id, t, row, assign, access, hex, random): spans of each kind."""
+    bounded_batches(docs.sparkSession)
     model = train(docs, id_col, text_col) if model is None else model
     df = _outside(base_spans(docs, id_col, text_col))
     df = _find(df, f"{TOKEN}{{{TOKEN_CHARS},}}", 3, "true", "tokens", "outside").drop("outside")

@@ -33,6 +33,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import bounded_batches
+
 #: Documents of each label in the training sample, about; at most.
 PER_CLASS = 4000
 #: Terms carry weight if they are in this many sample documents and their share
@@ -133,6 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, where: Column, id_col: str = "doc_
           text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS,
           bits: int = 18) -> Model:
     """Fits on the labelled rows for which ``where`` (over ``id``) holds."""
+    bounded_batches(docs.sparkSession)
     rows = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
             .where(F.col("y").isin(0, 1) & where))
     counts = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
@@ -161,6 +164,7 @@ def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]
 
 def score(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
     """The columns ``keep`` of ``docs`` with ``score``."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*keep, F.col(text_col).alias("scored_text")).mapInArrow(
@@ -176,6 +180,7 @@ def _clean(batches: Iterator[pa.RecordBatch], model, at: int, least: float) -> I
 
 def clean(docs: DataFrame, model: Model, least: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score under ``least``, with all their columns."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
     return docs.mapInArrow(lambda it: _clean(it, shared, at, least), docs.schema)
